@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from terralattice.functions import scalars as S
 from terralattice.operators import ordering
+from terralattice.schemas import TEXT_TIMES
 
 _FAILED = "failed"
 
@@ -59,7 +60,12 @@ def summary(log: DataFrame, item: str = "observation_id") -> DataFrame:
 
 def checkpoint(state: DataFrame) -> DataFrame:
     """A summary row as one JSON text."""
-    return state.select(F.to_json(F.struct(*state.columns)).alias("state"))
+    return state.select(F.to_json(F.struct(*state.columns), TEXT_TIMES).alias("state"))
+
+
+def restore(text: DataFrame, schema, column: str = "value") -> DataFrame:
+    """The summary row of a checkpoint text."""
+    return text.select(F.from_json(column, schema, TEXT_TIMES).alias("_s")).select("_s.*")
 
 
 def batches(df: DataFrame, keys: list[str], order: list[str], levels, interval: int = 500) -> DataFrame:

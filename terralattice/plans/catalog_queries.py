@@ -680,7 +680,7 @@ def _(spark, d):
     state = runlog.summary(X.run_log(spark, d)).drop("success_rate").withColumn("elapsed_seconds", F.round("elapsed_seconds", 6))
     path = session.scratch_path(spark, "checkpoint")
     runlog.checkpoint(state).write.text(path)
-    return spark.read.text(path).select(F.from_json("value", state.schema).alias("s")).select("s.*")
+    return runlog.restore(spark.read.text(path), state.schema)
 
 
 @query("snk10_failed_roundtrip", with_ctes("run_log", """

@@ -125,7 +125,7 @@ def station_weights(spark: SparkSession, d: str) -> DataFrame:
 
 def pixels16(spark: SparkSession, d: str) -> DataFrame:
     """Wide pixels: 16 bands, four pixels per vector, with gaps."""
-    e = table(spark, d, "embeddings").withColumn("source_id", F.explode(F.sequence(F.lit(0), F.lit(3))).cast("long"))
+    e = table(spark, d, "embeddings").withColumn("source_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))))
     gap = (F.col("vec_id") * 4 + F.col("source_id")) % 97 == 0
 
     def cmi(b):

@@ -524,7 +524,7 @@ def _(spark, d):
 
 
 @query("prj08_coordinates", with_ctes("raster", """
-SELECT vec_id, iy, ix, TIMESTAMP '2024-01-01 00:00:00' + vec_id * INTERVAL 10 MINUTE AS time, round(-0.0035 + ix*0.001, 6) AS x, round(0.0035 - iy*0.001, 6) AS y,
+SELECT vec_id, iy, ix, TIMESTAMP '2024-01-01 00:00:00' + vec_id * INTERVAL 10 MINUTE AS time, round(ix*0.001::DOUBLE - 0.0035::DOUBLE, 6) AS x, round(0.0035::DOUBLE - iy*0.001::DOUBLE, 6) AS y,
   TIMESTAMP '2024-01-01 00:00:00' + vec_id * INTERVAL 10 MINUTE AS bounds_start,
   TIMESTAMP '2024-01-01 00:00:00' + vec_id * INTERVAL 10 MINUTE + INTERVAL 9 MINUTE AS bounds_end FROM raster"""))
 def _(spark, d):

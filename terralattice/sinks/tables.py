@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from terralattice import schemas
 from terralattice.functions import scalars as S
 from terralattice.operators import catalog
+from terralattice.schemas import TEXT_TIMES
 from terralattice.sources import tables as T
-from terralattice.sources.tables import TEXT_TIMES
 
 
 def write_catalog(tables: dict[str, DataFrame], directory: str, fmt: str = "parquet") -> None:

@@ -8,10 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.errors import AnalysisException
 
 from terralattice import schemas
-
-# Text files keep microseconds, which the default formats cut.
-TEXT_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-              "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+from terralattice.schemas import TEXT_TIMES
 
 CATALOG_SCHEMAS = {
     "observations": schemas.OBSERVATIONS,
