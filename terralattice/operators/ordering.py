@@ -9,15 +9,16 @@ sorted together; everything across ranges is computed on per-range summaries.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
+_BEFORE_ALL = -(1 << 62)  # stands for a missing level; missing order values sort first
+
+
 def time_levels(ts: str = "time") -> dict[str, Column]:
     """Nested ranges of a timestamp: day, then second of the day."""
     second = F.unix_seconds(F.col(ts).cast("timestamp"))
-    return {"_l1": F.floor(second / 86400).cast("int"), "_l2": F.pmod(second, F.lit(86400)).cast("int")}
+    return {"_l1": F.floor(second / 86400), "_l2": F.pmod(second, F.lit(86400))}
 
 
 def number_levels(col: str, width: int = 1 << 12, fan: int = 1 << 12) -> dict[str, Column]:
@@ -26,23 +27,21 @@ def number_levels(col: str, width: int = 1 << 12, fan: int = 1 << 12) -> dict[st
     return {"_l1": F.floor(block / fan), "_l2": F.pmod(block, F.lit(fan))}
 
 
-def _join_on(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
-    """Left join on null-safe equal columns, keeping the left copy of them."""
-    renamed = right.select([F.col(c).alias(f"_r_{c}") if c in cols else F.col(c) for c in right.columns])
-    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in cols])
-    return left.join(renamed, match, "left").drop(*[f"_r_{c}" for c in cols])
+_PLACE = ["_key", "_l1", "_l2"]
 
 
-def _running(leaf: DataFrame, keys: list[str], names: list[str], amount: str) -> DataFrame:
-    """Exclusive prefix sum of `amount` over nested ranges, as `_offset`."""
-    l1, l2 = names
-    before = lambda part, order: W.partitionBy(*part).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    coarse = (leaf.groupBy(*keys, l1).agg(F.sum(amount).alias("_n1"))
-              .withColumn("_o1", F.coalesce(F.sum("_n1").over(before(keys, l1)), F.lit(0)))
-              .drop("_n1"))
-    fine = leaf.withColumn("_o2", F.coalesce(F.sum(amount).over(before([*keys, l1], l2)), F.lit(0)))
-    return (_join_on(fine, coarse, [*keys, l1])
-            .withColumn("_offset", F.col("_o1") + F.col("_o2")).drop("_o1", "_o2"))
+def _ranged(df: DataFrame, keys: list[str], levels: dict[str, Column]) -> DataFrame:
+    """Add the key as one never-null struct and the levels as never-null numbers.
+
+    Joins and windows then share one plain equality on `_PLACE`, so the rows are
+    shuffled once for both; nulls inside the struct still compare equal.
+    """
+    whole = {name: F.coalesce(level.cast("long"), F.lit(_BEFORE_ALL)) for name, level in levels.items()}
+    return df.withColumns({"_key": F.struct(*keys) if keys else F.struct(F.lit(0).alias("all")), **whole})
+
+
+def _before(part: list[str], by: str) -> W:
+    return W.partitionBy(*part).orderBy(by).rowsBetween(W.unboundedPreceding, -1)
 
 
 def with_position(df: DataFrame, keys: list[str], order: list[str], levels: dict[str, Column],
@@ -51,32 +50,38 @@ def with_position(df: DataFrame, keys: list[str], order: list[str], levels: dict
 
     `levels` must not decrease along `order`; `order` should be total.
     """
-    names = list(levels)
-    ranged = df.withColumns(levels)
-    leaf = ranged.groupBy(*keys, *names).agg(F.count(F.lit(1)).alias("_n"))
-    placed = _join_on(ranged, _running(leaf, keys, names, "_n").drop("_n"), [*keys, *names])
-    inside = W.partitionBy(*keys, *names).orderBy(*order)
-    return (placed.withColumn(name, F.col("_offset") + F.row_number().over(inside) - 1)
-            .drop("_offset", *names))
+    ranged = _ranged(df, keys, levels)
+    leaf = ranged.groupBy(*_PLACE).agg(F.count(F.lit(1)).alias("_n"))
+    zero = F.lit(0)
+    coarse = (leaf.groupBy("_key", "_l1").agg(F.sum("_n").alias("_n1"))
+              .select("_key", "_l1", F.coalesce(F.sum("_n1").over(_before(["_key"], "_l1")), zero).alias("_o1")))
+    fine = leaf.select(*_PLACE, F.coalesce(F.sum("_n").over(_before(["_key", "_l1"], "_l2")), zero).alias("_o2"))
+    offsets = fine.join(coarse, ["_key", "_l1"]).select(*_PLACE, (F.col("_o1") + F.col("_o2")).alias("_offset"))
+    inside = F.row_number().over(W.partitionBy(*_PLACE).orderBy(*order))
+    return (ranged.join(offsets, _PLACE)
+            .withColumn(name, F.col("_offset") + inside - 1).drop("_offset", *_PLACE))
 
 
 def with_previous(df: DataFrame, keys: list[str], order: list[str], levels: dict[str, Column],
                   value: str, name: str = "previous") -> DataFrame:
     """Add `value` of the preceding row of the key (null on its first row)."""
-    l1, l2 = names = list(levels)
-    ranged = df.withColumns({**levels, "_v": F.struct(F.col(value).alias("v"))})
-    leaf = ranged.groupBy(*keys, *names).agg(F.max_by("_v", F.struct(*order)).alias("_last"))
-    coarse = (leaf.groupBy(*keys, l1).agg(F.max_by("_last", l2).alias("_last1"))
-              .withColumn("_prev1", F.lag("_last1").over(W.partitionBy(*keys).orderBy(l1)))
-              .drop("_last1"))
-    fine = leaf.withColumn("_prev2", F.lag("_last").over(W.partitionBy(*keys, l1).orderBy(l2)))
-    before = (_join_on(fine, coarse, [*keys, l1])
-              .withColumn("_before", F.coalesce("_prev2", "_prev1"))
-              .drop("_prev1", "_prev2", "_last"))
-    inside = W.partitionBy(*keys, *names).orderBy(*order)
-    return (_join_on(ranged, before, [*keys, *names])
-            .withColumn(name, F.coalesce(F.lag("_v").over(inside), F.col("_before"))["v"])
-            .drop("_before", "_v", *names))
+    ranged = _ranged(df, keys, levels).withColumn("_v", F.struct(F.col(value).alias("v")))
+    leaf = ranged.groupBy(*_PLACE).agg(F.max_by("_v", F.struct(*order)).alias("_last"))
+    coarse = (leaf.groupBy("_key", "_l1").agg(F.max_by("_last", "_l2").alias("_last1"))
+              .select("_key", "_l1", F.lag("_last1").over(W.partitionBy("_key").orderBy("_l1")).alias("_prev1")))
+    fine = leaf.select(*_PLACE, F.lag("_last").over(W.partitionBy("_key", "_l1").orderBy("_l2")).alias("_prev2"))
+    before = fine.join(coarse, ["_key", "_l1"]).select(*_PLACE, F.coalesce("_prev2", "_prev1").alias("_before"))
+    inside = F.lag("_v").over(W.partitionBy(*_PLACE).orderBy(*order))
+    return (ranged.join(before, _PLACE)
+            .withColumn(name, F.coalesce(inside, F.col("_before"))["v"])
+            .drop("_before", "_v", *_PLACE))
+
+
+def _with_size(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Add the row count of each key; the counts are one row per key."""
+    keyed = df.withColumn("_key", F.struct(*keys))
+    sizes = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias(name))
+    return keyed.join(sizes, "_key").drop("_key")
 
 
 def strictly_increasing(df: DataFrame, keys: list[str], order: list[str],
@@ -90,18 +95,15 @@ def strictly_increasing(df: DataFrame, keys: list[str], order: list[str],
 def every_kth(df: DataFrame, keys: list[str], order: list[str], levels: dict[str, Column],
               n_points: int) -> DataFrame:
     """Every k-th row of a key, k = max(1, rows div n_points)."""
-    sizes = df.groupBy(*keys).agg(
-        F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / n_points)).alias("_k"))
-    placed = with_position(df, keys, order, levels, "_pos")
-    return (_join_on(placed, sizes, keys)
-            .where(F.pmod(F.col("_pos"), F.col("_k")) == 0).drop("_k", "_pos"))
+    placed = with_position(_with_size(df, keys, "_size"), keys, order, levels, "_pos")
+    k = F.greatest(F.lit(1), F.floor(F.col("_size") / n_points))
+    return placed.where(F.pmod(F.col("_pos"), k) == 0).drop("_size", "_pos")
 
 
 def even_sample(df: DataFrame, keys: list[str], order: list[str], levels: dict[str, Column],
                 n: int) -> DataFrame:
     """n rows spread evenly over each key: positions floor(i * N / n)."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    placed = _join_on(with_position(df, keys, order, levels, "_pos"), sizes, keys)
+    placed = with_position(_with_size(df, keys, "_size"), keys, order, levels, "_pos")
     # position p is picked when some i < n has floor(i*N/n) = p, i.e. the
     # smallest i with i*N >= p*n also satisfies i*N < (p+1)*n.
     i = F.ceil(F.col("_pos") * n / F.col("_size"))

@@ -15,33 +15,38 @@ from terralattice.functions import scalars as S
 from terralattice.operators.weights import VERTICES
 
 
-def classify_flag(covered: Column, direct: Column, dominant: Column, blend: Column,
-                  low: Column | None = None, high: Column | None = None) -> Column:
-    """Flag of a target from its vertices' flags.
+def classify_flag(covered: Column, blend: Column, equal: Column | None = None) -> Column:
+    """Flag of a target from the blend of its vertices' flags.
 
-    Outside -> 3; direct hit -> the dominant vertex's flag; else NaN -> 6, a
-    whole interpolated flag -> that flag, anything between -> 5. With `low` and
-    `high` (strict mode) the vertices' flags must be equal, not their blend whole.
+    Outside -> 3; NaN -> 6; a whole blend -> that flag; anything between -> 5.
+    `blend` is the weighted sum, or just the dominant vertex's flag on a direct
+    hit. `equal` (strict mode) asks for equal flags in place of a whole blend.
     """
-    flag = lambda x: F.when(F.isnan(x), F.lit(C.NAN_FLAG)).otherwise(F.rint(F.nanvl(x, F.lit(0.0))).cast("int"))
-    if low is None:
-        whole = F.abs(blend - F.rint(blend)) < C.INTEGER_EPSILON
-    else:
-        whole = low == high
+    nearest = F.rint(F.nanvl(blend, F.lit(float(C.NAN_FLAG))))
+    whole = F.abs(blend - nearest) < C.INTEGER_EPSILON if equal is None else equal
     return (F.when(~covered, C.OUTSIDE_FLAG)
-            .when(direct, flag(dominant))
             .when(F.isnan(blend), C.NAN_FLAG)
-            .when(whole, flag(blend))
+            .when(whole, nearest)
             .otherwise(C.MIXED_FLAG)).cast("short")
 
 
+def _direct(max_w: str) -> Column:
+    return F.col(max_w) >= C.DIRECT_HIT_WEIGHT
+
+
 def _aggregates(cmi: list[str], dqf: list[str], strict: bool) -> list[Column]:
-    w = F.col("w")
-    out = [F.count(w).alias("_n"), F.max("max_w").alias("_max_w")]
+    """One sum per CMI column and one per flag column, plus three shared counts.
+
+    On a direct hit only the dominant vertex's flag counts, so that the same sum
+    serves both flag rules.
+    """
+    w, dominant = F.col("w"), F.col("dominant")
+    out = [F.count(w).alias("_n"), F.max("max_w").alias("_max_w"), F.count_if(dominant).alias("_n_dominant")]
     out += [F.sum(w * S.as_value(F.col(c))).alias(f"_s_{c}") for c in cmi]
     for c in dqf:
         value = S.as_value(F.col(c))
-        out += [F.sum(w * value).alias(f"_s_{c}"), F.max(F.when(F.col("dominant"), value)).alias(f"_d_{c}")]
+        share = F.when(~_direct("max_w"), w * value).when(dominant, value).otherwise(0.0)
+        out.append(F.sum(share).alias(f"_s_{c}"))
         if strict:
             out += [F.min(value).alias(f"_lo_{c}"), F.max(value).alias(f"_hi_{c}")]
     return out
@@ -49,15 +54,13 @@ def _aggregates(cmi: list[str], dqf: list[str], strict: bool) -> list[Column]:
 
 def _results(cmi: list[str], dqf: list[str], strict: bool) -> list[Column]:
     whole = F.col("_n") == VERTICES
-    covered = F.col("_max_w").isNotNull()
-    direct = F.col("_max_w") >= C.DIRECT_HIT_WEIGHT
     missing = F.lit(S.NAN)
     values = [F.when(whole, F.col(f"_s_{c}")).otherwise(missing).alias(c) for c in cmi]
+    known = whole | (_direct("_max_w") & (F.col("_n_dominant") > 0))
     for c in dqf:
-        blend = F.when(whole, F.col(f"_s_{c}")).otherwise(missing)
-        dominant = F.coalesce(F.col(f"_d_{c}"), missing)
-        ends = (F.col(f"_lo_{c}"), F.col(f"_hi_{c}")) if strict else (None, None)
-        values.append(classify_flag(covered, direct, dominant, blend, *ends).alias(c))
+        blend = F.when(known, F.col(f"_s_{c}")).otherwise(missing)
+        equal = _direct("_max_w") | (F.col(f"_lo_{c}") == F.col(f"_hi_{c}")) if strict else None
+        values.append(classify_flag(F.col("_max_w").isNotNull(), blend, equal).alias(c))
     return values
 
 
@@ -88,10 +91,11 @@ def _tiles_of(at: Column, tile: int) -> Column:
 
 
 def tile_weights(weights: DataFrame, nx: int, tile: int = 32) -> DataFrame:
-    """Give every target the lattice tile of its lowest row and column.
+    """Give every target the lattice tile (ty, tx) of its lowest row and column.
 
-    Vertices must lie within one pixel beyond the tile; weights built on the
-    cells of a lattice do. Others are refused, not dropped.
+    Done once and stored with the weights. Vertices must lie within one pixel
+    beyond the tile; weights built on the cells of a lattice do. Others are
+    refused, not dropped.
     """
     iy, ix = F.floor(F.col("source_id") / nx), F.pmod(F.col("source_id"), F.lit(nx))
     home = weights.groupBy("target_id").agg(
@@ -100,59 +104,70 @@ def tile_weights(weights: DataFrame, nx: int, tile: int = 32) -> DataFrame:
     fits = (F.col("_y1") - ty * tile <= tile) & (F.col("_x1") - tx * tile <= tile)
     key = F.when(fits, F.struct(ty.alias("ty"), tx.alias("tx"))).otherwise(
         F.raise_error(F.lit("a target reaches beyond its tile; use regrid() for these weights")))
-    return weights.join(home.select("target_id", key.alias("tile")), "target_id")
+    return weights.join(home.select("target_id", key.alias("_tile")), "target_id").select(
+        *weights.columns, F.col("_tile.ty").alias("ty"), F.col("_tile.tx").alias("tx"))
 
 
-def regrid_tiled(pixels: DataFrame, weights: DataFrame, frame: list[str], cmi: list[str],
+def regrid_tiled(pixels: DataFrame, tiled: DataFrame, frame: list[str], cmi: list[str],
                  dqf: list[str] = [], nx: int = 0, tile: int = 32, salts: int = 1,
                  strict: bool = False) -> DataFrame:
-    """As `regrid`, with a single shuffle of the pixels.
+    """As `regrid`, with a single shuffle of the pixels; `tiled` is from `tile_weights`.
 
     Both sides are partitioned by (tile, salt), edge pixels going to every tile
     that needs them. The join on (tile, salt, pixel) and the aggregation per
     target both find their rows already together, so the joined rows, three per
     target and far wider than the input, are never shuffled. `salts` spreads the
-    frames of one tile; the small weights are repeated once per salt.
+    frames of one tile; the weights are repeated once per salt. Needs a session
+    that lets a join reuse a partitioning on part of its keys
+    (`session.gridding_session`); elsewhere it is right but shuffles again.
     """
     iy, ix = F.floor(F.col("source_id") / nx), F.pmod(F.col("source_id"), F.lit(nx))
     salt = F.pmod(F.xxhash64(*frame), F.lit(salts)).cast("int")
+    together = ["ty", "tx", "salt"]
     sent = (pixels.select(*frame, "source_id", *cmi, *dqf)
             .withColumn("ty", F.explode(_tiles_of(iy, tile)))
             .withColumn("tx", F.explode(_tiles_of(ix, tile)))
-            .withColumn("salt", salt).repartition("ty", "tx", "salt"))
-    held = (tile_weights(weights, nx, tile).select("*", "tile.ty", "tile.tx").drop("tile")
-            .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-            .repartition("ty", "tx", "salt"))
-    met = sent.join(held.hint("shuffle_hash"), ["ty", "tx", "salt", "source_id"])
-    summed = met.groupBy(*frame, "ty", "tx", "salt", "target_id").agg(*_aggregates(cmi, dqf, strict))
+            .withColumn("salt", salt).repartition(*together))
+    held = tiled.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).repartition(*together)
+    met = sent.join(held, [*together, "source_id"])
+    summed = met.groupBy(*frame, *together, "target_id").agg(*_aggregates(cmi, dqf, strict))
     return summed.select(*frame, "target_id", *_results(cmi, dqf, strict))
 
 
+def _frames_with_targets(frames: DataFrame, targets: DataFrame, frame: list[str], blocks: int) -> DataFrame:
+    """Every wanted (frame, target) row, as an equi-join on a block number.
+
+    Frames and targets are both cut into `blocks`; each frame is sent to all
+    target blocks and each target to all frame blocks, so the rows come from
+    blocks * blocks equal groups, whatever the numbers of frames and targets.
+    """
+    block = lambda *cols: F.pmod(F.xxhash64(*cols), F.lit(blocks)).cast("int")
+    all_blocks = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    left = frames.select(*frame, block(*frame).alias("_fb")).withColumn("_tb", all_blocks)
+    right = targets.select("target_id", block("target_id").alias("_tb")).withColumn("_fb", all_blocks)
+    return left.join(right, ["_fb", "_tb"]).drop("_fb", "_tb")
+
+
 def fill_targets(regridded: DataFrame, frames: DataFrame, targets: DataFrame, weights: DataFrame,
                  frame: list[str], cmi: list[str], dqf: list[str] = [],
-                 complete_frames: bool = False, chunks: int = 64) -> DataFrame:
+                 complete_frames: bool = False, blocks: int = 32) -> DataFrame:
     """Add the targets a frame has no value for: NaN, flag 3.
 
     With `complete_frames` every frame is known to hold every weighted source
     pixel, so only the targets without weights are missing, the same ones in
     every frame, and they are appended. Otherwise each frame is compared with
-    its own targets. Frames meet the targets through a chunk number that both
-    sides carry: an equi-join whose output is the wanted rows.
+    its own targets.
     """
-    chunk = F.pmod(F.xxhash64("target_id"), F.lit(chunks)).cast("int")
-    spread = frames.select(*frame).withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    ids = targets.select("target_id")
     if complete_frames:
-        bare = ids.join(weights.select("target_id").distinct(), "target_id", "left_anti")
-        rest = spread.join(bare.withColumn("_chunk", chunk), "_chunk").drop("_chunk")
+        bare = targets.join(weights.select("target_id").distinct(), "target_id", "left_anti")
+        rest = _frames_with_targets(frames, bare, frame, blocks)
         return regridded.unionByName(rest.select(*frame, "target_id", *_outside(cmi, dqf)))
-    wanted = spread.join(ids.withColumn("_chunk", chunk), "_chunk").drop("_chunk")
+    wanted = _frames_with_targets(frames, targets, frame, blocks)
     known = weights.groupBy("target_id").agg(F.max("max_w").alias("_has"))
     merged = (wanted.join(known, "target_id", "left")
               .join(regridded.withColumn("_hit", F.lit(1)), [*frame, "target_id"], "left"))
-    direct = F.col("_has") >= C.DIRECT_HIT_WEIGHT
     nan = F.lit(S.NAN)
-    lost = classify_flag(F.col("_has").isNotNull(), direct, nan, nan)
+    lost = classify_flag(F.col("_has").isNotNull(), nan)
     return merged.select(*frame, "target_id",
                          *[F.when(F.col("_hit").isNull(), nan).otherwise(F.col(c)).alias(c) for c in cmi],
                          *[F.when(F.col("_hit").isNull(), lost).otherwise(F.col(c)).alias(c) for c in dqf])

@@ -104,43 +104,44 @@ def geostationary_weights(targets: DataFrame, lattice: Lattice, p: P.Projection,
         ground[f"_lat{i}{j}"], ground[f"_lon{i}{j}"] = P.ground(F.col(f"_d{i}{j}"), *of(i, j), p)
     cell = cell.withColumns(angle).withColumns(trig).withColumns(far).withColumns(ground)
 
-    corner = lambda i, j: F.struct(
-        ((F.col("_iy") + i) * lattice.nx + F.col("_ix") + j).alias("id"),
-        F.col(f"_lat{i}{j}").alias("lat"), F.col(f"_lon{i}{j}").alias("lon"))
-    p00, p01, p10, p11 = (corner(i, j) for i, j in places)
-    turned = _in_circle(p00, p01, p10, p11)
-    cell = cell.withColumn("_flip", turned > 0 if lattice.counter_clockwise else turned < 0)
-    triangle = lambda n, a, b, c: F.struct((F.col("_k") * 2 + n).alias("place"), a.alias("a"), b.alias("b"), c.alias("c"))
-    flip = F.col("_flip")
-    either = F.array(
-        triangle(0, p00, p01, F.when(flip, p11).otherwise(p10)),
-        triangle(1, p11, p10, F.when(flip, p00).otherwise(p01)))
-    tri = cell.select(*keys, "_lat", "_lon", F.inline(either))
-
-    at = lambda v, f: F.col(f"{v}.{f}")
-    u, v = F.col("_lon") - at("c", "lon"), F.col("_lat") - at("c", "lat")
-    ax, ay = at("a", "lon") - at("c", "lon"), at("a", "lat") - at("c", "lat")
-    bx, by = at("b", "lon") - at("c", "lon"), at("b", "lat") - at("c", "lat")
-    det = ax * by - ay * bx
-    sound = F.when((det != 0) & ~F.isnan(det), det)
-    solved = tri.withColumn("_det", sound).withColumns({"_w0": (u * by - v * bx) / F.col("_det"),
-                                                        "_w1": (ax * v - ay * u) / F.col("_det")})
-    low = F.lit(-tolerance)
-    w0, w1 = F.col("_w0"), F.col("_w1")
-    held = solved.where((w0 >= low) & (w1 >= low) & (1 - w0 - w1 >= low))
-    best = held.groupBy(*keys).agg(F.min(F.struct(
-        "place", F.col("a.id").alias("s0"), F.col("b.id").alias("s1"), F.col("c.id").alias("s2"),
-        w0.alias("w0"), w1.alias("w1"))).alias("_t"))
+    turned = _in_circle(*[(F.col(f"_lat{i}{j}"), F.col(f"_lon{i}{j}")) for i, j in places])
+    inward = turned > 0 if lattice.counter_clockwise else turned < 0
+    cell = cell.withColumn("_flip", inward & ~F.isnan(turned))
+
+    # Triangles 0 and 1: two corners are fixed, the third depends on the diagonal.
+    fixed, third = (("00", "01"), ("11", "10")), (("11", "10"), ("00", "01"))
+    pick = lambda n, f: F.when(F.col("_flip"), F.col(f"_{f}{third[n][0]}")).otherwise(F.col(f"_{f}{third[n][1]}"))
+    cell = cell.withColumns({f"_{f}_c{n}": pick(n, f) for n in (0, 1) for f in ("lat", "lon")})
+    sides = {}
+    for n in (0, 1):
+        for v, f, i in (("ax", "lon", 0), ("ay", "lat", 0), ("bx", "lon", 1), ("by", "lat", 1)):
+            sides[f"_{v}{n}"] = F.col(f"_{f}{fixed[n][i]}") - F.col(f"_{f}_c{n}")
+        sides[f"_u{n}"] = F.col("_lon") - F.col(f"_lon_c{n}")
+        sides[f"_v{n}"] = F.col("_lat") - F.col(f"_lat_c{n}")
+    cell = cell.withColumns(sides)
+    cross = lambda n, a, b, c, d: F.col(f"_{a}{n}") * F.col(f"_{b}{n}") - F.col(f"_{c}{n}") * F.col(f"_{d}{n}")
+    cell = cell.withColumns({f"_det{n}": F.nullif(cross(n, "ax", "by", "ay", "bx"), F.lit(0.0)) for n in (0, 1)})
+    cell = cell.withColumns({f"_{w}{n}": cross(n, *sides) / F.col(f"_det{n}") for n in (0, 1)
+                             for w, sides in (("p", ("u", "by", "v", "bx")), ("q", ("ax", "v", "ay", "u")))})
+    at = lambda ij: (F.col("_iy") + int(ij[0])) * lattice.nx + F.col("_ix") + int(ij[1])
+    triangle = lambda n: F.struct(
+        (F.col("_k") * 2 + n).alias("place"), at(fixed[n][0]).alias("s0"), at(fixed[n][1]).alias("s1"),
+        F.when(F.col("_flip"), at(third[n][0])).otherwise(at(third[n][1])).alias("s2"),
+        F.col(f"_p{n}").alias("w0"), F.col(f"_q{n}").alias("w1"))
+    tried = cell.select(*keys, F.inline(F.array(triangle(0), triangle(1))))
+
+    # Off-disk corners give NaN, which sorts above every number: bound both sides.
+    held = tried.where(F.col("w0").between(-tolerance, 2.0) & F.col("w1").between(-tolerance, 2.0)
+                       & (F.col("w0") + F.col("w1") <= 1.0 + tolerance))
+    best = held.groupBy(*keys).agg(F.min(F.struct("place", "s0", "s1", "s2", "w0", "w1")).alias("_t"))
     t = lambda f: F.col(f"_t.{f}")
     return best.select(*keys, F.inline(_vertices(
         (t("s0"), t("w0")), (t("s1"), t("w1")), (t("s2"), 1 - t("w0") - t("w1")))))
 
 
-def _in_circle(a: Column, b: Column, c: Column, d: Column) -> Column:
-    """Sign tells whether d is inside the circle through a, b, c (lon/lat plane)."""
-    ax, ay = a["lon"] - d["lon"], a["lat"] - d["lat"]
-    bx, by = b["lon"] - d["lon"], b["lat"] - d["lat"]
-    cx, cy = c["lon"] - d["lon"], c["lat"] - d["lat"]
+def _in_circle(a: tuple, b: tuple, c: tuple, d: tuple) -> Column:
+    """Sign tells whether d is inside the circle through a, b, c; points are (lat, lon)."""
+    (ay, ax), (by, bx), (cy, cx) = [(p[0] - d[0], p[1] - d[1]) for p in (a, b, c)]
     a2, b2, c2 = ax * ax + ay * ay, bx * bx + by * by, cx * cx + cy * cy
     return ax * (by * c2 - b2 * cy) - ay * (bx * c2 - b2 * cx) + a2 * (bx * cy - by * cx)
 

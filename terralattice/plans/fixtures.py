@@ -81,9 +81,11 @@ def files(spark: SparkSession, d: str) -> DataFrame:
     entries += [F.lit("percent_uncorrectable_GRB_errors"), scale / 100.0,
                 F.lit("percent_uncorrectable_L0_errors"), scale / 200.0]
     path = F.concat(F.lit("/incoming/"), F.col("observation_id").cast("string"), F.lit("/"), F.col("file_name"))
+    # Generated as one row, so that filters on the attributes do not build the maps again.
+    maps = F.inline(F.array(F.struct(attrs.alias("attrs"), F.create_map(*entries).alias("vars"))))
     return o.select(path.alias("file_path"), "file_name",
                     (F.col("observation_id") * 4096).alias("size_bytes"),
-                    iso("time_coverage_start").alias("t"), attrs.alias("attrs"), F.create_map(*entries).alias("vars"))
+                    iso("time_coverage_start").alias("t"), maps)
 
 
 # --- rasters and weights ----------------------------------------------------

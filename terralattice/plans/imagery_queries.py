@@ -35,7 +35,7 @@ def regridded(spark, d, strict: bool = False):
     pixels, w = X.raster(spark, d), X.weights(spark)
     covered = R.regrid(pixels, w, _FRAME, ["cmi"], ["dqf"], strict=strict)
     frames = X.table(spark, d, "embeddings").select("vec_id", (F.col("label") + 7).cast("int").alias("band"))
-    return R.fill_targets(covered, frames, X.targets(spark), w, _FRAME, ["cmi"], ["dqf"], complete_frames=True, chunks=8)
+    return R.fill_targets(covered, frames, X.targets(spark), w, _FRAME, ["cmi"], ["dqf"], complete_frames=True, blocks=4)
 
 
 @query("agg02_regrid_cmi", with_ctes("regridded", f"""
@@ -62,7 +62,9 @@ def _(spark, d):
 @query("jon01_gather_tiled", with_ctes("regridded", f"""
 SELECT vec_id, band, target_id, {_sql6('cmi')} AS cmi, dqf FROM regridded WHERE target_id IN (SELECT target_id FROM weights)"""))
 def _(spark, d):
-    found = R.regrid_tiled(X.raster(spark, d), X.weights(spark), _FRAME, ["cmi"], ["dqf"], nx=X.NX, tile=4, salts=4)
+    own = session.gridding_session(spark)
+    tiled = R.tile_weights(X.weights(own), X.NX, tile=4)
+    found = R.regrid_tiled(X.raster(own, d), tiled, _FRAME, ["cmi"], ["dqf"], nx=X.NX, tile=4, salts=4)
     return found.select("vec_id", "band", "target_id", _r6("cmi"), "dqf")
 
 
@@ -73,7 +75,7 @@ def _(spark, d):
     pixels, w = X.raster(spark, d), X.weights(spark)
     covered = R.regrid(pixels, w, _FRAME, ["cmi"], ["dqf"])
     frames = pixels.select(*_FRAME).distinct()
-    full = R.fill_targets(covered, frames, X.targets(spark), w, _FRAME, ["cmi"], ["dqf"], complete_frames=False, chunks=8)
+    full = R.fill_targets(covered, frames, X.targets(spark), w, _FRAME, ["cmi"], ["dqf"], complete_frames=False, blocks=4)
     return full.groupBy(*_FRAME).agg(F.count(F.lit(1)).alias("targets"), F.count_if(F.isnan("cmi")).alias("missing"),
                                      F.count_if(F.col("dqf") == 3).alias("outside"))
 

@@ -23,6 +23,23 @@ def _single_machine_dir() -> str:
     return tempfile.mkdtemp(prefix="terralattice-")
 
 
+# Settings of a gridding job: a join may reuse a partitioning on part of its
+# keys, and AQE may hash-join partitions whose measured size fits in memory.
+GRIDDING = {
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def gridding_session(spark: SparkSession) -> SparkSession:
+    """A session on the same cluster with the gridding settings; the caller's stays as it is."""
+    own = spark.newSession()
+    for name, value in GRIDDING.items():
+        own.conf.set(name, value)
+    return own
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.errors import AnalysisException
 
@@ -29,14 +27,12 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def open_files(spark: SparkSession, paths: list[str], preprocess=None) -> DataFrame:
-    """Pixel files as one table; files may differ in the bands they carry.
+    """Pixel files as one table in one scan; bands a file lacks are null.
 
-    `preprocess(df)` is applied to each distinct path before the union.
+    `preprocess(df)` is the caller's per-file hook, applied to all rows at once.
     """
-    frames = [spark.read.parquet(p) for p in paths]
-    if preprocess is not None:
-        frames = [f.transform(preprocess) for f in frames]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    df = spark.read.option("mergeSchema", True).parquet(*paths)
+    return df if preprocess is None else df.transform(preprocess)
 
 
 def load_catalog(spark: SparkSession, directory: str, fmt: str = "parquet",
