@@ -90,8 +90,12 @@ def _tiles_of(at: Column, tile: int) -> Column:
     return F.sequence(F.greatest(F.floor((at - 1) / tile), F.lit(0)), home)
 
 
+def _tile_number(ty: Column, tx: Column, nx: int, tile: int) -> Column:
+    return ty * (-(-nx // tile)) + tx
+
+
 def tile_weights(weights: DataFrame, nx: int, tile: int = 32) -> DataFrame:
-    """Give every target the lattice tile (ty, tx) of its lowest row and column.
+    """Give every target the number of the lattice tile of its lowest row and column.
 
     Done once and stored with the weights. Vertices must lie within one pixel
     beyond the tile; weights built on the cells of a lattice do. Others are
@@ -102,10 +106,9 @@ def tile_weights(weights: DataFrame, nx: int, tile: int = 32) -> DataFrame:
         F.min(iy).alias("_y0"), F.max(iy).alias("_y1"), F.min(ix).alias("_x0"), F.max(ix).alias("_x1"))
     ty, tx = F.floor(F.col("_y0") / tile), F.floor(F.col("_x0") / tile)
     fits = (F.col("_y1") - ty * tile <= tile) & (F.col("_x1") - tx * tile <= tile)
-    key = F.when(fits, F.struct(ty.alias("ty"), tx.alias("tx"))).otherwise(
+    number = F.when(fits, _tile_number(ty, tx, nx, tile)).otherwise(
         F.raise_error(F.lit("a target reaches beyond its tile; use regrid() for these weights")))
-    return weights.join(home.select("target_id", key.alias("_tile")), "target_id").select(
-        *weights.columns, F.col("_tile.ty").alias("ty"), F.col("_tile.tx").alias("tx"))
+    return weights.join(home.select("target_id", number.alias("tile")), "target_id").select(*weights.columns, "tile")
 
 
 def regrid_tiled(pixels: DataFrame, tiled: DataFrame, frame: list[str], cmi: list[str],
@@ -113,8 +116,8 @@ def regrid_tiled(pixels: DataFrame, tiled: DataFrame, frame: list[str], cmi: lis
                  strict: bool = False) -> DataFrame:
     """As `regrid`, with a single shuffle of the pixels; `tiled` is from `tile_weights`.
 
-    Both sides are partitioned by (tile, salt), edge pixels going to every tile
-    that needs them. The join on (tile, salt, pixel) and the aggregation per
+    Both sides are partitioned by part = (tile, salt), edge pixels going to every
+    tile that needs them. The join on (part, pixel) and the aggregation per
     target both find their rows already together, so the joined rows, three per
     target and far wider than the input, are never shuffled. `salts` spreads the
     frames of one tile; the weights are repeated once per salt. Needs a session
@@ -122,15 +125,17 @@ def regrid_tiled(pixels: DataFrame, tiled: DataFrame, frame: list[str], cmi: lis
     (`session.gridding_session`); elsewhere it is right but shuffles again.
     """
     iy, ix = F.floor(F.col("source_id") / nx), F.pmod(F.col("source_id"), F.lit(nx))
-    salt = F.pmod(F.xxhash64(*frame), F.lit(salts)).cast("int")
-    together = ["ty", "tx", "salt"]
+    salt = F.pmod(F.xxhash64(*frame), F.lit(salts))
     sent = (pixels.select(*frame, "source_id", *cmi, *dqf)
-            .withColumn("ty", F.explode(_tiles_of(iy, tile)))
-            .withColumn("tx", F.explode(_tiles_of(ix, tile)))
-            .withColumn("salt", salt).repartition(*together))
-    held = tiled.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).repartition(*together)
-    met = sent.join(held, [*together, "source_id"])
-    summed = met.groupBy(*frame, *together, "target_id").agg(*_aggregates(cmi, dqf, strict))
+            .withColumn("_ty", F.explode(_tiles_of(iy, tile)))
+            .withColumn("_tx", F.explode(_tiles_of(ix, tile)))
+            .withColumn("_part", _tile_number(F.col("_ty"), F.col("_tx"), nx, tile) * salts + salt)
+            .drop("_ty", "_tx").repartition("_part"))
+    held = (tiled.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+            .withColumn("_part", F.col("tile") * salts + F.col("_salt")).drop("tile", "_salt", "rank")
+            .repartition("_part"))
+    met = sent.join(held, ["_part", "source_id"])
+    summed = met.groupBy(*frame, "_part", "target_id").agg(*_aggregates(cmi, dqf, strict))
     return summed.select(*frame, "target_id", *_results(cmi, dqf, strict))
 
 

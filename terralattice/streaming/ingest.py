@@ -1,8 +1,8 @@
 """Incremental gridding and catalog growth with Structured Streaming.
 
 The batch transforms are reused unchanged inside `foreachBatch`; a micro-batch
-is one Spark job over all its frames and bands. Appends are keyed, so a batch
-that is replayed after a failure adds nothing.
+is one Spark job over all its frames and bands. A batch that is replayed after a
+failure adds nothing.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from terralattice.operators import store
 from terralattice.sinks import tables as sinks
+from terralattice.sources import tables as T
 
 
 def file_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
@@ -43,23 +44,44 @@ def grow_catalog(stream: DataFrame, path: str, checkpoint: str, keys: list[str])
 
 def grid_frames(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], error: Callable[[DataFrame], DataFrame],
                 path: str, log_path: str, checkpoint: str, frame: list[str]) -> StreamingQuery:
-    """Regrid arriving frames; frames that fail a rule go to the run log instead.
+    """Regrid arriving frames; frames that break a rule go to the run log instead.
 
-    `error(batch)` adds `error_message`, null for good rows. Rows already stored
-    under the same (frame, target_id) are not written again.
+    `error(batch)` adds `error_message`, null for good rows; one bad row fails
+    its frame. Every micro-batch writes its own folder, so a replay after a
+    failure replaces it. Frames that an earlier batch has done are left out by
+    way of the log, one row per frame and attempt; the gridded rows are never
+    read back.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        checked = error(batch)
-        good = checked.where(F.col("error_message").isNull()).drop("error_message")
-        sinks.append_new(transform(good), path, [*frame, "target_id"], unique=True)
-        status = F.when(F.col("error_message").isNull(), "done").otherwise("failed")
-        log = checked.groupBy(*frame).agg(F.max("error_message").alias("error_message")).select(
-            F.concat_ws("/", *[F.col(c).cast("string") for c in frame]).alias("observation_id"),
-            F.lit(1).alias("attempt"), status.alias("status"), F.col("error_message").alias("error"))
-        sinks.append_new(log, log_path, ["observation_id", "attempt"], unique=True)
+        spark = batch.sparkSession
+        arrived = batch
+        earlier = None
+        if T.exists(spark, log_path):
+            earlier = spark.read.parquet(log_path).where(F.col("batch") < batch_id)
+            done = earlier.where(F.col("status") == "done").select(*frame)
+            arrived = batch.join(done, frame, "left_anti")
+        checked = error(arrived)
+        states = checked.groupBy(*frame).agg(F.max("error_message").alias("error"))
+        failed = states.where(F.col("error").isNotNull()).select(*frame)
+        good = checked.join(failed, frame, "left_anti").drop("error_message")
+        transform(good).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        _log_states(states, earlier, frame).write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
     return run_available(stream, checkpoint, each)
 
 
+def _log_states(states: DataFrame, earlier: DataFrame | None, frame: list[str]) -> DataFrame:
+    """Run-log rows of one batch; attempts count on from earlier batches."""
+    attempt = F.lit(1)
+    if earlier is not None:
+        tried = earlier.groupBy(*frame).agg(F.max("attempt").alias("_tried"))
+        states = states.join(tried, frame, "left")
+        attempt = F.coalesce("_tried", F.lit(0)) + 1
+    status = F.when(F.col("error").isNull(), "done").otherwise("failed")
+    return states.select(
+        *frame, F.concat_ws("/", *[F.col(c).cast("string") for c in frame]).alias("observation_id"),
+        attempt.cast("int").alias("attempt"), status.alias("status"), "error", F.current_timestamp().alias("ts"))
+
+
 def split_late(batch: DataFrame, stored_last: DataFrame, keys: list[str], time: str) -> DataFrame:
     """Mark rows not after the last stored time of their key."""
     joined = batch.join(stored_last.select(*keys, F.col("last_time").alias("_last")), keys, "left")

@@ -148,8 +148,8 @@ def test_tiled_shuffles_pixels_once(spark):
     own = session.gridding_session(spark)
     own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     px = own.range(6400).selectExpr("id div 64 as t", "id % 64 as source_id", "cast(id as float) as cmi")
-    tiled = own.createDataFrame([(0, 0, 0, 1.0, True, 1.0, 0, 0)],
-                                "target_id long, rank int, source_id long, w double, dominant boolean, max_w double, ty long, tx long")
+    tiled = own.createDataFrame([(0, 0, 0, 1.0, True, 1.0, 0)],
+                                "target_id long, rank int, source_id long, w double, dominant boolean, max_w double, tile long")
     plan = plan_of(R.regrid_tiled(px, tiled, ["t"], ["cmi"], [], NX, 4, 2))
     assert plan.count("Exchange hashpartitioning") == 2  # one per join side, none for the aggregation
 

@@ -195,20 +195,40 @@ def test_stream_grids_once_and_logs_failures(spark, tmp_path):
     src, out, log, ck = (str(tmp_path / n) for n in ("in", "out", "log", "ck"))
     px = X.raster(spark, SMALL).where("vec_id < 20").select("vec_id", "source_id", "band", "cmi")
     px.where("vec_id < 10").write.parquet(src)
-    error = lambda df: df.withColumn("error_message", F.when(F.col("vec_id") == 3, "bad frame"))
-    run = lambda: ingest.grid_frames(ingest.file_stream(spark, src, px.schema), lambda df: R.regrid(df, w, ["vec_id"], ["cmi"]),
-                                     error, out, log, ck, ["vec_id"])
+    broken = {3, 4}
+    def error(df):  # one bad pixel fails the frame
+        bad = F.col("vec_id").isin(list(broken)) & (F.col("source_id") == 5)
+        return df.withColumn("error_message", F.when(bad, "bad pixel"))
+    def run():
+        ingest.grid_frames(ingest.file_stream(spark, src, px.schema), lambda df: R.regrid(df, w, ["vec_id"], ["cmi"]),
+                           error, out, log, ck, ["vec_id"])
     run()
     first = spark.read.parquet(out).count()
     run()  # nothing new
-    px.where("vec_id >= 8").write.mode("append").parquet(src)  # two frames arrive again
+    assert spark.read.parquet(out).count() == first
+    broken.discard(4)  # repaired; frames 2, 3 and 4 arrive again with new ones
+    px.where("vec_id >= 10 or vec_id in (2, 3, 4)").write.mode("append").parquet(src)
     run()
     stored = spark.read.parquet(out)
     batch = R.regrid(px.where("vec_id <> 3"), w, ["vec_id"], ["cmi"])
     assert first < stored.count() == batch.count()
     assert stored.select("vec_id", "target_id").distinct().count() == stored.count()
-    states = {r["observation_id"]: r["status"] for r in spark.read.parquet(log).collect()}
-    assert states["3"] == "failed" and states["4"] == "done" and len(states) == 20
+    states = {(r["vec_id"], r["attempt"]): r["status"] for r in spark.read.parquet(log).collect()}
+    assert states[3, 1] == states[3, 2] == states[4, 1] == "failed" and states[4, 2] == "done"
+    assert states[2, 1] == "done" and (2, 2) not in states and len(states) == 22
+
+
+def test_a_replayed_batch_adds_nothing(spark, tmp_path):
+    from terralattice.operators import regrid as R
+    w = W.prepare(X.station_weights(spark, SMALL).where("target_id < 50")).cache()
+    src, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+    px = X.raster(spark, SMALL).where("vec_id < 3").select("vec_id", "source_id", "cmi")
+    px.write.parquet(src)
+    for lost in ("ck1", "ck2"):  # the second run has lost its checkpoint and starts from batch 0 again
+        ingest.grid_frames(ingest.file_stream(spark, src, px.schema), lambda df: R.regrid(df, w, ["vec_id"], ["cmi"]),
+                           lambda df: df.withColumn("error_message", F.lit(None).cast("string")), out, log,
+                           str(tmp_path / lost), ["vec_id"])
+    assert spark.read.parquet(out).count() == R.regrid(px, w, ["vec_id"], ["cmi"]).count()
 
 
 def test_stream_deduplication(spark, tmp_path):
