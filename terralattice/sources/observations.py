@@ -2,14 +2,14 @@
 
 Input: one row per file with `file_path`, `file_name`, `size_bytes`, `t` (text
 time), `attrs MAP<STRING,STRING>` and `vars MAP<STRING,DOUBLE>` (scalar
-variables: statistics and quality metrics, plus the names of CMI variables).
+variables: statistics, quality metrics, and any non-null value for each CMI variable present).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from terralattice import constants as C
 from terralattice.functions import scalars as S
@@ -55,22 +55,40 @@ def opened(files: DataFrame) -> DataFrame:
                         F.when(~validate.strict_slot_ok(slot), wrong).alias("error_message"))
 
 
+_STATS = ("min", "max", "mean", "std_dev")
+
+
+def _statistic(stat: str, band: int) -> str:
+    quantity = "reflectance_factor" if band <= C.LAST_REFLECTANCE_BAND else "brightness_temperature"
+    return f"{stat}_{quantity}_C{band:02d}"
+
+
+def _band_variables() -> T.StructType:
+    names = [_statistic(s, b) for b in C.ALL_BANDS for s in _STATS]
+    names += [f"{prefix}_C{b:02d}" for b in C.ALL_BANDS for prefix in ("outlier_pixel_count", "CMI")]
+    return T.StructType([T.StructField(n, T.DoubleType()) for n in names])
+
+
 def band_statistics(good: DataFrame) -> DataFrame:
-    """Sixteen rows per file; reflectance columns are null for bands 7-16 and conversely."""
-    var = lambda name: F.try_element_at(F.col("vars"), F.lit(name))
+    """Sixteen rows per file; reflectance columns are null for bands 7-16 and conversely.
+
+    The variable map is turned into a struct once, by way of JSON, because a
+    hundred lookups by key would each walk the map.
+    """
+    key = F.coalesce(F.try_element_at(F.col("attrs"), F.lit("id")), F.lit("unknown"))
+    read = good.select(key.alias("observation_id"), F.from_json(F.to_json("vars"), _band_variables()).alias("_v"))
+
     def entry(b: int) -> Column:
         reflective = b <= C.LAST_REFLECTANCE_BAND
-        stat = lambda s, quantity, wanted: (var(f"{s}_{quantity}_C{b:02d}") if wanted else F.lit(None).cast("double"))
-        fields = [F.lit(b).alias("band")]
-        for s in ("min", "max", "mean", "std_dev"):
-            fields.append(stat(s, "reflectance_factor", reflective).alias(f"{s}_reflectance"))
-        for s in ("min", "max", "mean", "std_dev"):
-            fields.append(stat(s, "brightness_temperature", not reflective).alias(f"{s}_brightness_temp"))
-        fields.append(var(f"outlier_pixel_count_C{b:02d}").cast("int").alias("outlier_count"))
-        fields.append(F.map_contains_key("vars", F.lit(f"CMI_C{b:02d}")).alias("has_cmi"))
-        return F.struct(*fields)
-    key = F.coalesce(F.try_element_at(F.col("attrs"), F.lit("id")), F.lit("unknown"))
-    return good.select(key.alias("observation_id"), F.inline(F.array(*[entry(b) for b in C.ALL_BANDS])))
+        none = F.lit(None).cast("double")
+        value = lambda s, wanted: F.col(f"_v.{_statistic(s, b)}") if wanted else none
+        return F.struct(
+            F.lit(b).alias("band"),
+            *[value(s, reflective).alias(f"{s}_reflectance") for s in _STATS],
+            *[value(s, not reflective).alias(f"{s}_brightness_temp") for s in _STATS],
+            F.col(f"_v.outlier_pixel_count_C{b:02d}").cast("int").alias("outlier_count"),
+            F.col(f"_v.CMI_C{b:02d}").isNotNull().alias("has_cmi"))
+    return read.select("observation_id", F.inline(F.array(*[entry(b) for b in C.ALL_BANDS])))
 
 
 def data_quality(good: DataFrame) -> DataFrame:
