@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from terralattice.functions import scalars as S
+from terralattice.operators.groups import join_by
 
 _BINS = 4096
 
@@ -23,9 +24,9 @@ def band_statistics(long: DataFrame, keys: list[str], spread: float = 3.0) -> Da
         F.count(F.lit(1)).alias("n"), F.min("v").alias("min"), F.max("v").alias("max"),
         F.avg("v").alias("mean"), F.stddev_pop("v").alias("std_dev"))
     far = F.abs(F.col("v") - F.col("mean")) > spread * F.col("std_dev")
-    outliers = (good.join(stats.select(*keys, "mean", "std_dev"), keys)
+    outliers = (join_by(good, stats.select(*keys, "mean", "std_dev"), keys)
                 .groupBy(*keys).agg(F.count_if(far).alias("outlier_count")))
-    return stats.join(outliers, keys)
+    return join_by(stats, outliers, keys)
 
 
 def percentile_exact(df: DataFrame, keys: list[str], value: str, fraction: float) -> DataFrame:
@@ -114,6 +115,6 @@ def ir_normalize(df: DataFrame, keys: list[str], value: str, warm_percent: float
                  share: float = 0.10) -> DataFrame:
     """Add `normalized`; scale parameters are per key."""
     params = ir_norm_params(df, keys, value, warm_percent)
-    joined = df.join(params, keys)
+    joined = join_by(df, params, keys)
     x = S.as_value(F.col(value))
     return joined.withColumn("normalized", ir_forward(x, F.col("vmin"), F.col("bp"), F.col("vmax"), share))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from terralattice.functions import scalars as S
+from terralattice.operators.groups import join_by
 
 
 def time_coverage(df: DataFrame, keys: list[str], start: str = "time", end: str = "time") -> DataFrame:
@@ -39,8 +40,9 @@ def region_shape(gridded: DataFrame, keys: list[str]) -> DataFrame:
 def region_attributes(extent: DataFrame, lat_resolution: DataFrame, lon_resolution: DataFrame,
                       keys: list[str]) -> DataFrame:
     """Geospatial attribute rows (key, value) of each region."""
-    joined = (extent.join(lat_resolution.select(*keys, F.col("resolution").alias("lat_resolution")), keys)
-              .join(lon_resolution.select(*keys, F.col("resolution").alias("lon_resolution")), keys))
+    lats = lat_resolution.select(*keys, F.col("resolution").alias("lat_resolution"))
+    lons = lon_resolution.select(*keys, F.col("resolution").alias("lon_resolution"))
+    joined = join_by(join_by(extent, lats, keys), lons, keys)
     fields = ("lat_min", "lat_max", "lon_min", "lon_max", "lat_resolution", "lon_resolution")
     pairs = F.array(*[F.struct(F.lit(f"geospatial_{c}").alias("key"), F.col(c).alias("value")) for c in fields])
     return joined.select(*keys, F.inline(pairs))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from terralattice import constants as C
 from terralattice.operators import ordering
+from terralattice.operators.groups import join_by
 
 
 def file_error(name: Column, exists: Column, is_file: Column) -> Column:
@@ -46,7 +47,7 @@ def consistency(observations: DataFrame, keys: list[str], order: list[str], leve
              for c in fields]
     order_issue = F.when(~F.col("increasing"), "Time values are not monotonically increasing")
     issues = F.when(F.col("n") > 1, F.array_compact(F.array(*mixed, order_issue))).otherwise(F.array())
-    return shown.join(rising, keys).select(
+    return join_by(shown, rising, keys).select(
         *keys, "n", (F.size(issues) == 0).alias("consistent"), F.array_join(issues, "; ").alias("issues"))
 
 

@@ -57,8 +57,9 @@ def append_frames(rows: DataFrame, path: str, schema) -> None:
 
     The stored side is first cut to the (slot, date) folders being written, which
     lets Spark prune partitions, and reads the frame columns only. Rows are
-    written per (slot, date, frame, block of targets), so that a hot slot or date
-    is spread over many tasks.
+    gathered per (slot, hour, block of 2^20 targets) before writing: a hot slot or
+    date is spread over many tasks, and a date folder gets at most as many files
+    as it has such groups.
     """
     spark = rows.sparkSession
     frame = ["orbital_slot", "obs_date", "time"]
@@ -66,7 +67,8 @@ def append_frames(rows: DataFrame, path: str, schema) -> None:
     stored = (spark.read.schema(schema).parquet(path).select(*frame)
               .join(folders, frame[:2], "left_semi").distinct())
     fresh = rows.join(stored, frame, "left_anti")
-    (fresh.repartition("orbital_slot", "obs_date", "time", F.floor(F.col("target_id") / (1 << 20)))
+    hour, block = F.date_trunc("hour", "time"), F.floor(F.col("target_id") / (1 << 20))
+    (fresh.repartition("orbital_slot", "obs_date", hour, block)
      .sortWithinPartitions("orbital_slot", "obs_date", "time", "target_id")
      .write.mode("append").partitionBy("orbital_slot", "obs_date").option("compression", "zstd").parquet(path))
 

@@ -69,6 +69,20 @@ def test_previous_keeps_null_values(spark):
     assert got == {1: None, 2: 10.0, 3: None}
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_groups_with_missing_keys_are_kept(spark, threshold):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "k string, cmi double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        stats = {r["k"]: r for r in St.band_statistics(df, ["k"]).collect()}
+        scaled = St.ir_normalize(df, ["k"], "cmi").count()
+        places = O.with_position(df, ["k"], ["cmi"], O.number_levels("cmi", 1, 2)).where("k is null").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert stats[None]["n"] == 2 and stats[None]["mean"] == 2.0 and stats["a"]["n"] == 1
+    assert scaled == 3 and places == 2
+
+
 def test_strictly_increasing(spark):
     df = spark.createDataFrame([("up", i, i) for i in range(50)] + [("tie", i, i // 2) for i in range(50)]
                                + [("one", 0, 5)], "k string, id long, t long")
