@@ -89,11 +89,12 @@ def _sum16(alias: str, b: int) -> str:
 SELECT p.vec_id, target_id, """ + ", ".join(_sum16("p", b) for b in C.ALL_BANDS) + """
 FROM pixels16 p JOIN small USING (source_id) GROUP BY 1, 2"""))
 def _(spark, d):
+    own = session.gridding_session(spark)
     point = lambda i, s, t: F.when(F.col("id") == i, s).otherwise(t).cast("double")
-    spots = spark.range(2).select(F.col("id").alias("target_id"), point(0, 0.25, 1).alias("tx"), point(0, 0.25, 1).alias("ty"))
+    spots = own.range(2).select(F.col("id").alias("target_id"), point(0, 0.25, 1).alias("tx"), point(0, 0.25, 1).alias("ty"))
     w = Wt.prepare(Wt.lattice_weights(spots, "tx", "ty", 2, 2))
     cmi = [f"cmi_c{b:02d}" for b in C.ALL_BANDS]
-    found = R.regrid(X.pixels16(spark, d), w, ["vec_id"], cmi)
+    found = R.regrid(X.pixels16(own, d), w, ["vec_id"], cmi)
     return found.select("vec_id", F.col("target_id").cast("int").alias("target_id"), *[_r6(c) for c in cmi])
 
 

@@ -23,15 +23,27 @@ def _single_machine_dir() -> str:
     return tempfile.mkdtemp(prefix="terralattice-")
 
 
-# Settings of a gridding job: a join may reuse a partitioning on part of its
-# keys, and AQE may hash-join partitions whose measured size fits in memory.
+# Settings of every query.
+GENERAL = {"spark.sql.session.timeZone": "UTC"}
+
+# Settings of a wide gridding job. A join may reuse a partitioning on part of
+# its keys; AQE may hash-join partitions whose measured size fits in memory; and
+# generated methods beyond HotSpot's compile limit of 8000 bytes, which 32 band
+# sums exceed, are replaced by ones it compiles.
 GRIDDING = {
+    **GENERAL,
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
-    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    for name, value in GENERAL.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def gridding_session(spark: SparkSession) -> SparkSession:
     """A session on the same cluster with the gridding settings; the caller's stays as it is."""
     own = spark.newSession()
