@@ -9,16 +9,28 @@ sorted together; everything across ranges is computed on per-range summaries.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
 _BEFORE_ALL = -(1 << 62)  # stands for a missing level; missing order values sort first
 
 
-def time_levels(ts: str = "time") -> dict[str, Column]:
-    """Nested ranges of a timestamp: day, then second of the day."""
-    second = F.unix_seconds(F.col(ts).cast("timestamp"))
-    return {"_l1": F.floor(second / 86400), "_l2": F.pmod(second, F.lit(86400))}
+def time_levels(ts: str = "time", tie: str | None = None) -> dict[str, Column]:
+    """Nested ranges of a timestamp: day, then second of the day.
+
+    Where a single second may hold a large share of the rows, name the integer
+    `tie` that orders rows of equal time: the microsecond and blocks of the tie
+    are then ranges too.
+    """
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    second = F.floor(micros / 1_000_000)
+    levels = {"_l1": F.floor(second / 86400), "_l2": F.pmod(second, F.lit(86400))}
+    if tie is not None:
+        blocks = number_levels(tie)
+        levels |= {"_l3": F.pmod(micros, F.lit(1_000_000)), "_l4": blocks["_l1"], "_l5": blocks["_l2"]}
+    return levels
 
 
 def number_levels(col: str, width: int = 1 << 12, fan: int = 1 << 12) -> dict[str, Column]:
@@ -27,14 +39,11 @@ def number_levels(col: str, width: int = 1 << 12, fan: int = 1 << 12) -> dict[st
     return {"_l1": F.floor(block / fan), "_l2": F.pmod(block, F.lit(fan))}
 
 
-_PLACE = ["_key", "_l1", "_l2"]
-
-
 def _ranged(df: DataFrame, keys: list[str], levels: dict[str, Column]) -> DataFrame:
     """Add the key as one never-null struct and the levels as never-null numbers.
 
-    Joins and windows then share one plain equality on `_PLACE`, so the rows are
-    shuffled once for both; nulls inside the struct still compare equal.
+    Joins and windows then share one plain equality on key and levels, so the
+    rows are shuffled once for both; nulls inside the struct still compare equal.
     """
     whole = {name: F.coalesce(level.cast("long"), F.lit(_BEFORE_ALL)) for name, level in levels.items()}
     return df.withColumns({"_key": F.struct(*keys) if keys else F.struct(F.lit(0).alias("all")), **whole})
@@ -48,33 +57,47 @@ def with_position(df: DataFrame, keys: list[str], order: list[str], levels: dict
                   name: str = "position") -> DataFrame:
     """Add the zero-based dense position of each row within its key.
 
-    `levels` must not decrease along `order`; `order` should be total.
+    `levels` must not decrease along `order`; `order` should be total. A row's
+    position is the rows of the key before its range, level by level, plus its
+    place inside the finest range.
     """
     ranged = _ranged(df, keys, levels)
-    leaf = ranged.groupBy(*_PLACE).agg(F.count(F.lit(1)).alias("_n"))
-    zero = F.lit(0)
-    coarse = (leaf.groupBy("_key", "_l1").agg(F.sum("_n").alias("_n1"))
-              .select("_key", "_l1", F.coalesce(F.sum("_n1").over(_before(["_key"], "_l1")), zero).alias("_o1")))
-    fine = leaf.select(*_PLACE, F.coalesce(F.sum("_n").over(_before(["_key", "_l1"], "_l2")), zero).alias("_o2"))
-    offsets = fine.join(coarse, ["_key", "_l1"]).select(*_PLACE, (F.col("_o1") + F.col("_o2")).alias("_offset"))
-    inside = F.row_number().over(W.partitionBy(*_PLACE).orderBy(*order))
-    return (ranged.join(offsets, _PLACE)
-            .withColumn(name, F.col("_offset") + inside - 1).drop("_offset", *_PLACE))
+    place = ["_key", *levels]
+    leaf = ranged.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = None
+    for depth in range(len(levels), 0, -1):
+        at = place[:depth + 1]
+        nodes = leaf if at == place else leaf.groupBy(*at).agg(F.sum("_n").alias("_n"))
+        rows_before = F.coalesce(F.sum("_n").over(_before(at[:-1], at[-1])), F.lit(0))
+        part = nodes.select(*at, rows_before.alias(f"_o{depth}"))
+        offsets = part if offsets is None else offsets.join(part, at)
+    offset = reduce(lambda a, b: a + b, [F.col(f"_o{depth}") for depth in range(1, len(levels) + 1)])
+    inside = F.row_number().over(W.partitionBy(*place).orderBy(*order))
+    return (ranged.join(offsets.select(*place, offset.alias("_offset")), place)
+            .withColumn(name, F.col("_offset") + inside - 1).drop("_offset", *place))
 
 
 def with_previous(df: DataFrame, keys: list[str], order: list[str], levels: dict[str, Column],
                   value: str, name: str = "previous") -> DataFrame:
-    """Add `value` of the preceding row of the key (null on its first row)."""
+    """Add `value` of the preceding row of the key (null on its first row).
+
+    The first row of a range looks at the last row of the nearest range before
+    it, found at the finest level that has one.
+    """
     ranged = _ranged(df, keys, levels).withColumn("_v", F.struct(F.col(value).alias("v")))
-    leaf = ranged.groupBy(*_PLACE).agg(F.max_by("_v", F.struct(*order)).alias("_last"))
-    coarse = (leaf.groupBy("_key", "_l1").agg(F.max_by("_last", "_l2").alias("_last1"))
-              .select("_key", "_l1", F.lag("_last1").over(W.partitionBy("_key").orderBy("_l1")).alias("_prev1")))
-    fine = leaf.select(*_PLACE, F.lag("_last").over(W.partitionBy("_key", "_l1").orderBy("_l2")).alias("_prev2"))
-    before = fine.join(coarse, ["_key", "_l1"]).select(*_PLACE, F.coalesce("_prev2", "_prev1").alias("_before"))
-    inside = F.lag("_v").over(W.partitionBy(*_PLACE).orderBy(*order))
-    return (ranged.join(before, _PLACE)
+    place = ["_key", *levels]
+    leaf = ranged.groupBy(*place).agg(F.max_by("_v", F.struct(*order)).alias("_last"))
+    before = None
+    for depth in range(len(levels), 0, -1):
+        at, finer = place[:depth + 1], place[depth + 1:]
+        nodes = leaf if not finer else leaf.groupBy(*at).agg(F.max_by("_last", F.struct(*finer)).alias("_last"))
+        part = nodes.select(*at, F.lag("_last").over(W.partitionBy(*at[:-1]).orderBy(at[-1])).alias(f"_p{depth}"))
+        before = part if before is None else before.join(part, at)
+    nearest = F.coalesce(*[F.col(f"_p{depth}") for depth in range(len(levels), 0, -1)])
+    inside = F.lag("_v").over(W.partitionBy(*place).orderBy(*order))
+    return (ranged.join(before.select(*place, nearest.alias("_before")), place)
             .withColumn(name, F.coalesce(inside, F.col("_before"))["v"])
-            .drop("_before", "_v", *_PLACE))
+            .drop("_before", "_v", *place))
 
 
 def _with_size(df: DataFrame, keys: list[str], name: str) -> DataFrame:

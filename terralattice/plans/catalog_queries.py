@@ -248,7 +248,7 @@ _STEPS = """, steps AS (SELECT observation_id, orbital_slot,
 def _stepped(spark, d):
     return ordering.with_position(X.obs(spark, d).select("observation_id", "orbital_slot", "time_coverage_start"),
                                   ["orbital_slot"], ["time_coverage_start", "observation_id"],
-                                  ordering.time_levels("time_coverage_start"), "time_idx").select(
+                                  ordering.time_levels("time_coverage_start", "observation_id"), "time_idx").select(
         "observation_id", "orbital_slot", F.col("time_idx").cast("long").alias("time_idx"))
 
 
@@ -273,7 +273,7 @@ SELECT orbital_slot, time_idx // 500 AS batch, count(*) AS files, count(*) FILTE
 FROM steps GROUP BY 1, 2"""))
 def _(spark, d):
     marked = runlog.batches(X.obs(spark, d), ["orbital_slot"], ["time_coverage_start", "observation_id"],
-                            ordering.time_levels("time_coverage_start"), 500)
+                            ordering.time_levels("time_coverage_start", "observation_id"), 500)
     return marked.groupBy("orbital_slot", F.col("batch").cast("long").alias("batch")).agg(
         F.count(F.lit(1)).alias("files"), F.count_if("ends_batch").alias("closing"))
 
@@ -466,7 +466,7 @@ def _(spark, d):
     o = X.obs(spark, d).select("observation_id", "time_coverage_start")
     stored, new = o.where(F.col("observation_id") % 4 != 0), o.where(F.col("observation_id") % 4 == 0)
     return ordering.append_positions(new, stored.count(), ["time_coverage_start", "observation_id"],
-                                     ordering.time_levels("time_coverage_start"), "place").select("observation_id", "place")
+                                     ordering.time_levels("time_coverage_start", "observation_id"), "place").select("observation_id", "place")
 
 
 @query("snk08_replace_selection", with_ctes("obs", """
@@ -553,7 +553,7 @@ JOIN picks p ON s.orbital_slot IS NOT DISTINCT FROM p.orbital_slot AND s.time_id
 def _(spark, d):
     o = X.obs(spark, d).select("observation_id", "orbital_slot", "time_coverage_start")
     return ordering.even_sample(o, ["orbital_slot"], ["time_coverage_start", "observation_id"],
-                                ordering.time_levels("time_coverage_start"), 37).drop("time_coverage_start")
+                                ordering.time_levels("time_coverage_start", "observation_id"), 37).drop("time_coverage_start")
 
 
 @query("srt04_seeded_sample", """
@@ -702,7 +702,7 @@ def _(spark, d):
 @query("str03_attempt_numbers", with_ctes("run_log", """
 SELECT event_id, observation_id, CAST(row_number() OVER (PARTITION BY observation_id ORDER BY ts, event_id) AS INT) AS attempt, status FROM run_log"""))
 def _(spark, d):
-    log = runlog.with_attempts(X.run_log(spark, d), order=["ts", "event_id"])
+    log = runlog.with_attempts(X.run_log(spark, d), order=["ts", "event_id"], levels=ordering.time_levels("ts", "event_id"))
     return log.select("event_id", "observation_id", "attempt", "status")
 
 

@@ -42,6 +42,17 @@ def test_positions(table, rows):
     assert got == want
 
 
+def test_a_hot_second_is_split_by_the_tie(table, rows):
+    levels = O.time_levels("time", tie="id")
+    got = {r["id"]: (r["position"], r["previous"]) for r in O.with_previous(
+        O.with_position(table, ["k"], ["time", "id"], levels), ["k"], ["time", "id"], levels, "v").collect()}
+    want = {}
+    for group in by_key(rows).values():
+        for i, (before, row) in enumerate(zip([None, *group], group)):
+            want[row[2]] = (i, before and before[3])
+    assert got == want
+
+
 def test_positions_without_key(table, rows):
     got = {r["id"]: r["position"] for r in O.with_position(table, [], ["time", "id"], O.time_levels()).collect()}
     assert got == {r[2]: i for i, r in enumerate(sorted(rows, key=lambda r: (r[1], r[2])))}
