@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as E
 from check_queries import compare, connect
 from conftest import plan_of
+from terralattice.plans.registry import QUERIES, SQL
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -14,14 +15,14 @@ def duck():
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", list(E.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     ok, note, _ = compare(spark, duck, SMALL, name)
     assert ok, note
 
 
 def test_every_query_has_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(SQL) == set(QUERIES)
 
 
 def test_entry(spark):
