@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terralattice.llm import decontamination, mixing, quality, sharding, simhash
+from terralattice.llm import decontamination, mixing, quality, sharding, simhash, substring_dedup
 from terralattice.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op4_substring_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op5_decontamination")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
