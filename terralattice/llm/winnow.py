@@ -15,17 +15,24 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(33))
 
 
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if n not in _POWERS:
+        both = np.stack([np.full(n, _BASE), np.full(n, _INVERSE)])
+        both[:, 0] = 1
+        np.cumprod(both, axis=1, out=both)
+        _POWERS[n] = both[0], both[1]
+    return _POWERS[n]
+
+
 class Hashes:
     """Hashes of any part of a sequence of 64-bit symbols, in constant time each."""
 
     def __init__(self, symbols: np.ndarray):
         n = len(symbols)
-        powers = np.full(n + 1, _BASE)
-        powers[0] = 1
-        self.inverse = np.full(n + 1, _INVERSE)
-        self.inverse[0] = 1
-        np.cumprod(powers, out=powers)
-        np.cumprod(self.inverse, out=self.inverse)
+        powers, self.inverse = _powers(1 << max(12, n.bit_length()))
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(symbols * powers[:n], out=self.sums[1:])
 
