@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terralattice.llm import decontamination, html_text, mixing, quality, sharding, simhash, substring_dedup, suffix_dedup
+from terralattice.llm import decontamination, html_text, line_dedup, mixing, quality, sharding, simhash, substring_dedup, suffix_dedup
 from terralattice.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,31 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_quality_rules")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"))
+
+
+# Windows of two lines stand for longer runs: a line lies in a repeated run if and only if it lies in such a window.
+OP10 = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS nr
+  FROM documents),
+numbered AS (
+  SELECT *, regexp_matches(line, '[^\x20\x09-\x0D]') AS worded,
+         sum(CASE WHEN regexp_matches(line, '[^\x20\x09-\x0D]') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY nr) AS pos
+  FROM lines),
+pairs AS (
+  SELECT doc_id, pos, line, lead(line) OVER (PARTITION BY doc_id ORDER BY nr) AS next FROM numbered WHERE worded),
+later AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY line, next ORDER BY doc_id, pos) > 1 AS again FROM pairs WHERE next IS NOT NULL),
+gone AS (
+  SELECT DISTINCT doc_id, pos + step AS pos FROM later, (VALUES (0), (1)) AS s(step) WHERE again)
+SELECT d.doc_id, CAST(count(*) FILTER (n.worded) AS BIGINT) AS n_lines, CAST(count(*) FILTER (n.worded AND g.pos IS NOT NULL) AS BIGINT) AS n_removed,
+       sha256(coalesce(string_agg(n.line, chr(10) ORDER BY n.nr) FILTER (g.pos IS NULL), '')) AS kept_sha256
+FROM documents d JOIN numbered n USING (doc_id) LEFT JOIN gone g ON g.doc_id = n.doc_id AND g.pos = n.pos
+GROUP BY d.doc_id
+"""
+
+
+@query("op10_line_dedup", OP10)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
