@@ -52,6 +52,13 @@ def gridding_session(spark: SparkSession) -> SparkSession:
     return own
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder of any store Spark reaches; none where it does not exist."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in store.listStatus(place)] if store.exists(place) else []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
