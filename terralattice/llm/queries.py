@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terralattice.llm import decontamination, html_text, line_dedup, mixing, quality, sharding, simhash, substring_dedup, suffix_dedup
+from terralattice import session
+from terralattice.llm import decontamination, html_text, line_dedup, mixing, quality, sharding, simhash, substring_dedup, suffix_dedup, token_counts
 from terralattice.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +60,27 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+TOKENIZERS = "/opt/tokenizers"
+
+
+@query("op7_token_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents under one tokenizer; then those labelled toxic go and texts of low quality are
+    counted anew without symbols; then the rest under a second tokenizer; one batch is sent twice."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    first, second = "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"
+    toxic = labels.where("toxic = 1").select("doc_id")
+    poor = labels.where("quality = 0 and toxic = 0").select("doc_id").distinct()
+    revised = docs.join(poor, "doc_id", "left_semi").withColumn("text", F.regexp_replace("text", r"[#*$%&|<>]+", ""))
+    path = session.scratch_path(spark, "token-totals")
+    token_counts.apply(path, 1, token_counts.count(docs, first, TOKENIZERS))
+    changed = token_counts.count(revised, first, TOKENIZERS).unionByName(token_counts.removals(toxic, first))
+    token_counts.apply(path, 2, changed)
+    token_counts.apply(path, 3, token_counts.count(docs.join(toxic, "doc_id", "left_anti"), second, TOKENIZERS))
+    token_counts.apply(path, 2, changed)
+    return token_counts.totals(spark, path)
+
+
 @query("op8_simhash")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
