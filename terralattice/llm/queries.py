@@ -35,7 +35,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_suffix_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 @query("op3_html_text")
@@ -54,7 +54,34 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op6_mixing")
+OP6 = r"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         CAST('0x' || substr(md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS u
+  FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+  FROM sized GROUP BY source),
+fill(level) AS (
+  SELECT CAST(0 AS DOUBLE)
+  UNION
+  SELECT CAST(sum(source_size) - coalesce(sum(CASE WHEN weight * level >= 3 * source_size THEN 3 * source_size END), 0) AS DOUBLE)
+         / sum(CASE WHEN weight * level < 3 * source_size THEN weight END)
+  FROM sources, fill GROUP BY level HAVING sum(CASE WHEN weight * level < 3 * source_size THEN weight END) > 0),
+plan AS (
+  SELECT source, source_size, CASE WHEN weight * level >= 3 * source_size THEN CAST(3 * source_size AS DOUBLE) ELSE weight * level END AS target
+  FROM sources, (SELECT max(level) AS level FROM fill)),
+ranked AS (
+  SELECT s.*, p.source_size, p.target, CASE WHEN p.source_size > 0 THEN CAST(floor(p.target / p.source_size) AS BIGINT) ELSE 0 END AS whole,
+         coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY u, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM sized s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source),
+copied AS (
+  SELECT *, whole + CASE WHEN 2 * before + size <= 2 * (target - whole * source_size) THEN 1 ELSE 0 END AS copies FROM ranked)
+SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken, source, CAST(copies AS BIGINT) AS copies FROM copied
+"""
+
+
+@query("op6_mixing", OP6)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
