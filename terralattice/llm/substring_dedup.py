@@ -92,8 +92,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Passes anchors in order of (seed, extended, doc); holds only the open anchors of one document and seed.
 
     An anchor alike to one of an earlier document, seed and extension, is settled:
-    all its windows are repeats. The first of each extension stays open where its
-    seed has others in other documents.
+    all its windows are repeats. Those of the first document of each extension stay
+    open where their seed has others in other documents.
     """
     last_seed = last_extended = first_doc = None
     held: list[tuple[int, int]] = []  # open anchors of the current seed while all are of one document
@@ -113,7 +113,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         later = doc > earliest
         out = [(doc[later], at[later], np.zeros(later.sum(), bool))]
 
-        reps = np.flatnonzero(new)
+        reps = np.flatnonzero(~later)  # a document's own copies of a stretch all stay open
         if len(reps):
             runs = np.flatnonzero(np.concatenate(([True], seed[reps][1:] != seed[reps][:-1])))
             low, high = np.minimum.reduceat(doc[reps], runs), np.maximum.reduceat(doc[reps], runs)
