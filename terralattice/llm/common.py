@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Words are maximal runs of bytes outside this set, in every operator.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -24,11 +25,12 @@ def order_id(column: str = "doc_id") -> Column:
 
 def by_batch(df: DataFrame, schema: str, make: Callable[[dict[str, list]], dict[str, object]]) -> DataFrame:
     """Map Arrow batches: `make` takes and returns columns; no row meets another batch."""
-    names = [part.split()[0] for part in schema.split(",")]
+    made_schema = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 made = make({n: batch.column(n).to_pylist() for n in batch.schema.names})
-                yield pa.RecordBatch.from_pydict({n: pa.array(made[n]) if not isinstance(made[n], pa.Array) else made[n] for n in names})
+                arrays = [made[f.name] if isinstance(made[f.name], pa.Array) else pa.array(made[f.name], f.type) for f in made_schema]
+                yield pa.RecordBatch.from_arrays(arrays, schema=made_schema)
     return df.mapInArrow(each, schema)
