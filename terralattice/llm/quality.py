@@ -7,6 +7,8 @@ the share inside copies of lines, decide whether the text is kept.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -129,9 +131,8 @@ def assess(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of `docs` whose text passes, unchanged, with all their columns."""
-    import pandas as pd
-
-    @F.pandas_udf("boolean")
-    def passes(texts: pd.Series) -> pd.Series:
-        return pd.Series([measure(t)["kept"] for t in texts], dtype=bool)
-    return docs.where(passes(F.col(text).cast("binary")))
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(text).cast(pa.binary()).to_pylist()
+            yield batch.filter(pa.array([measure(t)["kept"] for t in texts], pa.bool_()))
+    return docs.mapInArrow(each, docs.schema)
