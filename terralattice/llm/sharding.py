@@ -16,9 +16,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from terralattice import session
 
-_OWN = ("_size", "_chunk", "_before", "_row")
-
-
 def contiguous_shards(rows: DataFrame, n_shards: int, size: Column, order: list[str]) -> DataFrame:
     """`rows` with `shard` (0 to n_shards-1) and `slot` (gapless from 0 in its shard).
 
@@ -30,40 +27,38 @@ def contiguous_shards(rows: DataFrame, n_shards: int, size: Column, order: list[
     results are replaced. An empty table gives an empty result.
     """
     spark = rows.sparkSession
-    kept = [c for c in rows.columns if c not in ("shard", "slot", *_OWN)]
-    sized = rows.select(*kept, size.cast("long").alias("_size"), F.monotonically_increasing_id().alias("_row"))
+    whole = F.struct(*[c for c in rows.columns if c not in ("shard", "slot")]).alias("row")
+    sized = rows.select(whole, size.cast("long").alias("size"), F.monotonically_increasing_id().alias("read"))
+    keys = [f"row.{c}" for c in order] + ["read"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (sized.repartitionByRange(parts, *order, "_row").sortWithinPartitions(*order, "_row")
-               .select(*kept, "_size"))
-    schema = T.StructType([*ordered.schema.fields, T.StructField("_chunk", T.IntegerType()),
-                           T.StructField("_before", T.LongType()), T.StructField("_row", T.LongType())])
+    ordered = sized.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).select("row", "size")
+    schema = T.StructType([*ordered.schema.fields, T.StructField("chunk", T.IntegerType()),
+                           T.StructField("before", T.LongType()), T.StructField("nr", T.LongType())])
 
     def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, done, count = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
-            sizes = batch.column("_size").to_numpy(zero_copy_only=False).astype(np.int64)
+            sizes = batch.column("size").to_numpy(zero_copy_only=False).astype(np.int64)
             ends = done + np.cumsum(sizes)
             n = len(sizes)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(np.full(n, chunk, np.int32)), pa.array(ends - sizes), pa.array(np.arange(count, count + n))],
-                names=[*batch.schema.names, "_chunk", "_before", "_row"])
+                names=[*batch.schema.names, "chunk", "before", "nr"])
             done, count = done + int(sizes.sum()), count + n
     placed = session.materialize(ordered.mapInArrow(running, schema), "shards")
 
     # One row per partition, so a window without a key is small, and so is the broadcast.
-    totals = placed.groupBy("_chunk").agg(F.sum("_size").alias("bytes"), F.count("*").alias("n"))
-    earlier = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    everywhere = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = totals.select("_chunk", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("_bytes0"),
-                            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_rows0"),
-                            F.sum("bytes").over(everywhere).alias("_total"))
-    middle = 2 * (F.col("_bytes0") + F.col("_before")) + F.col("_size")
-    numbered = placed.join(F.broadcast(offsets), "_chunk").select(
-        *kept, (F.col("_rows0") + F.col("_row")).alias("_at"), middle.alias("_middle"), "_total")
-    cut = F.expr(f"cast((cast(_middle as decimal(38,0)) * {int(n_shards)}) div (2 * cast(_total as decimal(38,0))) as int)")
-    shard = numbered.withColumn("shard", cut).drop("_middle", "_total")
-    first = shard.groupBy("shard").agg(F.min("_at").alias("_first"))  # n_shards rows
-    return shard.join(F.broadcast(first), "shard").select(*kept, "shard", (F.col("_at") - F.col("_first")).alias("slot"))
+    totals = placed.groupBy("chunk").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+    earlier = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    everywhere = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = totals.select("chunk", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("bytes0"),
+                            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("rows0"), F.sum("bytes").over(everywhere).alias("total"))
+    middle = (2 * (F.col("bytes0") + F.col("before")) + F.col("size")).cast("decimal(38,0)")
+    numbered = placed.join(F.broadcast(offsets), "chunk").withColumn("middle", middle).select(
+        "row", (F.col("rows0") + F.col("nr")).alias("at"),
+        F.expr(f"cast((middle * {int(n_shards)}) div (2 * cast(total as decimal(38,0))) as int)").alias("shard"))
+    first = numbered.groupBy("shard").agg(F.min("at").alias("first"))  # n_shards rows
+    return numbered.join(F.broadcast(first), "shard").select("row.*", "shard", (F.col("at") - F.col("first")).alias("slot"))
 
 
 def text_bytes(text: str = "text") -> Column:
