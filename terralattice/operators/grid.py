@@ -19,21 +19,43 @@ def _points(specs: DataFrame, keys: list[str], size: Column) -> DataFrame:
             .drop("_size"))
 
 
+def _longitudes(step: Column) -> dict[str, Column]:
+    """Start, end and kind of a longitude axis; lon_min > lon_max crosses the antimeridian and runs in 0..360."""
+    lo, hi = F.col("lon_min"), F.col("lon_max")
+    crossing = lo > hi
+    return {"_start": F.when(crossing, S.floor_mod(lo, 360.0)).otherwise(lo),
+            "_stop": F.when(crossing, S.floor_mod(hi, 360.0)).otherwise(hi) + step, "_crossing": crossing}
+
+
+def _longitude(idx: Column, step: Column, decimals: int) -> Column:
+    """A longitude by its number on the axis, brought back to -180..180."""
+    raw = S.round_half_even(F.col("_start") + idx * step, decimals)
+    back = S.round_half_even(S.floor_mod(raw + 180.0, 360.0) - 180.0, decimals)
+    return F.when(F.col("_crossing"), back).otherwise(raw)
+
+
 def longitude_axis(specs: DataFrame, keys: list[str], decimals: int = 4) -> DataFrame:
     """Longitudes of every axis in `specs(keys, lon_min, lon_max, resolution)`.
 
     lon_min > lon_max crosses the antimeridian: the axis runs in 0..360 and is
     brought back to -180..180. The last point may pass lon_max by one step.
     """
-    lo, hi, step = F.col("lon_min"), F.col("lon_max"), F.col("resolution")
-    crossing = lo > hi
-    start = F.when(crossing, S.floor_mod(lo, 360.0)).otherwise(lo)
-    stop = F.when(crossing, S.floor_mod(hi, 360.0)).otherwise(hi) + step
-    ranged = specs.withColumns({"_start": start, "_stop": stop, "_crossing": crossing})
+    step = F.col("resolution")
+    ranged = specs.withColumns(_longitudes(step))
     points = _points(ranged, keys, axis_length(F.col("_start"), F.col("_stop"), step))
-    raw = S.round_half_even(F.col("_start") + F.col("idx") * step, decimals)
-    back = S.round_half_even(S.floor_mod(raw + 180.0, 360.0) - 180.0, decimals)
-    return points.select(*keys, "idx", F.when(F.col("_crossing"), back).otherwise(raw).alias("lon"))
+    return points.select(*keys, "idx", _longitude(F.col("idx"), step, decimals).alias("lon"))
+
+
+def automatic_bounds(locations: DataFrame, keys: list[str], decimals: int = 4) -> DataFrame:
+    """Bounds of a grid over located source pixels (keys, lat, lon): their least and greatest values, rounded.
+
+    Pixels off the disk, with a null or NaN place, are left out; a group of such
+    pixels only has null bounds.
+    """
+    seen = locations.where(~F.isnan("lat") & ~F.isnan("lon"))
+    rounded = [S.round_half_even(f(c).cast("double"), decimals).alias(f"{c}_{n}")
+               for c in ("lat", "lon") for n, f in (("min", F.min), ("max", F.max))]
+    return seen.groupBy(*keys).agg(*rounded)
 
 
 def latitude_axis(specs: DataFrame, keys: list[str], decimals: int | None = None) -> DataFrame:
@@ -48,22 +70,22 @@ def latitude_axis(specs: DataFrame, keys: list[str], decimals: int | None = None
 
 
 def product_grid(specs: DataFrame, keys: list[str], decimals: int = 4) -> DataFrame:
-    """All (lat, lon) points of each grid, numbered row-major.
+    """All (lat, lon) points of each grid, numbered row-major; grids may cross the antimeridian.
 
-    `specs(keys, lat_min, lat_max, lon_min, lon_max, resolution)`. The rows of a
+    `specs(keys, lat_min, lat_max, lon_min, lon_max, resolution)`; a column
+    `lon_resolution` gives longitudes a step of their own. The rows of a
     grid are spread out before the longitudes are generated under each of them,
     so no pair of tables is joined and one grid does not sit in one task.
     """
-    lon_start = F.col("lon_min")
-    n_lon = axis_length(lon_start, F.col("lon_max") + F.col("resolution"), F.col("resolution"))
-    lat_keys = [*keys, "lon_min", "lon_max", "n_lon", "resolution"]
-    lats = latitude_axis(specs.withColumn("n_lon", n_lon), lat_keys, decimals).withColumnRenamed("idx", "ilat")
-    spread = lats.where(F.col("n_lon") > 0).repartition(*keys, "ilat")
+    step = F.col("lon_resolution") if "lon_resolution" in specs.columns else F.col("resolution")
+    ranged = specs.withColumn("_step", step).withColumns(_longitudes(F.col("_step")))
+    sized = ranged.withColumn("n_lon", axis_length(F.col("_start"), F.col("_stop"), F.col("_step"))).where(F.col("n_lon") > 0)
+    lats = latitude_axis(sized, [*keys, "_start", "_crossing", "_step", "n_lon"], decimals).withColumnRenamed("idx", "ilat")
+    spread = lats.repartition(*keys, "ilat")
     full = spread.withColumn("ilon", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_lon") - 1)))
-    lon = S.round_half_even(F.col("lon_min") + F.col("ilon") * F.col("resolution"), decimals)
     return full.select(*keys, (F.col("ilat") * F.col("n_lon") + F.col("ilon")).alias("target_id"),
                        F.col("ilat").cast("int").alias("ilat"), F.col("ilon").cast("int").alias("ilon"),
-                       "lat", lon.alias("lon"))
+                       "lat", _longitude(F.col("ilon"), F.col("_step"), decimals).alias("lon"))
 
 
 def axis_resolution(axis: DataFrame, keys: list[str], idx: str, value: str) -> DataFrame:

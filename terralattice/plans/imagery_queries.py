@@ -359,41 +359,51 @@ def _(spark, d):
     return G.axis_resolution(axis, ["axis_id"], "idx", "lat").withColumn("resolution", F.round("resolution", 6))
 
 
-_GRIDS = _LATS.replace("lat_min + idx*resolution", "round_even(lat_min + idx*resolution, 4)").replace(
-    "lats AS (SELECT axis_id, idx,", "lats AS (SELECT axis_id, idx, lon_min, resolution, n_lon,").replace(
-    "SELECT *, unnest(", "SELECT *, greatest(0, CAST(ceil((lon_max + resolution - lon_min)/resolution) AS BIGINT)) AS n_lon, unnest(") + """
-, cells AS (SELECT axis_id, idx*n_lon + j AS target_id, CAST(idx AS INT) AS ilat, CAST(j AS INT) AS ilon, lat,
-  round_even(lon_min + j*resolution, 4) AS lon FROM (SELECT *, unnest(range(0, n_lon)) AS j FROM lats))
+# Every latitude of an axis with every longitude of the same axis, both from their own definitions.
+_GRIDS = _AXIS + _LATS.replace("lat_min + idx*resolution", "round_even(lat_min + idx*resolution, 4)") + """
+, cells AS (SELECT a.axis_id, a.idx*n_lon + o.idx AS target_id, CAST(a.idx AS INT) AS ilat, CAST(o.idx AS INT) AS ilon, lat, lon
+  FROM lats a JOIN (SELECT *, count(*) OVER (PARTITION BY axis_id) AS n_lon FROM lons) o USING (axis_id))
 """
 
 
 def _grids(spark, d):
-    return G.product_grid(X.axes(spark, d).where(F.col("axis_id") % 4 == 3), ["axis_id"])
+    return G.product_grid(X.axes(spark, d), ["axis_id"])
 
 
-@query("jon09_target_grids", with_ctes("axes", _GRIDS.replace("FROM axes)", "FROM axes WHERE axis_id % 4 = 3)") + """
+@query("jon09_target_grids", with_ctes("axes", _GRIDS + """
 SELECT axis_id, target_id, ilat, ilon, lat, lon FROM cells"""))
 def _(spark, d):
     return _grids(spark, d)
 
 
-@query("prj18_grid_shape", with_ctes("axes", _GRIDS.replace("FROM axes)", "FROM axes WHERE axis_id % 4 = 3)") + """
+@query("jon09_grids_of_two_resolutions", with_ctes("axes", _AXIS.replace("FROM axes)", "FROM wide)").replace(", spans", """, wide AS (
+  SELECT * REPLACE (resolution * 2 AS resolution) FROM axes), spans""") + _GRIDS[len(_AXIS):] + """
+SELECT axis_id, count(*) AS cells, count(DISTINCT lon) AS n_lon, round(sum(lat), 3) AS lat_sum, round(sum(lon), 3) AS lon_sum FROM cells GROUP BY 1"""))
+def _(spark, d):
+    specs = X.axes(spark, d).withColumn("lon_resolution", F.col("resolution") * 2)
+    cells = G.product_grid(specs, ["axis_id"])
+    return cells.groupBy("axis_id").agg(F.count("*").alias("cells"), F.countDistinct("lon").alias("n_lon"),
+                                        F.round(F.sum("lat"), 3).alias("lat_sum"), F.round(F.sum("lon"), 3).alias("lon_sum"))
+
+
+@query("prj18_grid_shape", with_ctes("axes", _GRIDS + """
 SELECT axis_id, count(DISTINCT ilat) AS n_lat, count(DISTINCT ilon) AS n_lon FROM cells GROUP BY axis_id"""))
 def _(spark, d):
     return store.region_shape(_grids(spark, d), ["axis_id"])
 
 
-@query("agg09_spatial_extent", with_ctes("axes", _GRIDS.replace("FROM axes)", "FROM axes WHERE axis_id % 4 = 3)") + """
+@query("agg09_spatial_extent", with_ctes("axes", _GRIDS + """
 SELECT axis_id, min(lat) AS lat_min, max(lat) AS lat_max, min(lon) AS lon_min, max(lon) AS lon_max FROM cells GROUP BY axis_id"""))
 def _(spark, d):
     return G.extent(_grids(spark, d), ["axis_id"])
 
 
-@query("prj14_region_attributes", with_ctes("axes", _GRIDS.replace("FROM axes)", "FROM axes WHERE axis_id % 4 = 3)") + """
+@query("prj14_region_attributes", with_ctes("axes", _GRIDS + """
 , ext AS (SELECT axis_id, min(lat) AS lat_min, max(lat) AS lat_max, min(lon) AS lon_min, max(lon) AS lon_max,
-    count(DISTINCT ilat) AS nlat, count(DISTINCT ilon) AS nlon FROM cells GROUP BY axis_id)
+    count(DISTINCT ilat) AS nlat, count(DISTINCT ilon) AS nlon, min_by(lat, ilat) AS lat0, max_by(lat, ilat) AS lat1,
+    min_by(lon, ilon) AS lon0, max_by(lon, ilon) AS lon1 FROM cells GROUP BY axis_id)
 SELECT axis_id, unnest(['geospatial_lat_min','geospatial_lat_max','geospatial_lon_min','geospatial_lon_max','geospatial_lat_resolution','geospatial_lon_resolution']) AS key,
-  round(unnest([lat_min, lat_max, lon_min, lon_max, CASE WHEN nlat > 1 THEN (lat_max-lat_min)/(nlat-1) END, CASE WHEN nlon > 1 THEN (lon_max-lon_min)/(nlon-1) END]), 6) AS value FROM ext"""))
+  round(unnest([lat_min, lat_max, lon_min, lon_max, CASE WHEN nlat > 1 THEN abs(lat1-lat0)/(nlat-1) END, CASE WHEN nlon > 1 THEN abs(lon1-lon0)/(nlon-1) END]), 6) AS value FROM ext"""))
 def _(spark, d):
     cells = _grids(spark, d)
     axis = lambda i, c: G.axis_resolution(cells.select("axis_id", i, c).distinct(), ["axis_id"], i, c)
