@@ -64,13 +64,13 @@ def _results(cmi: list[str], dqf: list[str], strict: bool) -> list[Column]:
     return values
 
 
-def _outside(cmi: list[str], dqf: list[str]) -> list[Column]:
-    return ([F.lit(S.NAN).alias(c) for c in cmi]
-            + [F.lit(C.OUTSIDE_FLAG).cast("short").alias(c) for c in dqf])
+def _grid_of(weights: DataFrame) -> list[str]:
+    """Weights of several grids in one table tell them apart by grid_id."""
+    return ["grid_id"] if "grid_id" in weights.columns else []
 
 
 def regrid(pixels: DataFrame, weights: DataFrame, frame: list[str], cmi: list[str],
-           dqf: list[str] = [], strict: bool = False) -> DataFrame:
+           dqf: list[str] = [], strict: bool = False, every: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Covered targets of every frame; works with any weights.
 
     `frame` names the columns that identify a frame. `weights` come from
@@ -78,10 +78,29 @@ def regrid(pixels: DataFrame, weights: DataFrame, frame: list[str], cmi: list[st
     that carries all bands; partial sums combine before the shuffle. AQE turns
     the join into a broadcast when the weights' real size allows it and splits
     a hot source pixel otherwise.
+
+    Weights with grid_id hold several grids: pixels that have a grid_id go to
+    their own grid, others to each, and results carry it.
+
+    `every` = (frames, targets) asks for all targets of all these frames: NaN and
+    flag 3 outside the coverage, flag 6 where a frame lacks the pixels. The wanted
+    rows join the same aggregation, so they are shuffled once.
     """
-    met = pixels.select(*frame, "source_id", *cmi, *dqf).join(weights, "source_id")
-    summed = met.groupBy(*frame, "target_id").agg(*_aggregates(cmi, dqf, strict))
-    return summed.select(*frame, "target_id", *_results(cmi, dqf, strict))
+    grid = _grid_of(weights)
+    own = [g for g in grid if g in pixels.columns]
+    met = pixels.select(*own, *frame, "source_id", *cmi, *dqf).join(weights, [*own, "source_id"])
+    if every is not None:
+        met = met.select(*grid, *frame, "target_id", "w", "dominant", "max_w", *cmi, *dqf).unionByName(
+            _wanted(*every, weights, grid, frame), allowMissingColumns=True)
+    summed = met.groupBy(*grid, *frame, "target_id").agg(*_aggregates(cmi, dqf, strict))
+    return summed.select(*grid, *frame, "target_id", *_results(cmi, dqf, strict))
+
+
+def _wanted(frames: DataFrame, targets: DataFrame, weights: DataFrame, grid: list[str], frame: list[str], blocks: int = 32) -> DataFrame:
+    """A row without values for every wanted target of every frame, with the target's largest weight."""
+    covered = weights.groupBy(*grid, "target_id").agg(F.max("max_w").alias("max_w"))
+    known = targets.select(*grid, "target_id").join(covered, [*grid, "target_id"], "left")
+    return _frames_with_targets(frames, known, [g for g in grid if g in frames.columns], frame, blocks)
 
 
 def _tiles_of(at: Column, tile: int) -> Column:
@@ -102,13 +121,14 @@ def tile_weights(weights: DataFrame, nx: int, tile: int = 32) -> DataFrame:
     refused, not dropped.
     """
     iy, ix = F.floor(F.col("source_id") / nx), F.pmod(F.col("source_id"), F.lit(nx))
-    home = weights.groupBy("target_id").agg(
+    target = [*_grid_of(weights), "target_id"]
+    home = weights.groupBy(*target).agg(
         F.min(iy).alias("_y0"), F.max(iy).alias("_y1"), F.min(ix).alias("_x0"), F.max(ix).alias("_x1"))
     ty, tx = F.floor(F.col("_y0") / tile), F.floor(F.col("_x0") / tile)
     fits = (F.col("_y1") - ty * tile <= tile) & (F.col("_x1") - tx * tile <= tile)
     number = F.when(fits, _tile_number(ty, tx, nx, tile)).otherwise(
         F.raise_error(F.lit("a target reaches beyond its tile; use regrid() for these weights")))
-    return weights.join(home.select("target_id", number.alias("tile")), "target_id").select(*weights.columns, "tile")
+    return weights.join(home.select(*target, number.alias("tile")), target).select(*weights.columns, "tile")
 
 
 def regrid_tiled(pixels: DataFrame, tiled: DataFrame, frame: list[str], cmi: list[str],
@@ -126,7 +146,9 @@ def regrid_tiled(pixels: DataFrame, tiled: DataFrame, frame: list[str], cmi: lis
     """
     iy, ix = F.floor(F.col("source_id") / nx), F.pmod(F.col("source_id"), F.lit(nx))
     salt = F.pmod(F.xxhash64(*frame), F.lit(salts))
-    sent = (pixels.select(*frame, "source_id", *cmi, *dqf)
+    grid = _grid_of(tiled)
+    own = [g for g in grid if g in pixels.columns]
+    sent = (pixels.select(*own, *frame, "source_id", *cmi, *dqf)
             .withColumn("_ty", F.explode(_tiles_of(iy, tile)))
             .withColumn("_tx", F.explode(_tiles_of(ix, tile)))
             .withColumn("_part", _tile_number(F.col("_ty"), F.col("_tx"), nx, tile) * salts + salt)
@@ -134,48 +156,24 @@ def regrid_tiled(pixels: DataFrame, tiled: DataFrame, frame: list[str], cmi: lis
     held = (tiled.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
             .withColumn("_part", F.col("tile") * salts + F.col("_salt")).drop("tile", "_salt", "rank")
             .repartition("_part"))
-    met = sent.join(held, ["_part", "source_id"])
-    summed = met.groupBy(*frame, "_part", "target_id").agg(*_aggregates(cmi, dqf, strict))
-    return summed.select(*frame, "target_id", *_results(cmi, dqf, strict))
+    met = sent.join(held, ["_part", *own, "source_id"])
+    summed = met.groupBy(*grid, *frame, "_part", "target_id").agg(*_aggregates(cmi, dqf, strict))
+    return summed.select(*grid, *frame, "target_id", *_results(cmi, dqf, strict))
 
 
-def _frames_with_targets(frames: DataFrame, targets: DataFrame, frame: list[str], blocks: int) -> DataFrame:
+def _frames_with_targets(frames: DataFrame, targets: DataFrame, own: list[str], frame: list[str], blocks: int) -> DataFrame:
     """Every wanted (frame, target) row, as an equi-join on a block number.
 
     Frames and targets are both cut into `blocks`; each frame is sent to all
     target blocks and each target to all frame blocks, so the rows come from
     blocks * blocks equal groups, whatever the numbers of frames and targets.
+    `own`: frames with a grid_id get the targets of their grid only.
     """
     block = lambda *cols: F.pmod(F.xxhash64(*cols), F.lit(blocks)).cast("int")
     all_blocks = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = frames.select(*frame, block(*frame).alias("_fb")).withColumn("_tb", all_blocks)
-    right = targets.select("target_id", block("target_id").alias("_tb")).withColumn("_fb", all_blocks)
-    return left.join(right, ["_fb", "_tb"]).drop("_fb", "_tb")
-
-
-def fill_targets(regridded: DataFrame, frames: DataFrame, targets: DataFrame, weights: DataFrame,
-                 frame: list[str], cmi: list[str], dqf: list[str] = [],
-                 complete_frames: bool = False, blocks: int = 32) -> DataFrame:
-    """Add the targets a frame has no value for: NaN, flag 3.
-
-    With `complete_frames` every frame is known to hold every weighted source
-    pixel, so only the targets without weights are missing, the same ones in
-    every frame, and they are appended. Otherwise each frame is compared with
-    its own targets.
-    """
-    if complete_frames:
-        bare = targets.join(weights.select("target_id").distinct(), "target_id", "left_anti")
-        rest = _frames_with_targets(frames, bare, frame, blocks)
-        return regridded.unionByName(rest.select(*frame, "target_id", *_outside(cmi, dqf)))
-    wanted = _frames_with_targets(frames, targets, frame, blocks)
-    known = weights.groupBy("target_id").agg(F.max("max_w").alias("_has"))
-    merged = (wanted.join(known, "target_id", "left")
-              .join(regridded.withColumn("_hit", F.lit(1)), [*frame, "target_id"], "left"))
-    nan = F.lit(S.NAN)
-    lost = classify_flag(F.col("_has").isNotNull(), nan)
-    return merged.select(*frame, "target_id",
-                         *[F.when(F.col("_hit").isNull(), nan).otherwise(F.col(c)).alias(c) for c in cmi],
-                         *[F.when(F.col("_hit").isNull(), lost).otherwise(F.col(c)).alias(c) for c in dqf])
+    left = frames.select(*own, *frame, block(*frame).alias("_fb")).withColumn("_tb", all_blocks)
+    right = targets.withColumn("_tb", block("target_id")).withColumn("_fb", all_blocks)
+    return left.join(right, [*own, "_fb", "_tb"]).drop("_fb", "_tb")
 
 
 def observation_rows(regridded: DataFrame, observations: DataFrame, frame: list[str]) -> DataFrame:

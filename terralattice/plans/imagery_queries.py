@@ -33,9 +33,8 @@ def _sql6(e: str) -> str:
 def regridded(spark, d, strict: bool = False):
     """Both products of every frame of the derived raster, on all targets."""
     pixels, w = X.raster(spark, d), X.weights(spark)
-    covered = R.regrid(pixels, w, _FRAME, ["cmi"], ["dqf"], strict=strict)
     frames = X.table(spark, d, "embeddings").select("vec_id", (F.col("label") + 7).cast("int").alias("band"))
-    return R.fill_targets(covered, frames, X.targets(spark), w, _FRAME, ["cmi"], ["dqf"], complete_frames=True, blocks=4)
+    return R.regrid(pixels, w, _FRAME, ["cmi"], ["dqf"], strict=strict, every=(frames, X.targets(spark)))
 
 
 @query("agg02_regrid_cmi", with_ctes("regridded", f"""
@@ -73,13 +72,34 @@ SELECT vec_id, band, count(*) AS targets, count(*) FILTER (isnan(cmi)) AS missin
 FROM regridded GROUP BY 1, 2"""))
 def _(spark, d):
     pixels, w = X.raster(spark, d), X.weights(spark)
-    covered = R.regrid(pixels, w, _FRAME, ["cmi"], ["dqf"])
-    frames = pixels.select(*_FRAME).distinct()
-    full = R.fill_targets(covered, frames, X.targets(spark), w, _FRAME, ["cmi"], ["dqf"], complete_frames=False, blocks=4)
+    full = R.regrid(pixels, w, _FRAME, ["cmi"], ["dqf"], every=(pixels.select(*_FRAME).distinct(), X.targets(spark)))
     return full.groupBy(*_FRAME).agg(F.count(F.lit(1)).alias("targets"), F.count_if(F.isnan("cmi")).alias("missing"),
                                      F.count_if(F.col("dqf") == 3).alias("outside"))
 
 
+@query("jon01_two_grids", with_ctes("raster weights", """
+, both AS (SELECT 'fine' AS grid_id, * FROM weights UNION ALL SELECT 'coarse', target_id, source_id, w, dominant, max_w FROM weights WHERE target_id % 2 = 0)
+SELECT b.grid_id, r.vec_id, b.target_id, round(CASE WHEN NOT isnan(sum(b.w*r.cmi)) THEN sum(b.w*r.cmi) END, 6) AS cmi
+FROM raster r JOIN both b ON b.source_id = r.source_id AND b.grid_id = CASE WHEN r.vec_id % 3 = 0 THEN 'fine' ELSE 'coarse' END GROUP BY 1, 2, 3"""))
+def _(spark, d):
+    w = X.weights(spark)
+    both = w.withColumn("grid_id", F.lit("fine")).unionByName(w.where("target_id % 2 = 0").withColumn("grid_id", F.lit("coarse")))
+    pixels = X.raster(spark, d).withColumn("grid_id", F.when(F.col("vec_id") % 3 == 0, "fine").otherwise("coarse"))
+    return R.regrid(pixels, both, ["vec_id"], ["cmi"]).select("grid_id", "vec_id", "target_id", _r6("cmi"))
+
+
+@query("jon01_two_grids_tiled", with_ctes("regridded weights", """
+SELECT g.grid_id, r.vec_id, r.target_id, round(CASE WHEN NOT isnan(r.cmi) THEN r.cmi END, 6) AS cmi, r.dqf
+FROM regridded r, (VALUES ('fine', 1), ('coarse', 2)) AS g(grid_id, step)
+WHERE r.target_id % g.step = 0 AND r.target_id IN (SELECT target_id FROM weights)"""))
+def _(spark, d):
+    own = session.gridding_session(spark)
+    w = X.weights(own)
+    both = w.withColumn("grid_id", F.lit("fine")).unionByName(w.where("target_id % 2 = 0").withColumn("grid_id", F.lit("coarse")))
+    found = R.regrid_tiled(X.raster(own, d), R.tile_weights(both, X.NX, tile=4), ["vec_id"], ["cmi"], ["dqf"], nx=X.NX, tile=4, salts=4)
+    return found.select("grid_id", "vec_id", "target_id", _r6("cmi"), "dqf")
+
+
 def _sum16(alias: str, b: int) -> str:
     return f"round(CASE WHEN NOT isnan(sum(w * {alias}.cmi_c{b:02d})) THEN sum(w * {alias}.cmi_c{b:02d}) END, 6) AS cmi_c{b:02d}"
 

@@ -115,20 +115,36 @@ def test_weights_sum_to_one_and_affine_is_exact(targets, weights):
         assert abs(r["x"] - r["tx"]) < 1e-12 and abs(r["y"] - r["ty"]) < 1e-12
 
 
-def test_fill_targets_agrees_in_both_modes(pixels, targets, weights):
-    covered = R.regrid(pixels, weights, ["t"], ["cmi"], ["dqf"])
+def test_every_target_comes_once(pixels, targets, weights):
     times = pixels.select("t").distinct()
-    full = R.fill_targets(covered, times, targets, weights, ["t"], ["cmi"], ["dqf"], complete_frames=True, blocks=2)
-    safe = R.fill_targets(covered, times, targets, weights, ["t"], ["cmi"], ["dqf"], blocks=3)
-    assert full.count() == safe.count() == 5 * 120
-    assert full.exceptAll(safe).isEmpty()
+    covered = R.regrid(pixels, weights, ["t"], ["cmi"], ["dqf"])
+    full = R.regrid(pixels, weights, ["t"], ["cmi"], ["dqf"], every=(times, targets))
+    assert full.count() == full.select("t", "target_id").distinct().count() == 5 * 120
+    assert covered.exceptAll(full).isEmpty()
+    rest = full.join(weights.select("target_id").distinct(), "target_id", "left_anti")
+    assert not rest.isEmpty() and rest.where("not isnan(cmi) or dqf <> 3").isEmpty()
+
+
+def test_grids_in_one_table_are_kept_apart(pixels, targets, weights):
+    both = weights.withColumn("grid_id", F.lit("a")).unionByName(weights.where("target_id % 2 = 0").withColumn("grid_id", F.lit("b")))
+    plain = {(r["t"], r["target_id"]): (str(r["cmi"]), r["dqf"]) for r in R.regrid(pixels, weights, ["t"], ["cmi"], ["dqf"]).collect()}
+    got = {(r["grid_id"], r["t"], r["target_id"]): (str(r["cmi"]), r["dqf"]) for r in R.regrid(pixels, both, ["t"], ["cmi"], ["dqf"]).collect()}
+    assert set(got) == {("a", *k) for k in plain} | {("b", *k) for k in plain if k[1] % 2 == 0}
+    assert all(got[k][1] == plain[k[1:]][1] for k in got)
+    own = pixels.withColumn("grid_id", F.when(F.col("t") < 3, "a").otherwise("b"))
+    assert {(r["grid_id"], r["t"]) for r in R.regrid(own, both, ["t"], ["cmi"]).select("grid_id", "t").distinct().collect()} == {
+        ("a" if r["t"] < 3 else "b", r["t"]) for r in pixels.select("t").distinct().collect()}
+    tiled = R.regrid_tiled(own, R.tile_weights(both, NX, 4), ["t"], ["cmi"], ["dqf"], NX, 4, 2)
+    assert tiled.count() == R.regrid(own, both, ["t"], ["cmi"], ["dqf"]).count()
+    grids = targets.withColumn("grid_id", F.lit("a")).unionByName(targets.withColumn("grid_id", F.lit("b")))
+    full = R.regrid(own, both, ["t"], ["cmi"], ["dqf"], every=(own.select("grid_id", "t").distinct(), grids))
+    assert full.count() == 5 * 120
 
 
 def test_missing_pixels_give_nan_not_a_partial_sum(pixels, targets, weights):
     lost = pixels.where(~((F.col("t") == 4) & (F.col("source_id") < 32)))
-    covered = R.regrid(lost, weights, ["t"], ["cmi"], ["dqf"])
     times = pixels.select("t").distinct()
-    full = R.fill_targets(covered, times, targets, weights, ["t"], ["cmi"], ["dqf"], blocks=2)
+    full = R.regrid(lost, weights, ["t"], ["cmi"], ["dqf"], every=(times, targets))
     assert full.count() == 5 * 120
     touched = weights.where("source_id < 32").select("target_id").distinct()
     bad = full.where("t = 4").join(touched, "target_id")
