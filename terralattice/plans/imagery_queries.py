@@ -797,11 +797,69 @@ def _written_store(spark, d):
     rows = _stored_rows(spark, d)
     early = rows.where(F.col("time") < F.lit("2024-01-02 06:00:00").cast("timestamp"))
     sinks.create_store(spark, path, _STORED_BANDS)
-    sinks.append_frames(early, path, schema)
+    sinks.append_frames(early.where("target_id < 150"), path, schema)  # part of each frame
     sinks.append_frames(rows, path, schema)
     return path
 
 
+def _frame_pixels(spark, d):
+    """Pixels with the frame columns of the store; every seventh frame lacks pixels, every eleventh has a band too many."""
+    slot = F.when(F.col("vec_id") % 3 == 0, "GOES-East").otherwise("GOES-West")
+    time = F.timestamp_seconds(F.lit(1704067200) + F.col("vec_id") * 600)
+    extra = F.when(F.col("vec_id") % 11 == 0, F.lit(1.0))
+    return X.raster(spark, d).where((F.col("vec_id") % 7 != 0) | (F.col("source_id") < 60)).select(
+        "vec_id", "source_id", slot.alias("orbital_slot"), time.cast("date").alias("obs_date"), time.alias("time"),
+        F.col("cmi").alias("cmi_c07"), F.col("dqf").alias("dqf_c07"), extra.alias("cmi_c08"))
+
+
+_APPEND_SQL = """, frames AS (SELECT vec_id, CASE WHEN vec_id % 11 = 0 THEN 'Band set differs: 7,8' WHEN vec_id % 7 = 0 THEN 'Unexpected frame shape' END AS error,
+  CASE WHEN vec_id % 3 = 0 THEN 'GOES-East' ELSE 'GOES-West' END AS orbital_slot, TIMESTAMP '2024-01-01 00:00:00' + vec_id * INTERVAL 10 MINUTE AS time FROM embeddings)
+"""
+
+
+def _appended(spark, d):
+    """A declared region, the observations appended to it twice, and those refused."""
+    path, schema = session.scratch_path(spark, "observations"), schemas.gridded(_STORED_BANDS)
+    w = X.weights(spark)
+    sinks.create_store(spark, path, _STORED_BANDS, name="test", attributes={"title": "regridded"})
+
+    def transform(pixels):
+        found = R.regrid(pixels, w, ["orbital_slot", "obs_date", "time"], ["cmi_c07"], ["dqf_c07"])
+        return sinks.stored_rows(found.withColumns({"platform_id": F.lit("G16"), "scan_mode": F.lit(None).cast("string"), "ilat": F.floor(F.col("target_id") / 17),
+                                                    "ilon": F.col("target_id") % 17}), _STORED_BANDS)
+    cells = w.select("target_id").distinct().count()
+    for _ in range(2):
+        refused = sinks.append_observations(_frame_pixels(spark, d), path, schema, transform, _STORED_BANDS, 64, cells)
+    return path, refused
+
+
+@query("snk05_refused_observations", (_APPEND_SQL.replace(", frames", "WITH frames", 1) + "SELECT orbital_slot, time, error AS error_message FROM frames WHERE error IS NOT NULL"))
+def _(spark, d):
+    return _appended(spark, d)[1].select("orbital_slot", "time", "error_message")
+
+
+@query("snk05_append_observations", with_ctes("regridded", _APPEND_SQL + """
+SELECT f.orbital_slot, f.time, count(*) AS cells, count(*) FILTER (NOT isnan(cmi)) AS finite, CAST(sum(dqf) AS BIGINT) AS flags
+FROM regridded JOIN frames f USING (vec_id) WHERE error IS NULL AND target_id IN (SELECT target_id FROM weights) GROUP BY 1, 2"""))
+def _(spark, d):
+    stored = T.open_region(spark, _appended(spark, d)[0])
+    return stored.groupBy("orbital_slot", "time").agg(F.count("*").alias("cells"), F.count_if(~F.isnan("cmi_c07")).alias("finite"), F.sum("dqf_c07").alias("flags"))
+
+
+@query("snk03_declared_region", with_ctes("axes", _AXIS + """
+SELECT key, value FROM (VALUES ('region', 'west'), ('bands', '2,7'), ('title', 'empty')) AS t(key, value)
+UNION ALL SELECT 'longitudes', CAST(count(*) AS VARCHAR) FROM lons UNION ALL SELECT 'rows', '0'"""))
+def _(spark, d):
+    path = session.scratch_path(spark, "region")
+    axis = _lons(spark, d).select(F.lit(0).alias("ilat"), F.col("idx").cast("int").alias("ilon"), "axis_id", "lon")
+    grid = axis.where("axis_id = 1").select(F.col("ilon").cast("long").alias("target_id"), "ilat", "ilon", F.lit(0.0).alias("lat"), "lon")
+    sinks.create_store(spark, path, [2, 7], name="west", grid=grid, attributes={"title": "empty"})
+    told = T.region_attributes(spark, path).where("key <> 'schema'")
+    counts = axis.select(F.lit("longitudes").alias("key")).groupBy("key").agg(F.count("*").cast("string").alias("value"))
+    rows = T.open_region(spark, path).agg(F.count("*").cast("string").alias("value")).select(F.lit("rows").alias("key"), "value")
+    return told.unionByName(counts).unionByName(rows)
+
+
 @query("snk06_store_append_twice", with_ctes("regridded", _STORE_SQL + """
 SELECT orbital_slot, scan_mode, count(*) AS cells, count(DISTINCT time) AS frames, CAST(sum(dqf) AS BIGINT) AS flags,
   round(avg(CASE WHEN NOT isnan(cmi) THEN cmi END), 4) AS mean FROM stored GROUP BY 1, 2"""))
@@ -879,22 +937,43 @@ def _(spark, d):
 # --- streams ----------------------------------------------------------------
 
 
-@query("str01_stream_regrid", with_ctes("regridded", """
+_STR01 = with_ctes("regridded", """
 SELECT band, target_id, count(*) AS frames, count(*) FILTER (dqf <> 6) AS usable FROM regridded
-WHERE target_id IN (SELECT target_id FROM weights) GROUP BY 1, 2"""))
-def _(spark, d):
+WHERE target_id IN (SELECT target_id FROM weights) GROUP BY 1, 2""")
+
+
+def _streamed(spark, d, max_files, lost_checkpoint=False):
+    """Frames whose pixels arrive in two files each, gridded as they become complete."""
     source, base = session.scratch_path(spark, "arrivals"), session.scratch_path(spark, "stream")
-    X.raster(spark, d).write.parquet(source)
+    px = X.raster(spark, d)
+    for half in (px.where("source_id < 24"), px.where("source_id >= 24")):
+        half.coalesce(1).write.mode("append").parquet(source)
     w = session.materialize(X.weights(spark), "stream-weights")
     transform = lambda df: R.regrid(df, w, _FRAME, ["cmi"], ["dqf"])
     error = lambda df: df.withColumn("error_message", F.when(~F.col("band").between(1, 16), "Invalid band"))
-    for _ in range(2):  # the second run finds nothing new
-        stream = ingest.file_stream(spark, source, spark.read.parquet(source).schema)
-        ingest.grid_frames(stream, transform, error, f"{base}/gridded", f"{base}/log", f"{base}/checkpoint", _FRAME)
-    return spark.read.parquet(f"{base}/gridded").groupBy("band", "target_id").agg(
+    for run in range(2):  # the second run finds nothing new
+        stream = ingest.file_stream(spark, source, px.schema, max_files)
+        ingest.grid_frames(stream, transform, error, f"{base}/gridded", f"{base}/log",
+                           f"{base}/checkpoint{run * lost_checkpoint}", _FRAME, expected_pixels=X.NX * X.NY)
+    return spark.read.schema("vec_id long, band int, target_id long, cmi double, dqf short").parquet(f"{base}/gridded").groupBy("band", "target_id").agg(
         F.count(F.lit(1)).alias("frames"), F.count_if(F.col("dqf") != 6).alias("usable"))
 
 
+@query("str01_stream_regrid", _STR01)
+def _(spark, d):
+    return _streamed(spark, d, None)
+
+
+@query("str01_stream_file_by_file", _STR01)
+def _(spark, d):
+    return _streamed(spark, d, 1)
+
+
+@query("str01_stream_lost_checkpoint", _STR01)
+def _(spark, d):
+    return _streamed(spark, d, 1, lost_checkpoint=True)
+
+
 @query("str06_stream_catalog", with_ctes("obs", "SELECT observation_id, orbital_slot, file_name FROM obs"))
 def _(spark, d):
     source, base = session.scratch_path(spark, "catalog-arrivals"), session.scratch_path(spark, "catalog-stream")
@@ -907,7 +986,7 @@ def _(spark, d):
 
 @query("str07_late_frames", with_ctes("obs", """
 , last AS (SELECT orbital_slot, max(time_coverage_start) AS t FROM obs WHERE observation_id % 3 = 0 AND time_coverage_start < TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1)
-SELECT o.observation_id, coalesce(o.time_coverage_start <= last.t, false) AS late FROM obs o LEFT JOIN last USING (orbital_slot) WHERE o.observation_id % 3 <> 0"""))
+SELECT o.observation_id, coalesce(o.time_coverage_start <= last.t, false) AS late FROM obs o LEFT JOIN last ON o.orbital_slot IS NOT DISTINCT FROM last.orbital_slot WHERE o.observation_id % 3 <> 0"""))
 def _(spark, d):
     o = X.obs(spark, d)
     stored = o.where((F.col("observation_id") % 3 == 0) & (F.col("time_coverage_start") < F.lit("2024-01-15").cast("timestamp")))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import shutil
 import tempfile
 import uuid
 
@@ -12,15 +14,20 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
-    Only where the session names none (single-machine tests) is a temporary
-    folder made, once per driver process.
+    Only on a single machine, where driver and executors are one, may it be unset:
+    then a temporary folder is made, once per driver process, and removed at its end.
     """
-    return spark.conf.get("spark.checkpoint.dir", None) or _single_machine_dir()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return named or _single_machine_dir()
 
 
 @functools.cache
 def _single_machine_dir() -> str:
-    return tempfile.mkdtemp(prefix="terralattice-")
+    path = tempfile.mkdtemp(prefix="terralattice-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
 
 
 # Settings of every query.

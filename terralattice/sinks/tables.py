@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terralattice import schemas
+from terralattice import constants as C, schemas, session
 from terralattice.functions import scalars as S
-from terralattice.operators import catalog
+from terralattice.operators import bands as B, catalog, grid as G
+from terralattice.operators.groups import join_by
 from terralattice.schemas import TEXT_TIMES
 from terralattice.sources import tables as T
 
 
+_FRAME = ["orbital_slot", "obs_date", "time"]
+
+
 def write_catalog(tables: dict[str, DataFrame], directory: str, fmt: str = "parquet") -> None:
     """Write the catalog tables anew; empty ones are skipped."""
     for name, df in tables.items():
@@ -37,11 +43,33 @@ def append_new(new: DataFrame, path: str, keys: list[str], unique: bool = False)
     fresh.write.mode("append").parquet(path)
 
 
-def create_store(spark: SparkSession, path: str, bands, include_dqf: bool = True, overwrite: bool = False) -> None:
-    """Declare a gridded table: its schema and its partitioning, no rows."""
-    empty = spark.createDataFrame([], schemas.gridded(bands, include_dqf))
+def create_store(spark: SparkSession, path: str, bands, include_dqf: bool = True, overwrite: bool = False,
+                 name: str | None = None, grid: DataFrame | None = None, attributes: dict[str, str] | None = None) -> None:
+    """Declare a region: its bands, grid and attributes, and an empty gridded table.
+
+    What is declared is kept in `_region` beside the data, where Spark does not
+    take it for rows; `sources.tables.open_region` reads the schema from there, so an empty
+    region can be opened. `grid(target_id, ilat, ilon, lat, lon)` must have monotonic
+    axes; longitudes may cross the antimeridian.
+    """
+    bands = list(bands)
+    if not bands or len(set(bands)) < len(bands) or not set(bands) <= set(C.ALL_BANDS):
+        raise ValueError(f"Bands must be different numbers of 1..16, got {bands}")
+    if name is not None and not name.strip():
+        raise ValueError("A region needs a name")
+    schema = schemas.gridded(bands, include_dqf)
     mode = "overwrite" if overwrite else "errorifexists"
-    empty.write.mode(mode).partitionBy("orbital_slot", "obs_date").parquet(path)
+    if grid is not None:
+        for idx, value in (("ilat", "lat"), ("ilon", "lon")):
+            axis = grid.select(F.lit(0).alias("axis"), idx, value).distinct()
+            if not axis.isEmpty() and not G.axis_checks(axis, ["axis"], idx, value).first()["valid"]:
+                raise ValueError(f"The {value} axis is not monotonic")
+    spark.createDataFrame([], schema).write.mode(mode).partitionBy("orbital_slot", "obs_date").parquet(path)
+    told = {"region": name or "", "bands": ",".join(map(str, bands))} | (attributes or {})
+    rows = spark.createDataFrame([("schema", schema.json()), *told.items()], "key string, value string")
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/_region/attributes")
+    if grid is not None:
+        grid.select("target_id", "ilat", "ilon", "lat", "lon").write.mode("overwrite").parquet(f"{path}/_region/grid")
 
 
 def stored_rows(regridded: DataFrame, bands, include_dqf: bool = True) -> DataFrame:
@@ -52,30 +80,72 @@ def stored_rows(regridded: DataFrame, bands, include_dqf: bool = True) -> DataFr
                           for f in schemas.gridded(bands, include_dqf).fields])
 
 
-def append_frames(rows: DataFrame, path: str, schema) -> None:
-    """Append frames that the region does not hold yet, by (slot, time).
+def missing_frames(frames: DataFrame, path: str, schema, cells: int) -> DataFrame:
+    """The frames (orbital_slot, obs_date, time) of which the store holds fewer than `cells` rows.
 
-    The stored side is first cut to the (slot, date) folders being written, which
-    lets Spark prune partitions, and reads the frame columns only. Rows are
+    Asked before gridding, so that stored frames are not gridded again. Only the
+    frame columns of the folders concerned are read.
+    """
+    stored = _stored(frames.sparkSession, frames, path, schema, _FRAME)
+    full = stored.groupBy(*_FRAME).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= cells)
+    return join_by(frames, full, _FRAME, "left").where("_n is null").drop("_n")
+
+
+def append_frames(rows: DataFrame, path: str, schema, frames: DataFrame | None = None) -> None:
+    """Append the rows that the region does not hold yet, by (slot, time, target).
+
+    A further part of a stored frame is added; rows stored before are left out.
+    `frames` names the frames in `rows` where the caller has them at hand, which
+    spares evaluating `rows` twice. The stored side is first cut to the (slot, date) folders being written, which
+    lets Spark prune partitions, and reads the key columns only. Rows are
     gathered per (slot, hour, block of 2^20 targets) before writing: a hot slot or
     date is spread over many tasks, and a date folder gets at most as many files
     as it has such groups.
     """
-    spark = rows.sparkSession
-    frame = ["orbital_slot", "obs_date", "time"]
-    folders = rows.select(*frame[:2]).distinct()
-    stored = (spark.read.schema(schema).parquet(path).select(*frame)
-              .join(folders, frame[:2], "left_semi").distinct())
-    fresh = rows.join(stored, frame, "left_anti")
+    if set(rows.columns) != set(schema.names):
+        raise ValueError(f"Band set differs from the store's: {sorted(set(rows.columns) ^ set(schema.names))}")
+    key = [*_FRAME, "target_id"]
+    stored = _stored(rows.sparkSession, rows if frames is None else frames, path, schema, key)
+    known = stored.withColumn("_known", F.lit(1))
+    _gathered(join_by(rows, known, key, "left").where("_known is null").select(*schema.names)).write.mode("append").partitionBy(
+        "orbital_slot", "obs_date").option("compression", "zstd").parquet(path)
+
+
+def append_observations(pixels: DataFrame, path: str, schema, transform: Callable[[DataFrame], DataFrame],
+                        bands: list[int], expected_pixels: int, cells: int) -> DataFrame:
+    """Check, grid and append observations; returns (orbital_slot, obs_date, time, error_message) of those refused.
+
+    `pixels` are wide rows with orbital_slot, obs_date and time. A frame must have
+    a value or a flag of exactly the store's bands, and `expected_pixels` pixels. Frames stored
+    in whole are left out before gridding.
+    """
+    present = F.array_compact(F.array(*[F.when(F.count(F.coalesce(
+        *[F.col(c).cast("double") for c in (f"cmi_c{b:02d}", f"dqf_c{b:02d}") if c in pixels.columns])) > 0, F.lit(b))
+        for b in B.available_bands(pixels)]))
+    frames = session.materialize(pixels.groupBy(*_FRAME).agg(F.count(F.lit(1)).alias("n"), present.alias("bands")), "frames")
+    error = (F.when(F.col("bands") != F.array(*[F.lit(b) for b in sorted(bands)]), F.concat(F.lit("Band set differs: "), F.array_join("bands", ",")))
+             .when(F.col("n") != expected_pixels, "Unexpected frame shape"))
+    checked = frames.select(*_FRAME, error.alias("error_message"))
+    good = checked.where("error_message is null").select(*_FRAME)
+    new = session.materialize(missing_frames(good, path, schema, cells), "new-frames")
+    append_frames(transform(join_by(pixels, new.withColumn("_new", F.lit(1)), _FRAME).drop("_new")), path, schema, new)
+    return checked.where("error_message is not null")
+
+
+def _stored(spark: SparkSession, frames: DataFrame, path: str, schema, columns: list[str]) -> DataFrame:
+    """Stored columns of the folders that `frames` concern."""
+    folders = frames.select(*_FRAME[:2]).distinct().withColumn("_folder", F.lit(1))
+    return join_by(spark.read.schema(schema).parquet(path).select(*columns), folders, _FRAME[:2]).drop("_folder")
+
+
+def _gathered(rows: DataFrame) -> DataFrame:
     hour, block = F.date_trunc("hour", "time"), F.floor(F.col("target_id") / (1 << 20))
-    (fresh.repartition("orbital_slot", "obs_date", hour, block)
-     .sortWithinPartitions("orbital_slot", "obs_date", "time", "target_id")
-     .write.mode("append").partitionBy("orbital_slot", "obs_date").option("compression", "zstd").parquet(path))
+    return rows.repartition("orbital_slot", "obs_date", hour, block).sortWithinPartitions("orbital_slot", "obs_date", "time", "target_id")
 
 
 def overwrite_dates(rows: DataFrame, path: str) -> None:
     """Replace the (slot, date) folders that `rows` touches; others stay."""
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_gathered(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("orbital_slot", "obs_date").parquet(path))
 
 
@@ -93,8 +163,8 @@ def save_weights(weights: DataFrame, table: str, buckets: int = 64) -> None:
 
 def write_weights(weights: DataFrame, path: str) -> None:
     """Weights as files, kept per grid."""
-    (weights.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("grid_id").parquet(path))
+    (weights.repartition("grid_id", F.floor(F.col("target_id") / (1 << 20))).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("grid_id").parquet(path))
 
 
 def export_failed(log: DataFrame, path: str) -> None:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.errors import AnalysisException
 
-from terralattice import schemas
+from terralattice import schemas, session
 from terralattice.schemas import TEXT_TIMES
 
 CATALOG_SCHEMAS = {
@@ -17,13 +18,8 @@ CATALOG_SCHEMAS = {
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(path)
-        return True
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    """Whether there is anything below a path; lists that one folder."""
+    return bool(session.child_names(spark, path))
 
 
 def open_files(spark: SparkSession, paths: list[str], preprocess=None) -> DataFrame:
@@ -55,10 +51,27 @@ def load_weights(spark: SparkSession, path: str, grid_id: str | None = None) ->
     return weights if grid_id is None else weights.where(F.col("grid_id") == grid_id)
 
 
+def region_attributes(spark: SparkSession, path: str) -> DataFrame:
+    """What a region was declared with: key, value."""
+    return spark.read.parquet(f"{path}/_region/attributes")
+
+
+def region_grid(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/_region/grid")
+
+
+def _region_reader(spark: SparkSession, path: str):
+    """A reader with the declared schema, or without one for tables written elsewhere."""
+    if not exists(spark, f"{path}/_region/attributes"):
+        return spark.read
+    declared = region_attributes(spark, path).where(F.col("key") == "schema").first()["value"]
+    return spark.read.schema(T.StructType.fromJson(json.loads(declared)))
+
+
 def open_region(spark: SparkSession, path: str, columns: list[str] | None = None,
                 start: str | None = None, end: str | None = None) -> DataFrame:
     """A region's table or a part of it; the range prunes date folders too."""
-    df = spark.read.parquet(path)
+    df = _region_reader(spark, path).parquet(path)
     for bound, compare in ((start, "ge"), (end, "le")):
         if bound is not None:
             stamp = F.lit(bound).cast("timestamp")

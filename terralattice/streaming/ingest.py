@@ -7,14 +7,16 @@ failure adds nothing.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from terralattice.operators import store
+from terralattice import session
+from terralattice.operators import store, validate
+from terralattice.operators.groups import join_by
 from terralattice.sinks import tables as sinks
-from terralattice.sources import tables as T
 
 
 def file_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
@@ -43,38 +45,87 @@ def grow_catalog(stream: DataFrame, path: str, checkpoint: str, keys: list[str])
 
 
 def grid_frames(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], error: Callable[[DataFrame], DataFrame],
-                path: str, log_path: str, checkpoint: str, frame: list[str]) -> StreamingQuery:
+                path: str, log_path: str, checkpoint: str, frame: list[str], expected_pixels: int | None = None,
+                pixel: str = "source_id", strict: bool = False) -> StreamingQuery:
     """Regrid arriving frames; frames that break a rule go to the run log instead.
 
     `error(batch)` adds `error_message`, null for good rows; one bad row fails
-    its frame. Every micro-batch writes its own folder, so a replay after a
-    failure replaces it. Frames that an earlier batch has done are left out by
-    way of the log, one row per frame and attempt; the gridded rows are never
-    read back.
+    its frame, and with `strict` the batch. A frame is taken up once it has `expected_pixels` different pixels
+    (without that number, as it comes): until then its pixels wait in a table
+    beside the log, which each batch writes anew, and join those that follow. More
+    pixels than expected fail the frame.
+
+    Every micro-batch writes a folder of its own, named by the query's id in the
+    checkpoint and the batch, so a replay replaces it; a query that has lost its
+    checkpoint has another id and takes up only frames that the log does not call
+    done. The gridded rows are never read back.
     """
+    waiting = f"{log_path.rstrip('/')}-waiting"
+
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        own = f"run={_query_id(spark, checkpoint)}/batch={batch_id}"
+        earlier = _earlier(spark, log_path, own)
         arrived = batch
-        earlier = None
-        if T.exists(spark, log_path):
-            earlier = spark.read.parquet(log_path).where(F.col("batch") < batch_id)
-            done = earlier.where(F.col("status") == "done").select(*frame)
-            arrived = batch.join(done, frame, "left_anti")
+        if expected_pixels is not None:
+            for folder in _last_folders(spark, waiting, own):
+                arrived = arrived.unionByName(spark.read.schema(batch.schema).parquet(folder))
+        if earlier is not None:
+            arrived = _without(arrived, earlier.where(F.col("status") == "done"), frame)
+        if expected_pixels is not None:  # also where replays and pixels that waited repeat each other
+            arrived = session.materialize(arrived.dropDuplicates([*frame, pixel]), "arrived")
         checked = error(arrived)
-        states = checked.groupBy(*frame).agg(F.max("error_message").alias("error"))
-        failed = states.where(F.col("error").isNotNull()).select(*frame)
-        good = checked.join(failed, frame, "left_anti").drop("error_message")
-        transform(good).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        _log_states(states, earlier, frame).write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
+        states = checked.groupBy(*frame).agg(F.max("error_message").alias("error"), F.count(F.lit(1)).alias("_n"))
+        if expected_pixels is not None:
+            early = states.where(F.col("error").isNull() & (F.col("_n") < expected_pixels))
+            join_by(arrived, early.select(*frame, F.lit(1).alias("_early")), frame).drop("_early").write.mode("overwrite").parquet(f"{waiting}/{own}")
+            over = F.when(F.col("_n") > expected_pixels, "Unexpected frame shape")
+            states = states.withColumn("error", F.coalesce("error", over)).where(F.col("error").isNotNull() | (F.col("_n") == expected_pixels))
+        states = states.drop("_n")
+        if strict:
+            validate.require_none(states.where(F.col("error").isNotNull()), "a frame failed")
+        good = states.where(F.col("error").isNull()).select(*frame, F.lit(1).alias("_good"))
+        transform(join_by(arrived, good, frame).drop("_good")).write.mode("overwrite").parquet(f"{path}/{own}")
+        _log_states(states, earlier, frame).write.mode("overwrite").parquet(f"{log_path}/{own}")
     return run_available(stream, checkpoint, each)
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query keeps in its checkpoint; another checkpoint, another id."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def _earlier(spark: SparkSession, log_path: str, own: str) -> DataFrame | None:
+    """The log without what this very batch may have written before a failure."""
+    if not session.child_names(spark, log_path):
+        return None
+    run, batch = (part.split("=")[1] for part in own.split("/"))
+    return spark.read.parquet(log_path).where(~((F.col("run") == run) & (F.col("batch") == int(batch))))
+
+
+def _last_folders(spark: SparkSession, path: str, own: str) -> list[str]:
+    """Per query, the folder of its last batch before this one: one name per batch is listed."""
+    run, batch = own.split("/")
+    found = []
+    for name in session.child_names(spark, path):
+        batches = [int(b.removeprefix("batch=")) for b in session.child_names(spark, f"{path}/{name}") if b.startswith("batch=")]
+        before = [b for b in batches if name != run or b < int(batch.removeprefix("batch="))]
+        if before:
+            found.append(f"{path}/{name}/batch={max(before)}")
+    return found
+
+
+def _without(rows: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of groups that are not known; missing key parts are equal."""
+    return join_by(rows, known.select(*keys).distinct().withColumn("_known", F.lit(1)), keys, "left").where("_known is null").drop("_known")
+
+
 def _log_states(states: DataFrame, earlier: DataFrame | None, frame: list[str]) -> DataFrame:
     """Run-log rows of one batch; attempts count on from earlier batches."""
     attempt = F.lit(1)
     if earlier is not None:
         tried = earlier.groupBy(*frame).agg(F.max("attempt").alias("_tried"))
-        states = states.join(tried, frame, "left")
+        states = join_by(states, tried, frame, "left")
         attempt = F.coalesce("_tried", F.lit(0)) + 1
     status = F.when(F.col("error").isNull(), "done").otherwise("failed")
     return states.select(
@@ -83,8 +134,8 @@ def _log_states(states: DataFrame, earlier: DataFrame | None, frame: list[str])
 
 
 def split_late(batch: DataFrame, stored_last: DataFrame, keys: list[str], time: str) -> DataFrame:
-    """Mark rows not after the last stored time of their key."""
-    joined = batch.join(stored_last.select(*keys, F.col("last_time").alias("_last")), keys, "left")
+    """Mark rows not after the last stored time of their key; a missing key is a key."""
+    joined = join_by(batch, stored_last.select(*keys, F.col("last_time").alias("_last")), keys, "left")
     return joined.withColumn("late", F.coalesce(F.col(time) <= F.col("_last"), F.lit(False))).drop("_last")
 
 
