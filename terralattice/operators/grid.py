@@ -103,7 +103,7 @@ def axis_checks(axis: DataFrame, keys: list[str], idx: str, lon: str) -> DataFra
     A crossing axis must increase in 0..360; another must be strictly monotonic
     either way. Axes of one point pass.
     """
-    stepped = ordering.with_previous(axis, keys, [idx], ordering.number_levels(idx), lon, "_prev")
+    stepped = ordering.with_previous(axis, keys, [idx], lon, "_prev")
     step = F.col(lon) - F.col("_prev")
     east = S.floor_mod(F.col(lon), 360.0) - S.floor_mod(F.col("_prev"), 360.0)
     true = F.lit(True)

@@ -1,143 +1,128 @@
 """Order-dependent computations that never put a whole key in one task.
 
 A key (an orbital slot, a user, an axis) may hold a large share of all rows, so
-a window over the key alone would run in one task. Here the caller names
-`levels`: columns that cut the order of a key into nested ranges, coarse to
-fine (such as day, then second of day). Only rows of one finest range are
-sorted together; everything across ranges is computed on per-range summaries.
+a window over the key alone would run in one task. Here all rows are range
+partitioned by key and order and sorted within the partitions, once, and written:
+each partition is a run. What a row needs from other runs comes from summaries of
+one row per key and run. This holds for any ids and any share of a key.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from terralattice import session
 
-_BEFORE_ALL = -(1 << 62)  # stands for a missing level; missing order values sort first
-
+_ROW_BITS = 33  # monotonically_increasing_id: the partition above, the row within it below
 
-def time_levels(ts: str = "time", tie: str | None = None) -> dict[str, Column]:
-    """Nested ranges of a timestamp: day, then second of the day.
 
-    Where a single second may hold a large share of the rows, name the integer
-    `tie` that orders rows of equal time: the microsecond and blocks of the tie
-    are then ranges too.
-    """
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    second = F.floor(micros / 1_000_000)
-    levels = {"_l1": F.floor(second / 86400), "_l2": F.pmod(second, F.lit(86400))}
-    if tie is not None:
-        blocks = number_levels(tie)
-        levels |= {"_l3": F.pmod(micros, F.lit(1_000_000)), "_l4": blocks["_l1"], "_l5": blocks["_l2"]}
-    return levels
+def _runs(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Rows sorted into runs: `_key` (never null itself), `_run`, and `_row` within the run."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = df.repartitionByRange(parts, *keys, *order).sortWithinPartitions(*keys, *order)
+    written = session.materialize(ordered.withColumn("_at", F.monotonically_increasing_id()), "runs")
+    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+    return written.withColumns({"_key": key, "_run": F.shiftright("_at", _ROW_BITS),
+                                "_row": F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))}).drop("_at")
 
 
-def number_levels(col: str, width: int = 1 << 12, fan: int = 1 << 12) -> dict[str, Column]:
-    """Nested ranges of an integer: blocks of `width * fan`, then of `width`."""
-    block = F.floor(F.col(col) / width)
-    return {"_l1": F.floor(block / fan), "_l2": F.pmod(block, F.lit(fan))}
+_PLACE = ["_key", "_run"]
 
 
-def _ranged(df: DataFrame, keys: list[str], levels: dict[str, Column]) -> DataFrame:
-    """Add the key as one never-null struct and the levels as never-null numbers.
-
-    Joins and windows then share one plain equality on key and levels, so the
-    rows are shuffled once for both; nulls inside the struct still compare equal.
-    """
-    whole = {name: F.coalesce(level.cast("long"), F.lit(_BEFORE_ALL)) for name, level in levels.items()}
-    return df.withColumns({"_key": F.struct(*keys) if keys else F.struct(F.lit(0).alias("all")), **whole})
+def _along_runs():
+    return W.partitionBy("_key").orderBy("_run")
 
 
-def _before(part: list[str], by: str) -> W:
-    return W.partitionBy(*part).orderBy(by).rowsBetween(W.unboundedPreceding, -1)
+def _earlier_sum(amount: str) -> Column:
+    return F.coalesce(F.sum(amount).over(_along_runs().rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
 
 
-def with_position(df: DataFrame, keys: list[str], order: list[str], levels: dict[str, Column],
-                  name: str = "position") -> DataFrame:
-    """Add the zero-based dense position of each row within its key.
+def with_position(df: DataFrame, keys: list[str], order: list[str], name: str = "position",
+                  size: str | None = None) -> DataFrame:
+    """Add the zero-based dense position of each row within its key, and the key's `size` if named.
 
-    `levels` must not decrease along `order`; `order` should be total. A row's
-    position is the rows of the key before its range, level by level, plus its
-    place inside the finest range.
+    `order` should be total; missing values come first. A position is the rows of
+    the key in earlier runs plus those before it in its own.
     """
-    ranged = _ranged(df, keys, levels)
-    place = ["_key", *levels]
-    leaf = ranged.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = None
-    for depth in range(len(levels), 0, -1):
-        at = place[:depth + 1]
-        nodes = leaf if at == place else leaf.groupBy(*at).agg(F.sum("_n").alias("_n"))
-        rows_before = F.coalesce(F.sum("_n").over(_before(at[:-1], at[-1])), F.lit(0))
-        part = nodes.select(*at, rows_before.alias(f"_o{depth}"))
-        offsets = part if offsets is None else offsets.join(part, at)
-    offset = reduce(lambda a, b: a + b, [F.col(f"_o{depth}") for depth in range(1, len(levels) + 1)])
-    inside = F.row_number().over(W.partitionBy(*place).orderBy(*order))
-    return (ranged.join(offsets.select(*place, offset.alias("_offset")), place)
-            .withColumn(name, F.col("_offset") + inside - 1).drop("_offset", *place))
-
-
-def with_previous(df: DataFrame, keys: list[str], order: list[str], levels: dict[str, Column],
-                  value: str, name: str = "previous") -> DataFrame:
+    rows = _runs(df, keys, order)
+    starts = rows.groupBy(*_PLACE).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    offsets = starts.select(*_PLACE, (_earlier_sum("_n") - F.col("_first")).alias("_offset"),
+                            F.sum("_n").over(W.partitionBy("_key")).alias("_size"))
+    placed = rows.join(offsets, _PLACE).withColumn(name, F.col("_row") + F.col("_offset"))
+    if size is not None:
+        placed = placed.withColumn(size, F.col("_size"))
+    return placed.drop("_row", "_offset", "_size", *_PLACE)
+
+
+def with_sum_before(df: DataFrame, keys: list[str], order: list[str], amount: str, name: str = "before",
+                    total: str | None = None) -> DataFrame:
+    """Add the sum of `amount` over the rows of the key before each row, and the key's `total` if named."""
+    rows = _runs(df, keys, order)
+    sums = rows.groupBy(*_PLACE).agg(F.sum(amount).alias("_sum"))
+    offsets = sums.select(*_PLACE, _earlier_sum("_sum").alias("_offset"), F.sum("_sum").over(W.partitionBy("_key")).alias("_whole"))
+    inside = W.partitionBy(*_PLACE).orderBy("_row").rowsBetween(W.unboundedPreceding, -1)
+    joined = rows.join(offsets, _PLACE).withColumn(name, F.col("_offset") + F.coalesce(F.sum(amount).over(inside), F.lit(0)))
+    if total is not None:
+        joined = joined.withColumn(total, F.col("_whole"))
+    return joined.drop("_row", "_offset", "_whole", *_PLACE)
+
+
+def with_previous(df: DataFrame, keys: list[str], order: list[str], value: str, name: str = "previous") -> DataFrame:
     """Add `value` of the preceding row of the key (null on its first row).
 
-    The first row of a range looks at the last row of the nearest range before
-    it, found at the finest level that has one.
+    The first row of a run looks at the last row of the nearest earlier run that
+    has the key.
     """
-    ranged = _ranged(df, keys, levels).withColumn("_v", F.struct(F.col(value).alias("v")))
-    place = ["_key", *levels]
-    leaf = ranged.groupBy(*place).agg(F.max_by("_v", F.struct(*order)).alias("_last"))
-    before = None
-    for depth in range(len(levels), 0, -1):
-        at, finer = place[:depth + 1], place[depth + 1:]
-        nodes = leaf if not finer else leaf.groupBy(*at).agg(F.max_by("_last", F.struct(*finer)).alias("_last"))
-        part = nodes.select(*at, F.lag("_last").over(W.partitionBy(*at[:-1]).orderBy(at[-1])).alias(f"_p{depth}"))
-        before = part if before is None else before.join(part, at)
-    nearest = F.coalesce(*[F.col(f"_p{depth}") for depth in range(len(levels), 0, -1)])
-    inside = F.lag("_v").over(W.partitionBy(*place).orderBy(*order))
-    return (ranged.join(before.select(*place, nearest.alias("_before")), place)
-            .withColumn(name, F.coalesce(inside, F.col("_before"))["v"])
-            .drop("_before", "_v", *place))
-
-
-def _with_size(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Add the row count of each key; the counts are one row per key."""
-    keyed = df.withColumn("_key", F.struct(*keys))
-    sizes = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias(name))
-    return keyed.join(sizes, "_key").drop("_key")
-
-
-def strictly_increasing(df: DataFrame, keys: list[str], order: list[str],
-                        levels: dict[str, Column], value: str) -> DataFrame:
+    rows = _runs(df, keys, order).withColumn("_v", F.struct(F.col(value).alias("v")))
+    ends = rows.groupBy(*_PLACE).agg(F.max_by("_v", "_row").alias("_last"))
+    before = ends.select(*_PLACE, F.lag("_last").over(_along_runs()).alias("_before"))
+    inside = F.lag("_v").over(W.partitionBy(*_PLACE).orderBy("_row"))
+    return (rows.join(before, _PLACE).withColumn(name, F.coalesce(inside, F.col("_before"))["v"])
+            .drop("_before", "_v", "_row", *_PLACE))
+
+
+def strictly_increasing(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
     """Per key: does `value` strictly increase along the order (true for one row)?"""
-    stepped = with_previous(df, keys, order, levels, value, "_before_value")
+    stepped = with_previous(df.select(*dict.fromkeys([*keys, *order, value])), keys, order, value, "_before_value")
     rises = F.coalesce(F.col(value) > F.col("_before_value"), F.lit(True))
     return stepped.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.bool_and(rises).alias("increasing"))
 
 
-def every_kth(df: DataFrame, keys: list[str], order: list[str], levels: dict[str, Column],
-              n_points: int) -> DataFrame:
+def every_kth(df: DataFrame, keys: list[str], order: list[str], n_points: int) -> DataFrame:
     """Every k-th row of a key, k = max(1, rows div n_points)."""
-    placed = with_position(_with_size(df, keys, "_size"), keys, order, levels, "_pos")
-    k = F.greatest(F.lit(1), F.floor(F.col("_size") / n_points))
-    return placed.where(F.pmod(F.col("_pos"), k) == 0).drop("_size", "_pos")
+    placed = with_position(df, keys, order, "_pos", size="_n")
+    k = F.greatest(F.lit(1), F.floor(F.col("_n") / n_points))
+    return placed.where(F.pmod(F.col("_pos"), k) == 0).drop("_n", "_pos")
 
 
-def even_sample(df: DataFrame, keys: list[str], order: list[str], levels: dict[str, Column],
-                n: int) -> DataFrame:
+def even_sample(df: DataFrame, keys: list[str], order: list[str], n: int) -> DataFrame:
     """n rows spread evenly over each key: positions floor(i * N / n)."""
-    placed = with_position(_with_size(df, keys, "_size"), keys, order, levels, "_pos")
+    placed = with_position(df, keys, order, "_pos", size="_n")
     # position p is picked when some i < n has floor(i*N/n) = p, i.e. the
     # smallest i with i*N >= p*n also satisfies i*N < (p+1)*n.
-    i = F.ceil(F.col("_pos") * n / F.col("_size"))
-    picked = (F.col("_size") <= n) | ((i < n) & (i * F.col("_size") < (F.col("_pos") + 1) * n))
-    return placed.where(picked).drop("_pos", "_size")
+    i = F.ceil(F.col("_pos") * n / F.col("_n"))
+    picked = (F.col("_n") <= n) | ((i < n) & (i * F.col("_n") < (F.col("_pos") + 1) * n))
+    return placed.where(picked).drop("_pos", "_n")
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """n rows without replacement, fixed by the seed and the row keys."""
+    """n rows without replacement, fixed by the seed and the row keys.
+
+    Rows are drawn in the order of a hash. Counts of 4096 ranges of it tell which
+    ranges are taken whole; only the range in which the n-th row lies is ordered.
+    """
     draw = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
-    return df.withColumn("_draw", draw).orderBy("_draw", key).limit(n).drop("_draw")
+    drawn = df.withColumn("_draw", F.coalesce(draw, F.lit("")))
+    drawn = drawn.withColumn("_range", F.coalesce(F.conv(F.substring("_draw", 1, 3), 16, 10).cast("int"), F.lit(0)))
+    counts = drawn.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))  # 4096 rows at most
+    before = F.coalesce(F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    ranges = counts.select("_range", "_n", before.alias("_before")).where(F.col("_before") < n)
+    joined = drawn.join(F.broadcast(ranges), "_range")
+    whole = joined.where(F.col("_before") + F.col("_n") <= n)
+    last = joined.where(F.col("_before") + F.col("_n") > n)
+    place = F.row_number().over(W.partitionBy("_range").orderBy("_draw", key))
+    cut = last.withColumn("_place", place).where(F.col("_place") <= n - F.col("_before"))
+    return whole.select(*df.columns).unionByName(cut.select(*df.columns))
 
 
 def newest(df: DataFrame, keys: list[str], by: str, n: int) -> DataFrame:
@@ -146,8 +131,7 @@ def newest(df: DataFrame, keys: list[str], by: str, n: int) -> DataFrame:
     return df.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
 
 
-def append_positions(new: DataFrame, base: int, order: list[str], levels: dict[str, Column],
-                     name: str = "position") -> DataFrame:
+def append_positions(new: DataFrame, base: int, order: list[str], name: str = "position") -> DataFrame:
     """Positions that new rows take when appended after `base` stored rows."""
-    placed = with_position(new, [], order, levels, name)
+    placed = with_position(new, [], order, name)
     return placed.withColumn(name, (F.col(name) + base).cast("long"))

@@ -14,10 +14,9 @@ from terralattice.schemas import TEXT_TIMES
 _FAILED = "failed"
 
 
-def with_attempts(log: DataFrame, item: str = "observation_id", order: list[str] = ["ts"],
-                  levels=None) -> DataFrame:
+def with_attempts(log: DataFrame, item: str = "observation_id", order: list[str] = ["ts"]) -> DataFrame:
     """Number the attempts of each item from 1."""
-    placed = ordering.with_position(log, [item], order, levels or ordering.time_levels(order[0]), "_pos")
+    placed = ordering.with_position(log, [item], order, "_pos")
     return placed.withColumn("attempt", (F.col("_pos") + 1).cast("int")).drop("_pos")
 
 
@@ -68,9 +67,9 @@ def restore(text: DataFrame, schema, column: str = "value") -> DataFrame:
     return text.select(F.from_json(column, schema, TEXT_TIMES).alias("_s")).select("_s.*")
 
 
-def batches(df: DataFrame, keys: list[str], order: list[str], levels, interval: int = 500) -> DataFrame:
+def batches(df: DataFrame, keys: list[str], order: list[str], interval: int = 500) -> DataFrame:
     """Number rows in time order and mark the batch each belongs to."""
-    placed = ordering.with_position(df, keys, order, levels, "time_idx")
+    placed = ordering.with_position(df, keys, order, "time_idx")
     return placed.withColumn("batch", F.floor(F.col("time_idx") / interval)).withColumn(
         "ends_batch", F.pmod(F.col("time_idx") + 1, F.lit(interval)) == 0)
 
@@ -79,6 +78,6 @@ def continuity(df: DataFrame, keys: list[str], batch: str, order: str, time: str
     """Per batch: first and last time, and whether it starts after the previous batch's last."""
     ends = df.groupBy(*keys, batch).agg(F.min_by(time, order).alias("first_time"),
                                         F.max_by(time, order).alias("last_time"))
-    stepped = ordering.with_previous(ends, keys, [batch], ordering.number_levels(batch), "last_time", "previous_last")
+    stepped = ordering.with_previous(ends, keys, [batch], "last_time", "previous_last")
     return stepped.withColumn("continuous", F.col("previous_last").isNull()
                               | (F.col("first_time") > F.col("previous_last")))

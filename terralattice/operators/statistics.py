@@ -2,90 +2,61 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from terralattice import session
 from terralattice.functions import scalars as S
-from terralattice.operators.groups import join_by
+from terralattice.operators import ordering
+from terralattice.operators.groups import join_by, spread_join
+
 
-_BINS = 4096
+def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """keys, v, n: how often each finite value occurs, counted once and written.
+
+    Counts are combined before the shuffle, and every statistic below follows
+    from them, so pixels are read once and never shuffled on their key alone.
+    """
+    good = df.select(*keys, F.col(value).cast("double").alias("v")).where(S.finite(F.col("v")))
+    return session.materialize(good.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n")), "value-counts")
 
 
 def band_statistics(long: DataFrame, keys: list[str], spread: float = 3.0) -> DataFrame:
     """Count, min, max, mean, population std and outliers of the finite values.
 
-    An outlier lies more than `spread` standard deviations from the mean. The
-    second pass reads the per-key statistics back by key.
+    An outlier lies more than `spread` standard deviations from the mean.
     """
-    value = F.col("cmi").cast("double")
-    good = long.select(*keys, value.alias("v")).where(S.finite(F.col("v")))
-    stats = good.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("min"), F.max("v").alias("max"),
-        F.avg("v").alias("mean"), F.stddev_pop("v").alias("std_dev"))
-    far = F.abs(F.col("v") - F.col("mean")) > spread * F.col("std_dev")
-    outliers = (join_by(good, stats.select(*keys, "mean", "std_dev"), keys)
-                .groupBy(*keys).agg(F.count_if(far).alias("outlier_count")))
-    return join_by(stats, outliers, keys)
+    counts = value_counts(long, keys, "cmi")
+    stats = counts.groupBy(*keys).agg(
+        F.sum("n").alias("total"), F.min("v").alias("min"), F.max("v").alias("max"),
+        (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"))
+    off = F.col("v") - F.col("mean")
+    spreads = spread_join(counts, stats.select(*keys, "mean"), keys, "v").groupBy(*keys).agg(
+        F.sqrt(F.sum(F.col("n") * off * off) / F.sum("n")).alias("std_dev"))
+    stats = session.materialize(join_by(stats, spreads, keys), "statistics")
+    far = F.abs(off) > spread * F.col("std_dev")
+    outliers = spread_join(counts, stats.select(*keys, "mean", "std_dev"), keys, "v").groupBy(*keys).agg(
+        F.coalesce(F.sum(F.when(far, F.col("n"))), F.lit(0)).alias("outlier_count"))
+    return join_by(stats, outliers, keys).withColumnRenamed("total", "n").select(
+        *keys, "n", "min", "max", "mean", "std_dev", "outlier_count")
 
 
 def percentile_exact(df: DataFrame, keys: list[str], value: str, fraction: float) -> DataFrame:
     """Exact percentile with linear interpolation, one row per key.
 
-    The rank is found by counting, not by sorting a key: values are counted into
-    4096 bins of the key's range and each bin into 4096 again (map-side
-    combined), and only the distinct values of the bins that hold the wanted
-    ranks are ordered. Returns `n, min, max, percentile` over finite values.
+    The distinct values are put in order with the number of values before each, so
+    the wanted ranks are found by comparison. Returns `n, min, max, percentile`
+    over finite values.
     """
-    good = (df.select(*keys, F.col(value).cast("double").alias("v")).where(S.finite(F.col("v"))))
-    stats = good.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("min"), F.max("v").alias("max"))
-    rank = F.lit(float(fraction)) * (F.col("n") - 1)
-    stats = stats.withColumns({"_rank": rank, "_lo": F.floor(rank), "_hi": F.ceil(rank)})
-
-    width = (F.col("max") - F.col("min")) / _BINS
-    from_min = F.col("v") - F.col("min")
-    b1 = F.when(width > 0, F.least(F.floor(from_min / width), F.lit(_BINS - 1))).otherwise(F.lit(0))
-    in_bin = (from_min - F.col("_b1") * width) / (width / _BINS)
-    b2 = F.when(width > 0, F.greatest(F.least(F.floor(in_bin), F.lit(_BINS - 1)), F.lit(0))).otherwise(F.lit(0))
-    same_key = _null_safe(good, stats, keys)
-    binned = (good.join(stats.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "min", "max"), same_key)
-              .withColumn("_b1", b1).withColumn("_b2", b2).select(*keys, "v", "_b1", "_b2"))
-
-    counts = binned.groupBy(*keys, "_b1", "_b2").agg(F.count(F.lit(1)).alias("_n"))
-    cells = _prefix(counts, keys).join(stats.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_lo", "_hi"),
-                                       _null_safe(counts, stats, keys)).drop(*[f"_k_{k}" for k in keys])
-    first, last = F.col("_before"), F.col("_before") + F.col("_n") - 1
-    wanted = cells.where(F.col("_lo").between(first, last) | F.col("_hi").between(first, last))
-    place = [*keys, "_b1", "_b2"]
-    marked = wanted.select(*[F.col(c).alias(f"_k_{c}") for c in place], "_before", "_lo", "_hi")
-    close = binned.join(marked, _null_safe(binned, marked, place)).drop(*[f"_k_{c}" for c in place])
-    distinct = close.groupBy(*place, "_before", "_lo", "_hi", "v").agg(F.count(F.lit(1)).alias("_n"))
-    running = W.partitionBy(*place).orderBy("v").rowsBetween(W.unboundedPreceding, -1)
-    start = F.col("_before") + F.coalesce(F.sum("_n").over(running), F.lit(0))
-    held = distinct.withColumn("_start", start)
-    at = lambda r: F.min(F.when(F.col(r).between(F.col("_start"), F.col("_start") + F.col("_n") - 1), F.col("v")))
-    ends = held.groupBy(*keys).agg(at("_lo").alias("_v_lo"), at("_hi").alias("_v_hi"))
-    share = F.col("_rank") - F.col("_lo")
-    merged = stats.join(ends.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_v_lo", "_v_hi"),
-                        _null_safe(stats, ends, keys))
-    return merged.select(*keys, "n", "min", "max",
-                         (F.col("_v_lo") + share * (F.col("_v_hi") - F.col("_v_lo"))).alias("percentile"))
-
-
-def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Null-safe key match; right's keys are (or will be) named `_k_<key>`."""
-    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-
-
-def _prefix(counts: DataFrame, keys: list[str]) -> DataFrame:
-    before = lambda part, by: W.partitionBy(*part).orderBy(by).rowsBetween(W.unboundedPreceding, -1)
-    coarse = (counts.groupBy(*keys, "_b1").agg(F.sum("_n").alias("_n1"))
-              .withColumn("_o1", F.coalesce(F.sum("_n1").over(before(keys, "_b1")), F.lit(0))))
-    marked = coarse.select(*[F.col(c).alias(f"_k_{c}") for c in [*keys, "_b1"]], "_o1")
-    fine = counts.withColumn("_o2", F.coalesce(F.sum("_n").over(before([*keys, "_b1"], "_b2")), F.lit(0)))
-    return (fine.join(marked, _null_safe(fine, marked, [*keys, "_b1"]))
-            .drop(*[f"_k_{c}" for c in [*keys, "_b1"]])
-            .withColumn("_before", F.col("_o1") + F.col("_o2")).drop("_o1", "_o2"))
+    placed = ordering.with_sum_before(value_counts(df, keys, value), keys, ["v"], "n", "_start", total="_total")
+    rank = F.lit(float(fraction)) * (F.col("_total") - 1)
+    at = lambda r: F.min(F.when(r.between(F.col("_start"), F.col("_start") + F.col("n") - 1), F.col("v")))
+    ends = placed.groupBy(*keys).agg(
+        F.sum("n").alias("total"), F.min("v").alias("min"), F.max("v").alias("max"),
+        at(F.floor(rank)).alias("_lo"), at(F.ceil(rank)).alias("_hi"))
+    wanted = F.lit(float(fraction)) * (F.col("total") - 1)
+    share = wanted - F.floor(wanted)
+    return ends.select(*keys, F.col("total").alias("n"), "min", "max",
+                       (F.col("_lo") + share * (F.col("_hi") - F.col("_lo"))).alias("percentile"))
 
 
 def ir_norm_params(df: DataFrame, keys: list[str], value: str, warm_percent: float = 30.0) -> DataFrame:
@@ -115,6 +86,6 @@ def ir_normalize(df: DataFrame, keys: list[str], value: str, warm_percent: float
                  share: float = 0.10) -> DataFrame:
     """Add `normalized`; scale parameters are per key."""
     params = ir_norm_params(df, keys, value, warm_percent)
-    joined = join_by(df, params, keys)
+    joined = spread_join(df, params, keys, value)
     x = S.as_value(F.col(value))
     return joined.withColumn("normalized", ir_forward(x, F.col("vmin"), F.col("bp"), F.col("vmax"), share))

@@ -32,7 +32,7 @@ def strict_slot_ok(slot: Column) -> Column:
     return F.coalesce(slot.isin(list(C.ORBITAL_SLOTS)), F.lit(False))
 
 
-def consistency(observations: DataFrame, keys: list[str], order: list[str], levels: dict[str, Column],
+def consistency(observations: DataFrame, keys: list[str], order: list[str],
                 time: str = "time") -> DataFrame:
     """Per group: one scene, one resolution, one slot, times increasing.
 
@@ -40,7 +40,7 @@ def consistency(observations: DataFrame, keys: list[str], order: list[str], leve
     map-side de-duplication; listed values come from the small distinct set.
     """
     fields = ("scene_id", "spatial_resolution", "orbital_slot")
-    rising = ordering.strictly_increasing(observations, keys, order, levels, time)
+    rising = ordering.strictly_increasing(observations, keys, order, time)
     shown = observations.groupBy(*keys).agg(
         *[F.array_sort(F.collect_set(c)).alias(f"_{c}") for c in fields])
     mixed = [F.when(F.size(f"_{c}") > 1, F.concat(F.lit(f"Inconsistent {c}: "), F.array_join(f"_{c}", ", ")))
@@ -51,14 +51,14 @@ def consistency(observations: DataFrame, keys: list[str], order: list[str], leve
         *keys, "n", (F.size(issues) == 0).alias("consistent"), F.array_join(issues, "; ").alias("issues"))
 
 
-def structure(df: DataFrame, keys: list[str], order: list[str], levels: dict[str, Column],
+def structure(df: DataFrame, keys: list[str], order: list[str],
               time: str = "time") -> DataFrame:
     """Per group: required columns present, times increasing; optional ones warned about."""
     issues = [] if "conventions" in df.columns else ["Missing 'conventions' variable"]
     issues += [f"Missing required coordinate: {c}" for c in ("time", "y", "x") if c not in df.columns]
     warning = "" if "projection" in df.columns else "Missing 'projection' variable"
     fixed = F.lit("; ".join(issues)) if issues else F.lit(None)
-    rising = ordering.strictly_increasing(df, keys, order, levels, time)
+    rising = ordering.strictly_increasing(df, keys, order, time)
     late = F.when(~F.col("increasing"), "Time coordinate is not monotonically increasing")
     found = F.concat_ws("; ", fixed, late)
     return rising.select(*keys, "n", (found == "").alias("compliant"), found.alias("issues"),

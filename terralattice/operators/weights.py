@@ -146,11 +146,11 @@ def _in_circle(a: tuple, b: tuple, c: tuple, d: tuple) -> Column:
     return ax * (by * c2 - b2 * cy) - ay * (bx * c2 - b2 * cx) + a2 * (bx * cy - by * cx)
 
 
-def remap_compacted(weights: DataFrame, valid_sources: DataFrame, levels=None) -> DataFrame:
+def remap_compacted(weights: DataFrame, valid_sources: DataFrame) -> DataFrame:
     """Imported weights whose vertex ids count valid pixels only -> lattice ids."""
     from terralattice.operators import ordering
     numbered = ordering.with_position(valid_sources.select("source_id"), [], ["source_id"],
-                                      levels or ordering.number_levels("source_id"), "_vertex")
+                                      "_vertex")
     return (weights.withColumnRenamed("source_id", "_vertex")
             .join(numbered, "_vertex").drop("_vertex"))
 

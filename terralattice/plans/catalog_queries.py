@@ -54,8 +54,7 @@ SELECT observation_id, row_number() OVER (ORDER BY time_bucket(INTERVAL 100 MILL
 FROM obs WHERE file_name LIKE 'OR%'"""))
 def _(spark, d):
     parsed = Fi.parse_names(Fi.product_files(X.obs(spark, d)))
-    placed = ordering.with_position(parsed, [], ["start_time", "file_name", "observation_id"],
-                                    ordering.time_levels("start_time"), "place")
+    placed = ordering.with_position(parsed, [], ["start_time", "file_name", "observation_id"], "place")
     return placed.select("observation_id", F.col("place").cast("long").alias("place"))
 
 
@@ -247,8 +246,7 @@ _STEPS = """, steps AS (SELECT observation_id, orbital_slot,
 
 def _stepped(spark, d):
     return ordering.with_position(X.obs(spark, d).select("observation_id", "orbital_slot", "time_coverage_start"),
-                                  ["orbital_slot"], ["time_coverage_start", "observation_id"],
-                                  ordering.time_levels("time_coverage_start", "observation_id"), "time_idx").select(
+                                  ["orbital_slot"], ["time_coverage_start", "observation_id"], "time_idx").select(
         "observation_id", "orbital_slot", F.col("time_idx").cast("long").alias("time_idx"))
 
 
@@ -272,8 +270,7 @@ def _(spark, d):
 SELECT orbital_slot, time_idx // 500 AS batch, count(*) AS files, count(*) FILTER ((time_idx + 1) % 500 = 0) AS closing
 FROM steps GROUP BY 1, 2"""))
 def _(spark, d):
-    marked = runlog.batches(X.obs(spark, d), ["orbital_slot"], ["time_coverage_start", "observation_id"],
-                            ordering.time_levels("time_coverage_start", "observation_id"), 500)
+    marked = runlog.batches(X.obs(spark, d), ["orbital_slot"], ["time_coverage_start", "observation_id"], 500)
     return marked.groupBy("orbital_slot", F.col("batch").cast("long").alias("batch")).agg(
         F.count(F.lit(1)).alias("files"), F.count_if("ends_batch").alias("closing"))
 
@@ -379,8 +376,7 @@ def _seen(spark, d):
 @query("win01_time_increasing", with_ctes("obs", _DISORDER + """
 SELECT region, count(*) AS n, bool_and(previous IS NULL OR time > previous) AS increasing FROM stepped GROUP BY region"""))
 def _(spark, d):
-    return ordering.strictly_increasing(_seen(spark, d), ["region"], ["observation_id"],
-                                        ordering.number_levels("observation_id"), "time")
+    return ordering.strictly_increasing(_seen(spark, d), ["region"], ["observation_id"], "time")
 
 
 @query("agg12_consistency", with_ctes("obs", _DISORDER + """
@@ -395,7 +391,7 @@ SELECT region, n, issues = '' AS consistent, issues FROM (
     CASE WHEN NOT ok THEN 'Time values are not monotonically increasing' END) AS issues
   FROM parts JOIN rising USING (region))"""))
 def _(spark, d):
-    return validate.consistency(_seen(spark, d), ["region"], ["observation_id"], ordering.number_levels("observation_id"))
+    return validate.consistency(_seen(spark, d), ["region"], ["observation_id"])
 
 
 @query("agg13_structure", with_ctes("obs", _DISORDER + """
@@ -404,7 +400,7 @@ SELECT region, count(*) AS n, false AS compliant,
     CASE WHEN NOT bool_and(previous IS NULL OR time > previous) THEN 'Time coordinate is not monotonically increasing' END) AS issues,
   'Missing ''projection'' variable' AS warnings FROM stepped GROUP BY region"""))
 def _(spark, d):
-    return validate.structure(_seen(spark, d), ["region"], ["observation_id"], ordering.number_levels("observation_id"))
+    return validate.structure(_seen(spark, d), ["region"], ["observation_id"])
 
 
 @query("win05_batch_continuity", with_ctes("obs", _DISORDER + """
@@ -465,8 +461,7 @@ SELECT observation_id, place FROM placed WHERE new_row"""))
 def _(spark, d):
     o = X.obs(spark, d).select("observation_id", "time_coverage_start")
     stored, new = o.where(F.col("observation_id") % 4 != 0), o.where(F.col("observation_id") % 4 == 0)
-    return ordering.append_positions(new, stored.count(), ["time_coverage_start", "observation_id"],
-                                     ordering.time_levels("time_coverage_start", "observation_id"), "place").select("observation_id", "place")
+    return ordering.append_positions(new, stored.count(), ["time_coverage_start", "observation_id"], "place").select("observation_id", "place")
 
 
 @query("snk08_replace_selection", with_ctes("obs", """
@@ -552,8 +547,7 @@ SELECT s.observation_id, s.orbital_slot FROM steps s
 JOIN picks p ON s.orbital_slot IS NOT DISTINCT FROM p.orbital_slot AND s.time_idx = p.time_idx"""))
 def _(spark, d):
     o = X.obs(spark, d).select("observation_id", "orbital_slot", "time_coverage_start")
-    return ordering.even_sample(o, ["orbital_slot"], ["time_coverage_start", "observation_id"],
-                                ordering.time_levels("time_coverage_start", "observation_id"), 37).drop("time_coverage_start")
+    return ordering.even_sample(o, ["orbital_slot"], ["time_coverage_start", "observation_id"], 37).drop("time_coverage_start")
 
 
 @query("srt04_seeded_sample", """
@@ -568,7 +562,7 @@ SELECT event_id, user_id FROM (SELECT event_id, user_id, row_number() OVER (PART
 JOIN sizes USING (user_id) WHERE p % k = 0""")
 def _(spark, d):
     e = X.table(spark, d, "events").select("event_id", "user_id")
-    return ordering.every_kth(e, ["user_id"], ["event_id"], ordering.number_levels("event_id"), 10)
+    return ordering.every_kth(e, ["user_id"], ["event_id"], 10)
 
 
 # --- text, time and map functions -------------------------------------------
@@ -702,7 +696,7 @@ def _(spark, d):
 @query("str03_attempt_numbers", with_ctes("run_log", """
 SELECT event_id, observation_id, CAST(row_number() OVER (PARTITION BY observation_id ORDER BY ts, event_id) AS INT) AS attempt, status FROM run_log"""))
 def _(spark, d):
-    log = runlog.with_attempts(X.run_log(spark, d), order=["ts", "event_id"], levels=ordering.time_levels("ts", "event_id"))
+    log = runlog.with_attempts(X.run_log(spark, d), order=["ts", "event_id"])
     return log.select("event_id", "observation_id", "attempt", "status")
 
 

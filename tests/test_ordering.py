@@ -37,15 +37,14 @@ def by_key(rows):
 
 
 def test_positions(table, rows):
-    got = {r["id"]: r["position"] for r in O.with_position(table, ["k"], ["time", "id"], O.time_levels()).collect()}
+    got = {r["id"]: r["position"] for r in O.with_position(table, ["k"], ["time", "id"]).collect()}
     want = {r[2]: i for g in by_key(rows).values() for i, r in enumerate(g)}
     assert got == want
 
 
-def test_a_hot_second_is_split_by_the_tie(table, rows):
-    levels = O.time_levels("time", tie="id")
+def test_positions_then_previous(table, rows):
     got = {r["id"]: (r["position"], r["previous"]) for r in O.with_previous(
-        O.with_position(table, ["k"], ["time", "id"], levels), ["k"], ["time", "id"], levels, "v").collect()}
+        O.with_position(table, ["k"], ["time", "id"]), ["k"], ["time", "id"], "v").collect()}
     want = {}
     for group in by_key(rows).values():
         for i, (before, row) in enumerate(zip([None, *group], group)):
@@ -53,20 +52,39 @@ def test_a_hot_second_is_split_by_the_tie(table, rows):
     assert got == want
 
 
+def test_one_key_with_hash_like_ids_is_spread_over_tasks(spark):
+    """A 90 % key, and ids that are far apart: no run holds much more than its share."""
+    df = spark.range(20_000).select(F.when(F.col("id") % 10 > 0, "hot").otherwise("rest").alias("k"), F.xxhash64("id").alias("id"))
+    sizes = [r["count"] for r in O._runs(df, ["k"], ["id"]).groupBy("_run").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / 8
+    placed = O.with_position(df, ["k"], ["id"], "at", size="n")
+    assert placed.groupBy("k").agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.countDistinct("at").alias("d"), F.max("n").alias("n")).where(
+        "lo <> 0 or hi <> n - 1 or d <> n").isEmpty()
+
+
+def test_sums_before(table, rows):
+    got = {r["id"]: (r["before"], r["all"]) for r in O.with_sum_before(table, ["k"], ["time", "id"], "s", total="all").collect()}
+    want = {}
+    for group in by_key(rows).values():
+        for i, row in enumerate(group):
+            want[row[2]] = (sum(r[1] for r in group[:i]), sum(r[1] for r in group))
+    assert got == want
+
+
 def test_positions_without_key(table, rows):
-    got = {r["id"]: r["position"] for r in O.with_position(table, [], ["time", "id"], O.time_levels()).collect()}
+    got = {r["id"]: r["position"] for r in O.with_position(table, [], ["time", "id"]).collect()}
     assert got == {r[2]: i for i, r in enumerate(sorted(rows, key=lambda r: (r[1], r[2])))}
 
 
 def test_missing_order_values_come_first(spark):
     df = spark.createDataFrame([("a", None, 1), ("a", 5, 2), ("a", -5, 3)], "k string, s long, id long").withColumn(
         "time", F.timestamp_seconds("s"))
-    got = {r["id"]: r["position"] for r in O.with_position(df, ["k"], ["time", "id"], O.time_levels()).collect()}
+    got = {r["id"]: r["position"] for r in O.with_position(df, ["k"], ["time", "id"]).collect()}
     assert got == {1: 0, 3: 1, 2: 2}
 
 
 def test_previous(table, rows):
-    got = {r["id"]: r["previous"] for r in O.with_previous(table, ["k"], ["time", "id"], O.time_levels(), "v").collect()}
+    got = {r["id"]: r["previous"] for r in O.with_previous(table, ["k"], ["time", "id"], "v").collect()}
     want = {}
     for group in by_key(rows).values():
         for before, row in zip([None, *group], group):
@@ -76,7 +94,7 @@ def test_previous(table, rows):
 
 def test_previous_keeps_null_values(spark):
     df = spark.createDataFrame([(1, 10.0), (2, None), (3, 30.0)], "id long, v double").withColumn("k", F.lit("x"))
-    got = {r["id"]: r["previous"] for r in O.with_previous(df, ["k"], ["id"], O.number_levels("id", 1, 2), "v").collect()}
+    got = {r["id"]: r["previous"] for r in O.with_previous(df, ["k"], ["id"], "v").collect()}
     assert got == {1: None, 2: 10.0, 3: None}
 
 
@@ -87,7 +105,7 @@ def test_groups_with_missing_keys_are_kept(spark, threshold):
     try:
         stats = {r["k"]: r for r in St.band_statistics(df, ["k"]).collect()}
         scaled = St.ir_normalize(df, ["k"], "cmi").count()
-        places = O.with_position(df, ["k"], ["cmi"], O.number_levels("cmi", 1, 2)).where("k is null").count()
+        places = O.with_position(df, ["k"], ["cmi"]).where("k is null").count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert stats[None]["n"] == 2 and stats[None]["mean"] == 2.0 and stats["a"]["n"] == 1
@@ -97,23 +115,31 @@ def test_groups_with_missing_keys_are_kept(spark, threshold):
 def test_strictly_increasing(spark):
     df = spark.createDataFrame([("up", i, i) for i in range(50)] + [("tie", i, i // 2) for i in range(50)]
                                + [("one", 0, 5)], "k string, id long, t long")
-    got = {r["k"]: r["increasing"] for r in O.strictly_increasing(df, ["k"], ["id"], O.number_levels("id", 4, 4), "t").collect()}
+    got = {r["k"]: r["increasing"] for r in O.strictly_increasing(df, ["k"], ["id"], "t").collect()}
     assert got == {"up": True, "tie": False, "one": True}
 
 
-def test_rows_are_shuffled_once(spark, table):
+def test_plans_read_the_written_runs_twice_at_most(spark, table):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = plan_of(O.with_position(table.select("k", "time", "id", "v"), ["k"], ["time", "id"], O.time_levels()))
+        plans = [plan_of(O.even_sample(table, ["k"], ["time", "id"], 7)), plan_of(O.with_previous(table, ["k"], ["time", "id"], "v")),
+                 plan_of(St.percentile_exact(table, ["k"], "v", 0.5))]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    above_join = plan[:plan.index("SortMergeJoin")]
-    assert "Exchange" not in above_join  # the window reuses the join's partitioning
+    for plan in plans:
+        assert 1 <= plan.count("FileScan parquet") <= 2, plan
+
+
+@pytest.mark.parametrize("n", [0, 1, 500, 2999, 5000])
+def test_seeded_sample_takes_the_first_by_hash(table, rows, n):
+    import hashlib
+    ranked = sorted((r[2] for r in rows), key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())
+    assert sorted(r["id"] for r in O.seeded_sample(table, "id", n).collect()) == sorted(ranked[:n])
 
 
 @pytest.mark.parametrize("n", [1, 7, 100, 5000])
 def test_even_sample(table, rows, n):
-    got = {r["id"] for r in O.even_sample(table, ["k"], ["time", "id"], O.time_levels(), n).collect()}
+    got = {r["id"] for r in O.even_sample(table, ["k"], ["time", "id"], n).collect()}
     want = set()
     for g in by_key(rows).values():
         m = min(n, len(g))
@@ -122,7 +148,7 @@ def test_even_sample(table, rows, n):
 
 
 def test_every_kth(table, rows):
-    got = {r["id"] for r in O.every_kth(table, ["k"], ["time", "id"], O.time_levels(), 10).collect()}
+    got = {r["id"] for r in O.every_kth(table, ["k"], ["time", "id"], 10).collect()}
     assert got == {r[2] for g in by_key(rows).values() for r in g[::max(1, len(g) // 10)]}
 
 

@@ -121,7 +121,7 @@ def test_attribute_rules(spark):
 
 def test_consistency_single_file_passes(spark):
     df = spark.createDataFrame([("one", 1, "A", "2km", "E", 5)], "k string, id long, scene_id string, spatial_resolution string, orbital_slot string, time long")
-    row = validate.consistency(df, ["k"], ["id"], ordering.number_levels("id")).first()
+    row = validate.consistency(df, ["k"], ["id"]).first()
     assert row["consistent"] and row["issues"] == ""
 
 
