@@ -1,14 +1,16 @@
 """Interpolation weights: a sparse matrix in coordinate form.
 
-One row per (target, vertex): `target_id, rank, source_id, w`, three rows per
-covered target and none outside the source coverage. `prepare` adds what every
-later use of the weights needs and what never changes between frames: the
-dominant vertex and the largest weight of the target.
+One row per (target, vertex): `target_id, rank, source_id, w, dominant, max_w`,
+three rows per covered target and none outside the source coverage. The dominant
+vertex and the largest weight are what every later use needs and what never
+changes between frames; builders give them along, `prepare` adds them to imported
+weights.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -49,8 +51,9 @@ def prepare(weights: DataFrame, grid_id: str | None = None) -> DataFrame:
                     F.col("_one.w").alias("w"), (F.col("_place") == 0).alias("dominant"), "max_w"))
 
 
-def lattice_weights(targets: DataFrame, tx: str, ty: str, nx: int, ny: int) -> DataFrame:
-    """Weights for targets given in pixel coordinates of a regular lattice.
+def lattice_weights(targets: DataFrame, tx: str, ty: str, nx: int, ny: int,
+                    keys: list[str] = ["target_id"]) -> DataFrame:
+    """Weights for targets given in pixel coordinates of a regular lattice; `keys` are carried along.
 
     Every cell is cut along the diagonal between its two mixed corners. A
     narrow transformation: no join and no shuffle.
@@ -64,12 +67,15 @@ def lattice_weights(targets: DataFrame, tx: str, ty: str, nx: int, ny: int) -> D
     at = lambda dy, dx: (F.col("_y0") + dy) * nx + F.col("_x0") + dx
     lower = _vertices((at(0, 0), 1 - fx - fy), (at(0, 1), fx), (at(1, 0), fy))
     upper = _vertices((at(1, 1), fx + fy - 1), (at(1, 0), 1 - fx), (at(0, 1), 1 - fy))
-    return (inside.select("target_id", F.inline(F.when(fx + fy <= 1, lower).otherwise(upper))))
+    return inside.select(*keys, F.inline(F.when(fx + fy <= 1, lower).otherwise(upper)))
 
 
 def _vertices(*pairs: tuple[Column, Column]) -> Column:
-    return F.array(*[F.struct(F.lit(i).alias("rank"), s.cast("long").alias("source_id"), w.alias("w"))
-                     for i, (s, w) in enumerate(pairs)])
+    """Rows of one target; the dominant vertex has the largest weight, the lowest rank on ties."""
+    largest = F.greatest(*[w for _, w in pairs])
+    first = reduce(lambda later, i: F.when(pairs[i][1] == largest, i).otherwise(later), range(len(pairs) - 2, -1, -1), F.lit(len(pairs) - 1))
+    return F.array(*[F.struct(F.lit(i).alias("rank"), s.cast("long").alias("source_id"), w.alias("w"),
+                              (first == i).alias("dominant"), largest.alias("max_w")) for i, (s, w) in enumerate(pairs)])
 
 
 def geostationary_weights(targets: DataFrame, lattice: Lattice, p: P.Projection,
@@ -79,8 +85,9 @@ def geostationary_weights(targets: DataFrame, lattice: Lattice, p: P.Projection,
     The lattice is regular in scan angle, so the cell of a target is computed,
     not searched, and the corners of a cell are computed too: no join. Triangles
     are straight in lat/lon while cell edges are not, so the 3 x 3 cells around a
-    target are tried; each cell is cut along its locally Delaunay diagonal. Of
-    the (cell, triangle) pairs that hold a target the first is kept, by an
+    target are tried; each cell is cut along its locally Delaunay diagonal, and
+    at the limb, where a corner is off the disk, along the one that leaves a whole
+    triangle. Of the (cell, triangle) pairs that hold a target the first is kept, by an
     aggregate over the one or two rows left per target.
     """
     x, y, visible = P.latlon_to_scan(F.col("lat"), F.col("lon"), p)
@@ -106,7 +113,8 @@ def geostationary_weights(targets: DataFrame, lattice: Lattice, p: P.Projection,
 
     turned = _in_circle(*[(F.col(f"_lat{i}{j}"), F.col(f"_lon{i}{j}")) for i, j in places])
     inward = turned > 0 if lattice.counter_clockwise else turned < 0
-    cell = cell.withColumn("_flip", inward & ~F.isnan(turned))
+    lost = F.isnan("_lat01") | F.isnan("_lat10")
+    cell = cell.withColumn("_flip", (inward & ~F.isnan(turned)) | lost)
 
     # Triangles 0 and 1: two corners are fixed, the third depends on the diagonal.
     fixed, third = (("00", "01"), ("11", "10")), (("11", "10"), ("00", "01"))

@@ -110,7 +110,7 @@ def targets(spark: SparkSession) -> DataFrame:
 
 
 def weights(spark: SparkSession) -> DataFrame:
-    return Wt.prepare(Wt.lattice_weights(targets(spark), "tx", "ty", NX, NY))
+    return Wt.lattice_weights(targets(spark), "tx", "ty", NX, NY)
 
 
 def stations(spark: SparkSession, d: str) -> DataFrame:
@@ -122,7 +122,7 @@ def stations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def station_weights(spark: SparkSession, d: str) -> DataFrame:
-    return Wt.lattice_weights(stations(spark, d), "tx", "ty", NX, NY)
+    return Wt.lattice_weights(stations(spark, d), "tx", "ty", NX, NY, ["target_id", "grid"])
 
 
 def pixels16(spark: SparkSession, d: str) -> DataFrame:

@@ -112,7 +112,7 @@ def _(spark, d):
     own = session.gridding_session(spark)
     point = lambda i, s, t: F.when(F.col("id") == i, s).otherwise(t).cast("double")
     spots = own.range(2).select(F.col("id").alias("target_id"), point(0, 0.25, 1).alias("tx"), point(0, 0.25, 1).alias("ty"))
-    w = Wt.prepare(Wt.lattice_weights(spots, "tx", "ty", 2, 2))
+    w = Wt.lattice_weights(spots, "tx", "ty", 2, 2)
     cmi = [f"cmi_c{b:02d}" for b in C.ALL_BANDS]
     found = R.regrid(X.pixels16(own, d), w, ["vec_id"], cmi)
     return found.select("vec_id", F.col("target_id").cast("int").alias("target_id"), *[_r6(c) for c in cmi])
@@ -128,35 +128,55 @@ def _(spark, d):
 # --- weights ----------------------------------------------------------------
 
 
+_COVER = """, merged AS (SELECT s.target_id, s.grid, max(w.w) AS max_w, min(w.w) AS min_w
+  FROM stations s LEFT JOIN station_weights w USING (target_id) GROUP BY 1, 2)
+"""
+
+
 @query("jon03_station_weights", with_ctes("station_weights", """
 SELECT target_id, rank, source_id, w, dominant, max_w FROM station_weights"""))
 def _(spark, d):
-    return Wt.prepare(X.station_weights(spark, d)).select("target_id", "rank", "source_id", "w", "dominant", "max_w")
+    return X.station_weights(spark, d).select("target_id", "rank", "source_id", "w", "dominant", "max_w")
 
 
 @query("win07_dominant_vertex", with_ctes("station_weights", "SELECT target_id, source_id, w FROM station_weights WHERE dominant"))
 def _(spark, d):
-    return Wt.prepare(X.station_weights(spark, d)).where("dominant").select("target_id", "source_id", "w")
+    return X.station_weights(spark, d).where("dominant").select("target_id", "source_id", "w")
+
+
+@query("win07_imported_weights", with_ctes("station_weights", "SELECT target_id, rank, source_id, w, dominant, max_w FROM station_weights"))
+def _(spark, d):
+    imported = X.station_weights(spark, d).select("target_id", "rank", "source_id", "w")
+    ranked = Wt.prepare(imported)
+    return ranked.select("target_id", "rank", "source_id", "w", "dominant", "max_w")
+
+
+@query("snk09_persisted_weights", with_ctes("station_weights", _COVER + """
+SELECT CAST(grid AS VARCHAR) AS grid_id, 'barycentric' AS method, CAST(7 AS INT) AS reference_band, count(max_w) * 3 AS rows,
+  round(count(max_w) / CAST(count(*) AS DOUBLE), 9) AS coverage_fraction FROM merged GROUP BY 1"""))
+def _(spark, d):
+    path = session.scratch_path(spark, "grids")
+    s, w = X.stations(spark, d), X.station_weights(spark, d)
+    told = Wt.provenance(s.select("target_id", "grid"), w, 7, ["grid"]).withColumn("grid_id", F.col("grid").cast("string"))
+    sinks.write_weights(w.withColumn("grid_id", F.col("grid").cast("string")).drop("grid"), path, told.drop("grid"))
+    rows = T.load_weights(spark, path).groupBy("grid_id").agg(F.count("*").alias("rows"))
+    return T.weights_metadata(spark, path).join(rows, "grid_id").select(
+        "grid_id", "method", "reference_band", "rows", F.round("coverage_fraction", 9).alias("coverage_fraction"))
 
 
 @query("src11_weights_roundtrip", with_ctes("station_weights", "SELECT target_id, rank, source_id, w FROM station_weights"))
 def _(spark, d):
     path = session.scratch_path(spark, "weights")
-    sinks.write_weights(Wt.prepare(X.station_weights(spark, d)).withColumn("grid_id", F.lit("stations")), path)
+    sinks.write_weights(X.station_weights(spark, d).drop("grid").withColumn("grid_id", F.lit("stations")), path)
     return T.load_weights(spark, path, "stations").select("target_id", "rank", "source_id", "w")
 
 
-_COVER = """, merged AS (SELECT s.target_id, s.grid, max(w.w) AS max_w, min(w.w) AS min_w
-  FROM stations s LEFT JOIN station_weights w USING (target_id) GROUP BY 1, 2)
-"""
-
-
 @query("agg03_coverage", with_ctes("station_weights", _COVER + """
 SELECT grid, count(*) AS n_target_points, count(max_w) AS n_valid_points, round(count(max_w) / CAST(count(*) AS DOUBLE), 9) AS coverage_fraction
 FROM merged GROUP BY grid"""))
 def _(spark, d):
     s = X.stations(spark, d)
-    w = X.station_weights(spark, d).join(s.select("target_id", "grid"), "target_id")
+    w = X.station_weights(spark, d)
     stats = Wt.weight_statistics(s.select("target_id", "grid"), w, ["grid"])
     return stats.select("grid", "n_target_points", "n_valid_points", F.round("coverage_fraction", 9).alias("coverage_fraction"))
 
@@ -169,7 +189,7 @@ SELECT grid, round(avg(max_w), 9) AS max_weight_mean, round(stddev_pop(max_w), 9
 FROM merged GROUP BY grid"""))
 def _(spark, d):
     s = X.stations(spark, d)
-    w = X.station_weights(spark, d).join(s.select("target_id", "grid"), "target_id")
+    w = X.station_weights(spark, d)
     names = ("max_weight_mean", "max_weight_std", "min_weight_mean", "min_weight_std", "direct_hit_fraction", "interpolated_fraction")
     return Wt.weight_statistics(s.select("target_id", "grid"), w, ["grid"]).select(
         "grid", *[F.round(c, 9).alias(c) for c in names])
@@ -180,7 +200,7 @@ SELECT grid, 'barycentric' AS method, 0.999::DOUBLE AS direct_hit_threshold, CAS
   round(count(max_w) / CAST(count(*) AS DOUBLE), 9) AS coverage_fraction FROM merged GROUP BY grid"""))
 def _(spark, d):
     s = X.stations(spark, d)
-    w = X.station_weights(spark, d).join(s.select("target_id", "grid"), "target_id")
+    w = X.station_weights(spark, d)
     p = Wt.provenance(s.select("target_id", "grid"), w, 7, ["grid"])
     return p.select("grid", "method", "direct_hit_threshold", "reference_band",
                     F.round("coverage_fraction", 9).alias("coverage_fraction"))
@@ -282,7 +302,7 @@ _CORNERS_SQL = f"""
   LEFT JOIN node q10 ON q10.py=c.iy+1 AND q10.px=c.ix LEFT JOIN node q11 ON q11.py=c.iy+1 AND q11.px=c.ix+1)
 , circ AS (SELECT *, (lo00-lo11) AS ax, (la00-la11) AS ay, (lo01-lo11) AS bx, (la01-la11) AS by_, (lo10-lo11) AS gx, (la10-la11) AS gy FROM quad)
 , flip AS (SELECT *, coalesce(ax*(by_*(gx*gx+gy*gy) - (bx*bx+by_*by_)*gy) - ay*(bx*(gx*gx+gy*gy) - (bx*bx+by_*by_)*gx)
-   + (ax*ax+ay*ay)*(bx*gy - by_*gx) < 0, false) AS f FROM circ)
+   + (ax*ax+ay*ay)*(bx*gy - by_*gx) < 0, false) OR la01 IS NULL OR isnan(la01) OR la10 IS NULL OR isnan(la10) AS f FROM circ)
 , tri AS (
   SELECT target_id, tlat, tlon, 2*k AS place, iy*{_LATTICE.nx}+ix AS s0, iy*{_LATTICE.nx}+ix+1 AS s1,
     CASE WHEN f THEN (iy+1)*{_LATTICE.nx}+ix+1 ELSE (iy+1)*{_LATTICE.nx}+ix END AS s2,
@@ -298,6 +318,25 @@ _CORNERS_SQL = f"""
 SELECT target_id, unnest([0, 1, 2])::INT AS rank, unnest([s0, s1, s2]) AS source_id, round(unnest([w0, w1, w2]), 6) AS w FROM hit"""
 
 
+# A property the weights must have, told without them: the weighted vertices lie on the target.
+@query("jon03_weights_reproduce_targets", with_ctes("places", _CORNERS_SQL[:_CORNERS_SQL.index(", cell AS")] + f"""
+, near AS (SELECT target_id, {_H}*({_H}-sx) >= sy*sy + {_F2}*sz*sz
+  AND pow(asin(-sy/sqrt(sx*sx+sy*sy+sz*sz)), 2) + pow(atan(sz/sx), 2) <= 0.0144 AS near FROM seen)
+SELECT target_id, near, round(CASE WHEN near THEN lat END, 6) AS lat, round(CASE WHEN near THEN lon - {_ORIGIN} - 360*floor((lon - {_ORIGIN} + 180)/360) END, 6) AS lon
+FROM places JOIN near USING (target_id)"""))
+def _(spark, d):
+    targets = X.places(spark, d)
+    x, y, visible = P.latlon_to_scan(F.col("lat"), F.col("lon"), _P)
+    near = targets.select("target_id", (visible & (x * x + y * y <= 0.0144)).alias("near"))
+    w = Wt.geostationary_weights(targets, _LATTICE, _P)
+    iy, ix = F.floor(F.col("source_id") / _LATTICE.nx), F.col("source_id") % _LATTICE.nx
+    lat, lon = P.scan_to_latlon(F.lit(_LATTICE.x0) + ix * F.lit(_LATTICE.dx), F.lit(_LATTICE.y0) + iy * F.lit(_LATTICE.dy), _P)
+    east = P.wrap_lon(lon - F.lit(_P.lon_origin))
+    met = w.groupBy("target_id").agg(F.sum(F.col("w") * lat).alias("lat"), F.sum(F.col("w") * east).alias("lon"))
+    shown = lambda c: F.when(F.col("near"), F.round(c, 6)).alias(c)
+    return near.join(met, "target_id", "left").select("target_id", "near", shown("lat"), shown("lon"))
+
+
 @query("jon03_geostationary_weights", with_ctes("places", _CORNERS_SQL))
 def _(spark, d):
     w = Wt.geostationary_weights(X.places(spark, d), _LATTICE, _P)

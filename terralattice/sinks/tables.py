@@ -161,10 +161,13 @@ def save_weights(weights: DataFrame, table: str, buckets: int = 64) -> None:
      .format("parquet").saveAsTable(table))
 
 
-def write_weights(weights: DataFrame, path: str) -> None:
-    """Weights as files, kept per grid."""
+def write_weights(weights: DataFrame, path: str, metadata: DataFrame | None = None) -> None:
+    """Weights as files, kept per grid, with a row of metadata per grid beside them."""
     (weights.repartition("grid_id", F.floor(F.col("target_id") / (1 << 20))).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("grid_id").parquet(path))
+    if metadata is not None:
+        (metadata.repartition("grid_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("grid_id").parquet(f"{path}/_about"))
 
 
 def export_failed(log: DataFrame, path: str) -> None:

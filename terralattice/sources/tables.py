@@ -51,6 +51,11 @@ def load_weights(spark: SparkSession, path: str, grid_id: str | None = None) ->
     return weights if grid_id is None else weights.where(F.col("grid_id") == grid_id)
 
 
+def weights_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """A row per grid of what its weights were made from."""
+    return spark.read.parquet(f"{path}/_about").withColumn("grid_id", F.col("grid_id").cast("string"))
+
+
 def region_attributes(spark: SparkSession, path: str) -> DataFrame:
     """What a region was declared with: key, value."""
     return spark.read.parquet(f"{path}/_region/attributes")
