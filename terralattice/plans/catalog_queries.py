@@ -18,11 +18,25 @@ _SLOTS = "('GOES-East','GOES-West','GOES-Test','GOES-Storage')"
 # --- sources ----------------------------------------------------------------
 
 
-@query("src01_scan_directory", """
-SELECT unnest(['region','nation','customer','supplier','part','orders','lineitem','events','documents',
-  'embeddings','pages','benchmark','labels','conversations']) || '.parquet' AS file_name""")
+@query("src01_scan_directory", with_ctes("obs", """
+SELECT DISTINCT 'platform_id=' || platform_id || '/orbital_slot=' || coalesce(orbital_slot, '__HIVE_DEFAULT_PARTITION__') AS folder FROM obs"""))
 def _(spark, d):
-    return Fi.scan_directory(spark, d, "*.parquet", recursive=False).select("file_name")
+    root = session.scratch_path(spark, "incoming")
+    X.obs(spark, d).write.partitionBy("platform_id", "orbital_slot").parquet(root)
+    found = Fi.scan_directory(spark, root, "*.parquet")
+    parts = F.split("file_path", "/")
+    return found.select(F.concat_ws("/", F.element_at(parts, -3), F.element_at(parts, -2)).alias("folder")).distinct()
+
+
+@query("src08_listed_files", with_ctes("scanned_obs", """
+SELECT observation_id, CASE WHEN observation_id % 13 = 0 THEN 'File not found'
+  WHEN error_message LIKE 'Invalid filename%' THEN error_message WHEN observation_id % 17 = 0 THEN 'Not a regular file' ELSE error_message END AS error_message
+FROM scanned_obs"""))
+def _(spark, d):
+    files = X.files(spark, d)
+    number = F.try_element_at("attrs", F.lit("id")).cast("long")
+    listed = files.where(number % 13 != 0).select("file_path", (number % 17 != 0).alias("is_file"))
+    return Ob.scanned(files, listed).select(number.alias("observation_id"), "error_message")
 
 
 @query("src02_foreign_files", with_ctes("obs", """

@@ -31,15 +31,25 @@ def promoted(attrs: str = "attrs") -> list[Column]:
             for k, c in C.PROMOTED_ATTRS.items()]
 
 
-def scanned(files: DataFrame) -> DataFrame:
-    """Validate every file in one pass; `error_message` is null for good ones."""
+def scanned(files: DataFrame, listed: DataFrame | None = None) -> DataFrame:
+    """Validate every file in one pass; `error_message` is null for good ones.
+
+    `listed(file_path[, is_file])` is what a scan of the store found: a file that
+    is not in it does not exist. Without it, files are taken to be there.
+    """
     attr = lambda key: F.try_element_at(F.col("attrs"), F.lit(key))
     present = F.col("attrs").isNotNull()
+    exists, regular = F.lit(True), F.lit(True)
+    if listed is not None:
+        is_file = F.col("is_file") if "is_file" in listed.columns else F.lit(True)
+        found = listed.select("file_path", is_file.alias("_file")).groupBy("file_path").agg(F.bool_or("_file").alias("_file"))
+        files = files.join(found, "file_path", "left")
+        exists, regular = F.col("_file").isNotNull(), F.coalesce("_file", F.lit(False))
     error = F.coalesce(
-        validate.file_error(F.col("file_name"), F.lit(True), F.lit(True)),
+        validate.file_error(F.col("file_name"), exists, regular),
         F.when(~present, "Failed to extract metadata: no attributes"),
         validate.attribute_error(attr("orbital_slot"), attr("platform_ID"), attr("scene_id")))
-    return files.withColumn("error_message", error)
+    return files.withColumn("error_message", error).drop("_file")
 
 
 def observations(good: DataFrame) -> DataFrame:

@@ -237,3 +237,100 @@ def test_stream_deduplication(spark, tmp_path):
     stream = ingest.deduplicated(ingest.file_stream(spark, src, spark.read.parquet(src).schema), ["file"], "time", "1 hour")
     ingest.run_available(stream, str(tmp_path / "ck"), lambda df, i: df.write.mode("append").parquet(out))
     assert spark.read.parquet(out).count() == 3
+
+
+def frame_pixels(spark, frames, pixels=range(4), bands=(2,)):
+    df = spark.createDataFrame([(t, i) for t in frames for i in pixels], "time string, source_id long")
+    return df.select(F.lit("GOES-East").alias("orbital_slot"), F.col("time").cast("date").alias("obs_date"), F.col("time").cast("timestamp").alias("time"),
+                     "source_id", *[F.lit(float(b)).alias(f"cmi_c{b:02d}") for b in bands])
+
+
+def test_parts_of_a_frame_are_kept(spark, tmp_path):
+    path, schema = str(tmp_path / "region"), schemas.gridded([2])
+    sinks.create_store(spark, path, [2])
+    rows = gridded_rows(spark, ["2024-01-01 00:00:00"])
+    sinks.append_frames(rows.where("target_id < 3"), path, schema)
+    frames = rows.select("orbital_slot", "obs_date", "time").distinct()
+    assert sinks.missing_frames(frames, path, schema, 4).count() == 1
+    sinks.append_frames(rows, path, schema, frames)
+    assert spark.read.parquet(path).count() == 4 and sinks.missing_frames(frames, path, schema, 4).isEmpty()
+    nowhere = rows.withColumn("orbital_slot", F.lit(None).cast("string"))
+    for _ in range(2):
+        sinks.append_frames(nowhere, path, schema)
+    assert T.open_region(spark, path).count() == 8
+    with pytest.raises(ValueError, match="Band set differs"):
+        sinks.append_frames(rows.withColumnRenamed("cmi_c02", "cmi_c03"), path, schema)
+
+
+def test_observations_are_checked_before_gridding(spark, tmp_path):
+    path, schema = str(tmp_path / "region"), schemas.gridded([2])
+    sinks.create_store(spark, path, [2])
+    gridded = []
+
+    def transform(px):
+        gridded.append(px.select("time").distinct().count())
+        return sinks.stored_rows(px.select("orbital_slot", "time", F.col("source_id").alias("target_id"), F.lit("G16").alias("platform_id"),
+                                           F.lit(None).cast("string").alias("scan_mode"), F.lit(0).alias("ilat"), F.col("source_id").alias("ilon"),
+                                           "cmi_c02", F.lit(0).alias("dqf_c02")), [2])
+    good, short = frame_pixels(spark, ["2024-01-01 00:00:00", "2024-01-01 00:10:00"]), frame_pixels(spark, ["2024-01-01 00:20:00"], range(3))
+    refused = sinks.append_observations(good.unionByName(short), path, schema, transform, [2], 4, 4).collect()
+    assert [(str(r["time"])[11:16], r["error_message"]) for r in refused] == [("00:20", "Unexpected frame shape")]
+    sinks.append_observations(good, path, schema, transform, [2], 4, 4)
+    assert gridded == [2, 0] and T.open_region(spark, path).count() == 8
+    wide = frame_pixels(spark, ["2024-01-01 00:30:00"], bands=(2, 3))
+    assert sinks.append_observations(wide, path, schema, transform, [2], 4, 4).first()["error_message"] == "Band set differs: 2,3"
+
+
+def test_an_empty_region_opens_with_what_was_declared(spark, tmp_path):
+    grid = spark.createDataFrame([(i, 0, i, 10.0, lon) for i, lon in enumerate([170.0, 175.0, -180.0, -175.0])],
+                                 "target_id long, ilat int, ilon int, lat double, lon double")
+    path = str(tmp_path / "region")
+    sinks.create_store(spark, path, [2, 13], name="Pacific", grid=grid, attributes={"title": "test"})
+    region = T.open_region(spark, path)
+    assert region.isEmpty() and B.available_bands(region) == [2, 13] and T.region_grid(spark, path).count() == 4
+    assert {r["key"]: r["value"] for r in T.region_attributes(spark, path).where("key <> 'schema'").collect()} == {
+        "region": "Pacific", "bands": "2,13", "title": "test"}
+    with pytest.raises(ValueError, match="lon axis"):
+        sinks.create_store(spark, str(tmp_path / "bent"), [2], grid=grid.withColumn("lon", F.when(F.col("ilon") == 1, 0.0).otherwise(F.col("lon"))))
+    for bands in ([], [0], [2, 2]):
+        with pytest.raises(ValueError, match="Bands"):
+            sinks.create_store(spark, str(tmp_path / "none"), bands)
+
+
+@pytest.mark.parametrize("max_files", [None, 1, 2])
+def test_frames_that_arrive_in_parts_are_gridded_whole(spark, tmp_path, max_files):
+    from terralattice.operators import regrid as R
+    w = X.station_weights(spark, SMALL).where("target_id < 50").drop("grid").cache()
+    src, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+    px = X.raster(spark, SMALL).where("vec_id < 6").select("vec_id", "source_id", "cmi")
+    for part in (px.where("source_id % 3 = 0"), px.where("source_id % 3 = 1 and vec_id <> 4"), px.where("source_id % 3 = 2")):
+        part.coalesce(1).write.mode("append").parquet(src)
+    def run(checkpoint, source=src):
+        ingest.grid_frames(ingest.file_stream(spark, source, px.schema, max_files), lambda df: R.regrid(df, w, ["vec_id"], ["cmi"]),
+                           lambda df: df.withColumn("error_message", F.lit(None).cast("string")), out, log, str(tmp_path / checkpoint), ["vec_id"], 64)
+    whole = R.regrid(px.where("vec_id <> 4"), w, ["vec_id"], ["cmi"])
+    for checkpoint in ("ck1", "ck1", "ck2"):  # goes on, then has lost its checkpoint
+        run(checkpoint)
+        assert spark.read.parquet(out).count() == whole.count()
+    px.where("source_id % 3 = 1 and vec_id = 4").write.mode("append").parquet(src)  # the late part
+    run("ck2")
+    stored = spark.read.parquet(out)
+    assert stored.count() == stored.select("vec_id", "target_id").distinct().count() == R.regrid(px, w, ["vec_id"], ["cmi"]).count()
+    assert spark.read.parquet(log).where("status = 'done'").count() == 6
+
+
+def test_strict_streams_stop_at_a_failed_frame(spark, tmp_path):
+    src = str(tmp_path / "in")
+    spark.range(3).selectExpr("id as vec_id", "0L as source_id").write.parquet(src)
+    with pytest.raises(Exception, match="a frame failed"):
+        ingest.grid_frames(ingest.file_stream(spark, src, spark.read.parquet(src).schema), lambda df: df,
+                           lambda df: df.withColumn("error_message", F.when(F.col("vec_id") == 1, "bad")),
+                           str(tmp_path / "out"), str(tmp_path / "log"), str(tmp_path / "ck"), ["vec_id"], strict=True)
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    from types import SimpleNamespace
+    from terralattice import session
+    lone = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(lone)
