@@ -32,7 +32,23 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-@query("op2_suffix_dedup")
+# Every byte string of 50, as hexadecimal text, with the smallest document it starts in.
+OP2 = """
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+strings AS (SELECT doc_id, nr, substr(h, 2 * nr + 1, 100) AS s FROM (SELECT *, unnest(range(0, length(h) // 2 - 49)) AS nr FROM texts WHERE length(h) >= 100)),
+late AS (SELECT doc_id, nr FROM (SELECT doc_id, nr, min(doc_id) OVER (PARTITION BY s) AS first FROM strings) WHERE first < doc_id),
+bytes AS (SELECT doc_id, nr, substr(h, 2 * nr + 1, 2) AS b FROM (SELECT *, unnest(range(0, length(h) // 2)) AS nr FROM texts)),
+marked AS (
+  SELECT b.*, bool_or(l.nr IS NOT NULL) OVER (PARTITION BY b.doc_id ORDER BY b.nr ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM bytes b LEFT JOIN late l ON l.doc_id = b.doc_id AND l.nr = b.nr),
+runs AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY nr), false) AS starts FROM marked)
+SELECT d.doc_id, count(r.b) AS n_bytes, count(*) FILTER (r.gone) AS n_removed, count(*) FILTER (r.starts) AS n_spans,
+       sha256(unhex(coalesce(string_agg(r.b, '' ORDER BY r.nr) FILTER (NOT r.gone), ''))) AS kept_sha256
+FROM documents d LEFT JOIN runs r ON r.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+@query("op2_suffix_dedup", OP2)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -43,7 +59,29 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
-@query("op4_substring_dedup")
+_WORDS = r"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS nr FROM texts)"""
+
+
+def _windows(n: int) -> str:
+    """Word windows of one length, by their first word."""
+    frame = f"OVER (PARTITION BY doc_id ORDER BY nr ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING)"
+    return f"SELECT doc_id, nr, s FROM (SELECT doc_id, nr, string_agg(word, ' ') {frame} AS s, count(*) {frame} AS n FROM words) WHERE n = {n}"
+
+
+OP4 = _WORDS + f""",
+late AS (SELECT doc_id, nr FROM (SELECT doc_id, nr, min(doc_id) OVER (PARTITION BY s) AS first FROM ({_windows(13)})) WHERE first < doc_id),
+marked AS (
+  SELECT w.*, bool_or(l.nr IS NOT NULL) OVER (PARTITION BY w.doc_id ORDER BY w.nr ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone
+  FROM words w LEFT JOIN late l ON l.doc_id = w.doc_id AND l.nr = w.nr)
+SELECT d.doc_id, count(m.word) AS n_words, count(*) FILTER (m.gone) AS n_removed,
+       sha256(coalesce(string_agg(m.word, ' ' ORDER BY m.nr) FILTER (NOT m.gone), '')) AS kept_sha256
+FROM documents d LEFT JOIN marked m ON m.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+@query("op4_substring_dedup", OP4)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -114,7 +152,42 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-@query("op9_quality_rules")
+def _coverage(n: int) -> str:
+    """Per document: words in windows of n words found twice or more, and characters in those found before."""
+    frame = f"OVER (PARTITION BY w.doc_id ORDER BY w.nr ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    return f"""g{n} AS (
+  SELECT doc_id, count(*) FILTER (twice) AS words, coalesce(sum(length(word)) FILTER (later), 0) AS chars FROM (
+    SELECT w.doc_id, w.word, bool_or(coalesce(x.again > 1, false)) {frame} AS twice, bool_or(coalesce(x.place > 1, false)) {frame} AS later
+    FROM words w LEFT JOIN (
+      SELECT doc_id, nr, count(*) OVER (PARTITION BY doc_id, s) AS again, row_number() OVER (PARTITION BY doc_id, s ORDER BY nr) AS place
+      FROM ({_windows(n)})) x ON x.doc_id = w.doc_id AND x.nr = w.nr)
+  GROUP BY doc_id)"""
+
+
+_LENGTHS = tuple(quality.LIMITS)
+OP9 = _WORDS + ",\n" + ",\n".join(map(_coverage, _LENGTHS)) + r""",
+lines AS (
+  SELECT doc_id, count(*) FILTER (place > 1) AS again, coalesce(sum(length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g'))) FILTER (place > 1), 0) AS chars
+  FROM (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line ORDER BY nr) AS place
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS nr FROM texts)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]')) GROUP BY doc_id),
+base AS (
+  SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(length(array_to_string(w, '')), 0) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    coalesce(l.again, 0) AS n_dup_lines, coalesce(g8.words, 0) AS n_repeat_words, coalesce(l.chars, 0) AS line_chars""" + "".join(
+    f", coalesce(g{n}.chars, 0) AS c{n}" for n in _LENGTHS) + """
+  FROM texts t LEFT JOIN lines l ON l.doc_id = t.doc_id""" + "".join(f" LEFT JOIN g{n} ON g{n}.doc_id = t.doc_id" for n in _LENGTHS) + """),
+shares AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    CASE WHEN word_chars > 0 THEN CAST(line_chars AS DOUBLE) / word_chars ELSE 0 END AS dup_line_share""" + "".join(
+    f", CASE WHEN word_chars > 0 THEN CAST(c{n} AS DOUBLE) / word_chars ELSE 0 END AS dup_{n}gram_share" for n in _LENGTHS) + """ FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, dup_line_share, """ + ", ".join(
+    f"dup_{n}gram_share" for n in _LENGTHS) + f""", base_failed,
+  NOT base_failed AND dup_line_share <= {quality.LINE_LIMIT}::DOUBLE AND """ + " AND ".join(
+    f"dup_{n}gram_share <= {limit}::DOUBLE" for n, limit in quality.LIMITS.items()) + " AS kept FROM shares"
+
+
+@query("op9_quality_rules", OP9)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"))
 
