@@ -113,6 +113,12 @@ def weights(spark: SparkSession) -> DataFrame:
     return Wt.lattice_weights(targets(spark), "tx", "ty", NX, NY)
 
 
+def small_targets(spark: SparkSession) -> DataFrame:
+    """5 x 5 targets at half-pixel steps over the 2 x 2 lattice of `pixels16`."""
+    i, j = F.floor(F.col("id") / 5), F.col("id") % 5
+    return spark.range(25).select(F.col("id").alias("target_id"), (0.5 * i - 0.5).alias("ty"), (0.5 * j - 0.5).alias("tx"))
+
+
 def stations(spark: SparkSession, d: str) -> DataFrame:
     """One target point per order, in eighths of a pixel."""
     o = table(spark, d, "orders")
@@ -256,23 +262,23 @@ FROM customer""",
 }
 
 
-def _weights_sql(points: str) -> str:
-    """Closed-form weights of points (target_id, tx, ty) in the 8 x 8 lattice."""
+def weights_sql(points: str, n: int = NX) -> str:
+    """Closed-form weights of points (target_id, tx, ty) in the n x n lattice."""
     return f"""
 SELECT target_id, CAST(rank AS INT) AS rank, CAST(source_id AS BIGINT) AS source_id, w,
   row_number() OVER (PARTITION BY target_id ORDER BY w DESC, rank) = 1 AS dominant,
   max(w) OVER (PARTITION BY target_id) AS max_w
 FROM (
   SELECT target_id, unnest([0, 1, 2]) AS rank,
-    unnest(CASE WHEN fx+fy <= 1 THEN [y0*8+x0, y0*8+x0+1, (y0+1)*8+x0] ELSE [(y0+1)*8+x0+1, (y0+1)*8+x0, y0*8+x0+1] END) AS source_id,
+    unnest(CASE WHEN fx+fy <= 1 THEN [y0*{n}+x0, y0*{n}+x0+1, (y0+1)*{n}+x0] ELSE [(y0+1)*{n}+x0+1, (y0+1)*{n}+x0, y0*{n}+x0+1] END) AS source_id,
     unnest(CASE WHEN fx+fy <= 1 THEN [1-fx-fy, fx, fy] ELSE [fx+fy-1, 1-fx, 1-fy] END) AS w
   FROM (SELECT target_id, x0, y0, tx - x0 AS fx, ty - y0 AS fy
-        FROM (SELECT target_id, tx, ty, least(CAST(floor(tx) AS BIGINT), 6) AS x0, least(CAST(floor(ty) AS BIGINT), 6) AS y0
-              FROM {points} WHERE tx BETWEEN 0 AND 7 AND ty BETWEEN 0 AND 7)))"""
+        FROM (SELECT target_id, tx, ty, least(CAST(floor(tx) AS BIGINT), {n - 2}) AS x0, least(CAST(floor(ty) AS BIGINT), {n - 2}) AS y0
+              FROM {points} WHERE tx BETWEEN 0 AND {n - 1} AND ty BETWEEN 0 AND {n - 1})))"""
 
 
-CTE["weights"] = _weights_sql("targets")
-CTE["station_weights"] = _weights_sql("stations")
+CTE["weights"] = weights_sql("targets")
+CTE["station_weights"] = weights_sql("stations")
 CTE["regridded"] = """
 SELECT f.vec_id, f.band, t.target_id, CASE WHEN v.w0 IS NULL THEN CAST('NaN' AS DOUBLE) ELSE g.cmi END AS cmi,
   CAST(CASE WHEN v.w0 IS NULL THEN 3

@@ -118,6 +118,34 @@ def _(spark, d):
     return found.select("vec_id", F.col("target_id").cast("int").alias("target_id"), *[_r6(c) for c in cmi])
 
 
+def _flag_sql(b: int) -> str:
+    blend = f"q{b}"
+    return (f"CAST(CASE WHEN m IS NULL THEN 3 WHEN m >= 0.999 THEN d{b} WHEN abs({blend} - round_even({blend}, 0)) < 1e-6 "
+            f"THEN round_even({blend}, 0) ELSE 5 END AS SMALLINT) AS dqf_c{b:02d}")
+
+
+# A whole observation: 16 bands and 16 flags on all targets, with platform and scan mode.
+@query("udf03_whole_observation", with_ctes("pixels16", """
+, small AS (SELECT i*5+j AS target_id, CAST(-0.5+0.5*i AS DOUBLE) AS ty, CAST(-0.5+0.5*j AS DOUBLE) AS tx FROM range(5) a(i), range(5) b(j))
+, w2 AS (""" + X.weights_sql("small", 2) + """)
+, g AS (SELECT p.vec_id, w2.target_id, """ + ", ".join(
+    f"sum(w*cmi_c{b:02d}) AS s{b}, sum(w*dqf_c{b:02d}) AS q{b}, max(CASE WHEN dominant THEN dqf_c{b:02d} END) AS d{b}" for b in C.ALL_BANDS) + """
+  FROM pixels16 p JOIN w2 USING (source_id) GROUP BY 1, 2)
+SELECT e.vec_id, 'G1' || (6 + e.vec_id % 4) AS platform_id, CASE WHEN e.vec_id % 2 = 0 THEN 'ABI Mode 6' ELSE 'unknown' END AS scan_mode, t.target_id, """ + ", ".join(
+    f"round(CASE WHEN NOT isnan(s{b}) THEN s{b} END, 6) AS cmi_c{b:02d}, {_flag_sql(b)}" for b in C.ALL_BANDS) + """
+FROM embeddings e CROSS JOIN small t LEFT JOIN (SELECT target_id, max(max_w) AS m FROM w2 GROUP BY 1) c ON c.target_id = t.target_id
+LEFT JOIN g ON g.vec_id = e.vec_id AND g.target_id = t.target_id"""))
+def _(spark, d):
+    own = session.gridding_session(spark)
+    targets = X.small_targets(own)
+    cmi, dqf = [[f"{kind}_c{b:02d}" for b in C.ALL_BANDS] for kind in ("cmi", "dqf")]
+    frames = X.table(own, d, "embeddings").select("vec_id")
+    found = R.regrid(X.pixels16(own, d), Wt.lattice_weights(targets, "tx", "ty", 2, 2), ["vec_id"], cmi, dqf, every=(frames, targets))
+    seen = frames.select("vec_id", F.concat(F.lit("G1"), (6 + F.col("vec_id") % 4).cast("string")).alias("platform_id"),
+                         F.when(F.col("vec_id") % 2 == 0, "ABI Mode 6").alias("scan_mode"))
+    return R.observation_rows(found, seen, ["vec_id"]).select("vec_id", "platform_id", "scan_mode", "target_id", *[_r6(c) for c in cmi], *dqf)
+
+
 @query("udf04_preprocess_hook", with_ctes("pixels16", f"""
 SELECT vec_id, source_id, {_sql6('cmi_c13 - 273.15')} AS cmi_c13 FROM pixels16"""))
 def _(spark, d):
@@ -1035,9 +1063,35 @@ def _(spark, d):
 
 
 @query("str08_finalize_store", with_ctes("regridded", _STORE_SQL + """
-SELECT orbital_slot, min(time) AS coverage_start, max(time) AS coverage_end, round(epoch(max(time) - min(time)), 6)::DOUBLE AS duration_seconds FROM stored GROUP BY 1"""))
+SELECT orbital_slot, min(time) AS coverage_start, max(time) AS coverage_end, round(epoch(max(time) - min(time)), 6)::DOUBLE AS duration_seconds,
+  'created; finalized' AS history FROM stored GROUP BY 1"""))
 def _(spark, d):
-    return ingest.finalize(spark, _written_store(spark, d), ["orbital_slot"])
+    path = _written_store(spark, d)
+    sinks.append_history(spark, path, "created")
+    ingest.finalize(spark, path, ["orbital_slot"])
+    told = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ts", "message"))), lambda h: h["message"]), "; ")
+    history = T.region_history(spark, path).select(told.alias("history")).first()["history"]
+    return T.region_coverage(spark, path).withColumn("history", F.lit(history))
+
+
+@query("str04_retried_frames", with_ctes("raster", """
+, tries AS (SELECT DISTINCT vec_id, vec_id % 5 AS kind FROM raster), attempts AS (
+  SELECT vec_id, 1 AS attempt, CASE WHEN kind < 2 THEN 'failed' ELSE 'done' END AS status FROM tries
+  UNION ALL SELECT vec_id, 2, CASE WHEN kind = 0 THEN 'failed' ELSE 'done' END FROM tries WHERE kind < 2)
+SELECT attempt, status, count(*) AS frames FROM attempts GROUP BY 1, 2"""))
+def _(spark, d):
+    """Frames of two kinds fail; one kind is mended, and what failed once is tried once more."""
+    source, base = session.scratch_path(spark, "arrivals"), session.scratch_path(spark, "stream")
+    px = X.raster(spark, d)
+    px.write.parquet(source)
+    w = session.materialize(X.weights(spark), "stream-weights")
+    transform = lambda df: R.regrid(df, w, ["vec_id"], ["cmi"])
+    failing = lambda kinds: lambda df: df.withColumn("error_message", F.when(F.col("vec_id") % 5 < kinds, "broken"))
+    stream = ingest.file_stream(spark, source, px.schema)
+    ingest.grid_frames(stream, transform, failing(2), f"{base}/gridded", f"{base}/log", f"{base}/checkpoint", ["vec_id"])
+    for _ in range(2):  # the second time nothing may be tried again
+        ingest.retry_frames(spark.read.parquet(source), transform, failing(1), f"{base}/gridded", f"{base}/log", ["vec_id"], max_retries=1)
+    return spark.read.parquet(f"{base}/log").groupBy("attempt", "status").agg(F.count("*").alias("frames"))
 
 
 @query("str02_process_range", with_ctes("raster weights", f"""

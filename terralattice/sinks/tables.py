@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terralattice import constants as C, schemas, session
 from terralattice.functions import scalars as S
-from terralattice.operators import bands as B, catalog, grid as G
+from terralattice.operators import bands as B, catalog, grid as G, store
 from terralattice.operators.groups import join_by
 from terralattice.schemas import TEXT_TIMES
 from terralattice.sources import tables as T
@@ -149,6 +149,12 @@ def overwrite_dates(rows: DataFrame, path: str) -> None:
      .partitionBy("orbital_slot", "obs_date").parquet(path))
 
 
+def append_history(spark: SparkSession, path: str, message: str) -> None:
+    """Add a line to a region's history."""
+    now = spark.range(1).select(F.current_timestamp().alias("ts"), F.lit(message).alias("message"))
+    now.withColumn("line", store.history_line(F.col("ts"), F.col("message"))).write.mode("append").parquet(f"{path}/_region/history")
+
+
 def replace_selection(stored: DataFrame, changed: DataFrame, keys: list[str]) -> DataFrame:
     """Stored rows with the rows of `changed` put in their place."""
     catalog.same_columns(stored, changed)

@@ -65,6 +65,16 @@ def region_grid(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/_region/grid")
 
 
+def region_coverage(spark: SparkSession, path: str) -> DataFrame:
+    """Time coverage as of the last closing job."""
+    return spark.read.parquet(f"{path}/_region/coverage")
+
+
+def region_history(spark: SparkSession, path: str) -> DataFrame:
+    """ts, message, line of all that was done to a region, in no order."""
+    return spark.read.parquet(f"{path}/_region/history")
+
+
 def _region_reader(spark: SparkSession, path: str):
     """A reader with the declared schema, or without one for tables written elsewhere."""
     if not exists(spark, f"{path}/_region/attributes"):

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from terralattice import session
 from terralattice.operators import store, validate
 from terralattice.operators.groups import join_by
+from terralattice.sources import tables
 from terralattice.sinks import tables as sinks
 
 
@@ -81,15 +82,40 @@ def grid_frames(stream: DataFrame, transform: Callable[[DataFrame], DataFrame],
             join_by(arrived, early.select(*frame, F.lit(1).alias("_early")), frame).drop("_early").write.mode("overwrite").parquet(f"{waiting}/{own}")
             over = F.when(F.col("_n") > expected_pixels, "Unexpected frame shape")
             states = states.withColumn("error", F.coalesce("error", over)).where(F.col("error").isNotNull() | (F.col("_n") == expected_pixels))
-        states = states.drop("_n")
         if strict:
             validate.require_none(states.where(F.col("error").isNotNull()), "a frame failed")
-        good = states.where(F.col("error").isNull()).select(*frame, F.lit(1).alias("_good"))
-        transform(join_by(arrived, good, frame).drop("_good")).write.mode("overwrite").parquet(f"{path}/{own}")
-        _log_states(states, earlier, frame).write.mode("overwrite").parquet(f"{log_path}/{own}")
+        _write(arrived, states.drop("_n"), earlier, transform, path, log_path, own, frame)
     return run_available(stream, checkpoint, each)
 
 
+def retry_frames(pixels: DataFrame, transform: Callable[[DataFrame], DataFrame], error: Callable[[DataFrame], DataFrame],
+                 path: str, log_path: str, frame: list[str], max_retries: int = 1) -> None:
+    """Grid once more the frames that have failed at most `max_retries` times and were never done.
+
+    `pixels` hold those frames in whole; others are left out. Attempts are counted
+    on in the log. Each call writes a folder of its own.
+    """
+    spark = pixels.sparkSession
+    if not session.child_names(spark, log_path):
+        return
+    log = spark.read.parquet(log_path)
+    tried = log.groupBy(*frame).agg(F.count_if(F.col("status") == "failed").alias("_f"), F.count_if(F.col("status") == "done").alias("_d"))
+    eligible = session.materialize(tried.where((F.col("_d") == 0) & (F.col("_f") <= max_retries)).select(*frame), "retries")
+    arrived = join_by(pixels, eligible.withColumn("_again", F.lit(1)), frame).drop("_again")
+    states = error(arrived).groupBy(*frame).agg(F.max("error_message").alias("error"))
+    own = f"run=retry/batch={len(session.child_names(spark, f'{log_path}/run=retry'))}"
+    _write(arrived, states, log, transform, path, log_path, own, frame)
+
+
+def _write(arrived: DataFrame, states: DataFrame, earlier: DataFrame | None, transform: Callable[[DataFrame], DataFrame],
+           path: str, log_path: str, own: str, frame: list[str]) -> None:
+    """Gridded rows of the good frames first, then the log, which makes them count."""
+    good = states.where(F.col("error").isNull()).select(*frame, F.lit(1).alias("_good"))
+    transform(join_by(arrived, good, frame).drop("_good")).write.mode("overwrite").parquet(f"{path}/{own}")
+    logged = session.materialize(_log_states(states, earlier, frame), "states")  # read before the log is written to
+    logged.write.mode("overwrite").parquet(f"{log_path}/{own}")
+
+
 def _query_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that a streaming query keeps in its checkpoint; another checkpoint, another id."""
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
@@ -139,6 +165,8 @@ def split_late(batch: DataFrame, stored_last: DataFrame, keys: list[str], time:
     return joined.withColumn("late", F.coalesce(F.col(time) <= F.col("_last"), F.lit(False))).drop("_last")
 
 
-def finalize(spark: SparkSession, path: str, keys: list[str], time: str = "time") -> DataFrame:
-    """Closing job: coverage of each region as stored now."""
-    return store.time_coverage(spark.read.parquet(path), keys, time, time)
+def finalize(spark: SparkSession, path: str, keys: list[str], time: str = "time", message: str = "finalized") -> None:
+    """Closing job: keeps the coverage of each region as stored now, and a line of history."""
+    coverage = store.time_coverage(tables.open_region(spark, path), keys, time, time)
+    coverage.write.mode("overwrite").parquet(f"{path}/_region/coverage")
+    sinks.append_history(spark, path, message)
