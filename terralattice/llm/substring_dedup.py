@@ -56,8 +56,7 @@ def _sequence(text: bytes, window: int, width: int) -> tuple[list[bytes], winnow
     if len(words) < window:
         return words, None, ()
     hashes = winnow.Hashes(np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64))
-    starts = np.arange(len(words) - (window - width))
-    seeds = hashes.of(starts, starts + (window - width + 1))
+    seeds = hashes.grams(window - width + 1)
     at, first, last = winnow.anchors(seeds, width)
     extended = winnow.mix(hashes.of(first, last + window) + winnow.mix((at - first).astype(np.uint64)))
     return words, hashes, (seeds[at].view(np.int64), extended.view(np.int64), first, last - first + 1)

@@ -37,8 +37,7 @@ _SYMBOL = winnow.mix(np.arange(1, 257, dtype=np.uint64))
 def _anchors(text: bytes, window: int, seed_bytes: int):
     """Hashes, and seed (48 bits), offset in the first window, first window and number of windows of each anchor."""
     hashes = winnow.Hashes(_SYMBOL[np.frombuffer(text, np.uint8)])
-    starts = np.arange(len(text) - seed_bytes + 1)
-    seeds = hashes.of(starts, starts + seed_bytes)
+    seeds = hashes.grams(seed_bytes)
     at, first, last = winnow.anchors(seeds, window - seed_bytes + 1)
     return hashes, (seeds[at] >> np.uint64(16)).astype(np.int64), at - first, first, last - first + 1
 

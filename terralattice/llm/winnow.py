@@ -36,6 +36,10 @@ class Hashes:
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(symbols * powers[:n], out=self.sums[1:])
 
+    def grams(self, k: int) -> np.ndarray:
+        """Hashes of all `k` symbols in a row; the same as `of` gives."""
+        return mix((self.sums[k:] - self.sums[:-k]) * self.inverse[:len(self.sums) - k])
+
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts])
 
@@ -43,21 +47,19 @@ class Hashes:
 def anchors(grams: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows with one anchor: its position, first and last window.
 
-    A window is `width` grams in a row; its anchor is the first of the smallest.
+    A window is `width` grams in a row; its anchor is the first of those smallest in
+    their upper 32 bits. The lower bits carry the position through the minimum.
     """
     if len(grams) < width:
         none = np.zeros(0, np.int64)
         return none, none, none
-    low = grams.copy()
-    place = np.arange(len(grams))
+    low = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
     reach = 1  # `low` holds the smallest of `reach` grams from each position
     while reach < width:
         step = min(reach, width - reach)
-        other = low[step:]
-        ahead = other < low[:len(other)]
-        place = np.where(ahead, place[step:], place[:len(other)])
-        low = np.where(ahead, other, low[:len(other)])
+        low = np.minimum(low[:-step], low[step:])
         reach += step
+    place = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
     first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
     last = np.concatenate((first[1:], [len(place)])) - 1
     return place[first], first, last
