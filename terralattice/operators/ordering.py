@@ -131,7 +131,13 @@ def newest(df: DataFrame, keys: list[str], by: str, n: int) -> DataFrame:
     return df.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
 
 
-def append_positions(new: DataFrame, base: int, order: list[str], name: str = "position") -> DataFrame:
-    """Positions that new rows take when appended after `base` stored rows."""
+def append_positions(new: DataFrame, stored: DataFrame, order: list[str], name: str = "position") -> DataFrame:
+    """Positions that new rows take when appended after the stored ones, from the largest position stored."""
+    last = stored.agg(F.max(name)).first()[0]
     placed = with_position(new, [], order, name)
-    return placed.withColumn(name, (F.col(name) + base).cast("long"))
+    return placed.withColumn(name, (F.col(name) + (0 if last is None else last + 1)).cast("long"))
+
+
+def position_range(placed: DataFrame, name: str = "position") -> DataFrame:
+    """One row: the first position and the one after the last; null where there are no rows."""
+    return placed.agg(F.min(name).alias("start"), (F.max(name) + 1).alias("end"))

@@ -475,7 +475,19 @@ SELECT observation_id, place FROM placed WHERE new_row"""))
 def _(spark, d):
     o = X.obs(spark, d).select("observation_id", "time_coverage_start")
     stored, new = o.where(F.col("observation_id") % 4 != 0), o.where(F.col("observation_id") % 4 == 0)
-    return ordering.append_positions(new, stored.count(), ["time_coverage_start", "observation_id"], "place").select("observation_id", "place")
+    order = ["time_coverage_start", "observation_id"]
+    held = ordering.with_position(stored, [], order, "place")
+    return ordering.append_positions(new, held, order, "place").select("observation_id", "place")
+
+
+@query("snk07_appended_range", with_ctes("obs", """
+SELECT count(*) FILTER (observation_id % 4 <> 0) AS "start", count(*) AS "end" FROM obs"""))
+def _(spark, d):
+    o = X.obs(spark, d).select("observation_id", "time_coverage_start")
+    order = ["time_coverage_start", "observation_id"]
+    held = ordering.with_position(o.where(F.col("observation_id") % 4 != 0), [], order, "place")
+    placed = ordering.append_positions(o.where(F.col("observation_id") % 4 == 0), held, order, "place")
+    return ordering.position_range(placed, "place")
 
 
 @query("snk08_replace_selection", with_ctes("obs", """

@@ -539,6 +539,14 @@ def _(spark, d):
     return B.with_metadata(counted, spark).select("band", "name", "band_id", "wavelength", "units", "pixels")
 
 
+@query("prj05_all_bands", with_ctes("pixels16", _BANDS_SQL + """
+SELECT b.band, b.name, 'C' || lpad(CAST(b.band AS VARCHAR), 2, '0') AS band_id, b.wavelength, CASE WHEN b.band < 7 THEN '1' ELSE 'K' END AS units,
+  (SELECT count(*) FROM pixels16) AS pixels FROM bands b"""))
+def _(spark, d):
+    counted = B.to_long(X.pixels16(spark, d), ["vec_id"]).groupBy("band").agg(F.count(F.lit(1)).alias("pixels"))
+    return B.with_metadata(counted, spark).select("band", "name", "band_id", "wavelength", "units", "pixels")
+
+
 @query("prj06_metadata_override", with_ctes("measure", _BANDS_SQL + """
 , counted AS (SELECT band, count(*) AS pixels FROM measure GROUP BY band)
 SELECT CAST(c.band AS INT) AS band, CASE WHEN c.band = 3 THEN 'Vegetation' ELSE b.name END AS name,
@@ -653,7 +661,8 @@ def _(spark, d):
     full, thermal = session.scratch_path(spark, "full"), session.scratch_path(spark, "thermal")
     p.where(F.col("vec_id") % 2 == 0).select("vec_id", "source_id", "cmi_c02", "cmi_c13").write.parquet(full)
     p.where(F.col("vec_id") % 2 == 1).select("vec_id", "source_id", "cmi_c13").write.parquet(thermal)
-    return T.open_files(spark, [full, thermal]).select("vec_id", "source_id", _r6("cmi_c02"), _r6("cmi_c13"))
+    schema = p.select("vec_id", "source_id", "cmi_c02", "cmi_c13").schema
+    return T.open_files(spark, [full, thermal], schema=schema).select("vec_id", "source_id", _r6("cmi_c02"), _r6("cmi_c13"))
 
 
 @query("jon06_selected_pixels", with_ctes("raster", """
@@ -1044,10 +1053,10 @@ def _(spark, d):
 @query("str06_stream_catalog", with_ctes("obs", "SELECT observation_id, orbital_slot, file_name FROM obs"))
 def _(spark, d):
     source, base = session.scratch_path(spark, "catalog-arrivals"), session.scratch_path(spark, "catalog-stream")
-    o = X.obs(spark, d).select("observation_id", "orbital_slot", "file_name")
+    o = X.obs(spark, d).select("observation_id", "orbital_slot", "file_name", F.to_date("time_coverage_start").alias("obs_date"))
     o.union(o.where(F.col("observation_id") % 2 == 0)).write.parquet(source)
     stream = ingest.file_stream(spark, source, o.schema, max_files=4)
-    ingest.grow_catalog(stream, f"{base}/observations", f"{base}/checkpoint", ["observation_id"])
+    ingest.grow_catalog(stream, f"{base}/observations", f"{base}/checkpoint", ["observation_id"], by="obs_date")
     return spark.read.parquet(f"{base}/observations").select("observation_id", "orbital_slot", "file_name")
 
 

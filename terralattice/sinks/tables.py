@@ -28,19 +28,25 @@ def write_catalog(tables: dict[str, DataFrame], directory: str, fmt: str = "parq
         writer.format(fmt).save(f"{directory}/{name}")
 
 
-def append_new(new: DataFrame, path: str, keys: list[str], unique: bool = False) -> None:
+def append_new(new: DataFrame, path: str, keys: list[str], unique: bool = False, by: str | None = None) -> None:
     """Append the rows whose key is not stored yet; create the table when absent.
 
-    The stored keys are read with the columns pruned to the key. Repeats inside
+    The stored keys are read with the columns pruned to the key. `by` names a column that
+    the key decides, such as a date: the table is partitioned by it, and only the partitions
+    that the new rows concern are read. Repeats inside
     `new` are settled first unless the caller knows that its keys are `unique`.
     """
     spark = new.sparkSession
     fresh = new if unique else catalog.settle(new, keys)
     if T.exists(spark, path):
-        stored = spark.read.parquet(path)
+        stored = spark.read.schema(new.schema).parquet(path) if by else spark.read.parquet(path)
         catalog.same_columns(stored, new)
-        fresh = catalog.not_yet_known(fresh, stored, keys).select(*stored.columns)
-    fresh.write.mode("append").parquet(path)
+        known = stored.select(*dict.fromkeys([*keys, *([by] if by else [])]))
+        if by:
+            known = join_by(known, new.select(by).distinct().withColumn("_part", F.lit(1)), [by]).drop("_part")
+        fresh = catalog.not_yet_known(fresh, known, keys).select(*stored.columns)
+    writer = (fresh.repartition(by) if by else fresh).write.mode("append")
+    (writer.partitionBy(by) if by else writer).parquet(path)
 
 
 def create_store(spark: SparkSession, path: str, bands, include_dqf: bool = True, overwrite: bool = False,

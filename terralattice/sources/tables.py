@@ -22,12 +22,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(session.child_names(spark, path))
 
 
-def open_files(spark: SparkSession, paths: list[str], preprocess=None) -> DataFrame:
+def open_files(spark: SparkSession, paths: list[str], preprocess=None, schema: T.StructType | None = None) -> DataFrame:
     """Pixel files as one table in one scan; bands a file lacks are null.
 
-    `preprocess(df)` is the caller's per-file hook, applied to all rows at once.
+    With a `schema`, such as schemas.PIXELS, no footer is read to learn the
+    columns; without one, all are. `preprocess(df)` is the caller's per-file hook,
+    applied to all rows at once.
     """
-    df = spark.read.option("mergeSchema", True).parquet(*paths)
+    reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
+    df = reader.parquet(*paths)
     return df if preprocess is None else df.transform(preprocess)
 
 

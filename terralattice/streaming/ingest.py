@@ -40,9 +40,9 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
     return query
 
 
-def grow_catalog(stream: DataFrame, path: str, checkpoint: str, keys: list[str]) -> StreamingQuery:
-    """Append each new catalog record once."""
-    return run_available(stream, checkpoint, lambda batch, _: sinks.append_new(batch, path, keys))
+def grow_catalog(stream: DataFrame, path: str, checkpoint: str, keys: list[str], by: str | None = None) -> StreamingQuery:
+    """Append each new catalog record once; with `by`, a batch reads only the partitions it concerns."""
+    return run_available(stream, checkpoint, lambda batch, _: sinks.append_new(batch, path, keys, by=by))
 
 
 def grid_frames(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], error: Callable[[DataFrame], DataFrame],
