@@ -78,9 +78,9 @@ def _(spark, d):
 
 
 @query("jon01_two_grids", with_ctes("raster weights", """
-, both AS (SELECT 'fine' AS grid_id, * FROM weights UNION ALL SELECT 'coarse', target_id, source_id, w, dominant, max_w FROM weights WHERE target_id % 2 = 0)
+, grids AS (SELECT 'fine' AS grid_id, target_id, source_id, w, dominant, max_w FROM weights UNION ALL SELECT 'coarse', target_id, source_id, w, dominant, max_w FROM weights WHERE target_id % 2 = 0)
 SELECT b.grid_id, r.vec_id, b.target_id, round(CASE WHEN NOT isnan(sum(b.w*r.cmi)) THEN sum(b.w*r.cmi) END, 6) AS cmi
-FROM raster r JOIN both b ON b.source_id = r.source_id AND b.grid_id = CASE WHEN r.vec_id % 3 = 0 THEN 'fine' ELSE 'coarse' END GROUP BY 1, 2, 3"""))
+FROM raster r JOIN grids b ON b.source_id = r.source_id AND b.grid_id = CASE WHEN r.vec_id % 3 = 0 THEN 'fine' ELSE 'coarse' END GROUP BY 1, 2, 3"""))
 def _(spark, d):
     w = X.weights(spark)
     both = w.withColumn("grid_id", F.lit("fine")).unionByName(w.where("target_id % 2 = 0").withColumn("grid_id", F.lit("coarse")))
