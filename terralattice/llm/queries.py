@@ -136,12 +136,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"
     toxic = labels.where("toxic = 1").select("doc_id")
     poor = labels.where("quality = 0 and toxic = 0").select("doc_id").distinct()
-    revised = docs.join(poor, "doc_id", "left_semi").withColumn("text", F.regexp_replace("text", r"[#*$%&|<>]+", ""))
     path = session.scratch_path(spark, "token-totals")
     token_counts.apply(path, 1, token_counts.count(docs, first, TOKENIZERS))
-    changed = token_counts.count(revised, first, TOKENIZERS).unionByName(token_counts.removals(toxic, first))
+    # Texts are counted where they are read; only their counts meet the labels.
+    symbols = r"[#*$%&|<>]+"
+    revised = docs.where(F.col("text").rlike(symbols)).withColumn("text", F.regexp_replace("text", symbols, ""))
+    changed = token_counts.count(revised, first, TOKENIZERS).join(poor, "doc_id", "left_semi").unionByName(token_counts.removals(toxic, first))
     token_counts.apply(path, 2, changed)
-    token_counts.apply(path, 3, token_counts.count(docs.join(toxic, "doc_id", "left_anti"), second, TOKENIZERS))
+    token_counts.apply(path, 3, token_counts.count(docs, second, TOKENIZERS).join(toxic, "doc_id", "left_anti"))
     token_counts.apply(path, 2, changed)
     return token_counts.totals(spark, path)
 
