@@ -1,24 +1,23 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Every stretch of a test item is represented by its rarest word n-grams, by their
-document frequency in the corpus. Documents that hold such a seed are aligned
-with the item around the seed, so paraphrased and edited copies are scored too.
+Every word n-gram of a test item is a seed: which ones an edited copy keeps is not
+known before. Documents that hold a seed are aligned with the item around it, so
+paraphrased and edited copies are scored too.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from terralattice import session
 from terralattice.llm.common import by_batch
 
 SEED_WORDS = 3
-STRETCH = 6  # of this many n-gram starts in a row, the PICKS rarest become seeds
-PICKS = 2
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.5  # of the score of a verbatim copy
 MAX_BLOCK_WORDS = 1_000_000  # item words whose n-grams go to the tasks at once; larger benchmarks take several passes
@@ -92,24 +91,6 @@ def align(passage: list[str], item: list[str]) -> float:
     return best / (MATCH * len(item))
 
 
-def item_grams(items: DataFrame) -> DataFrame:
-    """item_id, at, gram: the word n-grams of every item; an item shorter than one has none."""
-    def make(columns):
-        rows = [(i, at, " ".join(words[at:at + SEED_WORDS]))
-                for i, words in zip(columns["item_id"], map(tokens, columns["text"]))
-                for at in range(len(words) - SEED_WORDS + 1)]
-        return {"item_id": pa.array([r[0] for r in rows], pa.int64()), "at": pa.array([r[1] for r in rows], pa.int32()),
-                "gram": pa.array([r[2] for r in rows], pa.string())}
-    return by_batch(items.select(F.col("item_id").cast("long").alias("item_id"), "text"), "item_id long, at int, gram string", make)
-
-
-def rare_seeds(grams: DataFrame, frequency: DataFrame) -> DataFrame:
-    """item_id, gram: of each stretch of an item the rarest n-grams; none is dropped for being common."""
-    known = grams.join(frequency, "gram", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    in_stretch = Window.partitionBy("item_id", F.floor(F.col("at") / STRETCH)).orderBy("df", "gram", "at")
-    return known.withColumn("rank", F.row_number().over(in_stretch)).where(F.col("rank") <= PICKS).select("item_id", "gram").distinct()
-
-
 def _blocks(items: DataFrame) -> list[DataFrame]:
     """The items in blocks whose words fit the stated bound, by running sums over items."""
     words = F.coalesce(F.size(F.split("text", r"\s+")), F.lit(0)).cast("long")
@@ -123,10 +104,11 @@ def _blocks(items: DataFrame) -> list[DataFrame]:
 def matches(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """doc_id, item_id, score for each document and item whose alignment reaches `min_score`.
 
-    The corpus is read twice per block of items: to count in how many documents
-    each item n-gram occurs, and to find the seeds. The n-grams of a block are
-    sent to the tasks, within MAX_BLOCK_WORDS. Only stretches around seeds are
-    shuffled, overlapping ones as one.
+    The corpus is read once per block of items, whose words and n-grams are sent to
+    the tasks, within MAX_BLOCK_WORDS. Documents are aligned where they are read, in
+    stretches around the seeds of an item; stretches that have too few words in
+    common with it are not aligned, for they cannot reach the score. Only the
+    scores are shuffled. A copy that keeps no n-gram whole is not found.
 
     Scores compare words without case and punctuation. Null and empty texts match
     nothing, nor do items of fewer than SEED_WORDS words. Rows that repeat an id
@@ -141,47 +123,51 @@ def matches(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) ->
 
 
 def _block_matches(docs: DataFrame, items: DataFrame, min_score: float) -> DataFrame:
-    grams = session.materialize(item_grams(items), "item-grams")
-    finder = _Grams([r["gram"] for r in grams.select("gram").distinct().collect()])  # a block is bounded
-
-    def in_docs(columns):
-        counts: dict[int, int] = {}
-        for text in columns["text"]:
-            for place in set(finder.find(tokens(text))[1].tolist()):
-                counts[place] = counts.get(place, 0) + 1
-        return {"gram": pa.array([finder.grams[p] for p in counts], pa.string()), "n": pa.array(list(counts.values()), pa.int64())}
-    frequency = by_batch(docs, "gram string, n long", in_docs).groupBy("gram").agg(F.sum("n").alias("df"))
-    seeds = session.materialize(rare_seeds(grams, frequency), "item-seeds")
     longest = items.agg(F.max(F.size(F.split("text", r"\W+")))).first()[0] or 0
-    picked = _Grams([r["gram"] for r in seeds.select("gram").distinct().collect()])
+    rows = items.distinct().collect()  # a block is bounded
+    held = [tokens(r["text"]) for r in rows]
+    grams: dict[str, list[int]] = {}
+    for i, words in enumerate(held):
+        for gram in dict.fromkeys(" ".join(words[at:at + SEED_WORDS]) for at in range(len(words) - SEED_WORDS + 1)):
+            grams.setdefault(gram, []).append(i)
+    finder = _Grams(list(grams))
+    owners = [grams[g] for g in finder.grams]
+    item_ids, counted = [r["item_id"] for r in rows], [Counter(words) for words in held]
 
-    def stretches(columns):
-        """Per document, runs of seeds closer than an item is long, with as many words on either side."""
-        ids, passages, held = [], [], []
+    def make(columns):
+        found: dict[tuple, float] = {}
         for doc_id, text in zip(columns["doc_id"], columns["text"]):
             words = tokens(text)
-            at, place = picked.find(words)
-            start = 0
-            for end in [*(np.flatnonzero(np.diff(at) > longest) + 1).tolist(), len(at)]:
-                if end > start:
-                    ids.append(doc_id)
-                    passages.append(" ".join(words[max(0, at[start] - longest):at[end - 1] + SEED_WORDS + longest]))
-                    held.append([picked.grams[p] for p in sorted(set(place[start:end].tolist()))])
-                start = end
-        return {"doc_id": pa.array(ids, pa.int64()), "passage": pa.array(passages, pa.string()), "grams": pa.array(held, pa.list_(pa.string()))}
-    passages = by_batch(docs, "doc_id long, passage string, grams array<string>", stretches)
-    pairs = (passages.select("doc_id", "passage", F.explode("grams").alias("gram")).join(seeds, "gram")
-             .select("doc_id", "passage", "item_id").distinct())
-    texts = items.groupBy("item_id", "text").agg(F.count("*").alias("_n")).drop("_n").withColumnRenamed("text", "item")
-    pairs = pairs.join(texts, pairs["item_id"].eqNullSafe(texts["item_id"])).drop(texts["item_id"])
-
-    def scores(columns):
-        score = [align(p.split(" "), tokens(i)) for p, i in zip(columns["passage"], columns["item"])]
-        return {"doc_id": pa.array(columns["doc_id"], pa.int64()), "item_id": pa.array(columns["item_id"], pa.int64()), "score": pa.array(score, pa.float64())}
-    scored = by_batch(pairs, "doc_id long, item_id long, score double", scores).where(F.col("score") >= min_score)
+            seeds: dict[int, list[int]] = {}
+            for at, place in zip(*(x.tolist() for x in finder.find(words))):
+                for i in owners[place]:
+                    seeds.setdefault(i, []).append(at)
+            for i, places in seeds.items():
+                for first, last in _runs(places, longest):
+                    passage = words[max(0, first - longest):last + SEED_WORDS + longest]
+                    if (counted[i] & Counter(passage)).total() < min_score * len(held[i]):
+                        continue  # no alignment scores more than all words in common
+                    score = align(passage, held[i])
+                    if score >= min_score:
+                        key = (doc_id, item_ids[i])
+                        found[key] = max(score, found.get(key, 0.0))
+        return {"doc_id": pa.array([k[0] for k in found], pa.int64()), "item_id": pa.array([k[1] for k in found], pa.int64()),
+                "score": pa.array(list(found.values()), pa.float64())}
+    scored = by_batch(docs, "doc_id long, item_id long, score double", make)
     return scored.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"))
 
 
+def _runs(places: list[int], most: int) -> list[tuple[int, int]]:
+    """First and last of each run of ascending places at most `most` apart."""
+    runs = []
+    for at in places:
+        if runs and at - runs[-1][1] <= most:
+            runs[-1][1] = at
+        else:
+            runs.append([at, at])
+    return [(a, z) for a, z in runs]
+
+
 def clean(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of `docs` that match no item, with all their columns."""
     found = session.materialize(matches(docs, items, min_score), "leaks").select("doc_id").distinct()

@@ -193,3 +193,22 @@ def test_pages_keep_their_articles(spark):
         body = re.search(r"<article>(.*?)(?:</article>|<footer|$)", r.html, re.S)[1]
         blocks = re.sub(r"<[^>]*>?", "", re.sub(r"</?(?:p|h1)[^>]*>", "\n", body.replace("<br>", " "))).split("\n")
         assert texts[r.page_id] == "\n".join(" ".join(html.unescape(b).split()) for b in blocks if b.strip())
+
+
+@pytest.mark.parametrize("every", [4, 5, 6])
+@pytest.mark.parametrize("length", [14, 20, 30, 50])
+def test_edited_copies_without_a_verbatim_one(docs_of, spark, length, every):
+    """Most n-grams of such an item are in no document, or only in other documents."""
+    rows, items, wanted = [], [], set()
+    for start in range(every):
+        words = [f"i{start}w{k}" for k in range(length)]
+        edited = [f"x{k}" if k % every == start else w for k, w in enumerate(words)]
+        items.append((start, " ".join(words)))
+        rows.append((start, "some words before " + " ".join(edited) + " and some behind"))
+        rows += [(100 + start, " ".join(words)), (200 + start, " ".join(words[start + 1:start + 4]))][:start % 3]
+    df = docs_of(rows)
+    for d, text, *_ in rows:
+        wanted |= {(d, i) for i, item in items if decontamination.align(decontamination.tokens(text), decontamination.tokens(item)) >= 0.5}
+    assert {(i, i) for i in range(every)} <= wanted
+    found = decontamination.matches(df, spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == wanted
