@@ -34,17 +34,24 @@ def masks(radius: int = RADIUS, bits: int = BITS) -> list[int]:
     return [sum(1 << i for i in range(bits) if (vector[i] & v).bit_count() % 2) for v in range(1, size)]
 
 
-def fingerprint(text: bytes | None, n: int, seed: int) -> int:
-    """Bit b is set where over half of the shingle hashes have it set; 0 without words."""
+def shingles(text: bytes | None, n: int, seed: int) -> np.ndarray:
+    """Hashes of the runs of n words, one per place; a text of fewer words is one run."""
     words = (text or b"").lower().split()  # bytes.lower changes A-Z only
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
     ends = np.fromiter(map(len, words), np.int64, len(words)).cumsum() + np.arange(len(words))
     starts = np.concatenate(([0], ends[:-1] + 1))
     k = min(n, len(words))
-    hashes = np.array([xxhash.xxh64_intdigest(joined[a:b], seed)
-                       for a, b in zip(starts[:len(words) - k + 1].tolist(), ends[k - 1:].tolist())], "<u8")
+    return np.array([xxhash.xxh64_intdigest(joined[a:b], seed)
+                     for a, b in zip(starts[:len(words) - k + 1].tolist(), ends[k - 1:].tolist())], "<u8")
+
+
+def fingerprint(text: bytes | None, n: int, seed: int) -> int:
+    """Bit b is set where over half of the shingle hashes have it set; 0 without words."""
+    hashes = shingles(text, n, seed)
+    if not len(hashes):
+        return 0
     ones = np.zeros(BITS, np.int64)
     for part in range(0, len(hashes), 65536):
         block = hashes[part:part + 65536].view(np.uint8).reshape(-1, 8)
