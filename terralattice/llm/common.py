@@ -23,6 +23,11 @@ def order_id(column: str = "doc_id") -> Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(LEAST))
 
 
+def text_hash(column: str = "text") -> Column:
+    """Names a text; rows of one text share it. A null text is an empty one."""
+    return F.xxhash64(F.coalesce(F.col(column).cast("string"), F.lit("")))
+
+
 def by_batch(df: DataFrame, schema: str, make: Callable[[dict[str, list]], dict[str, object]]) -> DataFrame:
     """Map Arrow batches: `make` takes and returns columns; no row meets another batch."""
     made_schema = to_arrow_schema(T.StructType.fromDDL(schema))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from terralattice import session
-from terralattice.llm.common import by_batch
+from terralattice.llm.common import by_batch, order_id, text_hash
 
 SEED_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -115,14 +115,20 @@ def matches(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) ->
     are taken as one document or item with the best of their scores. A null doc_id
     or item_id is kept as null. Other columns are not read.
     """
+    return _scores(docs, items, min_score).groupBy("doc_id", "item_id").agg(F.max("score").alias("score"))
+
+
+def _scores(docs: DataFrame, items: DataFrame, min_score: float) -> DataFrame:
+    """doc_id, node, item_id, score for rows that reach `min_score`; node is the hash of the text."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("node"), F.col("text").cast("string").alias("text"))
     found = None
     for block in _blocks(items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))):
-        part = _block_matches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), block, min_score)
+        part = _block_scores(docs, block, min_score)
         found = part if found is None else found.unionByName(part)
     return found
 
 
-def _block_matches(docs: DataFrame, items: DataFrame, min_score: float) -> DataFrame:
+def _block_scores(docs: DataFrame, items: DataFrame, min_score: float) -> DataFrame:
     longest = items.agg(F.max(F.size(F.split("text", r"\W+")))).first()[0] or 0
     rows = items.distinct().collect()  # a block is bounded
     held = [tokens(r["text"]) for r in rows]
@@ -136,7 +142,7 @@ def _block_matches(docs: DataFrame, items: DataFrame, min_score: float) -> DataF
 
     def make(columns):
         found: dict[tuple, float] = {}
-        for doc_id, text in zip(columns["doc_id"], columns["text"]):
+        for doc_id, node, text in zip(columns["doc_id"], columns["node"], columns["text"]):
             words = tokens(text)
             seeds: dict[int, list[int]] = {}
             for at, place in zip(*(x.tolist() for x in finder.find(words))):
@@ -149,12 +155,11 @@ def _block_matches(docs: DataFrame, items: DataFrame, min_score: float) -> DataF
                         continue  # no alignment scores more than all words in common
                     score = align(passage, held[i])
                     if score >= min_score:
-                        key = (doc_id, item_ids[i])
+                        key = (doc_id, node, item_ids[i])
                         found[key] = max(score, found.get(key, 0.0))
-        return {"doc_id": pa.array([k[0] for k in found], pa.int64()), "item_id": pa.array([k[1] for k in found], pa.int64()),
-                "score": pa.array(list(found.values()), pa.float64())}
-    scored = by_batch(docs, "doc_id long, item_id long, score double", make)
-    return scored.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"))
+        return {"doc_id": pa.array([k[0] for k in found], pa.int64()), "node": pa.array([k[1] for k in found], pa.int64()),
+                "item_id": pa.array([k[2] for k in found], pa.int64()), "score": pa.array(list(found.values()), pa.float64())}
+    return by_batch(docs, "doc_id long, node long, item_id long, score double", make)
 
 
 def _runs(places: list[int], most: int) -> list[tuple[int, int]]:
@@ -169,6 +174,7 @@ def _runs(places: list[int], most: int) -> list[tuple[int, int]]:
 
 
 def clean(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of `docs` that match no item, with all their columns."""
-    found = session.materialize(matches(docs, items, min_score), "leaks").select("doc_id").distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+    """The rows of `docs` whose own text matches no item, with all their columns; ids may be missing or repeated."""
+    found = session.materialize(_scores(docs, items, min_score).select(order_id().alias("id"), "node").distinct(), "leaks")
+    marked = docs.select(order_id().alias("id"), text_hash().alias("node"), F.struct(*docs.columns).alias("row"))
+    return marked.join(found, ["id", "node"], "left_anti").select("row.*")

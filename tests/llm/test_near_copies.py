@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from terralattice.llm import near_copies
+from terralattice.llm import decontamination, near_copies
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -53,3 +53,15 @@ def test_near_dedup_of_the_given_documents(spark, documents):
     root = brute_groups([t for _, t in rows])
     kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, documents, SMALL).collect()}
     assert kept == {d for i, (d, _) in enumerate(rows) if root[i] == i}
+
+
+def test_rows_with_missing_and_repeated_ids(spark, docs_of):
+    """Rows are chosen and left out by their own group and text, whatever shares their id."""
+    a, b, t, u = (" ".join(f"{x}{k}" for k in range(100)) for x in "abtu")
+    copy, other = t.replace("t99", "end"), t.replace("t98", "end")
+    df = docs_of([(None, a), (None, b), (None, b), (2, t), (5, copy), (5, u), (7, b + " more"), (5, u + " z"), (5, u + " y")])
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, df, SMALL).collect()), key=str)
+    assert got == sorted([(None, a), (None, b), (2, t), (5, u)], key=str)
+    items = spark.createDataFrame([(1, other)], "item_id long, text string")
+    left = decontamination.clean(docs_of([(None, t), (None, a), (5, copy), (5, u)]), items)
+    assert sorted((r.text for r in left.collect())) == [a, u]
