@@ -7,6 +7,7 @@ paraphrased and edited copies are scored too.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -129,7 +130,6 @@ def _scores(docs: DataFrame, items: DataFrame, min_score: float) -> DataFrame:
 
 
 def _block_scores(docs: DataFrame, items: DataFrame, min_score: float) -> DataFrame:
-    longest = items.agg(F.max(F.size(F.split("text", r"\W+")))).first()[0] or 0
     rows = items.distinct().collect()  # a block is bounded
     held = [tokens(r["text"]) for r in rows]
     grams: dict[str, list[int]] = {}
@@ -149,8 +149,9 @@ def _block_scores(docs: DataFrame, items: DataFrame, min_score: float) -> DataFr
                 for i in owners[place]:
                     seeds.setdefault(i, []).append(at)
             for i, places in seeds.items():
-                for first, last in _runs(places, longest):
-                    passage = words[max(0, first - longest):last + SEED_WORDS + longest]
+                reach = math.ceil((3 - 2 * min_score) * len(held[i]))  # no alignment of the score spans more words
+                for first, last in _runs(places, reach):
+                    passage = words[max(0, first - reach):last + SEED_WORDS + reach]
                     if (counted[i] & Counter(passage)).total() < min_score * len(held[i]):
                         continue  # no alignment scores more than all words in common
                     score = align(passage, held[i])

@@ -212,3 +212,17 @@ def test_edited_copies_without_a_verbatim_one(docs_of, spark, length, every):
     assert {(i, i) for i in range(every)} <= wanted
     found = decontamination.matches(df, spark.createDataFrame(items, "item_id long, text string"))
     assert {(r.doc_id, r.item_id) for r in found.collect()} == wanted
+
+
+def test_stretches_hold_whole_alignments(spark, docs_of):
+    """Words of any script count, and a copy with many inserted words is not cut."""
+    cyrillic = "один два три четыре пять шесть семь восемь девять десять ноль сто тысяча год день час дом лес река море".split()
+    edited = [w if k % 5 else "слово" for k, w in enumerate(cyrillic)]
+    words = [f"w{k}" for k in range(40)]
+    spread = words[:3] + [x for k in range(3, 40, 2) for x in [*words[k:k + 2], f"y{k}", f"z{k}"]]
+    df = docs_of([(1, "начало текста " + " ".join(edited) + " и конец"), (2, " ".join(spread)), (3, " ".join(cyrillic))])
+    for item, wanted in ((cyrillic, {1, 3}), (words, {2})):
+        items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+        got = {r.doc_id: r.score for r in decontamination.matches(df, items).collect()}
+        full = {r.doc_id: decontamination.align(decontamination.tokens(r.text), item) for r in df.collect()}
+        assert set(got) == wanted and got == {d: full[d] for d in wanted}
