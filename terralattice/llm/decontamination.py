@@ -21,6 +21,7 @@ from terralattice.llm.common import by_batch, order_id, text_hash
 SEED_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.5  # of the score of a verbatim copy
+MIN_WORDS = 6  # of an item are aligned at least, or all of a shorter one
 MAX_BLOCK_WORDS = 1_000_000  # item words whose n-grams go to the tasks at once; larger benchmarks take several passes
 
 _TOKEN = re.compile(r"\w+")
@@ -70,26 +71,35 @@ class _Grams:
 
 
 def align(passage: list[str], item: list[str]) -> float:
-    """Smith-Waterman score of the best local alignment, as a share of a verbatim copy's score.
+    """Smith-Waterman score of the best local alignment, as a share of a verbatim copy's score."""
+    return aligned(passage, item)[0]
+
+
+def aligned(passage: list[str], item: list[str]) -> tuple[float, int]:
+    """The score as above, and the most words that an alignment of that score has in common.
 
     One row of the table per item word; a run of gaps within a row is a running
-    maximum of scores that slope by the gap.
+    maximum of scores that slope by the gap. Scores are scaled, so that the number
+    of common words fits below a step.
     """
     if not passage or not item:
-        return 0.0
+        return 0.0, 0
     number = {w: i for i, w in enumerate(dict.fromkeys(item))}
     words = np.array([number.get(w, -1) for w in passage], np.int64)
-    slope = np.arange(len(words) + 1) * GAP
+    scale = len(item) + 1
+    gap = GAP * scale
+    slope = np.arange(len(words) + 1) * gap
     row = np.zeros(len(words) + 1, np.int64)
     best = 0
     for w in item:
         new = np.zeros_like(row)
-        step = np.where(words == number[w], MATCH, MISMATCH)
-        np.maximum(row[:-1] + step, row[1:] + GAP, out=new[1:])
+        step = np.where(words == number[w], MATCH * scale + 1, MISMATCH * scale)
+        np.maximum(row[:-1] + step, row[1:] + gap, out=new[1:])
         np.maximum(new, 0, out=new)
         row = np.maximum.accumulate(new - slope) + slope
         best = max(best, int(row.max()))
-    return best / (MATCH * len(item))
+    score, common = divmod(best, scale)
+    return score / (MATCH * len(item)), common
 
 
 def _blocks(items: DataFrame) -> list[DataFrame]:
@@ -111,8 +121,10 @@ def matches(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) ->
     common with it are not aligned, for they cannot reach the score. Only the
     scores are shuffled. A copy that keeps no n-gram whole is not found.
 
-    Scores compare words without case and punctuation. Null and empty texts match
-    nothing, nor do items of fewer than SEED_WORDS words. Rows that repeat an id
+    Scores compare words without case and punctuation. MIN_WORDS words of an item,
+    or all of a shorter one, are aligned besides; items of fewer than SEED_WORDS
+    words match where all their words stand in a row. Null and empty texts match
+    nothing. Rows that repeat an id
     are taken as one document or item with the best of their scores. A null doc_id
     or item_id is kept as null. Other columns are not read.
     """
@@ -138,12 +150,21 @@ def _block_scores(docs: DataFrame, items: DataFrame, min_score: float) -> DataFr
             grams.setdefault(gram, []).append(i)
     finder = _Grams(list(grams))
     owners = [grams[g] for g in finder.grams]
+    short: dict[tuple, list[int]] = {}
+    for i, words in enumerate(held):
+        if 0 < len(words) < SEED_WORDS:
+            short.setdefault(tuple(words), []).append(i)
+    lengths = sorted({len(words) for words in short})
     item_ids, counted = [r["item_id"] for r in rows], [Counter(words) for words in held]
 
     def make(columns):
         found: dict[tuple, float] = {}
         for doc_id, node, text in zip(columns["doc_id"], columns["node"], columns["text"]):
             words = tokens(text)
+            for n in lengths:
+                for gram in short.keys() & set(zip(*(words[k:] for k in range(n)))):
+                    for i in short[gram]:
+                        found[doc_id, node, item_ids[i]] = 1.0
             seeds: dict[int, list[int]] = {}
             for at, place in zip(*(x.tolist() for x in finder.find(words))):
                 for i in owners[place]:
@@ -154,8 +175,8 @@ def _block_scores(docs: DataFrame, items: DataFrame, min_score: float) -> DataFr
                     passage = words[max(0, first - reach):last + SEED_WORDS + reach]
                     if (counted[i] & Counter(passage)).total() < min_score * len(held[i]):
                         continue  # no alignment scores more than all words in common
-                    score = align(passage, held[i])
-                    if score >= min_score:
+                    score, common = aligned(passage, held[i])
+                    if score >= min_score and common >= min(MIN_WORDS, len(held[i])):
                         key = (doc_id, node, item_ids[i])
                         found[key] = max(score, found.get(key, 0.0))
         return {"doc_id": pa.array([k[0] for k in found], pa.int64()), "node": pa.array([k[1] for k in found], pa.int64()),

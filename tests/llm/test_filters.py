@@ -226,3 +226,13 @@ def test_stretches_hold_whole_alignments(spark, docs_of):
         got = {r.doc_id: r.score for r in decontamination.matches(df, items).collect()}
         full = {r.doc_id: decontamination.align(decontamination.tokens(r.text), item) for r in df.collect()}
         assert set(got) == wanted and got == {d: full[d] for d in wanted}
+
+
+def test_short_items(spark, docs_of):
+    """Some common words in a row are no copy of a short question; a short item is found whole."""
+    df = docs_of([(1, "we know what is the weather"), (2, "so, What is the capital of Peru? Lima"), (3, "two words here"), (4, "words two here"),
+                  (5, "it says zebra."), (6, "ask: what was the best large capital city of old Peru"), (7, "a b c d"), (8, "c b a")])
+    items = spark.createDataFrame([(1, "What is the capital of Peru"), (2, "two words"), (3, "Zebra"), (4, "a b c"),
+                                   (5, "what is the best large capital city of old peru")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.matches(df, items).collect()}
+    assert got == {(2, 1), (3, 2), (5, 3), (7, 4), (6, 5)}
