@@ -36,9 +36,14 @@ DROP_NAMES = frozenset("""ad ads advert adverts advertisement advertising adsens
 cookies consent gdpr notice popup modal overlay newsletter subscribe subscription signup login share sharing social related
 recommended recommendations sidebar comment comments disqus replies reply respond discussion menu nav navbar navigation
 breadcrumb breadcrumbs footer masthead topbar widget pagination pager toolbar teaser outbrain taboola""".split())
+# Of these, the ones that hold text of others or of the site; no wrapper of an article has them.
+APART_NAMES = frozenset("""ad ads advert adverts advertisement advertising adsense cookie cookies consent gdpr popup modal overlay newsletter
+comment comments disqus replies reply respond discussion""".split())
 HEADER_NAMES = frozenset("header head".split())
 NEGATIONS = frozenset("with without has no".split())  # "with-sidebar" names what is beside a sidebar
 
+LEAST_KEPT = 0.25  # of the paragraph text, or names are not trusted
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?/][^>]*>", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -46,12 +51,12 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "names", "role", "hidden", "points", "chars", "linked", "links", "dropped")
+    __slots__ = ("tag", "parent", "children", "names", "role", "hidden", "points", "chars", "linked", "links", "dropped", "prose")
 
     def __init__(self, tag: str, parent: Node | None, attributes: str = ""):
         self.tag, self.parent, self.children = tag, parent, []
         self.names, self.role, self.hidden = frozenset(), "", False
-        self.points, self.chars, self.linked, self.links, self.dropped = 0.0, 0, 0, 0, False
+        self.points, self.chars, self.linked, self.links, self.dropped, self.prose = 0.0, 0, 0, 0, False, 0
         if attributes and not attributes.isspace():
             found = {m[0].lower(): m[1] or m[2] or m[3] for m in _ATTRIBUTE.findall(attributes)}
             parts = [p.lower() for p in _PART.findall(f"{found.get('class', '')} {found.get('id', '')}")]
@@ -175,16 +180,47 @@ def _holds(node: Node, tags: tuple[str, ...]) -> bool:
     return any(n.tag in tags and not n.names & DROP_NAMES for n in _in_order(node)[1:])
 
 
-def _prune(root: Node, by_name: bool) -> list[Node]:
+def _count_prose(root: Node) -> bool:
+    """Sums the unlinked text of paragraphs below each element, without what is no article under any name.
+
+    False, and no sums, if an article or main element holds text.
+    """
+    nodes = _in_order(root)
+    apart = set()
+    for node in nodes:
+        if node.parent in apart or node.hidden or node.tag in DROP_TAGS and node.tag != "form" or node.role in DROP_ROLES - {"form"} or node.names & APART_NAMES:
+            apart.add(node)
+    live = [n for n in nodes if n not in apart]
+    if any(n.tag in ("article", "main") and any(_inline_text(x) for x in _in_order(n) if x not in apart) for n in live):
+        return False
+    for node in reversed(live):
+        if node.tag in PARAGRAPHS:
+            linked = sum(len(_inline_text(c)) for c in node.children if isinstance(c, Node) and c.tag == "a")
+            node.prose += max(0, len(_inline_text(node)) - linked)
+        if node.parent is not None:
+            node.parent.prose += node.prose
+    return True
+
+
+def _wrapper(node: Node, most: float) -> bool:
+    """Whether an element is kept whatever its name, as it holds the article or most of the page's paragraphs."""
+    if node.hidden:
+        return False
+    if node.tag in ("div", "section", "form") and _holds(node, ("article", "main")):
+        return True
+    return node.prose > most
+
+
+def _prune(root: Node, by_name: bool, most: float) -> list[Node]:
     """Takes out what is not article text; a wrapper around the article stays, whatever its name."""
-    stack, left = [(root, False)], []
+    stack = [(root, False)]
     while stack:
         node, inside = stack.pop()
         inside = inside or node.tag in ("article", "main")
         stays = []
         for child in node.children:
             if isinstance(child, Node):
-                if _junk(child, inside, by_name) and not (child.tag in ("div", "section") and not child.hidden and _holds(child, ("article", "main"))):
+                if _junk(child, inside, by_name) and not _wrapper(child, most):
                     continue
                 stack.append((child, inside))
             stays.append(child)
@@ -229,14 +265,24 @@ def _blocks(nodes: list[Node]) -> list[str]:
 def main_text(page: str | None) -> str:
     """The blocks of the article, joined by line ends; empty if there are none.
 
-    Where the names of elements rule out all text, they are not trusted.
+    Where the names of elements rule out most of the text, they are not trusted.
     """
-    return _article(page, True) or _article(page, False) if page else ""
+    if not page:
+        return ""
+    text, prose = _article(page, True)
+    if len(text) >= LEAST_KEPT * prose and text:
+        return text
+    return max(text, _article(page, False)[0], key=len)
 
 
-def _article(page: str, by_name: bool) -> str:
+def _article(page: str, by_name: bool) -> tuple[str, int]:
+    """The text, and how much paragraph text the page has that may be of an article; 0 where an article element tells."""
     root = parse(page)
-    nodes = _prune(root, by_name)
+    prose = root.prose if _count_prose(root) else 0
+    return _main(root, _prune(root, by_name, prose / 2 if prose else float("inf"))), prose
+
+
+def _main(root: Node, nodes: list[Node]) -> str:
     _weigh(nodes)
     for node in nodes[1:]:
         node.dropped = _menu(node)

@@ -236,3 +236,14 @@ def test_short_items(spark, docs_of):
                                    (5, "what is the best large capital city of old peru")], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontamination.matches(df, items).collect()}
     assert got == {(2, 1), (3, 2), (5, 3), (7, 4), (6, 5)}
+
+
+def test_wrappers_of_articles_without_an_article_element():
+    body = "".join(f"<p>Paragraph {k} of the article, which has some words, and more.</p>" for k in range(6))
+    want = "\n".join(f"Paragraph {k} of the article, which has some words, and more." for k in range(6))
+    for wrap in ("<form id=aspnetForm><div>%s</div></form>", "<form><article>%s</article></form>", "<div class='layout sidebar-right'>%s</div>",
+                 "<div class='content social'>%s</div>", "<form><div class='page teaser'><div>%s</div></div></form>"):
+        assert html_text.main_text("<div>Site title</div>" + wrap % body) == want
+    assert html_text.main_text("<h1>Site</h1><div class='teaser'>%s</div><div class='social'>%s</div>" % (body, body)).count("Paragraph") == 12
+    comment = "<div id='comments'>" + "<p>Nice post, really, I liked it, a lot, and more of it.</p>" * 20 + "</div>"
+    assert html_text.main_text(f"<div>{body}</div>{comment}") == want
