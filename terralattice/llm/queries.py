@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terralattice import session
-from terralattice.llm import decontamination, html_text, line_dedup, mixing, quality, sharding, simhash, substring_dedup, suffix_dedup, token_counts
+from terralattice.llm import (bit_planes, decontamination, html_text, line_dedup, mixing, quality, resampling, secrets, sharding, simhash, substring_dedup,
+                               suffix_dedup, token_counts)
 from terralattice.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -220,3 +221,49 @@ GROUP BY d.doc_id
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_secret_scans")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets.scan(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_model")
+
+
+def _op12() -> str:
+    """Rounds of nearest centroids and floored means over exact integers; places of a vector are rows."""
+    near = """d{r} AS MATERIALIZED (SELECT v.nr, c.cluster, sum((v.q - c.q) * (v.q - c.q)) AS d FROM places v JOIN c{r} c ON c.place = v.place GROUP BY v.nr, c.cluster),
+a{r} AS MATERIALIZED (SELECT nr, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS d FROM d{r} GROUP BY nr),
+"""
+    mean = """m{r} AS (SELECT a.cluster, v.place, sum(v.q) AS total, count(*) AS n FROM a{r} a JOIN places v USING (nr) GROUP BY a.cluster, v.place),
+c{s} AS MATERIALIZED (
+  SELECT c.cluster, c.place, CASE WHEN m.n IS NULL THEN c.q ELSE CAST((total - ((total % n) + n) % n) // n AS BIGINT) END AS q
+  FROM c{r} c LEFT JOIN m{r} m USING (cluster, place)),
+"""
+    return f"""
+WITH vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS nr, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+places AS MATERIALIZED (
+  SELECT nr, unnest(range(1, 65)) AS place, CAST(floor(64 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS q FROM vectors),
+first AS (SELECT nr, row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), nr) - 1 AS cluster FROM vectors),
+c0 AS MATERIALIZED (SELECT f.cluster, p.place, p.q FROM first f JOIN places p USING (nr) WHERE f.cluster < 16),
+""" + "".join(near.format(r=r) + mean.format(r=r, s=r + 1) for r in range(3)) + near.format(r=3) + """
+named AS (SELECT cluster, sha256(string_agg(CAST(q AS VARCHAR), ',' ORDER BY place)) AS centroid_sha256 FROM c3 GROUP BY cluster)
+SELECT v.vec_id, CAST(a.cluster AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance, CAST(sum(a.d) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.d) OVER () AS BIGINT) AS inertia, n.centroid_sha256
+FROM a3 a JOIN vectors v USING (nr) JOIN named n ON n.cluster = a.cluster
+"""
+
+
+@query("op12_bit_planes", _op12())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, centroids = bit_planes.cluster(table(spark, sf_dir, "embeddings"))
+    if not centroids:
+        return out.withColumn("centroid_sha256", F.lit(""))
+    names = F.array(*[F.lit(bit_planes.digest(c)) for c in centroids])
+    return out.withColumn("centroid_sha256", names[F.col("cluster")])
+
+
+@query("op13_resampling")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -190,7 +190,7 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_all_are_registered():
     assert [n for n in E.queries() if n.startswith("op")] == list(QUERIES) and "pipeline" in E.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_results_have_their_types(spark):
