@@ -14,7 +14,3 @@ def spark():
     session = spark_session()
     session.sparkContext.setLogLevel("ERROR")
     return session
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from check_queries import plan_of
 from terralattice.operators import ordering as O, runlog, statistics as St
 
 

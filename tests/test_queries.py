@@ -3,8 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from check_queries import compare, connect
-from conftest import plan_of
+from check_queries import compare, connect, plan_of
 from terralattice.plans.registry import QUERIES, SQL
 
 SMALL = "/root/testdata/sf0.001"

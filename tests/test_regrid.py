@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from check_queries import plan_of
 from terralattice import session
 from terralattice.operators import regrid as R, weights as W
 

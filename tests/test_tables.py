@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from check_queries import plan_of
 from terralattice import constants as C, dims, schemas
 from terralattice.functions import recipes, scalars as S
 from terralattice.operators import bands as B, catalog, ordering, store, validate, weights as W
