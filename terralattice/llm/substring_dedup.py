@@ -22,32 +22,29 @@ from terralattice.llm.common import LEAST, by_batch, order_id
 
 WINDOW = 13
 SEED_WORDS = 5
-_FOUND = "doc long, at long, open boolean"
+_FOUND = "doc long, node long, at long, open boolean"
 
 
-def _tag(text: bytes) -> int:
-    """Tells apart texts of one doc_id; the same as _tag_of gives in Spark."""
-    return xxhash.xxh64_intdigest(text, 42) >> 40
-
-
-def _tag_of(text: str):
-    return F.shiftrightunsigned(F.xxhash64(text), 40)
+def _node(text: bytes) -> int:
+    """Tells apart texts of one doc_id; the same as xxhash64 gives in Spark."""
+    value = xxhash.xxh64_intdigest(text, 42)
+    return value - (1 << 64) if value >> 63 else value
 
 
 class Place:
-    """Packs the tag of a text, a first window and a number of windows into a long."""
-
-    @staticmethod
-    def pack(tag: int, first: np.ndarray, count: np.ndarray) -> np.ndarray:
-        return ((np.uint64(tag) << np.uint64(40)) | (count.astype(np.uint64) << np.uint64(32)) | first.astype(np.uint64)).view(np.int64)
+    """Packs a first window and a number of windows into a long."""
 
     @staticmethod
-    def tag(at):
-        return F.shiftrightunsigned(at, 40)
+    def pack(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+        return (count.astype(np.int64) << 32) | first.astype(np.int64)
 
     @staticmethod
     def span(at: int) -> tuple[int, int]:
-        return at & 0xFFFFFFFF, (at >> 32) & 0xFF
+        return at & 0xFFFFFFFF, at >> 32
+
+
+def _hashes(words: list[bytes], seed: int = 0) -> winnow.Hashes:
+    return winnow.Hashes(np.array([xxhash.xxh3_64_intdigest(w, seed) for w in words], np.uint64))
 
 
 def _sequence(text: bytes, window: int, width: int) -> tuple[list[bytes], winnow.Hashes | None, tuple]:
@@ -55,7 +52,7 @@ def _sequence(text: bytes, window: int, width: int) -> tuple[list[bytes], winnow
     words = text.split()
     if len(words) < window:
         return words, None, ()
-    hashes = winnow.Hashes(np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64))
+    hashes = _hashes(words)
     seeds = hashes.grams(window - width + 1)
     at, first, last = winnow.anchors(seeds, width)
     extended = winnow.mix(hashes.of(first, last + window) + winnow.mix((at - first).astype(np.uint64)))
@@ -69,22 +66,23 @@ def _columns(**columns) -> pa.RecordBatch:
 def _seeds(docs: DataFrame, window: int, width: int) -> DataFrame:
     """One row per anchor. Of anchors alike in a batch only the first document's goes on as open."""
     def make(columns):
-        parts = [[np.zeros(0, np.int64)] * 4]
+        parts = [[np.zeros(0, np.int64)] * 5]
         for doc, text in zip(columns["doc"], columns["text"]):
             found = _sequence(text, window, width)[2]
             if found:
                 seed, extended, first, count = found
-                parts.append([seed, extended, np.full(len(seed), doc), Place.pack(_tag(text), first, count)])
-        seed, extended, doc, at = map(np.concatenate, zip(*parts))
+                parts.append([seed, extended, np.full(len(seed), doc), np.full(len(seed), _node(text)), Place.pack(first, count)])
+        seed, extended, doc, node, at = map(np.concatenate, zip(*parts))
         order = np.lexsort((doc, extended, seed))
-        seed, extended, doc, at = seed[order], extended[order], doc[order], at[order]
+        seed, extended, doc, node, at = (c[order] for c in (seed, extended, doc, node, at))
         new = np.ones(len(seed), bool)
         new[1:] = (seed[1:] != seed[:-1]) | (extended[1:] != extended[:-1])
         first_doc = doc[np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))] if len(doc) else doc
         later = doc > first_doc
-        seed = np.where(later, winnow.mix(at.view(np.uint64)).view(np.int64), seed)  # settled rows are spread anyhow
-        return {"seed": pa.array(seed), "extended": pa.array(extended), "doc": pa.array(doc), "at": pa.array(at), "settled": pa.array(later)}
-    return by_batch(docs, "seed long, extended long, doc long, at long, settled boolean", make)
+        seed = np.where(later, winnow.mix((at ^ node).view(np.uint64)).view(np.int64), seed)  # settled rows are spread anyhow
+        return {"seed": pa.array(seed), "extended": pa.array(extended), "doc": pa.array(doc), "node": pa.array(node), "at": pa.array(at),
+                "settled": pa.array(later)}
+    return by_batch(docs, "seed long, extended long, doc long, node long, at long, settled boolean", make)
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,13 +93,13 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     open where their seed has others in other documents.
     """
     last_seed = last_extended = first_doc = None
-    held: list[tuple[int, int]] = []  # open anchors of the current seed while all are of one document
+    held: list[tuple[int, int, int]] = []  # open anchors of the current seed while all are of one document
     shared = False  # whether the current seed has open anchors of several documents
     for batch in batches:
-        seed, extended, doc, at = (batch.column(c).to_numpy() for c in ("seed", "extended", "doc", "at"))
+        seed, extended, doc, node, at = (batch.column(c).to_numpy() for c in ("seed", "extended", "doc", "node", "at"))
         settled = batch.column("settled").to_numpy(zero_copy_only=False)
-        yield _columns(doc=pa.array(doc[settled]), at=pa.array(at[settled]), open=pa.array(np.zeros(settled.sum(), bool)))
-        seed, extended, doc, at = (c[~settled] for c in (seed, extended, doc, at))
+        yield _columns(doc=pa.array(doc[settled]), node=pa.array(node[settled]), at=pa.array(at[settled]), open=pa.array(np.zeros(settled.sum(), bool)))
+        seed, extended, doc, node, at = (c[~settled] for c in (seed, extended, doc, node, at))
         if not len(seed):
             continue
         new = np.ones(len(seed), bool)
@@ -110,7 +108,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = np.maximum.accumulate(np.where(new, np.arange(len(seed)), -1))
         earliest = np.where(start >= 0, doc[start], 0 if first_doc is None else first_doc)
         later = doc > earliest
-        out = [(doc[later], at[later], np.zeros(later.sum(), bool))]
+        out = [(doc[later], node[later], at[later], np.zeros(later.sum(), bool))]
 
         reps = np.flatnonzero(~later)  # a document's own copies of a stretch all stay open
         if len(reps):
@@ -118,56 +116,53 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             low, high = np.minimum.reduceat(doc[reps], runs), np.maximum.reduceat(doc[reps], runs)
             several = low < high
             if seed[reps[0]] == last_seed:  # goes on from the batch before
-                several[0] |= shared or any(d not in (low[0], high[0]) for d, _ in held)
+                several[0] |= shared or any(d not in (low[0], high[0]) for d, _, _ in held)
                 if several[0] and held:
-                    out.append((np.array([d for d, _ in held]), np.array([a for _, a in held]), np.ones(len(held), bool)))
+                    out.append((*np.array(held, np.int64).T, np.ones(len(held), bool)))
                     held = []
             else:
                 held = []
             chosen = reps[np.repeat(several, np.diff(np.append(runs, len(reps))))]
-            out.append((doc[chosen], at[chosen], np.ones(len(chosen), bool)))
+            out.append((doc[chosen], node[chosen], at[chosen], np.ones(len(chosen), bool)))
             if not several[-1]:
                 tail = reps[runs[-1]:]
-                held = held + list(zip(doc[tail].tolist(), at[tail].tolist()))
+                held = held + list(zip(doc[tail].tolist(), node[tail].tolist(), at[tail].tolist()))
             else:
                 held = []
             shared = bool(several[-1])
         last_seed, last_extended, first_doc = seed[-1], extended[-1], earliest[-1]
         made = [np.concatenate(c) for c in zip(*out)]
-        yield _columns(doc=pa.array(made[0].astype(np.int64)), at=pa.array(made[1].astype(np.int64)), open=pa.array(made[2]))
+        yield _columns(**{n: pa.array(c) for n, c in zip(("doc", "node", "at", "open"), made)})
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, seed_words: int = SEED_WORDS) -> DataFrame:
-    """doc, tag, spans: per document the windows whose words also start in a document with a smaller id.
+    """doc, node, spans: per document the windows whose words also start in a document with a smaller id.
 
-    `docs` has doc (never null) and text (binary, never null). A span is (first
-    window, number of windows), packed.
+    `docs` has doc (never null), node (the hash of the text, which tells apart texts
+    of one id) and text (binary, never null). A span is (first window, number of
+    windows), packed. Windows left open by their anchors meet on two independent
+    hashes of 64 bits.
     """
     width = window - seed_words + 1
     anchors = _seeds(docs, window, width).repartition("seed").sortWithinPartitions("seed", "extended", "doc")
-    found = session.materialize(anchors.mapInArrow(_compare, _FOUND), "passages").withColumn("tag", Place.tag("at"))
-    asked = found.where("open").groupBy("doc", "tag").agg(F.collect_list("at").alias("spans"))  # at most one per word
+    found = session.materialize(anchors.mapInArrow(_compare, _FOUND), "passages")
+    asked = found.where("open").groupBy("doc", "node").agg(F.collect_list("at").alias("spans"))  # at most one per word
 
     def windows(columns):
-        docs_, at_, hashes_ = [], [], []
-        for doc, text, spans in zip(columns["doc"], columns["text"], columns["spans"]):
+        parts = [[np.zeros(0, np.int64)] * 5]
+        for doc, node, text, spans in zip(columns["doc"], columns["node"], columns["text"], columns["spans"]):
             if spans:
+                words = text.split()
                 first = np.unique(np.concatenate([np.arange(a, a + n) for a, n in map(Place.span, spans)]))
-                docs_.append(np.full(len(first), doc))
-                at_.append(Place.pack(_tag(text), first, np.ones(len(first), np.int64)))
-                hashes_.append(_sequence(text, window, width)[1].of(first, first + window).view(np.int64))
-        return {n: pa.array(np.concatenate([np.zeros(0, np.int64), *parts]))
-                for n, parts in (("doc", docs_), ("at", at_), ("hash", hashes_))}
-    open_windows = session.materialize(by_batch(_with_spans(docs, asked), "doc long, at long, hash long", windows), "passage-ends")
-    first = open_windows.groupBy("hash").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
-    late = open_windows.join(first.select("hash", "least"), "hash").where("doc > least").select("doc", "at")
-    closed = found.where("not open").select("doc", "at").unionByName(late)
-    return closed.groupBy("doc", Place.tag("at").alias("tag")).agg(F.collect_list("at").alias("spans"))
-
-
-def _with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """doc, text, spans of every document; spans are null where there are none."""
-    return docs.withColumn("tag", _tag_of("text")).join(spans, ["doc", "tag"], "left").select("doc", "text", "spans")
+                both = [_hashes(words, seed).of(first, first + window).view(np.int64) for seed in (0, 1)]
+                parts.append([np.full(len(first), doc), np.full(len(first), node), Place.pack(first, np.ones(len(first))), *both])
+        return {n: pa.array(np.concatenate(c)) for n, c in zip(("doc", "node", "at", "hash", "other"), zip(*parts))}
+    open_windows = session.materialize(by_batch(docs.join(asked, ["doc", "node"]), "doc long, node long, at long, hash long, other long", windows),
+                                       "passage-ends")
+    first = open_windows.groupBy("hash", "other").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
+    late = open_windows.join(first.select("hash", "other", "least"), ["hash", "other"]).where("doc > least").select("doc", "node", "at")
+    closed = found.where("not open").select("doc", "node", "at").unionByName(late)
+    return closed.groupBy("doc", "node").agg(F.collect_list("at").alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, seed_words: int = SEED_WORDS) -> DataFrame:
@@ -182,7 +177,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed_words: int = SEED
     Rows that repeat a doc_id keep all that no smaller id has. Other columns of
     `docs` are not read.
     """
-    held = docs.select(order_id().alias("doc"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
+    held = (docs.select(order_id().alias("doc"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
+            .withColumn("node", F.xxhash64("text")))
 
     def kept(columns):
         out = []
@@ -197,5 +193,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed_words: int = SEED
         return {"doc": columns["doc"], "n_words": [r[0] for r in out], "n_removed": [r[1] for r in out],
                 "kept": pa.array([r[2] for r in out], pa.binary())}
     spans = repeated_windows(held, window, seed_words)
-    done = by_batch(_with_spans(held, spans), "doc long, n_words long, n_removed long, kept binary", kept)
+    done = by_batch(held.join(spans, ["doc", "node"], "left"), "doc long, n_words long, n_removed long, kept binary", kept)
     return done.select(F.when(F.col("doc") != LEAST, F.col("doc")).alias("doc_id"), "n_words", "n_removed", "kept")

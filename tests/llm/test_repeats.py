@@ -116,6 +116,12 @@ def test_words(docs_of, odd):
     assert words_got(odd) == words_wanted([(r.doc_id, r.text) for r in odd.collect()], 13)
 
 
+def test_words_of_many_texts_under_one_id(docs_of):
+    """Texts that share an id keep their own words, short ones among them; 24 bits of a hash would mix some up."""
+    rows = [(2, t) for _, t in tangled(300, seed=3)] + [(2, f"short {i}") for i in range(3000)] + [(None, f"none {i}") for i in range(3000)] + tangled(40)
+    assert words_got(docs_of(rows).repartition(5)) == words_wanted(rows, 13)
+
+
 def test_words_of_other_windows(docs_of):
     rows = tangled(60, seed=9)
     assert words_got(docs_of(rows).repartition(3), window=7, seed_words=3) == words_wanted(rows, 7)
