@@ -1,15 +1,20 @@
-"""Near copies: MinHash bands propose pairs of texts, the exact similarity of their word shingles decides.
+"""Near copies: groups of texts linked by a similarity of SIMILARITY or more over word shingles.
 
-A pair at the least similarity shares a band with a probability of
-1 - (1 - SIMILARITY^ROWS)^BANDS, 0.99997, and nearer ones with a larger one.
+Fingerprints within the radius of the covering masks (simhash.py) are tried first and
+join most copies. The rest follows from a prefix filter, which misses no link: with
+all shingles in one order, common ones last, two sets that alike share one of their
+first few (Bayardo et al. 2007). Sizes, places in that order and bit maps of the sets
+bound the similarity (Xiao et al. 2008, Sandes et al. 2018) before a text is read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from terralattice import session
 from terralattice.llm import components, simhash
@@ -17,26 +22,19 @@ from terralattice.llm.common import by_batch, text_hash
 
 WORDS = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 20, 4
 SEED = 42
-MORE_PIVOTS = 8  # times as many in each round
-
-_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-_CHUNK = 2048
+COUNTERS = 1 << 20  # places of the shingle counts, whatever the corpus; equal places count together
+_BLOCK = 1 << 12
+MAP_WORDS = 8  # 64-bit words of a bit map
+MORE_PIVOTS = 4  # times as many in each round
+SALTED = 10_000  # rows of a key that meet its pivots in one task
+_CHUNK = 1 << 20
 
 
 def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(simhash.shingles((text or "").encode(), WORDS, SEED))
 
 
-def band_keys(shingles: np.ndarray) -> list[int]:
-    """Per band a hash of ROWS minima; all sets without shingles have the same."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for part in range(0, len(shingles), _CHUNK):
-        np.minimum(least, (shingles[None, part:part + _CHUNK] * _FACTORS[:, None]).min(axis=1), out=least)
-    return [xxhash.xxh64_intdigest(least[b * ROWS:(b + 1) * ROWS].tobytes(), b) - (1 << 63) for b in range(BANDS)]
-
-
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Shared shingles as a share of all; 1 for two texts without words."""
     if not len(a) and not len(b):
@@ -45,60 +43,179 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """node, root for every text that shares a band with another: linked at SIMILARITY or more, also over others.
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    return similarity(a, b) >= SIMILARITY
+
+
+def bit_map(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the shingles in each of 64 * MAP_WORDS places; two maps differ in at most as many bits as the sets in shingles."""
+    odd = np.bincount((shingles & np.uint64(64 * MAP_WORDS - 1)).astype(np.int64), minlength=64 * MAP_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def counter_of(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(44)).astype(np.int64) & (COUNTERS - 1)
+
+
+def prefix(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first shingles in the common order, of which an alike set has one."""
+    least = -(-4 * len(shingles) // 5)  # of a set's shingles are in any set alike
+    return shingles[np.lexsort((shingles, counts[counter_of(shingles)]))[:len(shingles) - least + 1]] if len(shingles) else shingles
+
+
+def _sketches(texts: DataFrame) -> DataFrame:
+    maps = [f"m{i}" for i in range(MAP_WORDS)]
 
-    Each round takes some pivots of every bucket and compares them with those of its
-    members that are not in their group yet, then leaves them out; buckets of one
-    group are done. So a crowded bucket of near copies takes as many comparisons as
-    it has members, and no pair of a bucket that could join two groups is left out.
-    """
     def make(columns):
-        sets = [shingle_set(t) for t in columns["text"]]
+        all_ = [simhash.shingles((t or "").encode(), WORDS, SEED) for t in columns["text"]]
+        sets = [np.unique(s) for s in all_]
+        bits = np.stack([bit_map(s) for s in sets])
         return {"node": pa.array(columns["node"], pa.int64()), "size": pa.array(map(len, sets), pa.int64()),
-                "keys": pa.array([band_keys(s) for s in sets], pa.list_(pa.int64()))}
-    named = docs.select(text_hash().alias("node"), F.col("text").cast("string").alias("text"))
-    marked = by_batch(named, "node long, size long, keys array<long>", make).dropDuplicates(["node"])
-    entries = session.materialize(marked.select("node", "size", F.explode("keys").alias("key")), "bands")
-    shared = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members = session.materialize(entries.join(shared, "key"), "band-members")
-    nodes = session.materialize(members.select("node").distinct(), "band-nodes")
-    texts = session.materialize(named.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "band-texts")
-
-    roots, links, tested, pivots = nodes.select("node", F.col("node").alias("root")), None, None, 1
+                "set": pa.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) - (1 << 63) for s in sets], pa.int64()),
+                "fp": pa.array([simhash.signed(simhash.majority(s)) for s in all_], pa.int64())} | {m: pa.array(bits[:, i]) for i, m in enumerate(maps)}
+    return by_batch(texts, "node long, set long, size long, fp long, " + ", ".join(f"{m} long" for m in maps), make)
+
+
+def shingle_counts(texts: DataFrame) -> np.ndarray:
+    """How many sets hold a shingle of each place. Sums of tasks are added up block by block in a stream."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, held, size = np.zeros(COUNTERS, np.int64), [], 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                held.append(counter_of(shingle_set(text)))
+                size += len(held[-1])
+                if size > _CHUNK:
+                    counts += np.bincount(np.concatenate(held), minlength=COUNTERS)
+                    held, size = [], 0
+        counts += np.bincount(np.concatenate([np.zeros(0, np.int64), *held]), minlength=COUNTERS)
+        yield _blocks(counts.reshape(-1, _BLOCK), range(COUNTERS // _BLOCK))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, part in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sums[block] = sums.get(block, 0) + part.values.to_numpy()
+        if sums:
+            yield _blocks(list(sums.values()), sums)
+    parts = texts.select("text").mapInArrow(each, "block int, counts array<long>").repartition("block")
+    out = np.zeros((COUNTERS // _BLOCK, _BLOCK), np.int64)
+    for r in parts.mapInArrow(add, "block int, counts array<long>").toArrow().to_pylist():  # COUNTERS numbers
+        out[r["block"]] = r["counts"]
+    return out.ravel()
+
+
+def _blocks(parts, names) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"block": pa.array(list(names), pa.int32()), "counts": pa.array(list(parts), pa.list_(pa.int64()))})
+
+
+def _postings(texts: DataFrame, counts: np.ndarray) -> DataFrame:
+    """key, set, place: prefixes of all sets, without shingles that no other prefix has."""
+    def make(columns):
+        firsts = [prefix(shingle_set(t), counts).view(np.int64) for t in columns["text"]]
+        sizes = list(map(len, firsts))
+        none = np.zeros(0, np.int64)
+        return {"key": pa.array(np.concatenate([none, *firsts])), "set": pa.array(np.repeat(np.array(columns["set"], np.int64), sizes)),
+                "place": pa.array(np.concatenate([none, *map(np.arange, sizes)]))}
+    made = by_batch(texts.select("set", "text"), "key long, set long, place long", make)
+    return made.repartition("key").sortWithinPartitions("key", "set").mapInArrow(_shared, "key long, set long, place long")
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows in order of key, those whose key comes more than once; the last row waits for the next batch."""
+    names, held, known = ("key", "set", "place"), np.zeros((3, 0), np.int64), False
+    for batch in batches:
+        rows = np.concatenate([held, np.stack([batch.column(n).to_numpy() for n in names])], axis=1)
+        if not rows.shape[1]:
+            continue
+        same = rows[0, 1:] == rows[0, :-1]
+        shared = np.append(same, False)
+        shared[1:] |= same
+        shared[0] |= known
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows[:, :-1][:, shared[:-1]]], names=list(names))
+        held, known = rows[:, -1:], bool(shared[-1])
+    if known:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], names=list(names))
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """node, root for every different text: the same root where links of SIMILARITY or more lead, also over others.
+
+    Texts with equal shingle sets are one node of the search. In each round every
+    key, a shingle of prefixes, draws some of its sets as pivots, which meet those of
+    its sets that are not in their group yet, and are then done with the key; keys
+    whose sets are all in one group are done. The bounds in the join leave pairs
+    that are alike but for few, so a large group of copies, which shrinks with each
+    pivot, takes pairs in proportion to its size. Only counts of COUNTERS places
+    pass through the driver.
+    """
+    texts = session.materialize(docs.select(text_hash().alias("node"), F.col("text").cast("string").alias("text")).dropDuplicates(["node"]), "near-texts")
+    sketches = session.materialize(_sketches(texts), "near-sketches")
+    maps = [f"m{i}" for i in range(MAP_WORDS)]
+    sets = session.materialize(sketches.groupBy("set").agg(*[F.min(c).alias(c) for c in ("node", "size", "fp", *maps)]), "near-sets")
+    chosen = texts.join(sets.select("node", "set"), "node").select("set", "text")
+    counts = shingle_counts(texts)
+    postings = session.materialize(_postings(chosen, counts), "near-postings")
+
+    heads = sets.groupBy("fp").agg(F.min("set").alias("head"))
+    links = simhash.links(heads.select("fp"))
+    near = sets.join(heads, "fp").where("set != head").select(F.col("head").alias("a"), F.col("set").alias("b"))
+    for name in ("a", "b"):
+        links = links.join(heads.select(F.col("fp").alias(name), F.col("head").alias(f"{name}_set")), name)
+    pairs = near.unionByName(links.select(F.col("a_set").alias("a"), F.col("b_set").alias("b"))).distinct()
+    tested = session.materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "near-pairs")
+    found = session.materialize(_alike(tested, chosen), "near-links")
+    roots, pivots = session.materialize(components.connected(sets.select(F.col("set").alias("node")), found), "near-roots"), 1
     while True:
-        labelled = members.join(roots, "node")
-        open_keys = labelled.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("z")).where("a < z").select("key")
-        members_left = session.materialize(labelled.join(open_keys, "key").withColumn(
-            "nr", F.row_number().over(Window.partitionBy("key").orderBy("node"))), "band-open")
-        if members_left.isEmpty():
-            return roots
-        pivot = members_left.where(F.col("nr") <= pivots).select("key", F.col("node").alias("p"), F.col("root").alias("p_root"), F.col("size").alias("p_size"), F.col("nr").alias("p_nr"))
-        pairs = (members_left.join(pivot, "key").where("p_nr < nr and p_root != root")
-                 .where(F.least("size", "p_size") >= SIMILARITY * F.greatest("size", "p_size"))
-                 .select(F.col("p").alias("a"), F.col("node").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = session.materialize(pairs, "band-pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = session.materialize(_alike(pairs, texts), "near-links")
-        links = found if links is None else links.unionByName(found)
-        roots = session.materialize(components.connected(nodes, links), "near-roots")
-        members = members_left.where(F.col("nr") > pivots).select("key", "node", "size")
+        left = session.materialize(_open(postings, roots), "near-open")
+        if left.isEmpty():
+            break
+        pivot = session.materialize(left.groupBy("key", F.pmod(F.xxhash64("set", F.lit(pivots)), F.lit(pivots)).alias("class"))
+                                    .agg(F.min("set").alias("set")).select("key", "set"), "near-pivots")
+        pairs = session.materialize(_pairs(left, pivot, sets).join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        tested = tested.unionByName(pairs)
+        found = found.unionByName(session.materialize(_alike(pairs, chosen), "near-links"))
+        roots = session.materialize(components.connected(sets.select(F.col("set").alias("node")), found), "near-roots")
+        postings = left.select("key", "set", "place").join(pivot, ["key", "set"], "left_anti")
         pivots *= MORE_PIVOTS
+    return sketches.select("node", F.col("set").alias("of")).join(roots.select(F.col("node").alias("of"), "root"), "of").select("node", "root")
+
+
+def _open(postings: DataFrame, roots: DataFrame) -> DataFrame:
+    """Postings of the keys that hold sets of several groups, with the set's root and the key's number of rows."""
+    labelled = postings.join(roots.select(F.col("node").alias("set"), "root"), "set")
+    several = labelled.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("z"), F.count("*").alias("n")).where("a < z")
+    return labelled.join(several.select("key", "n"), "key")
+
+
+def _pairs(left: DataFrame, pivot: DataFrame, sets: DataFrame) -> DataFrame:
+    """Different pairs a < b of a pivot and a set of its key in another group that the bounds allow to be alike."""
+    maps = [f"m{i}" for i in range(MAP_WORDS)]
+    rows = left.join(sets.select("set", "size", *maps), "set")
+    chosen = left.select("key", "set", "place", "root", "n").join(pivot, ["key", "set"]).join(sets.select("set", "size", *maps), "set")
+    parts = (F.col("n") / SALTED).cast("int")
+    chosen = chosen.withColumn("part", F.explode(F.sequence(F.lit(0), parts)))
+    chosen = chosen.select("key", "part", *[F.col(c).alias(f"p_{c}") for c in ("set", "place", "root", "size", *maps)])
+    size = F.col("size") + F.col("p_size")
+    differing = sum((F.bit_count(F.col(m).bitwiseXOR(F.col(f"p_{m}"))) for m in maps[1:]), F.bit_count(F.col("m0").bitwiseXOR(F.col("p_m0"))))
+    allowed = ((F.col("root") != F.col("p_root")) & (5 * F.least("size", "p_size") >= 4 * F.greatest("size", "p_size"))
+               & (9 * F.least(F.col("size") - F.col("place"), F.col("p_size") - F.col("p_place")) >= 4 * size) & (9 * differing <= size))
+    met = rows.withColumn("part", F.pmod(F.xxhash64("set"), parts + 1).cast("int")).join(chosen, ["key", "part"]).where(allowed)
+    return met.select(F.least("set", "p_set").alias("a"), F.greatest("set", "p_set").alias("b")).distinct()
 
 
 def _alike(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs a, b whose texts reach SIMILARITY."""
-    joined = (pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
-              .join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a"))
+    """The pairs a, b whose texts reach SIMILARITY. A set with many partners meets them in parts."""
+    many = pairs.groupBy("a").agg(F.count("*").alias("n"))
+    parted = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), (F.col("n") / 1000).cast("int") + 1).cast("int").alias("part"))
+    firsts = parted.select("a", "part").distinct().join(texts.select(F.col("set").alias("a"), F.col("text").alias("a_text")), "a")
+    joined = parted.join(texts.select(F.col("set").alias("b"), F.col("text").alias("b_text")), "b").join(firsts, ["a", "part"])
 
     def make(columns):
         kept, last, first = [], None, None
         for a, b, a_text, b_text in zip(columns["a"], columns["b"], columns["a_text"], columns["b_text"]):
             if a != last:
                 last, first = a, shingle_set(a_text)
-            if similarity(first, shingle_set(b_text)) >= SIMILARITY:
+            if alike(first, shingle_set(b_text)):
                 kept.append((a, b))
         return {"a": pa.array([k[0] for k in kept], pa.int64()), "b": pa.array([k[1] for k in kept], pa.int64())}
     return by_batch(joined.select("a", "b", "a_text", "b_text"), "a long, b long", make)

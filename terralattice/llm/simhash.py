@@ -49,7 +49,11 @@ def shingles(text: bytes | None, n: int, seed: int) -> np.ndarray:
 
 def fingerprint(text: bytes | None, n: int, seed: int) -> int:
     """Bit b is set where over half of the shingle hashes have it set; 0 without words."""
-    hashes = shingles(text, n, seed)
+    return majority(shingles(text, n, seed))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that over half of the hashes have set."""
     if not len(hashes):
         return 0
     ones = np.zeros(BITS, np.int64)
@@ -59,7 +63,7 @@ def fingerprint(text: bytes | None, n: int, seed: int) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def _signed(value: int) -> int:
+def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
@@ -67,7 +71,7 @@ def fingerprints(docs: DataFrame, text: str = "text", n: int = 4, seed: int = 42
     """doc_id and the fingerprint as a signed long (`fp`), one row per row of `docs`."""
     def make(columns):
         return {"doc_id": pa.array(columns["doc_id"], pa.int64()),
-                "fp": [_signed(fingerprint(t, n, seed)) for t in columns["text"]]}
+                "fp": [signed(fingerprint(t, n, seed)) for t in columns["text"]]}
     return by_batch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text")),
                     "doc_id long, fp long", make)
 
@@ -102,7 +106,7 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     if radius % 2:
         raise ValueError("the radius must be even")
-    keys = F.explode(F.array(*[F.struct(F.lit(t).cast("byte").alias("mask"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key"))
+    keys = F.explode(F.array(*[F.struct(F.lit(t).cast("byte").alias("mask"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key"))
                                for t, m in enumerate(masks(radius))]))
     entries = fps.select("fp", keys.alias("e")).select("fp", "e.mask", "e.key")
     counted = entries.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
@@ -116,7 +120,7 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     crowded = entries.join(counted.where(F.col("n") > BLOCK).select("mask", "key"), ["mask", "key"], "left_semi").select("fp").distinct()
     flips = [0] + [sum(1 << b for b in c) for k in range(1, radius // 2 + 1) for c in itertools.combinations(range(BITS), k)]
-    flips = F.array(*[F.lit(_signed(f)) for f in flips])
+    flips = F.array(*[F.lit(signed(f)) for f in flips])
     around = crowded.select("fp", F.explode(flips).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("centre"))
     first = around.groupBy("centre").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).where("a < z").select("centre", "a")
     shared = around.join(first, "centre").where("a < fp").select("a", F.col("fp").alias("b")).distinct()

@@ -31,7 +31,7 @@ def edited(rng, words, share):
     return [f"e{rng.random()}" if rng.random() < share else w for w in words]
 
 
-@pytest.mark.parametrize("more", [8, 1000])
+@pytest.mark.parametrize("more", [4, 1000])
 def test_near_dedup_finds_what_brute_force_finds(spark, docs_of, monkeypatch, more):
     """Families around 0.8, a crowded one of copies of copies among them."""
     monkeypatch.setattr(near_copies, "MORE_PIVOTS", more)

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 import corpus_pipeline
 from check_queries import compare, connect
+from test_near_copies import brute_groups
 from terralattice import session
-from terralattice.llm import decontamination, mixing, quality, sharding, simhash, token_counts
+from terralattice.llm import decontamination, mixing, quality, sharding, token_counts
 from terralattice.llm.queries import QUERIES, SQL
 
 SMALL = "/root/testdata/sf0.001"
@@ -144,15 +145,9 @@ def test_pipeline(spark, documents):
     rows = {r.doc_id: r for r in documents.collect()}
     stay = {d: r for d, r in rows.items() if quality.measure((r.text or "").encode())["kept"]}
     assert {r.doc_id for r in corpus_pipeline.quality_rules(spark, documents, SMALL).collect()} == set(stay)
-    prints = {d: simhash.fingerprint(r.text.encode(), 4, 42) for d, r in stay.items()}
-    groups = {d: {d} for d in prints}
-    for a in prints:
-        for b in prints:
-            if (prints[a] ^ prints[b]).bit_count() <= 4 and groups[a] is not groups[b]:
-                both = groups[a] | groups[b]
-                for d in both:
-                    groups[d] = both
-    stay = {d: r for d, r in stay.items() if d == min(groups[d])}
+    ordered = sorted(stay)
+    root = brute_groups([stay[d].text for d in ordered])
+    stay = {d: stay[d] for i, d in enumerate(ordered) if root[i] == i}
     parts = [decontamination.tokens(r.text) for r in items.collect()]
     clean = {d: r for d, r in stay.items() if all(decontamination.align(decontamination.tokens(r.text), i) < 0.5 for i in parts)}
     out = corpus_pipeline.run(spark, SMALL)
