@@ -46,6 +46,8 @@ PIXELS = _struct(
 WEIGHTS = _struct(("grid_id", _S), ("target_id", _L), ("rank", _I), ("source_id", _L),
                   ("w", _D), ("dominant", T.BooleanType()), ("max_w", _D))
 
+FRAMES = _struct(("orbital_slot", _S), ("obs_date", T.DateType()), ("time", _TS), ("rows", _L))
+
 RUN_LOG = _struct(("observation_id", _S), ("attempt", _I), ("status", _S), ("error", _S), ("ts", _TS))
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types
 
 from terralattice import constants as C, schemas, session
 from terralattice.functions import scalars as S
@@ -15,6 +16,7 @@ from terralattice.sources import tables as T
 
 
 _FRAME = ["orbital_slot", "obs_date", "time"]
+_INDEX, _BEGUN = "_region/frames", "_region/begun"
 
 
 def write_catalog(tables: dict[str, DataFrame], directory: str, fmt: str = "parquet") -> None:
@@ -71,6 +73,7 @@ def create_store(spark: SparkSession, path: str, bands, include_dqf: bool = True
             if not axis.isEmpty() and not G.axis_checks(axis, ["axis"], idx, value).first()["valid"]:
                 raise ValueError(f"The {value} axis is not monotonic")
     spark.createDataFrame([], schema).write.mode(mode).partitionBy("orbital_slot", "obs_date").parquet(path)
+    spark.createDataFrame([], schemas.FRAMES).write.partitionBy(*_FRAME[:2]).parquet(f"{path}/{_INDEX}")
     told = {"region": name or "", "bands": ",".join(map(str, bands))} | (attributes or {})
     rows = spark.createDataFrame([("schema", schema.json()), *told.items()], "key string, value string")
     rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/_region/attributes")
@@ -86,35 +89,87 @@ def stored_rows(regridded: DataFrame, bands, include_dqf: bool = True) -> DataFr
                           for f in schemas.gridded(bands, include_dqf).fields])
 
 
+def frame_index(spark: SparkSession, path: str, frames: DataFrame | None = None) -> DataFrame:
+    """orbital_slot, obs_date, time, rows: how many rows the region holds of each frame; of those in `frames` only, if given.
+
+    A row per frame and append that touched it is kept beside the data, in folders
+    per (slot, date). A table without an index gets one from its rows, once.
+    """
+    if not T.exists(spark, f"{path}/{_INDEX}"):
+        schema = spark.read.parquet(path).schema
+        stored = spark.read.schema(schema).parquet(path).groupBy(*_FRAME).agg(F.count(F.lit(1)).alias("rows"))
+        _write_index(session.materialize(stored, "frames"), path, "overwrite")
+    kept = spark.read.schema(schemas.FRAMES).parquet(f"{path}/{_INDEX}")
+    if frames is not None:
+        kept = join_by(kept, frames.select(*_FRAME[:2]).distinct().withColumn("_folder", F.lit(1)), _FRAME[:2]).drop("_folder")
+    index = kept.groupBy(*_FRAME).agg(F.max("rows").alias("rows"))  # frames only grow
+    return index if frames is None else join_by(index, frames.select(*_FRAME).distinct().withColumn("_asked", F.lit(1)), _FRAME).drop("_asked")
+
+
+def _write_index(rows: DataFrame, path: str, mode: str) -> None:
+    writer = rows.select(*schemas.FRAMES.names).repartition(*_FRAME[:2]).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*_FRAME[:2]).parquet(f"{path}/{_INDEX}")
+
+
+def _count_stored(spark: SparkSession, frames: DataFrame, path: str, schema) -> DataFrame:
+    """Index rows of `frames` as their data are now."""
+    found = _stored(spark, frames, path, schema, _FRAME).groupBy(*_FRAME).agg(F.count(F.lit(1)).alias("rows"))
+    return session.materialize(found, "frames")
+
+
+def settle_appends(spark: SparkSession, path: str, schema) -> None:
+    """Bring the index up to date with appends that stopped before they were through: their frames are counted anew."""
+    for name in session.child_names(spark, f"{path}/{_BEGUN}"):
+        begun = f"{path}/{_BEGUN}/{name}"
+        if "_SUCCESS" in session.child_names(spark, begun):  # else no data of it were written
+            frames = spark.read.schema(types.StructType(schemas.FRAMES.fields[:3])).parquet(begun)
+            _write_index(_count_stored(spark, frames, path, schema), path, "append")
+        session.remove(spark, begun)
+
+
 def missing_frames(frames: DataFrame, path: str, schema, cells: int) -> DataFrame:
     """The frames (orbital_slot, obs_date, time) of which the store holds fewer than `cells` rows.
 
     Asked before gridding, so that stored frames are not gridded again. Only the
-    frame columns of the folders concerned are read.
+    frame index is read.
     """
-    stored = _stored(frames.sparkSession, frames, path, schema, _FRAME)
-    full = stored.groupBy(*_FRAME).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= cells)
-    return join_by(frames, full, _FRAME, "left").where("_n is null").drop("_n")
+    settle_appends(frames.sparkSession, path, schema)
+    full = frame_index(frames.sparkSession, path, frames).where(F.col("rows") >= cells)
+    return join_by(frames, full, _FRAME, "left").where("rows is null").drop("rows")
 
 
 def append_frames(rows: DataFrame, path: str, schema, frames: DataFrame | None = None) -> None:
     """Append the rows that the region does not hold yet, by (slot, time, target).
 
-    A further part of a stored frame is added; rows stored before are left out.
-    `frames` names the frames in `rows` where the caller has them at hand, which
-    spares evaluating `rows` twice. The stored side is first cut to the (slot, date) folders being written, which
-    lets Spark prune partitions, and reads the key columns only. Rows are
-    gathered per (slot, hour, block of 2^20 targets) before writing: a hot slot or
-    date is spread over many tasks, and a date folder gets at most as many files
-    as it has such groups.
+    The frame index tells new frames, whose rows are written as they come, from
+    frames that are stored in part: of these alone the stored targets are read, from
+    the row groups of their time, and left out. `frames` names the frames in `rows` where the caller
+    has them at hand, which spares evaluating `rows` twice.
+
+    The frames are noted before the data are written, and the note goes when the
+    index has them; an append that stops in between is settled by the next, so that
+    it can be done again in whole.
+
+    Rows are gathered per (slot, hour, block of 2^20 targets) before writing: a hot
+    slot or date is spread over many tasks, and a date folder gets at most as many
+    files as it has such groups.
     """
     if set(rows.columns) != set(schema.names):
         raise ValueError(f"Band set differs from the store's: {sorted(set(rows.columns) ^ set(schema.names))}")
-    key = [*_FRAME, "target_id"]
-    stored = _stored(rows.sparkSession, rows if frames is None else frames, path, schema, key)
-    known = stored.withColumn("_known", F.lit(1))
-    _gathered(join_by(rows, known, key, "left").where("_known is null").select(*schema.names)).write.mode("append").partitionBy(
+    spark = rows.sparkSession
+    settle_appends(spark, path, schema)
+    begun = f"{path}/{_BEGUN}/{uuid.uuid4().hex}"
+    (rows if frames is None else frames).select(*_FRAME).distinct().write.parquet(begun)
+    frames = spark.read.schema(types.StructType(schemas.FRAMES.fields[:3])).parquet(begun)
+    partly = session.materialize(frame_index(spark, path, frames), "partly-stored")
+    if not partly.isEmpty():
+        key = [*_FRAME, "target_id"]
+        known = _stored(spark, partly, path, schema, key).withColumn("_known", F.lit(1))
+        rows = join_by(rows, known, key, "left").where("_known is null")
+    _gathered(rows.select(*schema.names)).write.mode("append").partitionBy(
         "orbital_slot", "obs_date").option("compression", "zstd").parquet(path)
+    _write_index(_count_stored(spark, frames, path, schema), path, "append")
+    session.remove(spark, begun)
 
 
 def append_observations(pixels: DataFrame, path: str, schema, transform: Callable[[DataFrame], DataFrame],
@@ -139,9 +194,13 @@ def append_observations(pixels: DataFrame, path: str, schema, transform: Callabl
 
 
 def _stored(spark: SparkSession, frames: DataFrame, path: str, schema, columns: list[str]) -> DataFrame:
-    """Stored columns of the folders that `frames` concern."""
-    folders = frames.select(*_FRAME[:2]).distinct().withColumn("_folder", F.lit(1))
-    return join_by(spark.read.schema(schema).parquet(path).select(*columns), folders, _FRAME[:2]).drop("_folder")
+    """Stored columns of the rows of `frames`; folders, and row groups by time, that hold none are skipped."""
+    wanted = frames.select(*_FRAME).distinct()
+    ends = wanted.agg(F.min("time").alias("first"), F.max("time").alias("last")).first()
+    stored = spark.read.schema(schema).parquet(path)
+    if ends["first"] is not None and wanted.where("time is null").isEmpty():
+        stored = stored.where(F.col("time").between(F.lit(ends["first"]), F.lit(ends["last"])))
+    return join_by(stored.select(*dict.fromkeys([*_FRAME, *columns])), wanted.withColumn("_frame", F.lit(1)), _FRAME).select(*columns)
 
 
 def _gathered(rows: DataFrame) -> DataFrame:
@@ -150,9 +209,14 @@ def _gathered(rows: DataFrame) -> DataFrame:
 
 
 def overwrite_dates(rows: DataFrame, path: str) -> None:
-    """Replace the (slot, date) folders that `rows` touches; others stay."""
-    (_gathered(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Replace the (slot, date) folders that `rows` touches, in the frame index too; others stay."""
+    spark = rows.sparkSession
+    written = session.materialize(rows, "replacement")
+    counts = session.materialize(written.groupBy(*_FRAME).agg(F.count(F.lit(1)).alias("rows")), "frames")
+    (_gathered(written).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("orbital_slot", "obs_date").parquet(path))
+    if T.exists(spark, f"{path}/{_INDEX}"):
+        _write_index(counts, path, "overwrite")
 
 
 def append_history(spark: SparkSession, path: str, message: str) -> None:

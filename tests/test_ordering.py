@@ -122,8 +122,7 @@ def test_strictly_increasing(spark):
 def test_plans_read_the_written_runs_twice_at_most(spark, table):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plans = [plan_of(O.even_sample(table, ["k"], ["time", "id"], 7)), plan_of(O.with_previous(table, ["k"], ["time", "id"], "v")),
-                 plan_of(St.percentile_exact(table, ["k"], "v", 0.5))]
+        plans = [plan_of(O.even_sample(table, ["k"], ["time", "id"], 7)), plan_of(O.with_previous(table, ["k"], ["time", "id"], "v"))]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     for plan in plans:
@@ -176,6 +175,40 @@ def test_percentile_is_exact(spark, fraction):
         np.testing.assert_allclose(got[k]["percentile"], np.percentile(v, fraction * 100), rtol=1e-12)
 
 
+@pytest.mark.parametrize("bins", [2, 4096])
+def test_ranks_are_found_by_counting(spark, monkeypatch, bins):
+    """Any doubles, many equal ones, and hardly any bins."""
+    monkeypatch.setattr(St, "BINS", bins)
+    rng = random.Random(8)
+    data = {"extremes": [-1.7e308, 1.7e308, 0.0, 5e-324, -5e-324, 1e-300, 3.0, 3.0], "near": [1e8 + rng.random() * 1e-6 for _ in range(50)],
+            "scales": [10.0 ** rng.randint(-200, 200) for _ in range(40)], "one": [4.0] * 9, None: [float(i // 7) for i in range(60)]}
+    values = spark.createDataFrame([(k, v) for k, part in data.items() for v in part], "k string, v double").repartition(5)
+    for share in (0.0, 0.5, 1.0):
+        ranks = {k: int(share * (len(part) - 1)) for k, part in data.items()}
+        wanted = spark.createDataFrame([(k, ranks[k], min(part), max(part)) for k, part in data.items()], "k string, rank long, low double, high double")
+        got = {r["k"]: r["found"] for r in St.select_rank(values, ["k"], wanted).collect()}
+        assert got == {k: sorted(part)[ranks[k]] for k, part in data.items()}
+
+
+def test_statistics_of_a_small_spread_around_a_large_mean(spark):
+    values = 1e8 + np.random.default_rng(2).normal(0, 1e-3, 5000)
+    df = spark.createDataFrame([("a", float(v)) for v in values] + [("a", float("nan")), ("b", 1.0), ("c", None)], "k string, cmi double").repartition(9)
+    got = {r["k"]: r for r in St.band_statistics(df, ["k"]).collect()}
+    assert set(got) == {"a", "b"} and got["b"]["std_dev"] == 0.0 and got["b"]["outlier_count"] == 0
+    centred = values - 1e8
+    assert got["a"]["n"] == 5000 and got["a"]["std_dev"] == pytest.approx(centred.std(), rel=1e-4)
+    assert abs(got["a"]["outlier_count"] - (abs(centred - centred.mean()) > 3 * centred.std()).sum()) <= 1
+    assert (got["a"]["min"], got["a"]["max"]) == (values.min(), values.max())
+
+
+def test_statistics_do_not_move_pixels(spark, tmp_path):
+    path = str(tmp_path / "pixels")
+    spark.range(2000).selectExpr("id % 3 AS k", "cast(id as double) AS cmi").write.parquet(path)
+    plan = plan_of(St.band_statistics(spark.read.parquet(path), ["k"]))
+    scan = plan[:plan.index("pixels")].splitlines() if "pixels" in plan else []
+    assert plan.count("Exchange hashpartitioning") <= 2 and "partial_count" in plan, scan
+
+
 def test_ir_scale_guards(spark):
     df = spark.createDataFrame([("flat", 5.0)] * 3 + [("low", 0.0)] * 9 + [("low", 1.0)], "k string, v double")
     got = {r["k"]: r for r in St.ir_norm_params(df, ["k"], "v").collect()}

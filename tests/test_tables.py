@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from check_queries import plan_of
-from terralattice import constants as C, dims, schemas
+from terralattice import constants as C, dims, schemas, session
 from terralattice.functions import recipes, scalars as S
 from terralattice.operators import bands as B, catalog, ordering, store, validate, weights as W
 from terralattice.plans import fixtures as X
@@ -262,6 +262,42 @@ def test_parts_of_a_frame_are_kept(spark, tmp_path):
         sinks.append_frames(rows.withColumnRenamed("cmi_c02", "cmi_c03"), path, schema)
 
 
+def test_the_index_tells_what_is_stored(spark, tmp_path):
+    """Only partly stored frames are read; an append that stopped half-way is settled and done again."""
+    path, schema = str(tmp_path / "region"), schemas.gridded([2])
+    sinks.create_store(spark, path, [2])
+    days = ["2024-01-01 00:00:00", "2024-01-01 05:00:00", "2024-01-02 00:10:00"]
+    sinks.append_frames(gridded_rows(spark, days[:1]), path, schema)
+    index = lambda: {str(r["time"]): r["rows"] for r in sinks.frame_index(spark, path).collect()}
+    assert index() == {days[0]: 4}
+    kept, sinks._count_stored = sinks._count_stored, None
+    with pytest.raises(TypeError):  # data are written, the index is not
+        sinks.append_frames(gridded_rows(spark, days[:2]), path, schema)
+    sinks._count_stored = kept
+    assert index() == {days[0]: 4} and spark.read.parquet(path).count() == 8
+    for _ in range(2):
+        sinks.append_frames(gridded_rows(spark, days), path, schema)
+        assert index() == dict.fromkeys(days, 4) and spark.read.parquet(path).count() == 12
+    assert not session.child_names(spark, f"{path}/_region/begun")
+    sinks.overwrite_dates(gridded_rows(spark, ["2024-01-01 00:00:00", "2024-01-01 07:00:00"]), path)
+    assert index() == dict.fromkeys(["2024-01-01 00:00:00", "2024-01-01 07:00:00", days[2]], 4)
+    other = str(tmp_path / "other")  # written without an index
+    gridded_rows(spark, days).write.partitionBy("orbital_slot", "obs_date").parquet(other)
+    frames = gridded_rows(spark, [*days, "2024-01-03 00:00:00"]).select("orbital_slot", "obs_date", "time").distinct()
+    assert [str(r["time"]) for r in sinks.missing_frames(frames, other, schema, 4).collect()] == ["2024-01-03 00:00:00"]
+
+
+def test_stored_rows_are_read_by_their_time(spark, tmp_path):
+    path, schema = str(tmp_path / "region"), schemas.gridded([2])
+    sinks.create_store(spark, path, [2])
+    rows = gridded_rows(spark, ["2024-01-01 00:00:00", "2024-01-01 05:00:00"])
+    sinks.append_frames(rows, path, schema)
+    asked = rows.where("time > timestamp '2024-01-01 01:00:00'").select("orbital_slot", "obs_date", "time").distinct()
+    plan = plan_of(sinks._stored(spark, asked, path, schema, ["target_id"]))
+    scan = plan[plan.index("region"):]
+    assert "GreaterThanOrEqual(time,2024-01-01 05:00:00" in plan.replace("T05:00:00Z", " 05:00:00") and "cmi_c02" not in scan.split("ReadSchema")[1].splitlines()[0]
+
+
 def test_observations_are_checked_before_gridding(spark, tmp_path):
     path, schema = str(tmp_path / "region"), schemas.gridded([2])
     sinks.create_store(spark, path, [2])
@@ -330,7 +366,6 @@ def test_strict_streams_stop_at_a_failed_frame(spark, tmp_path):
 
 def test_a_cluster_needs_a_shared_folder(spark):
     from types import SimpleNamespace
-    from terralattice import session
     lone = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(lone)
