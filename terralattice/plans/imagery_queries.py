@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from terralattice import constants as C, dims, schemas, session
 from terralattice.functions import projection as P, recipes, scalars as S
 from terralattice.operators import (bands as B, catalog, grid as G, ordering, regrid as R, reshape,
-                                    statistics as St, store, validate, weights as Wt)
+                                    statistics as St, store, tiles as Ti, validate, weights as Wt)
 from terralattice.plans import fixtures as X
 from terralattice.plans.registry import query
 from terralattice.sinks import tables as sinks
@@ -104,6 +104,37 @@ def _sum16(alias: str, b: int) -> str:
     return f"round(CASE WHEN NOT isnan(sum(w * {alias}.cmi_c{b:02d})) THEN sum(w * {alias}.cmi_c{b:02d}) END, 6) AS cmi_c{b:02d}"
 
 
+def _array_frames(spark, d):
+    """The derived raster as one row-major array per frame and product."""
+    pixels = X.raster(spark, d)
+    whole = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("source_id", c))), lambda p: p[c])
+    return pixels.groupBy("vec_id", "band").agg(whole("cmi").alias("cmi"), whole("dqf").alias("dqf"))
+
+
+def _by_target(arrays, keys):
+    flat = arrays.select(*keys, F.posexplode(F.arrays_zip("cmi", "dqf")).alias("target_id", "_v"))
+    return flat.select(*keys, F.col("target_id").cast("long").alias("target_id"), F.round(S.nan_to_null(F.col("_v.cmi")), 6).alias("cmi"), F.col("_v.dqf").alias("dqf"))
+
+
+@query("udf02_array_frames", with_ctes("regridded", f"SELECT vec_id, band, target_id, {_sql6('cmi')} AS cmi, dqf FROM regridded"))
+def _(spark, d):
+    packed = session.materialize(Ti.pack_weights(X.weights(spark), X.NX, 4), "packed-weights")
+    return _by_target(Ti.regrid_arrays(_array_frames(spark, d), packed, _FRAME, ["cmi"], ["dqf"], X.NX, X.NY, 289, 4), _FRAME)
+
+
+@query("udf02_array_cubes", with_ctes("regridded", f"""
+SELECT vec_id // 16 AS cube, row_number() OVER (PARTITION BY vec_id // 16, target_id ORDER BY vec_id) - 1 AS step, target_id, {_sql6('cmi')} AS cmi, dqf
+FROM regridded"""))
+def _(spark, d):
+    """Frames of sixteen vectors as one array over time."""
+    frames = _array_frames(spark, d).groupBy(F.floor(F.col("vec_id") / 16).alias("cube")).agg(F.array_sort(F.collect_list(F.struct("vec_id", "cmi", "dqf"))).alias("f"))
+    cubes = frames.select("cube", F.transform("f", lambda f: f["cmi"]).alias("cmi"), F.transform("f", lambda f: f["dqf"]).alias("dqf"))
+    packed = session.materialize(Ti.pack_weights(X.weights(spark), X.NX, 4), "packed-weights")
+    out = Ti.regrid_cubes(cubes, packed, ["cube"], ["cmi"], ["dqf"], X.NX, X.NY, 289, 4)
+    steps = out.select("cube", F.posexplode(F.arrays_zip("cmi", "dqf")).alias("step", "_v")).select("cube", F.col("step").cast("long").alias("step"), "_v.cmi", "_v.dqf")
+    return _by_target(steps, ["cube", "step"])
+
+
 @query("udf03_regrid_all_bands", with_ctes("pixels16", """
 , small AS (SELECT unnest([0, 0, 0, 1, 1, 1]) AS target_id, unnest([0, 1, 2, 3, 2, 1]) AS source_id, unnest([0.5, 0.25, 0.25, 1.0, 0.0, 0.0]::DOUBLE[]) AS w)
 SELECT p.vec_id, target_id, """ + ", ".join(_sum16("p", b) for b in C.ALL_BANDS) + """
