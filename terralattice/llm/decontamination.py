@@ -1,8 +1,10 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare n-gram seeds join passages to test items, then Smith-Waterman alignment.
 
-Every word n-gram of a test item is a seed: which ones an edited copy keeps is not
-known before. Documents that hold a seed are aligned with the item around it, so
-paraphrased and edited copies are scored too.
+Seeds are pairs of words at most two apart. An alignment that reaches a share s of
+a verbatim copy's score has less than one error per match on average, so it holds
+at least s * n - 1 such pairs of an item of n words. Of all pairs of the item, ranked
+by their frequency in the corpus, the commonest can therefore be left out: as many
+as still force half of that number on every such alignment. No copy is lost by it.
 """
 
 from __future__ import annotations
@@ -13,18 +15,21 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from terralattice import session
-from terralattice.llm.common import by_batch, order_id, text_hash
+from terralattice.llm import winnow
+from terralattice.llm.common import LEAST, by_batch, order_id, text_hash
 
-SEED_WORDS = 3
+APART = 2  # words, at most, from the first of a pair to the second
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.5  # of the score of a verbatim copy
 MIN_WORDS = 6  # of an item are aligned at least, or all of a shorter one
-MAX_BLOCK_WORDS = 1_000_000  # item words whose n-grams go to the tasks at once; larger benchmarks take several passes
+FILTER_BITS = 1 << 22  # of the filter that tells which pairs are worth a look, whatever the benchmark
 
 _TOKEN = re.compile(r"\w+")
+_FACTOR = np.uint64(0x9FB21C651E98DF25)  # odd, so that products keep all bits
 
 
 def tokens(text: str | None) -> list[str]:
@@ -32,42 +37,14 @@ def tokens(text: str | None) -> list[str]:
     return _TOKEN.findall((text or "").lower())
 
 
-class _Grams:
-    """Finds given n-grams in texts; words are numbered by a vocabulary, so matches are exact."""
-
-    def __init__(self, grams: list[str]):
-        split = [g.split(" ") for g in grams]
-        self.number = {w: i + 1 for i, w in enumerate(sorted({w for g in split for w in g}))}
-        self.base = len(self.number) + 1
-        codes = np.array([self._code([self.number[w] for w in g]) for g in split], np.int64)
-        order = np.argsort(codes)
-        self.codes, self.grams = codes[order], [grams[i] for i in order]
-
-    def _code(self, numbers):
-        code = 0
-        for n in numbers:
-            code = code * self.base + n
-        return code
-
-    def find(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in `words` where a gram starts, and which."""
-        none = np.zeros(0, np.int64)
-        if len(words) < SEED_WORDS or not len(self.codes):
-            return none, none
-        number = self.number.get
-        ids = np.array([number(w, 0) for w in words], np.int64)
-        n = len(ids) - SEED_WORDS + 1
-        known = np.ones(n, bool)
-        for k in range(SEED_WORDS):
-            known &= ids[k:k + n] > 0
-        at = np.flatnonzero(known)
-        if not len(at):
-            return none, none
-        code = self._code([ids[at + k] for k in range(SEED_WORDS)])
-        place = np.searchsorted(self.codes, code)
-        place[place == len(self.codes)] = 0
-        hit = self.codes[place] == code
-        return at[hit], place[hit]
+def pair_keys(words: list[str], singles: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the word pairs in a text and where they start; with `singles` of its words, too."""
+    code = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+    parts = [winnow.mix(code[:-gap] * _FACTOR + code[gap:]) for gap in range(1, APART + 1) if gap < len(code)]
+    if singles:
+        parts.append(winnow.mix(~code))
+    at = [np.arange(len(p)) for p in parts]
+    return np.concatenate([np.zeros(0, np.uint64), *parts]).view(np.int64), np.concatenate([np.zeros(0, np.int64), *at])
 
 
 def align(passage: list[str], item: list[str]) -> float:
@@ -102,97 +79,158 @@ def aligned(passage: list[str], item: list[str]) -> tuple[float, int]:
     return score / (MATCH * len(item)), common
 
 
-def _blocks(items: DataFrame) -> list[DataFrame]:
-    """The items in blocks whose words fit the stated bound, by running sums over items."""
-    words = F.coalesce(F.size(F.split("text", r"\s+")), F.lit(0)).cast("long")
-    total = items.agg(F.sum(words).alias("n")).first()["n"] or 0
-    n = -(-total // MAX_BLOCK_WORDS)
-    if n <= 1:
-        return [items]
-    return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b) for b in range(n)]
+def _places(keys: np.ndarray) -> np.ndarray:
+    return keys & (FILTER_BITS - 1)
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """Marks the places that keys fall on; FILTER_BITS places, however many keys."""
+    found = keys.select(F.col("key").bitwiseAND(F.lit(FILTER_BITS - 1)).cast("int").alias("place")).distinct().toArrow()
+    marks = np.zeros(FILTER_BITS, bool)
+    marks[found["place"].to_numpy()] = True
+    return np.packbits(marks, bitorder="little")
+
+
+def _passing(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    place = _places(keys)
+    return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
+
+
+def _item_pairs(items: DataFrame) -> DataFrame:
+    """nr, words, key: all pairs of the items of three words and more, the one of items of two, the word of items of one."""
+    def make(columns):
+        parts = [[np.zeros(0, np.int64)] * 3]
+        for nr, text in zip(columns["nr"], columns["text"]):
+            words = tokens(text)
+            keys = pair_keys(words, len(words) == 1)[0]
+            parts.append([np.full(len(keys), nr), np.full(len(keys), len(words)), keys])
+        return {n: pa.array(np.concatenate(c)) for n, c in zip(("nr", "words", "key"), zip(*parts))}
+    return by_batch(items.select("nr", "text"), "nr long, words long, key long", make)
+
+
+def _frequencies(docs: DataFrame, pairs: DataFrame, singles: bool) -> DataFrame:
+    """key, n: how often pairs of items, and others that fall on their places, come in the corpus."""
+    bits = _filter(pairs)
+
+    def make(columns):
+        keys = [pair_keys(tokens(t), singles)[0] for t in columns["text"]]
+        keys = np.concatenate([np.zeros(0, np.int64), *[k[_passing(k, bits)] for k in keys]])
+        key, n = np.unique(keys, return_counts=True)
+        return {"key": pa.array(key), "n": pa.array(n)}
+    return by_batch(docs.select("text"), "key long, n long", make).groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def rare_seeds(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """key, nr, times, needed: the rarest pairs of each item, how often it has them, and how many a passage must have.
+
+    Pairs that the corpus lacks come first and cost nothing; of the others the
+    commonest are left out, so many that a copy still has `needed` of the rest.
+    """
+    pairs = session.materialize(_item_pairs(items), "item-pairs")
+    singles = not pairs.where("words = 1").isEmpty()
+    counted = _frequencies(docs, pairs, singles).join(pairs.select("key").distinct(), "key")
+    ranked = pairs.join(session.materialize(counted, "pair-counts"), "key", "left").groupBy("nr", "words").agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key"))).alias("p"))  # of one item
+    forced = F.greatest(F.lit(1), F.ceil(F.lit(float(min_score)) * F.col("words")) - 1).cast("int")
+    needed = F.greatest(F.lit(1), F.floor(forced / 2)).cast("int")
+    chosen = ranked.select("nr", needed.alias("needed"), F.explode(F.slice("p", F.lit(1), F.greatest(F.size("p") - forced + needed, F.lit(1)))).alias("s"))
+    return chosen.where("s.n > 0").groupBy("s.key", "nr", "needed").agg(F.count("*").alias("times"))
 
 
 def matches(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """doc_id, item_id, score for each document and item whose alignment reaches `min_score`.
 
-    The corpus is read once per block of items, whose words and n-grams are sent to
-    the tasks, within MAX_BLOCK_WORDS. Documents are aligned where they are read, in
-    stretches around the seeds of an item; stretches that have too few words in
-    common with it are not aligned, for they cannot reach the score. Only the
-    scores are shuffled. A copy that keeps no n-gram whole is not found.
+    The corpus is read once for the frequencies of the items' pairs and once for the
+    places of the seeds; seeds, items and passages are tables and meet in joins. A
+    passage is a stretch of a document around seeds of one item, wide enough for any
+    alignment of the score; it is aligned if it has enough words in common with the
+    item. The result is that of aligning every document with every item in whole.
 
     Scores compare words without case and punctuation. MIN_WORDS words of an item,
-    or all of a shorter one, are aligned besides; items of fewer than SEED_WORDS
-    words match where all their words stand in a row. Null and empty texts match
-    nothing. Rows that repeat an id
-    are taken as one document or item with the best of their scores. A null doc_id
-    or item_id is kept as null. Other columns are not read.
+    or all of a shorter one, are aligned besides; items of one or two words match
+    where these stand in a row. Null and empty texts match nothing. Rows that
+    repeat an id are taken as one document or item with the best of their scores. A
+    null doc_id or item_id is kept as null. Other columns are not read.
     """
     return _scores(docs, items, min_score).groupBy("doc_id", "item_id").agg(F.max("score").alias("score"))
 
 
 def _scores(docs: DataFrame, items: DataFrame, min_score: float) -> DataFrame:
     """doc_id, node, item_id, score for rows that reach `min_score`; node is the hash of the text."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("node"), F.col("text").cast("string").alias("text"))
-    found = None
-    for block in _blocks(items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))):
-        part = _block_scores(docs, block, min_score)
-        found = part if found is None else found.unionByName(part)
-    return found
-
-
-def _block_scores(docs: DataFrame, items: DataFrame, min_score: float) -> DataFrame:
-    rows = items.distinct().collect()  # a block is bounded
-    held = [tokens(r["text"]) for r in rows]
-    grams: dict[str, list[int]] = {}
-    for i, words in enumerate(held):
-        for gram in dict.fromkeys(" ".join(words[at:at + SEED_WORDS]) for at in range(len(words) - SEED_WORDS + 1)):
-            grams.setdefault(gram, []).append(i)
-    finder = _Grams(list(grams))
-    owners = [grams[g] for g in finder.grams]
-    short: dict[tuple, list[int]] = {}
-    for i, words in enumerate(held):
-        if 0 < len(words) < SEED_WORDS:
-            short.setdefault(tuple(words), []).append(i)
-    lengths = sorted({len(words) for words in short})
-    item_ids, counted = [r["item_id"] for r in rows], [Counter(words) for words in held]
+    docs = docs.select(order_id().alias("id"), text_hash().alias("node"), F.col("text").cast("string").alias("text"))
+    held = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct()
+    held = session.materialize(held.withColumn("nr", F.xxhash64("item_id", "text", F.lit(7))), "items")
+    seeds = session.materialize(rare_seeds(docs, held, min_score), "seeds")
+    sized = by_batch(held.select("nr", "text"), "nr long, words long", lambda c: {"nr": pa.array(c["nr"], pa.int64()), "words": [len(tokens(t)) for t in c["text"]]})
+    found = session.materialize(_near(docs, seeds, sized, min_score), "passages")
 
     def make(columns):
-        found: dict[tuple, float] = {}
-        for doc_id, node, text in zip(columns["doc_id"], columns["node"], columns["text"]):
+        kept = []
+        for id_, node, item_id, passage, text in zip(*(columns[n] for n in ("id", "node", "item_id", "passage", "text"))):
+            words, item = passage.split(" "), tokens(text)
+            if (Counter(item) & Counter(words)).total() < min_score * len(item):
+                continue  # no alignment scores more than all words in common
+            score, common = aligned(words, item)
+            if score >= (min_score if len(item) > 2 else 1.0) and common >= min(MIN_WORDS, len(item)):
+                kept.append((None if id_ == LEAST else id_, node, item_id, score))
+        return {n: pa.array([k[i] for k in kept], t) for i, (n, t) in enumerate((("doc_id", pa.int64()), ("node", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64())))}
+    met = found.join(held, "nr").select("id", "node", "item_id", "passage", "text")
+    return by_batch(met, "doc_id long, node long, item_id long, score double", make)
+
+
+def _near(docs: DataFrame, seeds: DataFrame, sized: DataFrame, min_score: float) -> DataFrame:
+    """id, node, nr, passage: stretches of documents with enough seeds of an item."""
+    bits, singles = _filter(seeds), not sized.where("words = 1").isEmpty()
+
+    def hits(columns):
+        parts = [[np.zeros(0, np.int64)] * 4]
+        for id_, node, text in zip(columns["id"], columns["node"], columns["text"]):
+            keys, at = pair_keys(tokens(text), singles)
+            pass_ = _passing(keys, bits)
+            keys, at = keys[pass_], at[pass_]
+            parts.append([np.full(len(keys), id_), np.full(len(keys), node), keys, at])
+        return {n: pa.array(np.concatenate(c)) for n, c in zip(("id", "node", "key", "at"), zip(*parts))}
+    found = by_batch(docs, "id long, node long, key long, at long", hits).join(seeds, "key")
+    # Places of a document that hold seeds of an item: at most as many as it has words and the item pairs.
+    hit = F.array_sort(F.collect_list(F.struct("at", "key", "times")))
+    together = found.groupBy("id", "node", "nr", "needed").agg(hit.alias("hits"))
+    most = F.aggregate(F.array_distinct(F.transform("hits", lambda h: F.struct(h["key"], h["times"]))), F.lit(0).cast("long"), lambda n, h: n + h["times"])
+    together = session.materialize(together.where((F.size("hits") >= F.col("needed")) & (most >= F.col("needed"))).join(sized, "nr"), "seed-places")
+    wanted = together.groupBy("id", "node").agg(F.collect_list(F.struct(
+        "nr", "needed", "words", F.col("hits.at").alias("at"), F.col("hits.key").alias("key"), F.col("hits.times").alias("times"))).alias("asked"))
+
+    def cut(columns):
+        rows = []
+        for id_, node, text, asked in zip(columns["id"], columns["node"], columns["text"], columns["asked"]):
             words = tokens(text)
-            for n in lengths:
-                for gram in short.keys() & set(zip(*(words[k:] for k in range(n)))):
-                    for i in short[gram]:
-                        found[doc_id, node, item_ids[i]] = 1.0
-            seeds: dict[int, list[int]] = {}
-            for at, place in zip(*(x.tolist() for x in finder.find(words))):
-                for i in owners[place]:
-                    seeds.setdefault(i, []).append(at)
-            for i, places in seeds.items():
-                reach = math.ceil((3 - 2 * min_score) * len(held[i]))  # no alignment of the score spans more words
-                for first, last in _runs(places, reach):
-                    passage = words[max(0, first - reach):last + SEED_WORDS + reach]
-                    if (counted[i] & Counter(passage)).total() < min_score * len(held[i]):
-                        continue  # no alignment scores more than all words in common
-                    score, common = aligned(passage, held[i])
-                    if score >= min_score and common >= min(MIN_WORDS, len(held[i])):
-                        key = (doc_id, node, item_ids[i])
-                        found[key] = max(score, found.get(key, 0.0))
-        return {"doc_id": pa.array([k[0] for k in found], pa.int64()), "node": pa.array([k[1] for k in found], pa.int64()),
-                "item_id": pa.array([k[2] for k in found], pa.int64()), "score": pa.array(list(found.values()), pa.float64())}
-    return by_batch(docs, "doc_id long, node long, item_id long, score double", make)
-
-
-def _runs(places: list[int], most: int) -> list[tuple[int, int]]:
-    """First and last of each run of ascending places at most `most` apart."""
-    runs = []
-    for at in places:
-        if runs and at - runs[-1][1] <= most:
-            runs[-1][1] = at
-        else:
-            runs.append([at, at])
-    return [(a, z) for a, z in runs]
+            for item in asked:
+                reach = math.ceil((3 - 2 * min_score) * item["words"])  # no alignment of the score spans more words
+                for first, last in _stretches(item["at"], item["key"], item["times"], reach, item["needed"]):
+                    rows.append((id_, node, item["nr"], " ".join(words[max(0, first - reach):last + APART + 1 + reach])))
+        return {n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate((("id", pa.int64()), ("node", pa.int64()), ("nr", pa.int64()), ("passage", pa.string())))}
+    return by_batch(docs.join(wanted, ["id", "node"]), "id long, node long, nr long, passage string", cut)
+
+
+def _stretches(at: list[int], keys: list[int], times: list[int], reach: int, needed: int) -> list[tuple[int, int]]:
+    """First and last place of stretches that hold `needed` seeds within `reach` words, each key as often as the item has it.
+
+    Places ascend; stretches closer than twice the reach are one.
+    """
+    out: list[list[int]] = []
+    held, count, first = Counter(), 0, 0
+    for i, place in enumerate(at):
+        held[keys[i]] += 1
+        count += held[keys[i]] <= times[i]
+        while place - at[first] > reach:
+            count -= held[keys[first]] <= times[first]
+            held[keys[first]] -= 1
+            first += 1
+        if count >= needed:
+            if out and at[first] - out[-1][1] <= 2 * reach:
+                out[-1][1] = place
+            else:
+                out.append([at[first], place])
+    return [(a, z) for a, z in out]
 
 
 def clean(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:

@@ -1,6 +1,7 @@
 """Quality rules, fingerprints, decontamination and page text against brute force."""
 
 import collections
+import random
 import re
 
 import pytest
@@ -154,11 +155,58 @@ def test_matches_find_what_full_alignment_finds(spark, documents):
     assert got == wanted
 
 
-def test_blocks_of_items_give_the_same(spark, documents, monkeypatch):
-    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
-    whole = sorted(decontamination.matches(documents, items).collect())
-    monkeypatch.setattr(decontamination, "MAX_BLOCK_WORDS", 500)
-    assert sorted(decontamination.matches(documents, items).collect()) == whole
+def edited(rng, words, vocabulary):
+    """A copy with words changed, left out, put in and moved to a new line."""
+    out, share = [], rng.choice([0.05, 0.2, 0.3, 0.45])
+    for w in words:
+        kind = rng.random()
+        if kind < share / 3:
+            continue
+        out.append(rng.choice(vocabulary) if kind < share * 2 / 3 else w)
+        if kind > 1 - share / 3:
+            out.append(rng.choice(vocabulary))
+    return out
+
+
+def test_no_edited_copy_is_lost(spark, docs_of):
+    """All pairs of documents and items aligned in whole give the same scores; items share words and pairs."""
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(120)]
+    zipf = [v for i, v in enumerate(vocabulary) for _ in range(120 // (i + 1))]
+    items = [(i, [rng.choice(zipf) for _ in range(rng.choice([1, 2, 3, 4, 6, 9, 15, 30, 60]))]) for i in range(60)]
+    texts = []
+    for _ in range(90):
+        noise = [[rng.choice(zipf) for _ in range(rng.randint(0, 60))] for _ in range(2)]
+        texts.append(noise[0] + edited(rng, rng.choice(items)[1], vocabulary) + noise[1])
+    spread = items[-1][1]
+    texts += [[x for w in spread for x in (w, "foreign")], [x for w in spread for x in (w, "foreign", "words")], []]
+    want = {}
+    for d, words in enumerate(texts):
+        for i, item in items:
+            score, common = decontamination.aligned(words, item)
+            if score >= (0.5 if len(item) > 2 else 1.0) and common >= min(6, len(item)):
+                want[d, i] = score
+    assert ((len(texts) - 3, items[-1][0]) in want) and len(want) > 100
+    df = docs_of([(d, " ".join(words)) for d, words in enumerate(texts)]).repartition(4)
+    table = spark.createDataFrame([(i, " ".join(words)) for i, words in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontamination.matches(df, table).collect()}
+    assert got == want
+
+
+def test_passages_do_not_grow_with_unrelated_items(spark, docs_of):
+    """Ten times as many items give passages of the copies still, not of every document."""
+    rng = random.Random(5)
+    zipf = [f"w{i}" for i in range(20_000) for _ in range(20_000 // (i + 1))]
+    items = [(i, " ".join(rng.choice(zipf) for _ in range(30))) for i in range(1000)]
+    df = docs_of([(d, " ".join(rng.choice(zipf) for _ in range(300))) for d in range(200)] + [(1000 + i, items[i][1]) for i in range(100)])
+    counts = []
+    for n in (100, 1000):
+        held = spark.createDataFrame(items[:n], "item_id long, text string").withColumn("nr", F.col("item_id"))
+        docs = df.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("node"), "text")
+        seeds = decontamination.rare_seeds(docs, held)
+        sized = held.select("nr", F.lit(30).cast("long").alias("words"))
+        counts.append(decontamination._near(docs, seeds, sized, 0.5).count())
+    assert 100 <= counts[0] < 200 * 2 and counts[1] < 200 * 2 * 2
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="<p>no</p>";</script></head><body>
