@@ -2,13 +2,16 @@
 
 Paragraphs pass points for length and commas to the elements around them,
 discounted by link density; the best container and those beside it that also
-hold text are kept. Menus, notices, forms and the like are taken out first.
+hold text are kept. Menus, notices, forms and the like are taken out first. Inside
+the chosen article only what no article has as its own goes: adverts, comments,
+forms. All steps take time in proportion to the page, broken or not.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -25,6 +28,7 @@ form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary t
 SIBLINGS_END = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "tr": ("tr", "td", "th"),
                 "td": ("td", "th"), "th": ("td", "th"), "tbody": ("tr", "td", "th", "thead", "tbody"), "thead": ("tbody",)}
 BOUNDS = frozenset("table ul ol dl select body html article section div".split())  # implied ends do not reach across these
+PARTS = frozenset("section table blockquote pre ul ol dl figure details".split())  # of a text, beside its other parts
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p pre blockquote td li dd div section article main body figcaption".split())
 
@@ -40,73 +44,128 @@ breadcrumb breadcrumbs footer masthead topbar widget pagination pager toolbar te
 APART_NAMES = frozenset("""ad ads advert adverts advertisement advertising adsense cookie cookies consent gdpr popup modal overlay newsletter
 comment comments disqus replies reply respond discussion""".split())
 HEADER_NAMES = frozenset("header head".split())
+# Inside an article a name counts only as a whole: each of its parts is of these, and one of the first.
+BOX_NAMES = APART_NAMES | frozenset("share sharing social sponsor sponsored promo promotion subscribe subscription related recommended".split())
+PLAIN_PARTS = frozenset("area bar block bottom box btn buttons container content form inline item items left links list panel right section slot thread top unit widget wrap wrapper".split())
 NEGATIONS = frozenset("with without has no".split())  # "with-sidebar" names what is beside a sidebar
 
 LEAST_KEPT = 0.25  # of the paragraph text, or names are not trusted
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?/][^>]*>", re.S)
-_ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r"""=\s*["']|>""")
+_ATTRIBUTE = re.compile(r"([a-zA-Z-]++)\s*+(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "names", "role", "hidden", "points", "chars", "linked", "links", "dropped", "prose")
+    __slots__ = ("tag", "parent", "children", "names", "boxed", "look", "role", "hidden", "points", "chars", "linked", "links", "prose", "holds")
 
     def __init__(self, tag: str, parent: Node | None, attributes: str = ""):
         self.tag, self.parent, self.children = tag, parent, []
-        self.names, self.role, self.hidden = frozenset(), "", False
-        self.points, self.chars, self.linked, self.links, self.dropped, self.prose = 0.0, 0, 0, 0, False, 0
+        self.names, self.boxed, self.look, self.role, self.hidden = frozenset(), False, "", "", False
+        self.points, self.chars, self.linked, self.links, self.prose, self.holds = 0.0, 0, 0, 0, 0, False
         if attributes and not attributes.isspace():
             found = {m[0].lower(): m[1] or m[2] or m[3] for m in _ATTRIBUTE.findall(attributes)}
             parts = [p.lower() for p in _PART.findall(f"{found.get('class', '')} {found.get('id', '')}")]
             self.names = frozenset(p for before, p in zip(["", *parts], parts) if before not in NEGATIONS)
+            self.look = found.get("class", "")
+            for name in f"{self.look} {found.get('id', '')}".split():
+                whole = {p.lower() for p in _PART.findall(name)}
+                self.boxed = self.boxed or bool(whole & BOX_NAMES) and whole <= BOX_NAMES | PLAIN_PARTS
             self.role = found.get("role", "").lower()
             style = found.get("style", "").replace(" ", "").lower()
             self.hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in style
 
 
+def _tag_end(page: str, at: int, last: dict[str, int]) -> int:
+    """Place after the `>` that closes a tag; quoted values may hold others. `last` has the last place of each mark."""
+    while True:
+        stop = _STOP.search(page, at)
+        if page[stop.end() - 1] == ">":
+            return stop.end()
+        quote = page[stop.end() - 1]
+        # A quote that is never closed, or only beyond the last `>`, is taken as an ordinary character.
+        closed = page.find(quote, stop.end()) if stop.end() <= last[quote] else -1
+        at = closed + 1 if 0 <= closed < last[">"] else stop.end()
+
+
+def _tokens(page: str):
+    """Texts (None, text, 0) and tags (slash, name, start of its attributes, end) in one pass forward."""
+    last = {mark: page.rfind(mark) for mark in (">", '"', "'")}
+    at, end = 0, len(page)
+    while at < end:
+        start = page.find("<", at)
+        while start >= 0 and start < last[">"] and not (page[start + 1].isascii() and page[start + 1].isalpha() or page[start + 1] in "!?/"):
+            start = page.find("<", start + 1)
+        if start < 0 or start >= last[">"]:  # no tag is closed any more
+            if page.startswith("<!--", start) and start >= 0:
+                yield None, page[at:start], 0, start
+                return
+            yield None, page[at:], 0, end
+            return
+        if start > at:
+            yield None, page[at:start], 0, start
+        if page.startswith("<!--", start):
+            close = page.find("-->", start + 4)
+            at = close + 3 if close >= 0 else end
+            continue
+        name = _NAME.match(page, start)
+        if name is None:
+            at = page.find(">", start) + 1
+            continue
+        at = _tag_end(page, name.end(), last)
+        moved = yield name[1], name[2].lower(), name.end(), at
+        at = moved or at
+
+
 def parse(page: str) -> Node:
     """A tree of elements and texts; unclosed and misplaced tags are put right as far as text needs it."""
     root = here = Node("html", None)
-    at, end = 0, len(page)
-    while at < end:
-        found = _TOKEN.search(page, at)
-        text = page[at:found.start() if found else end]
-        if text:
-            here.children.append(html.unescape(text))
-        if not found:
-            break
-        at = found.end()
-        tag = (found[2] or "").lower()
-        if not tag:
+    unclosed: Counter[str] = Counter()  # elements from here to the root
+    source, moved = _tokens(page), None
+    while True:
+        try:
+            slash, tag, start, at = source.send(moved)
+        except StopIteration:
+            return root
+        moved = None
+        if slash is None:
+            here.children.append(html.unescape(tag))
             continue
-        if found[1]:
-            above = here
-            while above is not None and above.tag != tag:
-                above = above.parent
-            if above is not None and above.parent is not None:
-                here = above.parent
+        if slash:
+            if unclosed[tag]:
+                here = _close(here, (tag,), unclosed)
             continue
         if tag in ("html", "body"):
             continue
         ended = ("p",) if tag in CLOSES_P else SIBLINGS_END.get(tag, ())
-        if ended:
+        if any(unclosed[e] for e in ended):
             above = here
             while above.parent is not None and above.tag not in ended and above.tag not in BOUNDS:
                 above = above.parent
             if above.tag in ended and above.parent is not None:
-                here = above.parent
+                here = _close(here, (above.tag,), unclosed)
                 if tag == "tr" and here.tag == "tr":
-                    here = here.parent
-        node = Node(tag, here, found[3])
+                    here = _close(here, ("tr",), unclosed)
+        attributes = page[start:at - 1]
+        node = Node(tag, here, attributes)
         here.children.append(node)
         if tag in RAW:
             close = re.compile(f"</{tag}[\\s/>]", re.I).search(page, at)
-            at = page.find(">", close.end() - 1) + 1 or end if close else end
-        elif tag not in VOID and not found[3].endswith("/"):
+            moved = page.find(">", close.end() - 1) + 1 or len(page) if close else len(page)
+        elif tag not in VOID and not attributes.endswith("/"):
             here = node
-    return root
+            unclosed[tag] += 1
+
+
+def _close(here: Node, tags: tuple[str, ...], unclosed: Counter[str]) -> Node:
+    """The parent of the nearest element of one of the tags; what lies between is closed too."""
+    while True:
+        unclosed[here.tag] -= 1
+        found, here = here.tag in tags, here.parent
+        if found:
+            return here
 
 
 def _in_order(root: Node) -> list[Node]:
@@ -120,16 +179,14 @@ def _in_order(root: Node) -> list[Node]:
 
 
 def _weigh(nodes: list[Node]) -> None:
-    """Characters, linked characters and links below each element, and points of paragraphs."""
+    """Characters, linked characters and links below each element."""
     for node in reversed(nodes):
-        own = 0
+        node.chars = node.linked = node.links = 0
         for child in node.children:
             if isinstance(child, str):
-                size = len(child.strip())
-                own += size
-            elif not child.dropped:
+                node.chars += len(child.strip())
+            else:
                 node.chars, node.linked, node.links = node.chars + child.chars, node.linked + child.linked, node.links + child.links
-        node.chars += own
         if node.tag == "a":
             node.linked, node.links = node.chars, node.links + 1
 
@@ -145,7 +202,7 @@ def _inline_text(node: Node) -> str:
         item = stack.pop()
         if isinstance(item, str):
             parts.append(item)
-        elif item.tag in INLINE and not item.dropped:
+        elif item.tag in INLINE:
             stack.extend(reversed(item.children))
     return " ".join("".join(parts).split())
 
@@ -169,46 +226,45 @@ def _score(nodes: list[Node]) -> None:
 def _junk(node: Node, inside_article: bool, by_name: bool) -> bool:
     if node.tag in DROP_TAGS or node.hidden or node.role in DROP_ROLES:
         return True
+    if inside_article:
+        return node.boxed and node.tag not in HEADINGS and node.tag not in INLINE and node.tag != "p"
     if not by_name:
         return False
     if node.tag == "header" or node.names & HEADER_NAMES and node.tag not in HEADINGS:
-        return not inside_article
+        return True
     return bool(node.names & DROP_NAMES)
 
 
-def _holds(node: Node, tags: tuple[str, ...]) -> bool:
-    return any(n.tag in tags and not n.names & DROP_NAMES for n in _in_order(node)[1:])
-
-
-def _count_prose(root: Node) -> bool:
+def _count_prose(nodes: list[Node]) -> bool:
     """Sums the unlinked text of paragraphs below each element, without what is no article under any name.
 
-    False, and no sums, if an article or main element holds text.
+    Marks the elements that hold an article or main element. False, and no sums, if
+    one of these holds text.
     """
-    nodes = _in_order(root)
-    apart = set()
+    apart: set[Node] = set()
     for node in nodes:
         if node.parent in apart or node.hidden or node.tag in DROP_TAGS and node.tag != "form" or node.role in DROP_ROLES - {"form"} or node.names & APART_NAMES:
             apart.add(node)
-    live = [n for n in nodes if n not in apart]
-    if any(n.tag in ("article", "main") and any(_inline_text(x) for x in _in_order(n) if x not in apart) for n in live):
-        return False
-    for node in reversed(live):
-        if node.tag in PARAGRAPHS:
-            linked = sum(len(_inline_text(c)) for c in node.children if isinstance(c, Node) and c.tag == "a")
-            node.prose += max(0, len(_inline_text(node)) - linked)
+    article = False
+    for node in reversed(nodes):
+        own = node.tag in ("article", "main") and not node.names & DROP_NAMES
         if node.parent is not None:
-            node.parent.prose += node.prose
-    return True
+            node.parent.holds = node.parent.holds or node.holds or own
+        if node not in apart:
+            if node.tag in PARAGRAPHS:
+                linked = sum(len(_inline_text(c)) for c in node.children if isinstance(c, Node) and c.tag == "a")
+                node.prose += max(0, len(_inline_text(node)) - linked)
+            article = article or node.tag in ("article", "main") and (node.prose > 0 or bool(_inline_text(node)))
+            if node.parent is not None:
+                node.parent.prose += node.prose
+    return not article
 
 
 def _wrapper(node: Node, most: float) -> bool:
     """Whether an element is kept whatever its name, as it holds the article or most of the page's paragraphs."""
     if node.hidden:
         return False
-    if node.tag in ("div", "section", "form") and _holds(node, ("article", "main")):
-        return True
-    return node.prose > most
+    return node.tag in ("div", "section", "form") and node.holds or node.prose > most
 
 
 def _prune(root: Node, by_name: bool, most: float) -> list[Node]:
@@ -249,15 +305,14 @@ def _blocks(nodes: list[Node]) -> list[str]:
             close()
         elif isinstance(item, str):
             parts.append(item)
-        elif not item.dropped:
-            if item.tag == "br":
-                parts.append(" ")
-            elif item.tag in INLINE:
-                stack.extend(reversed(item.children))
-            else:
-                close()
-                stack.append(None)
-                stack.extend(reversed(item.children))
+        elif item.tag == "br":
+            parts.append(" ")
+        elif item.tag in INLINE:
+            stack.extend(reversed(item.children))
+        else:
+            close()
+            stack.append(None)
+            stack.extend(reversed(item.children))
     close()
     return out
 
@@ -278,21 +333,14 @@ def main_text(page: str | None) -> str:
 def _article(page: str, by_name: bool) -> tuple[str, int]:
     """The text, and how much paragraph text the page has that may be of an article; 0 where an article element tells."""
     root = parse(page)
-    prose = root.prose if _count_prose(root) else 0
+    prose = root.prose if _count_prose(_in_order(root)) else 0
     return _main(root, _prune(root, by_name, prose / 2 if prose else float("inf"))), prose
 
 
 def _main(root: Node, nodes: list[Node]) -> str:
     _weigh(nodes)
-    for node in nodes[1:]:
-        node.dropped = _menu(node)
-    if any(n.dropped for n in nodes):
-        for node in nodes:
-            node.chars = node.linked = node.links = 0
-        _weigh(nodes)
-    live = [n for n in nodes if not _below_dropped(n)]
-    _score(live)
-    best = max(live, key=lambda n: n.points * (1 - _density(n)))
+    _score(nodes)
+    best = max(nodes, key=lambda n: n.points * (1 - _density(n)))
     if best.points <= 0:
         return "\n".join(_blocks([root]))
     above = best
@@ -302,29 +350,28 @@ def _main(root: Node, nodes: list[Node]) -> str:
             if above.tag == "article":
                 break
         above = above.parent
-    if best.parent is None:
-        return "\n".join(_blocks([best]))
+    if best.parent is None:  # the page itself: its menus stand among the text
+        return "\n".join(_blocks([n for n in best.children if isinstance(n, str) or not _menu(n)]))
     least = 0.2 * best.points
-    kept = [n for n in best.parent.children if n is best or isinstance(n, Node) and not n.dropped and _beside(n, least, best)]
+    kept = [n for n in best.parent.children if n is best or isinstance(n, Node) and _beside(n, least, best)]
     return "\n".join(_blocks(kept))
 
 
-def _below_dropped(node: Node) -> bool:
-    while node is not None:
-        if node.dropped:
-            return True
-        node = node.parent
-    return False
-
-
 def _beside(node: Node, least: float, best: Node) -> bool:
-    """Whether an element beside the best container belongs to the article too."""
+    """Whether an element beside the best container belongs to the article too.
+
+    Parts of a text (sections, tables, lists, quotes) do if they are not mostly
+    links, whatever their length; other containers if they look like the best one
+    or have a share of its points.
+    """
     if best.tag in ("article", "main") and node.tag != best.tag:
         return False
     if node.tag in HEADINGS:
         return True
     if node.tag == "p":
         return node.chars > 80 and _density(node) < 0.25 or node.chars > 0 and not node.linked and _inline_text(node)[-1:] in ".!?\u3002"
+    if node.tag in PARTS or node.tag == best.tag and node.look == best.look != "":
+        return node.chars > 0 and _density(node) < 0.5
     return node.points * (1 - _density(node)) >= least
 
 

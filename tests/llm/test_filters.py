@@ -226,6 +226,79 @@ def test_main_text():
     assert html_text.main_text("<div>" * 5000 + "<p>deep text, here.</p>") == "deep text, here."
 
 
+def paragraphs(n, word="Paragraph"):
+    return "".join(f"<p>{word} {k} of the article, which has some words, and more.</p>" for k in range(n))
+
+
+def test_an_article_keeps_what_is_its_own():
+    """Lists of links, parts with names like boxes and short parts stay; boxes in an article go."""
+    references = "<ol>" + "".join(f"<li><a href=x>Reference number {i}</a> 20{i}</li>" for i in range(5)) + "</ol>"
+    text = html_text.main_text(f"<nav><ul>{references}</ul></nav><article>{paragraphs(3)}{references}</article>")
+    assert text.count("Paragraph") == 3 and text.count("Reference number") == 5
+    text = html_text.main_text(f"<div><section>{paragraphs(9)}</section><section><p>One short part.</p></section><table><tr><td>cell one<td>cell two</table></div>")
+    assert text.endswith("\nOne short part.\ncell one\ncell two")
+    text = html_text.main_text(f"""<article>{paragraphs(2)}<section id="related-work"><p>Work of others.</p></section><h2 class="social-title">Social</h2>
+      <p class="ad">Kept.</p><div class="ad-slot">Buy</div><section id="comments"><p>Nice!</p></section><form>Name</form><div class="share-buttons">x</div></article>""")
+    assert text.endswith("Work of others.\nSocial\nKept.")
+
+
+def test_broken_and_deep_pages_take_linear_time():
+    """Ten times the page takes some ten times the time, whatever is never closed."""
+    import time
+    for part, around in (("<a ", "%s"), ("<div>", "%s<p>deep, text.</p>"), ("<a href=\"x ", "%s>"), ("<!-- ", "%s"), ("</x>", "%s"), ("<article>", "%s<p>x, y.</p>"),
+                         ("<", "%s>"), ("a = ", "<p %s>"), ("<p><b>", "%s"), ("<a b='\"'>", "%s"), ("<ul><li>", "%s")):
+        took = []
+        for n in (2_000, 20_000):
+            start = time.process_time()
+            html_text.main_text(around % (part * n))
+            took.append(time.process_time() - start)
+        assert took[1] < 40 * max(took[0], 0.01), (part, took)
+
+
+def scored(page, commas=True, density=True):
+    """Points of containers from their paragraphs, by the rule alone: [(name, own points, kept)]; a page is [(name, [(text, link)])] in one wrapper."""
+    points = {}
+    for name, parts in page:
+        total = linked = 0
+        points[name] = 0.0
+        for text, link in parts:
+            size = len(text + link)
+            share = len(link) / size if density else 0.0
+            points[name] += (1 + (text.count(",") + link.count(",") if commas else 0) + min(size / 100, 3)) * (1 - share)
+            total, linked = total + size, linked + len(link)
+        points[name] = points[name], 1 - (linked / total if density else 0.0)
+    best = max(points, key=lambda n: points[n][0] * points[n][1])
+    return {n for n, (p, d) in points.items() if n == best or p * d >= 0.2 * points[best][0]}
+
+
+def test_points_decide_where_no_tag_does():
+    """Pages of plain containers: those kept are those that the rule keeps, and commas and links matter."""
+    rng = random.Random(6)
+    differ = {"commas": 0, "density": 0}
+    for _ in range(120):
+        page = []
+        for c in range(rng.randint(4, 6)):
+            kind = rng.choice(["prose", "links", "list", "short"])
+            parts = []
+            for k in range(rng.randint(1, 9)):
+                words = [f"c{c}w{k}x{i}" for i in range(rng.randint(3, 40) if kind != "short" else 3)]
+                text = (", " if kind == "prose" else " ").join(words)
+                parts.append(("see", " " + text) if kind == "links" else (text, ""))
+            page.append((f"c{c}", parts))
+        body = "".join(f"<div id={name}>" + "".join(f"<p>{text}" + (f"<a href=/x>{link}</a>" if link else "") + "</p>" for text, link in parts) + "</div>" for name, parts in page)
+        text = html_text.main_text(f"<body><div id=outer><div id=inner>{body}</div></div></body>")
+        lines = set(text.split("\n"))
+        kept = {name for name, parts in page if {(t + l).strip() for t, l in parts} <= lines}
+        whole = sum(map(len, (p for _, p in page)))
+        if kept == {n for n, _ in page} and len(lines) == whole:
+            continue  # the wrapper has more points than any one of them
+        want = scored(page)
+        assert kept == want
+        differ["commas"] += scored(page, commas=False) != want
+        differ["density"] += scored(page, density=False) != want
+    assert min(differ.values()) > 5, differ
+
+
 def test_extract_rows(spark):
     rows = [(1, "u", "<p>One, two.</p>"), (1, "u", "<p>One, two.</p>"), (None, None, None), (2, "v", "")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
