@@ -78,8 +78,8 @@ def apply(path: str, batch: int, changes: DataFrame) -> bool:
     if batch in done:
         return False
     key = ["doc", "tokenizer"]
-    last = changes.withColumn("doc", order_id()).groupBy(*key).agg(F.max(F.struct(
-        (~F.col("deleted")).alias("there"), "tokens", "source", "lang")).alias("c")).select(*key, "c.*")
+    last = session.materialize(changes.withColumn("doc", order_id()).groupBy(*key).agg(F.max(F.struct(
+        (~F.col("deleted")).alias("there"), "tokens", "source", "lang")).alias("c")).select(*key, "c.*"), "token-changes")  # texts are counted once
     added = last.where("there").select(*key, "source", "lang", F.lit(1).cast("long").alias("docs"), "tokens")
     stored = _read(spark, path, "deltas", done).join(last.select(*key), key, "left_semi")
     signed = added.unionByName(stored.withColumn("docs", -F.col("docs")).withColumn("tokens", -F.col("tokens")))

@@ -36,6 +36,17 @@ def test_shards(spark, documents):
     check_shards(rows, 8, lambda r: r.size)
 
 
+def test_shards_are_those_of_brute_force(spark, documents):
+    """Shard and slot by running bytes in order of id, checksum and size, recomputed one row at a time."""
+    rows = sorted((r.doc_id, zlib.crc32((r.text or "").encode()), len((r.text or "").encode()) + 1) for r in documents.collect())
+    total, before, want, slots = sum(r[2] for r in rows), 0, {}, [0] * 8
+    for doc_id, crc, size in rows:
+        shard = (2 * before + size) * 8 // (2 * total)
+        want[doc_id], slots[shard], before = (size, crc, shard, slots[shard]), slots[shard] + 1, before + size
+    got = {r.doc_id: (r["size"], r.text_crc32, r.shard, r.slot) for r in QUERIES["op1_sharding"](spark, SMALL).collect()}
+    assert got == want
+
+
 def test_shards_of_odd_documents(odd, docs_of):
     out = sharding.contiguous_shards(odd, 3, sharding.text_bytes(), ["doc_id"])
     assert set(out.columns) == set(odd.columns)  # shard and slot are replaced
