@@ -13,7 +13,7 @@ from terralattice.plans import fixtures as X
 from terralattice.plans.registry import query
 from terralattice.sinks import tables as sinks
 from terralattice.sources import tables as T
-from terralattice.streaming import ingest
+from terralattice.streaming import frames as Fr, ingest
 
 with_ctes = X.with_ctes
 _FRAME = ["vec_id", "band"]
@@ -1081,6 +1081,54 @@ def _(spark, d):
     return _streamed(spark, d, 1, lost_checkpoint=True)
 
 
+_LATE = """, last AS (SELECT max(time) - INTERVAL 1 HOUR AS until FROM frames)
+"""
+
+
+def _region_stream(spark, d, late=False):
+    """Frames arrive in two parts and go to a region; every seventh lacks pixels, which come when most of these frames are closed."""
+    source, base, path = (session.scratch_path(spark, n) for n in ("arrivals", "frames", "streamed"))
+    schema, w = schemas.gridded(_STORED_BANDS), session.materialize(X.weights(spark), "stream-weights")
+    sinks.create_store(spark, path, _STORED_BANDS)
+    px = _frame_pixels(spark, d).drop("cmi_c08")
+    missing = (F.col("vec_id") % 7 == 0) & (F.col("source_id") >= 60)
+    whole = X.raster(spark, d).select("vec_id", "source_id", F.col("cmi").alias("cmi_c07"), F.col("dqf").alias("dqf_c07"))
+    slots = px.select("vec_id", "orbital_slot", "obs_date", "time").distinct()
+
+    def transform(pixels):
+        found = R.regrid(pixels, w, ["orbital_slot", "obs_date", "time"], ["cmi_c07"], ["dqf_c07"])
+        return sinks.stored_rows(found.withColumns({"platform_id": F.lit("G16"), "scan_mode": F.lit(None).cast("string"), "ilat": F.floor(F.col("target_id") / 17),
+                                                    "ilon": F.col("target_id") % 17}), _STORED_BANDS)
+    error = lambda df: df.withColumn("error_message", F.when(F.col("source_id") < 0, "Invalid pixel"))
+    for parts in ((px.where("source_id < 24"), px.where("source_id >= 24")), (whole.where(missing).join(slots, "vec_id").select(*px.columns),))[:1 + late]:
+        for part in parts:
+            part.coalesce(1).write.mode("append").parquet(source)
+        Fr.ingest_frames(ingest.file_stream(spark, source, px.schema), transform, error, path, schema, base, f"{base}/checkpoint", X.NX * X.NY, "1 hour", block=16)
+    return path, base, px.schema
+
+
+@query("str01_region_frames", with_ctes("regridded", _APPEND_SQL + """
+SELECT f.orbital_slot, f.time, count(*) AS cells, count(*) FILTER (NOT isnan(cmi)) AS finite, CAST(sum(dqf) AS BIGINT) AS flags
+FROM regridded JOIN frames f USING (vec_id) WHERE vec_id % 7 <> 0 AND target_id IN (SELECT target_id FROM weights) GROUP BY 1, 2"""))
+def _(spark, d):
+    stored = T.open_region(spark, _region_stream(spark, d)[0])
+    return stored.groupBy("orbital_slot", "time").agg(F.count("*").alias("cells"), F.count_if(~F.isnan("cmi_c07")).alias("finite"), F.sum("dqf_c07").alias("flags"))
+
+
+@query("str03_frame_log", (_APPEND_SQL.replace(", frames", "WITH frames", 1) + _LATE + """
+SELECT orbital_slot, time, CASE WHEN vec_id % 7 = 0 THEN 'failed' ELSE 'done' END AS status, CASE WHEN vec_id % 7 = 0 THEN 'Incomplete frame' END AS error
+FROM frames, last WHERE vec_id % 7 <> 0 OR time < until"""))
+def _(spark, d):
+    return Fr.frame_log(spark, _region_stream(spark, d)[1]).select("orbital_slot", "time", "status", "error")
+
+
+@query("str07_late_pixels", (_APPEND_SQL.replace(", frames", "WITH frames", 1) + _LATE + """
+SELECT orbital_slot, time, CAST(unnest([60, 61, 62, 63]) AS BIGINT) AS source_id FROM frames, last WHERE vec_id % 7 = 0 AND time <= until"""))
+def _(spark, d):
+    _, base, schema = _region_stream(spark, d, late=True)
+    return Fr.late_pixels(spark, base, schema).select("orbital_slot", "time", "source_id")
+
+
 @query("str06_stream_catalog", with_ctes("obs", "SELECT observation_id, orbital_slot, file_name FROM obs"))
 def _(spark, d):
     source, base = session.scratch_path(spark, "catalog-arrivals"), session.scratch_path(spark, "catalog-stream")

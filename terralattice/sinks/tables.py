@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types
 
 from terralattice import constants as C, schemas, session
 from terralattice.functions import scalars as S
@@ -150,9 +150,9 @@ def append_frames(rows: DataFrame, path: str, schema, frames: DataFrame | None =
     index has them; an append that stops in between is settled by the next, so that
     it can be done again in whole.
 
-    Rows are gathered per (slot, hour, block of 2^20 targets) before writing: a hot
-    slot or date is spread over many tasks, and a date folder gets at most as many
-    files as it has such groups.
+    Rows are gathered per (slot, hour, square of 1024 x 1024 cells) before writing: a
+    hot slot or date is spread over many tasks, and a date folder gets at most as
+    many files as it has such groups.
     """
     if set(rows.columns) != set(schema.names):
         raise ValueError(f"Band set differs from the store's: {sorted(set(rows.columns) ^ set(schema.names))}")
@@ -203,9 +203,22 @@ def _stored(spark: SparkSession, frames: DataFrame, path: str, schema, columns:
     return join_by(stored.select(*dict.fromkeys([*_FRAME, *columns])), wanted.withColumn("_frame", F.lit(1)), _FRAME).select(*columns)
 
 
+def place_order(ilat: Column, ilon: Column) -> Column:
+    """Place of a grid cell on a curve that keeps neighbours together: the bits of row and column in turn."""
+    def spread(i: Column) -> Column:  # 16 bits, a gap behind each
+        v = F.pmod(i.cast("long"), F.lit(1 << 16))
+        for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+        return v
+    return F.shiftleft(spread(ilat), 1).bitwiseOR(spread(ilon))
+
+
 def _gathered(rows: DataFrame) -> DataFrame:
-    hour, block = F.date_trunc("hour", "time"), F.floor(F.col("target_id") / (1 << 20))
-    return rows.repartition("orbital_slot", "obs_date", hour, block).sortWithinPartitions("orbital_slot", "obs_date", "time", "target_id")
+    """Rows by hour and square of 1024 x 1024 cells, along the curve within; so files and row groups hold a small window in space."""
+    hour, curve = F.date_trunc("hour", "time"), place_order(F.col("ilat"), F.col("ilon"))
+    placed = rows.withColumn("_square", F.shiftright(curve, 20)).withColumn("_place", curve)
+    ordered = placed.repartition("orbital_slot", "obs_date", hour, "_square").sortWithinPartitions("orbital_slot", "obs_date", "_square", "_place", "time")
+    return ordered.drop("_square", "_place")
 
 
 def overwrite_dates(rows: DataFrame, path: str) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from terralattice import schemas, session
 from terralattice.schemas import TEXT_TIMES
@@ -86,9 +86,32 @@ def _region_reader(spark: SparkSession, path: str):
     return spark.read.schema(T.StructType.fromJson(json.loads(declared)))
 
 
-def open_region(spark: SparkSession, path: str, columns: list[str] | None = None,
-                start: str | None = None, end: str | None = None) -> DataFrame:
-    """A region's table or a part of it; the range prunes date folders too."""
+def box_ranges(grid: DataFrame, box: tuple[float, float, float, float]) -> list[tuple[tuple[int, int], tuple[int, int]]]:
+    """Index ranges (ilat, ilon) of the grid cells in a box (south, north, west, east); west over east crosses the antimeridian.
+
+    Along each axis the cells of a box are runs; a grid that itself crosses the
+    antimeridian may have them in two. Only the ends of the runs reach the driver.
+    """
+    south, north, west, east = box
+    lon = F.col("lon")
+    along = {"ilat": F.col("lat").between(south, north), "ilon": lon.between(west, east) if west <= east else (lon >= west) | (lon <= east)}
+    found = {}
+    for axis, inside in along.items():
+        cells = grid.where(inside).select(axis).distinct()  # one row per index of an axis
+        step = F.col(axis) - F.row_number().over(W.orderBy(axis))
+        runs = cells.withColumn("_run", step).groupBy("_run").agg(F.min(axis).alias("a"), F.max(axis).alias("z"))
+        found[axis] = [(r["a"], r["z"]) for r in runs.orderBy("a").collect()]
+    return [(lat, lon) for lat in found["ilat"] for lon in found["ilon"]]
+
+
+def open_region(spark: SparkSession, path: str, columns: list[str] | None = None, start: str | None = None, end: str | None = None,
+                box: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """A region's table or a part of it.
+
+    The range in time prunes date folders; the box (south, north, west, east), in the
+    region's declared grid, is read as ranges of its indices, by which row groups are
+    skipped, for rows are stored along a curve through the grid.
+    """
     df = _region_reader(spark, path).parquet(path)
     for bound, compare in ((start, "ge"), (end, "le")):
         if bound is not None:
@@ -96,6 +119,11 @@ def open_region(spark: SparkSession, path: str, columns: list[str] | None = None
             day, time = F.col("obs_date"), F.col("time")
             df = df.where((day >= stamp.cast("date")) & (time >= stamp) if compare == "ge"
                           else (day <= stamp.cast("date")) & (time <= stamp))
+    if box is not None:
+        inside = F.lit(False)
+        for (lat0, lat1), (lon0, lon1) in box_ranges(region_grid(spark, path), box):
+            inside = inside | F.col("ilat").between(lat0, lat1) & F.col("ilon").between(lon0, lon1)
+        df = df.where(inside)
     return df if columns is None else df.select(*columns)
 
 

@@ -369,3 +369,62 @@ def test_a_cluster_needs_a_shared_folder(spark):
     lone = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(lone)
+
+
+def wide_region(spark, path, n=64):
+    """A region of n x n cells around the antimeridian, a quarter degree apart, with two times."""
+    cell = spark.range(n * n)
+    i, j = F.floor(F.col("id") / n).cast("int"), (F.col("id") % n).cast("int")
+    lon = 172.0 + j * 0.25
+    grid = cell.select(F.col("id").alias("target_id"), i.alias("ilat"), j.alias("ilon"), (10.0 - i * 0.25).alias("lat"), F.when(lon >= 180.0, lon - 360.0).otherwise(lon).alias("lon"))
+    sinks.create_store(spark, path, [2], grid=grid)
+    times = spark.createDataFrame([("2024-01-01 00:00:00",), ("2024-01-01 00:10:00",)], "t string").select(F.col("t").cast("timestamp").alias("time"))
+    rows = grid.withColumn("time", F.explode(F.array(*[F.lit(r["time"]) for r in times.collect()]))).select(
+        F.lit("GOES-West").alias("orbital_slot"), "time", F.lit("G18").alias("platform_id"), F.lit(None).cast("string").alias("scan_mode"), "target_id", "ilat", "ilon",
+        F.col("target_id").cast("float").alias("cmi_c02"), F.lit(0).alias("dqf_c02"))
+    return grid, sinks.stored_rows(rows, [2])
+
+
+@pytest.mark.parametrize("box", [(-2.0, 3.0, 173.0, 176.1), (0.0, 1.0, 179.0, -178.9), (-90.0, 90.0, -180.0, 180.0), (50.0, 60.0, 0.0, 1.0), (9.0, 10.0, -175.0, -170.0)])
+def test_a_window_in_space(spark, tmp_path, box):
+    path = str(tmp_path / "region")
+    grid, rows = wide_region(spark, path)
+    sinks.append_frames(rows, path, schemas.gridded([2]))
+    south, north, west, east = box
+    inside = lambda r: south <= r["lat"] <= north and (west <= r["lon"] <= east if west <= east else r["lon"] >= west or r["lon"] <= east)
+    want = sorted(r["target_id"] for r in grid.collect() if inside(r))
+    got = sorted(r["target_id"] for r in T.open_region(spark, path, ["target_id"], "2024-01-01 00:05:00", box=box).collect())
+    assert got == want
+
+
+def test_row_groups_outside_a_window_are_skipped(spark, tmp_path):
+    """The scan hands on about the window's rows, not the file's."""
+    path = str(tmp_path / "region")
+    rows = wide_region(spark, path)[1]
+    sinks._gathered(rows).write.mode("append").option("parquet.block.size", 1024).option("parquet.page.size", 1024).option(
+        "parquet.block.size.row.count", 128).option("parquet.block.row.count.limit", 128).option("parquet.page.row.count.limit", 64).partitionBy("orbital_slot", "obs_date").parquet(path)
+    df = T.open_region(spark, path, ["target_id", "cmi_c02"], box=(8.1, 10.0, 172.0, 173.9))
+    n = df.count()
+    df = T.open_region(spark, path, ["target_id", "cmi_c02"], box=(8.1, 10.0, 172.0, 173.9))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    assert n == 2 * 8 * 8 and "LessThanOrEqual(ilat,7)" in text.split("PushedFilters")[1]
+    scans = [p for p in _nodes(plan) if "FileScan" in p.toString().splitlines()[0] or "Scan parquet" in p.nodeName()]
+    read = scans[-1].metrics().apply("numOutputRows").value()
+    assert n <= read <= 8 * n < 2 * 64 * 64
+
+
+def _nodes(plan):
+    """Operators of an executed plan, those within an adaptive one too."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return _nodes(plan.executedPlan())
+    children = plan.children()
+    return [plan] + [n for i in range(children.size()) for n in _nodes(children.apply(i))]
+
+
+def test_the_curve_keeps_squares_together(spark):
+    cells = spark.range(64 * 64).select(F.floor(F.col("id") / 64).alias("i"), (F.col("id") % 64).alias("j"))
+    got = {(r["i"], r["j"]): r["p"] for r in cells.withColumn("p", sinks.place_order(F.col("i"), F.col("j"))).collect()}
+    want = lambda i, j: sum(((i >> b & 1) << 2 * b + 1) | ((j >> b & 1) << 2 * b) for b in range(16))
+    assert all(got[i, j] == want(i, j) for i, j in got)
