@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from terralattice import constants as C
 from terralattice.operators import ordering
@@ -32,19 +32,28 @@ def strict_slot_ok(slot: Column) -> Column:
     return F.coalesce(slot.isin(list(C.ORBITAL_SLOTS)), F.lit(False))
 
 
+LISTED = 20  # different values that a message names
+
+
 def consistency(observations: DataFrame, keys: list[str], order: list[str],
                 time: str = "time") -> DataFrame:
     """Per group: one scene, one resolution, one slot, times increasing.
 
-    A group of a single file passes at once. Distinct values are counted after
-    map-side de-duplication; listed values come from the small distinct set.
+    A group of a single file passes at once. The least and largest value tell
+    whether there are several; the first LISTED of them are named, cut before the
+    shuffle, so free text of any variety is never gathered.
     """
     fields = ("scene_id", "spatial_resolution", "orbital_slot")
     rising = ordering.strictly_increasing(observations, keys, order, time)
-    shown = observations.groupBy(*keys).agg(
-        *[F.array_sort(F.collect_set(c)).alias(f"_{c}") for c in fields])
-    mixed = [F.when(F.size(f"_{c}") > 1, F.concat(F.lit(f"Inconsistent {c}: "), F.array_join(f"_{c}", ", ")))
-             for c in fields]
+    ends = observations.groupBy(*keys).agg(*[f(c).alias(f"_{n}_{c}") for c in fields for n, f in (("a", F.min), ("z", F.max))])
+    pairs = F.array(*[F.struct(F.lit(c).alias("_field"), F.col(c).cast("string").alias("_value")) for c in fields])
+    different = observations.select(*keys, F.inline(pairs)).where("_value is not null").distinct()
+    place = F.row_number().over(W.partitionBy(*keys, "_field").orderBy("_value"))
+    first = different.withColumn("_nr", place).where(F.col("_nr") <= LISTED + 1)
+    named = lambda c: F.array_sort(F.collect_list(F.when(F.col("_field") == c, F.col("_value"))))
+    shown = join_by(ends, first.groupBy(*keys).agg(*[named(c).alias(f"_{c}") for c in fields]), keys, "left")
+    listed = lambda c: F.concat(F.array_join(F.slice(f"_{c}", 1, LISTED), ", "), F.when(F.size(f"_{c}") > LISTED, ", ...").otherwise(""))
+    mixed = [F.when(F.col(f"_a_{c}") != F.col(f"_z_{c}"), F.concat(F.lit(f"Inconsistent {c}: "), listed(c))) for c in fields]
     order_issue = F.when(~F.col("increasing"), "Time values are not monotonically increasing")
     issues = F.when(F.col("n") > 1, F.array_compact(F.array(*mixed, order_issue))).otherwise(F.array())
     return join_by(shown, rising, keys).select(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from terralattice import session
 from terralattice.functions import scalars as S
-from terralattice.operators import catalog, ordering, runlog, store, validate
+from terralattice.operators import catalog, ordering, runlog, store, summaries, validate
 from terralattice.plans import fixtures as X
 from terralattice.plans.registry import query
 from terralattice.sinks import tables as sinks
@@ -46,6 +46,13 @@ def _(spark, d):
     return catalog.not_yet_known(o, Fi.product_files(o), ["observation_id", "file_name"])
 
 
+@query("src02_explicit_files", with_ctes("obs", """
+SELECT '/incoming/' || observation_id || '/' || file_name AS file_path, file_name FROM obs
+WHERE regexp_matches(file_name, '^OR_ABI-L2-MCMIP[FCM]-M[0-9]_G[0-9]{2}_s[0-9]{14}_e[0-9]{14}_c[0-9]{14}[.]nc')"""))
+def _(spark, d):
+    return Fi.explicit_files(spark, Fi.product_files(X.files(spark, d).select("file_path", "file_name")))
+
+
 @query("src03_product_files", with_ctes("obs", """
 SELECT observation_id, file_name FROM obs WHERE regexp_matches(file_name, '^OR_ABI-L2-MCMIP[FCM]-M[0-9]_G[0-9]{2}_s[0-9]{14}_e[0-9]{14}_c[0-9]{14}[.]nc')"""))
 def _(spark, d):
@@ -332,6 +339,39 @@ def _(spark, d):
     return t.withColumn("total_size_gb", F.round("total_size_gb", 6))
 
 
+def _kept(spark, d):
+    """Partial results of three batches of the catalog: one comes twice, one is replaced, two are made one."""
+    scanned, path = X.scanned_obs(spark, d), session.scratch_path(spark, "summaries")
+    batch = lambda b: scanned.where(F.col("observation_id") % 3 == b)
+    summaries.add_batch(batch(0).where("observation_id % 2 = 0"), path, "0")
+    for b in (0, 1, 2, 1):
+        summaries.add_batch(batch(b), path, str(b))
+    summaries.compact(spark, path, ["0", "1"])
+    return summaries.folded(spark, path)
+
+
+@query("agg07_kept_totals", with_ctes("scanned_obs", """
+SELECT count(*) AS total_scanned, count(*) FILTER (error_message IS NULL) AS valid_files, count(*) FILTER (error_message IS NOT NULL) AS invalid_files,
+  min(time_coverage_start) FILTER (error_message IS NULL) AS earliest, max(time_coverage_end) FILTER (error_message IS NULL) AS latest,
+  round(sum(file_size_mb) FILTER (error_message IS NULL) / 1024, 3) AS total_size_gb FROM scanned_obs"""))
+def _(spark, d):
+    return summaries.totals(_kept(spark, d)).withColumn("total_size_gb", F.round("total_size_gb", 3))
+
+
+@query("agg07_kept_breakdown", with_ctes("scanned_obs", """
+SELECT attribute, value, CAST(count(*) AS BIGINT) AS files FROM (
+  SELECT unnest(['platform_id','orbital_slot','scene_id']) AS attribute, unnest([platform_id, orbital_slot, scene_id]) AS value
+  FROM scanned_obs WHERE error_message IS NULL) WHERE value IS NOT NULL GROUP BY 1, 2"""))
+def _(spark, d):
+    return summaries.breakdown(_kept(spark, d))
+
+
+@query("agg20_kept_coverage", with_ctes("obs", """
+SELECT orbital_slot, min(time_coverage_start) AS coverage_start, max(time_coverage_end) AS coverage_end FROM obs GROUP BY 1"""))
+def _(spark, d):
+    return summaries.coverage(_kept(spark, d))
+
+
 @query("agg07_catalog_breakdown", with_ctes("scanned_obs", """
 SELECT attribute, value, count(*) AS files FROM (
   SELECT unnest(['platform_id','orbital_slot','scene_id']) AS attribute, unnest([platform_id, orbital_slot, scene_id]) AS value

@@ -104,6 +104,28 @@ def _sum16(alias: str, b: int) -> str:
     return f"round(CASE WHEN NOT isnan(sum(w * {alias}.cmi_c{b:02d})) THEN sum(w * {alias}.cmi_c{b:02d}) END, 6) AS cmi_c{b:02d}"
 
 
+@query("jon01_bucketed_join", with_ctes("raster weights", f"""
+SELECT r.vec_id, w.target_id, round(CASE WHEN NOT isnan(sum(w.w*r.cmi)) THEN sum(w.w*r.cmi) END, 6) AS cmi
+FROM raster r JOIN weights w USING (source_id) GROUP BY 1, 2"""))
+def bucketed_join(spark, d):
+    """Weights and pixels stored with the same buckets, so that their join moves neither."""
+    names = {}
+    for label, df in (("weights", X.weights(spark)), ("pixels", X.raster(spark, d).select("vec_id", "source_id", "cmi"))):
+        path = session.scratch_path(spark, f"bucketed_{label}")
+        names[label] = path.rsplit("/", 1)[1].replace("-", "_")
+        sinks.save_bucketed(df, names[label], 8, path)
+    return R.regrid(spark.table(names["pixels"]), spark.table(names["weights"]).hint("merge"), ["vec_id"], ["cmi"]).select("vec_id", "target_id", _r6("cmi"))
+
+
+@query("snk09_source_mask", with_ctes("raster", """
+SELECT 'g' || band AS grid_id, source_id FROM raster WHERE NOT isnan(cmi) GROUP BY 1, 2"""))
+def _(spark, d):
+    path = session.scratch_path(spark, "masked-weights")
+    mask = X.raster(spark, d).where(~F.isnan("cmi")).select(F.concat(F.lit("g"), F.col("band").cast("string")).alias("grid_id"), "source_id")
+    sinks.write_weights(X.weights(spark).withColumn("grid_id", F.lit("g7")), path, mask=mask)
+    return T.source_mask(spark, path)
+
+
 def _array_frames(spark, d):
     """The derived raster as one row-major array per frame and product."""
     pixels = X.raster(spark, d)

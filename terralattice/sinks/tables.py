@@ -244,19 +244,26 @@ def replace_selection(stored: DataFrame, changed: DataFrame, keys: list[str]) ->
     return catalog.not_yet_known(stored, changed, keys).unionByName(changed)
 
 
-def save_weights(weights: DataFrame, table: str, buckets: int = 64) -> None:
-    """Weights as a table bucketed on the source pixel, for joins without a shuffle."""
-    (weights.write.mode("overwrite").bucketBy(buckets, "source_id").sortBy("source_id")
-     .format("parquet").saveAsTable(table))
+def save_bucketed(df: DataFrame, table: str, buckets: int = 64, path: str | None = None) -> None:
+    """Weights or pixels as a table bucketed and sorted on the source pixel: such tables with as many buckets join without a shuffle.
+
+    The number of buckets should give files of a few hundred MB; a frame's pixels
+    are spread over all of them, so no time or slot is hot.
+    """
+    writer = df.write.mode("overwrite").bucketBy(buckets, "source_id").sortBy("source_id").format("parquet")
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
 
 
-def write_weights(weights: DataFrame, path: str, metadata: DataFrame | None = None) -> None:
-    """Weights as files, kept per grid, with a row of metadata per grid beside them."""
+def write_weights(weights: DataFrame, path: str, metadata: DataFrame | None = None, mask: DataFrame | None = None) -> None:
+    """Weights as files, kept per grid, with a row of metadata per grid beside them, and the source pixels (grid_id, source_id) they were made from."""
     (weights.repartition("grid_id", F.floor(F.col("target_id") / (1 << 20))).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("grid_id").parquet(path))
     if metadata is not None:
         (metadata.repartition("grid_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("grid_id").parquet(f"{path}/_about"))
+    if mask is not None:
+        (mask.select("grid_id", "source_id").distinct().repartition("grid_id", F.floor(F.col("source_id") / (1 << 20))).sortWithinPartitions("grid_id", "source_id")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("grid_id").parquet(f"{path}/_mask"))
 
 
 def export_failed(log: DataFrame, path: str) -> None:

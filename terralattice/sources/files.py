@@ -24,15 +24,16 @@ def scan_directory(spark: SparkSession, directory: str, pattern: str = "*.nc", r
                         F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"))
 
 
-def explicit_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """A caller's list of paths; an empty list or a foreign name is an error."""
-    if not paths:
+def explicit_files(spark: SparkSession, paths: list[str] | DataFrame) -> DataFrame:
+    """A caller's paths, a list or a table with file_path; none at all or a foreign name is an error."""
+    listed = paths if isinstance(paths, DataFrame) else spark.createDataFrame([(p,) for p in paths], "file_path string")
+    files = listed.select("file_path").withColumn("file_name", base_name(F.col("file_path")))
+    foreign = F.coalesce(~F.col("file_name").rlike(C.FILENAME_PATTERN), F.lit(True))
+    state = files.agg(F.count(F.lit(1)).alias("n"), F.min(F.when(foreign, F.coalesce("file_name", F.lit("a missing name")))).alias("foreign")).first()
+    if not state["n"]:
         raise ValueError("The file list is empty")
-    files = spark.createDataFrame([(p,) for p in paths], "file_path string").withColumn(
-        "file_name", base_name(F.col("file_path")))
-    foreign = files.where(~F.col("file_name").rlike(C.FILENAME_PATTERN)).take(1)
-    if foreign:
-        raise ValueError(f"Not a product file name: {foreign[0]['file_name']}")
+    if state["foreign"] is not None:
+        raise ValueError(f"Not a product file name: {state['foreign']}")
     return files
 
 

@@ -54,6 +54,12 @@ def load_weights(spark: SparkSession, path: str, grid_id: str | None = None) ->
     return weights if grid_id is None else weights.where(F.col("grid_id") == grid_id)
 
 
+def source_mask(spark: SparkSession, path: str, grid_id: str | None = None) -> DataFrame:
+    """grid_id, source_id: the source pixels that weights were made from, as `weights.remap_compacted` asks for them."""
+    mask = spark.read.schema("source_id long, grid_id string").parquet(f"{path}/_mask").select("grid_id", "source_id")
+    return mask if grid_id is None else mask.where(F.col("grid_id") == grid_id)
+
+
 def weights_metadata(spark: SparkSession, path: str) -> DataFrame:
     """A row per grid of what its weights were made from."""
     return spark.read.parquet(f"{path}/_about").withColumn("grid_id", F.col("grid_id").cast("string"))

@@ -181,7 +181,7 @@ def test_stored_weights_are_bucketed(spark, weights):
     from terralattice.sinks import tables as sinks
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        sinks.save_weights(weights, "tl_weights_test", buckets=8)
+        sinks.save_bucketed(weights, "tl_weights_test", buckets=8)
         stored = spark.table("tl_weights_test")
         px = spark.range(64).selectExpr("id as source_id", "1 as t", "1.0D as cmi")
         plan = plan_of(R.regrid(px, stored, ["t"], ["cmi"]))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from check_queries import plan_of
 from terralattice import constants as C, dims, schemas, session
 from terralattice.functions import recipes, scalars as S
-from terralattice.operators import bands as B, catalog, ordering, store, validate, weights as W
+from terralattice.operators import bands as B, catalog, ordering, store, summaries, validate, weights as W
 from terralattice.plans import fixtures as X
 from terralattice.sinks import tables as sinks
 from terralattice.sources import files as Fi, tables as T
@@ -428,3 +428,49 @@ def test_the_curve_keeps_squares_together(spark):
     got = {(r["i"], r["j"]): r["p"] for r in cells.withColumn("p", sinks.place_order(F.col("i"), F.col("j"))).collect()}
     want = lambda i, j: sum(((i >> b & 1) << 2 * b + 1) | ((j >> b & 1) << 2 * b) for b in range(16))
     assert all(got[i, j] == want(i, j) for i, j in got)
+
+
+def test_kept_summaries_fold_to_the_whole(spark, tmp_path):
+    scanned, path = X.scanned_obs(spark, SMALL).cache(), str(tmp_path / "kept")
+    assert summaries.totals(summaries.folded(spark, path)).first()["total_scanned"] == 0
+    for b in range(4):
+        summaries.add_batch(scanned.where(F.col("observation_id") % 4 == b), path, str(b))
+    summaries.add_batch(scanned.where("observation_id % 4 = 2"), path, "2")  # replayed
+    def check():
+        kept = summaries.folded(spark, path)
+        got, want = summaries.totals(kept).first(), catalog.totals(scanned).first()
+        assert got[:5] == want[:5] and got[5] == pytest.approx(want[5])
+        assert sorted(summaries.breakdown(kept).collect()) == sorted(catalog.breakdown(scanned).collect())
+    check()
+    scanned.limit(1).write.parquet(str(tmp_path / "kept" / "half"))  # no batch
+    session.remove(spark, f"{path}/batch=3/_SUCCESS")  # not through
+    assert summaries.totals(summaries.folded(spark, path)).first()["total_scanned"] == scanned.where("observation_id % 4 <> 3").count()
+    summaries.add_batch(scanned.where("observation_id % 4 = 3"), path, "3")
+    summaries.compact(spark, path, ["0", "1", "3"])
+    assert sorted(n for n in session.child_names(spark, path) if n.startswith("batch=")) == ["batch=2", "batch=3"]
+    check()
+
+
+def test_messages_name_some_of_many_values(spark):
+    rows = [("r", i, f"scene{i:03d}", "2km", "GOES-East") for i in range(50)] + [("one", i, "Full Disk", "2km", None) for i in range(3)] + [(None, 1, "a", None, None), (None, 2, "b", None, None)]
+    df = spark.createDataFrame(rows, "region string, time long, scene_id string, spatial_resolution string, orbital_slot string")
+    got = {r["region"]: r for r in validate.consistency(df, ["region"], ["time"]).collect()}
+    assert got["r"]["issues"] == "Inconsistent scene_id: " + ", ".join(f"scene{i:03d}" for i in range(20)) + ", ..."
+    assert got["one"]["consistent"] and got[None]["issues"] == "Inconsistent scene_id: a, b"
+
+
+def test_explicit_lists(spark):
+    files = spark.createDataFrame([(f"/a/{GOOD}",)], "file_path string")
+    assert Fi.explicit_files(spark, files).first()["file_name"] == GOOD
+    with pytest.raises(ValueError, match="empty"):
+        Fi.explicit_files(spark, files.limit(0))
+    with pytest.raises(ValueError, match="notes.txt"):
+        Fi.explicit_files(spark, files.union(spark.createDataFrame([("/a/notes.txt",)], "file_path string")))
+    with pytest.raises(ValueError, match="missing name"):
+        Fi.explicit_files(spark, files.union(spark.createDataFrame([(None,)], "file_path string")))
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    from terralattice.plans import imagery_queries
+    plan = plan_of(imagery_queries.bucketed_join(spark, SMALL))
+    assert "SortMergeJoin" in plan and "hashpartitioning(source_id" not in plan and "Bucketed: true" in plan
