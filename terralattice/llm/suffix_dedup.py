@@ -212,10 +212,13 @@ def suffix_array(pieces: list[bytes], window: int) -> tuple[np.ndarray, np.ndarr
     return piece[order], offset[order], common, before
 
 
-def _repeats(doc, h, at, pieces: list[bytes], window: int):
-    """Repeated bytes of later documents among stretches: h, place (first byte, number of bytes)."""
+def _repeats(docs: list[int], places: list[list[tuple[int, int]]], pieces: list[bytes], window: int):
+    """Repeated bytes of later documents among stretches: h, place (first byte, number of bytes).
+
+    `places` are (h, at) of all copies of a stretch in its document; they share its finds.
+    """
     piece, offset, common, before = suffix_array(pieces, window)
-    ids = doc[piece]
+    ids = np.array(docs)[piece]
     linked = common >= window
     inside = linked | np.append(linked[1:], False)  # suffixes alone in their interval say nothing
     piece, offset, common, before, ids = piece[inside], offset[inside], common[inside], before[inside], ids[inside]
@@ -226,8 +229,12 @@ def _repeats(doc, h, at, pieces: list[bytes], window: int):
             rows.append(later)
             sizes.append(np.full(len(later), depth))
     row, size = np.concatenate(rows), np.concatenate(sizes)
-    origin = piece[row]
-    return h[origin], _place((at[origin] & 0xFFFFFFFF) + offset[row], size)
+    copies = np.fromiter(map(len, places), np.int64, len(places))
+    h, at = np.array([p for part in places for p in part], np.int64).reshape(-1, 2).T
+    n = copies[piece[row]]
+    ends = np.cumsum(n)
+    origin = np.repeat((np.cumsum(copies) - copies)[piece[row]] - (ends - n), n) + np.arange(int(n.sum()))
+    return h[origin], _place((at[origin] & 0xFFFFFFFF) + np.repeat(offset[row], n), np.repeat(size, n))
 
 
 def _spans(h: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
@@ -247,16 +254,16 @@ def _spans(h: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
 
 def _scan(window: int):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Passes stretches in order of (key, piece, doc), some keys at a time."""
-        held: list[list] = [[], [], [], []]  # key, doc and h, at, piece of stretches of different form
+        """Passes stretches in order of (key, piece, doc), some keys at a time. Copies of a stretch in its first document are one."""
+        held: list[list] = [[], [], [], []]  # key, doc, places and piece of stretches of different form
         last_key = last_piece = first_doc = None
 
         def flush(n: int):
-            _, doc_h, at, pieces = (h[:n] for h in held)
+            _, docs, places, pieces = (h[:n] for h in held)
             for h in held:
                 del h[:n]
             if n > 1:
-                yield _spans(*_repeats(np.array([d for d, _ in doc_h]), np.array([h for _, h in doc_h]), np.array(at), pieces, window))
+                yield _spans(*_repeats(docs, places, pieces, window))
 
         for batch in batches:
             settled = batch.column("settled").to_numpy(zero_copy_only=False)
@@ -275,11 +282,11 @@ def _scan(window: int):
                 later = doc > earliest  # alike to a stretch of an earlier document
                 done.append((h[later], whole[later]))
                 last_key, last_piece, first_doc = key[-1], piece[len(key) - 1].as_py(), earliest[-1]
-                fresh = np.flatnonzero(~later)  # a document's own copies of a stretch all count
-                held[0] += key[fresh].tolist()
-                held[1] += zip(doc[fresh].tolist(), h[fresh].tolist())
-                held[2] += at[fresh].tolist()
-                held[3] += piece.take(pa.array(fresh)).to_pylist()
+                for i in np.flatnonzero(~later).tolist():  # the first document's
+                    if new[i] or not held[0]:
+                        for part, value in zip(held, (int(key[i]), int(doc[i]), [], piece[i].as_py())):
+                            part.append(value)
+                    held[2][-1].append((int(h[i]), int(at[i])))
             yield _spans(*_joined(done, 2))
             while len(held[0]) > CHUNK:
                 cut = next((i for i in range(CHUNK, 0, -1) if held[0][i] != held[0][i - 1]), 0) or _last_start(held[0])

@@ -67,6 +67,22 @@ def test_bytes(docs_of, monkeypatch, crowd, chunk):
     assert bytes_got(docs_of(rows).repartition(7)) == bytes_wanted(rows, 50)
 
 
+def test_bytes_of_a_line_repeated_very_often(docs_of, monkeypatch):
+    """Copies of a stretch in one document are held once, whatever their number, and all go where another has it first."""
+    line = "this very line of the document comes again and again, with nothing in between\n"
+    rows = [(1, line * 3 + "end"), (2, "start " + line * 3000), (3, line * 2000 + "another end of it"), (2, "other text " + line * 5)]
+    sorted_at_once = []
+    array = suffix_dedup.suffix_array
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda pieces, window: sorted_at_once.append(len(pieces)) or array(pieces, window))
+    assert bytes_got(docs_of(rows)) == bytes_wanted(rows, 50)
+    held = [[1, 1], [1, 2], [[(7, 0)], [(8, 0), (8, 100), (9, 5)]], [line.encode() * 2, b"x" + line.encode()]]
+    h, at = suffix_dedup._repeats(held[1], held[2], held[3], 50)
+    found = collections.defaultdict(set)
+    for text, place in zip(h.tolist(), at.tolist()):
+        found[text] |= set(range(place & 0xFFFFFFFF, (place & 0xFFFFFFFF) + (place >> 32)))
+    assert found == {8: set(range(1, 1 + len(line))) | set(range(101, 101 + len(line))), 9: set(range(6, 6 + len(line)))}
+
+
 def test_bytes_of_odd_documents(odd):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     assert bytes_got(odd) == bytes_wanted(rows, 50)
