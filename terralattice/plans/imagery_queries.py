@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terralattice import constants as C, dims, schemas, session
 from terralattice.functions import projection as P, recipes, scalars as S
-from terralattice.operators import (bands as B, catalog, grid as G, ordering, regrid as R, reshape,
+from terralattice.operators import (bands as B, catalog, delaunay as De, grid as G, ordering, regrid as R, reshape,
                                     statistics as St, store, tiles as Ti, validate, weights as Wt)
 from terralattice.plans import fixtures as X
 from terralattice.plans.registry import query
@@ -400,16 +400,20 @@ SELECT target_id, unnest([0, 1, 2])::INT AS rank, unnest([s0, s1, s2]) AS source
 
 
 # A property the weights must have, told without them: the weighted vertices lie on the target.
-@query("jon03_weights_reproduce_targets", with_ctes("places", _CORNERS_SQL[:_CORNERS_SQL.index(", cell AS")] + f"""
+def _reproduced_sql(limit: float) -> str:
+    return with_ctes("places", _CORNERS_SQL[:_CORNERS_SQL.index(", cell AS")] + f"""
 , near AS (SELECT target_id, {_H}*({_H}-sx) >= sy*sy + {_F2}*sz*sz
-  AND pow(asin(-sy/sqrt(sx*sx+sy*sy+sz*sz)), 2) + pow(atan(sz/sx), 2) <= 0.0144 AS near FROM seen)
+  AND pow(asin(-sy/sqrt(sx*sx+sy*sy+sz*sz)), 2) + pow(atan(sz/sx), 2) <= {limit} AS near FROM seen)
 SELECT target_id, near, round(CASE WHEN near THEN lat END, 6) AS lat, round(CASE WHEN near THEN lon - {_ORIGIN} - 360*floor((lon - {_ORIGIN} + 180)/360) END, 6) AS lon
-FROM places JOIN near USING (target_id)"""))
-def _(spark, d):
+FROM places JOIN near USING (target_id)""")
+
+
+def _reproduced(spark, d, make, limit: float):
+    """Targets from the weighted places of their vertices, out to a scan angle."""
     targets = X.places(spark, d)
     x, y, visible = P.latlon_to_scan(F.col("lat"), F.col("lon"), _P)
-    near = targets.select("target_id", (visible & (x * x + y * y <= 0.0144)).alias("near"))
-    w = Wt.geostationary_weights(targets, _LATTICE, _P)
+    near = targets.select("target_id", (visible & (x * x + y * y <= limit)).alias("near"))
+    w = make(targets, _LATTICE, _P)
     iy, ix = F.floor(F.col("source_id") / _LATTICE.nx), F.col("source_id") % _LATTICE.nx
     lat, lon = P.scan_to_latlon(F.lit(_LATTICE.x0) + ix * F.lit(_LATTICE.dx), F.lit(_LATTICE.y0) + iy * F.lit(_LATTICE.dy), _P)
     east = P.wrap_lon(lon - F.lit(_P.lon_origin))
@@ -418,6 +422,17 @@ def _(spark, d):
     return near.join(met, "target_id", "left").select("target_id", "near", shown("lat"), shown("lon"))
 
 
+@query("jon03_weights_reproduce_targets", _reproduced_sql(0.0144))
+def _(spark, d):
+    return _reproduced(spark, d, Wt.geostationary_weights, 0.0144)
+
+
+@query("jon03_full_disk_weights", _reproduced_sql(0.0225))
+def _(spark, d):
+    """Computed cells up to 0.1 rad and exact triangles from there to the limb."""
+    return _reproduced(spark, d, lambda *a: De.full_disk_weights(*a, limb=0.1), 0.0225)
+
+
 @query("jon03_geostationary_weights", with_ctes("places", _CORNERS_SQL))
 def _(spark, d):
     w = Wt.geostationary_weights(X.places(spark, d), _LATTICE, _P)
