@@ -26,7 +26,7 @@ SEED = 42
 COUNTERS = 1 << 20  # places of the shingle counts, whatever the corpus; equal places count together
 _BLOCK = 1 << 12
 MAP_WORDS = 8  # 64-bit words of a bit map
-MORE_PIVOTS = 4  # times as many in each round
+MORE_PIVOTS = 16  # times as many in each round
 SALTED = 10_000  # rows of a key that meet its pivots in one task
 _CHUNK = 1 << 20
 
@@ -152,19 +152,18 @@ def groups(docs: DataFrame) -> DataFrame:
     sketches = session.materialize(_sketches(texts), "near-sketches")
     maps = [f"m{i}" for i in range(MAP_WORDS)]
     sets = session.materialize(sketches.groupBy("set").agg(*[F.min(c).alias(c) for c in ("node", "size", "fp", *maps)]), "near-sets")
-    chosen = texts.join(sets.select("node", "set"), "node").select("set", "text")
     counts = shingle_counts(texts)
-    postings = session.materialize(_postings(chosen, counts), "near-postings")
+    postings = session.materialize(_postings(texts.join(sets.select("node", "set"), "node").select("set", "text"), counts), "near-postings")
 
-    heads = sets.groupBy("fp").agg(F.min("set").alias("head"))
-    links = simhash.links(heads.select("fp"))
+    heads = session.materialize(sets.groupBy("fp").agg(F.min("set").alias("head")), "near-heads")
+    links = session.materialize(simhash.links(heads.select("fp")), "near-fingerprints")
     near = sets.join(heads, "fp").where("set != head").select(F.col("head").alias("a"), F.col("set").alias("b"))
     for name in ("a", "b"):
         links = links.join(heads.select(F.col("fp").alias(name), F.col("head").alias(f"{name}_set")), name)
-    pairs = near.unionByName(links.select(F.col("a_set").alias("a"), F.col("b_set").alias("b"))).distinct()
-    tested = session.materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "near-pairs")
-    found = session.materialize(_alike(tested, chosen), "near-links")
-    roots, pivots = session.materialize(components.connected(sets.select(F.col("set").alias("node")), found), "near-roots"), 1
+    pairs = near.unionByName(links.select(F.col("a_set").alias("a"), F.col("b_set").alias("b")))
+    tested = session.materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
+    roots = _joined(sets.select("set", F.col("set").alias("root")), _alike(tested, sets, texts))
+    pivots = 1
     while True:
         left = session.materialize(_open(postings, roots), "near-open")
         if left.isEmpty():
@@ -172,17 +171,29 @@ def groups(docs: DataFrame) -> DataFrame:
         pivot = session.materialize(left.groupBy("key", F.pmod(F.xxhash64("set", F.lit(pivots)), F.lit(pivots)).alias("class"))
                                     .agg(F.min("set").alias("set")).select("key", "set"), "near-pivots")
         pairs = session.materialize(_pairs(left, pivot, sets).join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        tested = tested.unionByName(pairs)
-        found = found.unionByName(session.materialize(_alike(pairs, chosen), "near-links"))
-        roots = session.materialize(components.connected(sets.select(F.col("set").alias("node")), found), "near-roots")
+        if not pairs.isEmpty():
+            tested = tested.unionByName(pairs)
+            roots = _joined(roots, _alike(pairs, sets, texts))
         postings = left.select("key", "set", "place").join(pivot, ["key", "set"], "left_anti")
         pivots *= MORE_PIVOTS
-    return sketches.select("node", F.col("set").alias("of")).join(roots.select(F.col("node").alias("of"), "root"), "of").select("node", "root")
+    return sketches.select("node", "set").join(roots, "set").select("node", "root")
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Roots (set, root) after further links a, b between sets: only the groups that these join are gone through."""
+    for name in ("a", "b"):
+        links = links.join(roots.select(F.col("set").alias(name), F.col("root").alias(f"{name}_root")), name)
+    links = session.materialize(links.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).where("a != b").distinct(), "near-links")
+    if links.isEmpty():
+        return roots
+    nodes = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
+    moved = session.materialize(components.connected(nodes, links), "near-moved").select(F.col("node").alias("root"), F.col("root").alias("to"))
+    return session.materialize(roots.join(moved, "root", "left").select("set", F.coalesce("to", "root").alias("root")), "near-roots")
 
 
 def _open(postings: DataFrame, roots: DataFrame) -> DataFrame:
     """Postings of the keys that hold sets of several groups, with the set's root and the key's number of rows."""
-    labelled = postings.join(roots.select(F.col("node").alias("set"), "root"), "set")
+    labelled = postings.join(roots, "set")
     several = labelled.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("z"), F.count("*").alias("n")).where("a < z")
     return labelled.join(several.select("key", "n"), "key")
 
@@ -203,12 +214,19 @@ def _pairs(left: DataFrame, pivot: DataFrame, sets: DataFrame) -> DataFrame:
     return met.select(F.least("set", "p_set").alias("a"), F.greatest("set", "p_set").alias("b")).distinct()
 
 
-def _alike(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs a, b whose texts reach SIMILARITY. A set with many partners meets them in parts."""
+def _alike(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs a, b whose texts reach SIMILARITY. A set with many partners meets them in parts.
+
+    Pairs are few beside the texts; written first, they are sent to the texts while
+    small, and no text moves that is in none.
+    """
     many = pairs.groupBy("a").agg(F.count("*").alias("n"))
-    parted = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), (F.col("n") / 1000).cast("int") + 1).cast("int").alias("part"))
-    firsts = parted.select("a", "part").distinct().join(texts.select(F.col("set").alias("a"), F.col("text").alias("a_text")), "a")
-    joined = parted.join(texts.select(F.col("set").alias("b"), F.col("text").alias("b_text")), "b").join(firsts, ["a", "part"])
+    of = lambda name: sets.select(F.col("set").alias(name), F.col("node").alias(f"{name}_node"))
+    parted = pairs.join(many, "a").withColumn("part", F.pmod(F.xxhash64("b"), (F.col("n") / 1000).cast("int") + 1).cast("int"))
+    parted = session.materialize(parted.select("a", "b", "part").join(of("a"), "a").join(of("b"), "b"), "near-parted")
+    firsts = session.materialize(parted.select("a", "a_node", "part").distinct().join(
+        texts.select(F.col("node").alias("a_node"), F.col("text").alias("a_text")), "a_node").select("a", "part", "a_text"), "near-firsts")
+    joined = parted.join(texts.select(F.col("node").alias("b_node"), F.col("text").alias("b_text")), "b_node").join(firsts, ["a", "part"])
 
     def make(columns):
         kept, last, first = [], None, None
