@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from terralattice import session
 from terralattice.llm import components, simhash
 from terralattice.llm.common import by_batch, text_hash
+from terralattice.llm.simhash import majority, shingles, signed  # by name: they go to the tasks
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -32,7 +33,7 @@ _CHUNK = 1 << 20
 
 
 def shingle_set(text: str | None) -> np.ndarray:
-    return np.unique(simhash.shingles((text or "").encode(), WORDS, SEED))
+    return np.unique(shingles((text or "").encode(), WORDS, SEED))
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -47,9 +48,9 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
     return similarity(a, b) >= SIMILARITY
 
 
-def bit_map(shingles: np.ndarray) -> np.ndarray:
+def bit_map(held: np.ndarray) -> np.ndarray:
     """Parities of the shingles in each of 64 * MAP_WORDS places; two maps differ in at most as many bits as the sets in shingles."""
-    odd = np.bincount((shingles & np.uint64(64 * MAP_WORDS - 1)).astype(np.int64), minlength=64 * MAP_WORDS) & 1
+    odd = np.bincount((held & np.uint64(64 * MAP_WORDS - 1)).astype(np.int64), minlength=64 * MAP_WORDS) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
@@ -67,17 +68,17 @@ def _sketches(texts: DataFrame) -> DataFrame:
     maps = [f"m{i}" for i in range(MAP_WORDS)]
 
     def make(columns):
-        all_ = [simhash.shingles((t or "").encode(), WORDS, SEED) for t in columns["text"]]
+        all_ = [shingles((t or "").encode(), WORDS, SEED) for t in columns["text"]]
         sets = [np.unique(s) for s in all_]
         bits = np.stack([bit_map(s) for s in sets])
         return {"node": pa.array(columns["node"], pa.int64()), "size": pa.array(map(len, sets), pa.int64()),
                 "set": pa.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) - (1 << 63) for s in sets], pa.int64()),
-                "fp": pa.array([simhash.signed(simhash.majority(s)) for s in all_], pa.int64())} | {m: pa.array(bits[:, i]) for i, m in enumerate(maps)}
+                "fp": pa.array([signed(majority(s)) for s in all_], pa.int64())} | {m: pa.array(bits[:, i]) for i, m in enumerate(maps)}
     return by_batch(texts, "node long, set long, size long, fp long, " + ", ".join(f"{m} long" for m in maps), make)
 
 
 def shingle_counts(texts: DataFrame) -> np.ndarray:
-    """How many sets hold a shingle of each place. Sums of tasks are added up block by block in a stream."""
+    """How many sets hold a shingle of each place. Tasks send what they have counted, block by block; a stream adds it up."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, held, size = np.zeros(COUNTERS, np.int64), [], 0
         for batch in batches:
@@ -88,24 +89,28 @@ def shingle_counts(texts: DataFrame) -> np.ndarray:
                     counts += np.bincount(np.concatenate(held), minlength=COUNTERS)
                     held, size = [], 0
         counts += np.bincount(np.concatenate([np.zeros(0, np.int64), *held]), minlength=COUNTERS)
-        yield _blocks(counts.reshape(-1, _BLOCK), range(COUNTERS // _BLOCK))
+        yield _blocks(counts)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+        sums = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            for block, part in zip(batch.column(0).to_pylist(), batch.column(1)):
-                sums[block] = sums.get(block, 0) + part.values.to_numpy()
-        if sums:
-            yield _blocks(list(sums.values()), sums)
-    parts = texts.select("text").mapInArrow(each, "block int, counts array<long>").repartition("block")
-    out = np.zeros((COUNTERS // _BLOCK, _BLOCK), np.int64)
-    for r in parts.mapInArrow(add, "block int, counts array<long>").toArrow().to_pylist():  # COUNTERS numbers
-        out[r["block"]] = r["counts"]
-    return out.ravel()
-
-
-def _blocks(parts, names) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"block": pa.array(list(names), pa.int32()), "counts": pa.array(list(parts), pa.list_(pa.int64()))})
+            np.add.at(sums, batch.column("at").flatten().to_numpy(), batch.column("n").flatten().to_numpy())
+        yield _blocks(sums)
+    schema = "block int, at array<int>, n array<long>"
+    found = texts.select("text").mapInArrow(each, schema).repartition("block").mapInArrow(add, schema).toArrow()  # COUNTERS numbers at most
+    out = np.zeros(COUNTERS, np.int64)
+    for at, n in zip(found["at"].chunks, found["n"].chunks):
+        out[at.flatten().to_numpy()] = n.flatten().to_numpy()
+    return out
+
+
+def _blocks(counts: np.ndarray) -> pa.RecordBatch:
+    """The places counted, and their counts, in blocks of places."""
+    at = np.flatnonzero(counts)
+    block, start = np.unique(at // _BLOCK, return_index=True)
+    ends = pa.array(np.append(start, len(at)).astype(np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(block.astype(np.int32)), pa.ListArray.from_arrays(ends, pa.array(at.astype(np.int32))),
+                                       pa.ListArray.from_arrays(ends, pa.array(counts[at]))], names=["block", "at", "n"])
 
 
 def _postings(texts: DataFrame, counts: np.ndarray) -> DataFrame:
