@@ -37,9 +37,22 @@ def tokens(text: str | None) -> list[str]:
     return _TOKEN.findall((text or "").lower())
 
 
+class _Codes(dict):
+    """Hashes of words, kept as they come up; a new one is worked out."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= 1 << 20:
+            self.clear()
+        self[word] = code = xxhash.xxh3_64_intdigest(word)
+        return code
+
+
+_CODES = _Codes()
+
+
 def pair_keys(words: list[str], singles: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the word pairs in a text and where they start; with `singles` of its words, too."""
-    code = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+    code = np.fromiter(map(_CODES.__getitem__, words), np.uint64, len(words))
     parts = [winnow.mix(code[:-gap] * _FACTOR + code[gap:]) for gap in range(1, APART + 1) if gap < len(code)]
     if singles:
         parts.append(winnow.mix(~code))
@@ -196,8 +209,8 @@ def _near(docs: DataFrame, seeds: DataFrame, sized: DataFrame, min_score: float)
     together = found.groupBy("id", "node", "nr", "needed").agg(hit.alias("hits"))
     most = F.aggregate(F.array_distinct(F.transform("hits", lambda h: F.struct(h["key"], h["times"]))), F.lit(0).cast("long"), lambda n, h: n + h["times"])
     together = session.materialize(together.where((F.size("hits") >= F.col("needed")) & (most >= F.col("needed"))).join(sized, "nr"), "seed-places")
-    wanted = together.groupBy("id", "node").agg(F.collect_list(F.struct(
-        "nr", "needed", "words", F.col("hits.at").alias("at"), F.col("hits.key").alias("key"), F.col("hits.times").alias("times"))).alias("asked"))
+    wanted = session.materialize(together.groupBy("id", "node").agg(F.collect_list(F.struct(
+        "nr", "needed", "words", F.col("hits.at").alias("at"), F.col("hits.key").alias("key"), F.col("hits.times").alias("times"))).alias("asked")), "asked")  # sent to the texts while small
 
     def cut(columns):
         rows = []
