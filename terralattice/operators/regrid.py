@@ -64,6 +64,9 @@ def _results(cmi: list[str], dqf: list[str], strict: bool) -> list[Column]:
     return values
 
 
+ROWS = 1 << 18  # wanted rows of one task
+
+
 def _grid_of(weights: DataFrame) -> list[str]:
     """Weights of several grids in one table tell them apart by grid_id."""
     return ["grid_id"] if "grid_id" in weights.columns else []
@@ -84,14 +87,19 @@ def regrid(pixels: DataFrame, weights: DataFrame, frame: list[str], cmi: list[st
 
     `every` = (frames, targets) asks for all targets of all these frames: NaN and
     flag 3 outside the coverage, flag 6 where a frame lacks the pixels. The wanted
-    rows join the same aggregation, so they are shuffled once.
+    rows join the same aggregation, so they are shuffled once, to tasks of about ROWS rows.
+
+    Where weights and pixels have a `part`, as tables that were bucketed in parts do,
+    pixels meet the weights of their part, which are the same in all.
     """
     grid = _grid_of(weights)
-    own = [g for g in grid if g in pixels.columns]
+    own = [g for g in (*grid, "part") if g in pixels.columns and g in weights.columns]
     met = pixels.select(*own, *frame, "source_id", *cmi, *dqf).join(weights, [*own, "source_id"])
     if every is not None:
         met = met.select(*grid, *frame, "target_id", "w", "dominant", "max_w", *cmi, *dqf).unionByName(
             _wanted(*every, weights, grid, frame), allowMissingColumns=True)
+        parts = -(-every[0].count() * every[1].count() // ROWS)
+        met = met.repartition(max(1, parts), *grid, *frame, "target_id")
     summed = met.groupBy(*grid, *frame, "target_id").agg(*_aggregates(cmi, dqf, strict))
     return summed.select(*grid, *frame, "target_id", *_results(cmi, dqf, strict))
 

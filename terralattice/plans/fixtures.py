@@ -12,12 +12,19 @@ from terralattice import constants as C
 from terralattice.operators import reshape, weights as Wt
 
 NX = NY = 8
+VECTORS = 512  # that one task unfolds into pixels
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def vectors(spark: SparkSession, d: str) -> DataFrame:
+    """The embeddings in parts of about VECTORS rows: their few bytes lie in few files, but unfold into many pixels and targets."""
+    e = table(spark, d, "embeddings")
+    return e.repartition(max(1, -(-e.count() // VECTORS)), "vec_id")
+
+
 # --- observations -----------------------------------------------------------
 
 def _pick(key, names, other):
@@ -92,7 +99,7 @@ def files(spark: SparkSession, d: str) -> DataFrame:
 
 def raster(spark: SparkSession, d: str) -> DataFrame:
     """One band of 8 x 8 pixels per vector; the vector id plays the time step."""
-    flat = reshape.flatten(table(spark, d, "embeddings"), "embedding", NX, ["vec_id", "label"])
+    flat = reshape.flatten(vectors(spark, d), "embedding", NX, ["vec_id", "label"])
     gap = (F.col("vec_id") * 64 + F.col("source_id")) % 97 == 0
     nan = F.lit(float("nan"))
     stripe = (F.col("vec_id") + F.floor(F.col("iy") / 3)) % 5
@@ -133,7 +140,7 @@ def station_weights(spark: SparkSession, d: str) -> DataFrame:
 
 def pixels16(spark: SparkSession, d: str) -> DataFrame:
     """Wide pixels: 16 bands, four pixels per vector, with gaps."""
-    e = table(spark, d, "embeddings").withColumn("source_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))))
+    e = vectors(spark, d).withColumn("source_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))))
     gap = (F.col("vec_id") * 4 + F.col("source_id")) % 97 == 0
 
     def cmi(b):
