@@ -17,6 +17,8 @@ from terralattice.sources import tables as T
 
 _FRAME = ["orbital_slot", "obs_date", "time"]
 _INDEX, _BEGUN = "_region/frames", "_region/begun"
+INDEX_TASKS = 32  # that write the few rows of the many folders of an index
+FOLDER_ROWS = 1 << 22  # of a (slot, date) folder in one file; folders with more get a file per hour and square
 
 
 def write_catalog(tables: dict[str, DataFrame], directory: str, fmt: str = "parquet") -> None:
@@ -107,7 +109,7 @@ def frame_index(spark: SparkSession, path: str, frames: DataFrame | None = None)
 
 
 def _write_index(rows: DataFrame, path: str, mode: str) -> None:
-    writer = rows.select(*schemas.FRAMES.names).repartition(*_FRAME[:2]).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer = rows.select(*schemas.FRAMES.names).repartition(INDEX_TASKS, *_FRAME[:2]).write.mode(mode).option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*_FRAME[:2]).parquet(f"{path}/{_INDEX}")
 
 
@@ -143,21 +145,23 @@ def append_frames(rows: DataFrame, path: str, schema, frames: DataFrame | None =
 
     The frame index tells new frames, whose rows are written as they come, from
     frames that are stored in part: of these alone the stored targets are read, from
-    the row groups of their time, and left out. `frames` names the frames in `rows` where the caller
-    has them at hand, which spares evaluating `rows` twice.
+    the row groups of their time, and left out. `rows` are evaluated once and kept until
+    they are counted and written; `frames` names the frames in them where the caller has
+    them at hand.
 
     The frames are noted before the data are written, and the note goes when the
     index has them; an append that stops in between is settled by the next, so that
     it can be done again in whole.
 
-    Rows are gathered per (slot, hour, square of 1024 x 1024 cells) before writing: a
-    hot slot or date is spread over many tasks, and a date folder gets at most as
-    many files as it has such groups.
+    The rows of a (slot, date) folder are gathered in one file, those of a folder with
+    more than FOLDER_ROWS per hour and square of 1024 x 1024 cells: a hot slot or date
+    is spread over many tasks, and small frames of many dates make few files.
     """
     if set(rows.columns) != set(schema.names):
         raise ValueError(f"Band set differs from the store's: {sorted(set(rows.columns) ^ set(schema.names))}")
     spark = rows.sparkSession
     settle_appends(spark, path, schema)
+    rows = kept = session.materialize(rows.select(*schema.names), "appended")
     begun = f"{path}/{_BEGUN}/{uuid.uuid4().hex}"
     (rows if frames is None else frames).select(*_FRAME).distinct().write.parquet(begun)
     frames = spark.read.schema(types.StructType(schemas.FRAMES.fields[:3])).parquet(begun)
@@ -165,8 +169,10 @@ def append_frames(rows: DataFrame, path: str, schema, frames: DataFrame | None =
     if not partly.isEmpty():
         key = [*_FRAME, "target_id"]
         known = _stored(spark, partly, path, schema, key).withColumn("_known", F.lit(1))
-        rows = join_by(rows, known, key, "left").where("_known is null")
-    _gathered(rows.select(*schema.names)).write.mode("append").partitionBy(
+        told = join_by(rows, partly.select(*_FRAME, F.lit(1).alias("_partly")), _FRAME, "left")
+        rest = join_by(told.where("_partly is not null"), known, key, "left").where("_known is null")
+        rows = told.where("_partly is null").select(*schema.names).unionByName(rest.select(*schema.names))
+    _gathered(rows.select(*schema.names), kept).write.mode("append").partitionBy(
         "orbital_slot", "obs_date").option("compression", "zstd").parquet(path)
     _write_index(_count_stored(spark, frames, path, schema), path, "append")
     session.remove(spark, begun)
@@ -213,12 +219,18 @@ def place_order(ilat: Column, ilon: Column) -> Column:
     return F.shiftleft(spread(ilat), 1).bitwiseOR(spread(ilon))
 
 
-def _gathered(rows: DataFrame) -> DataFrame:
-    """Rows by hour and square of 1024 x 1024 cells, along the curve within; so files and row groups hold a small window in space."""
+def _gathered(rows: DataFrame, counted: DataFrame, most: int = FOLDER_ROWS) -> DataFrame:
+    """Rows by folder, those of a folder with more than `most` by hour and square of 1024 x 1024 cells too, along the curve within.
+
+    So files and row groups hold a small window in space. `counted` holds the rows, or more, in a stored table.
+    """
+    crowded = counted.groupBy(*_FRAME[:2]).agg(F.count(F.lit(1)).alias("_crowd")).where(F.col("_crowd") > most)
     hour, curve = F.date_trunc("hour", "time"), place_order(F.col("ilat"), F.col("ilon"))
     placed = rows.withColumn("_square", F.shiftright(curve, 20)).withColumn("_place", curve)
-    ordered = placed.repartition("orbital_slot", "obs_date", hour, "_square").sortWithinPartitions("orbital_slot", "obs_date", "_square", "_place", "time")
-    return ordered.drop("_square", "_place")
+    told = join_by(placed, F.broadcast(crowded), _FRAME[:2], "left")
+    apart = lambda c: F.when(F.col("_crowd").isNotNull(), c)
+    ordered = told.repartition("orbital_slot", "obs_date", apart(hour), apart(F.col("_square"))).sortWithinPartitions("orbital_slot", "obs_date", "_square", "_place", "time")
+    return ordered.drop("_square", "_place", "_crowd")
 
 
 def overwrite_dates(rows: DataFrame, path: str) -> None:
@@ -226,7 +238,7 @@ def overwrite_dates(rows: DataFrame, path: str) -> None:
     spark = rows.sparkSession
     written = session.materialize(rows, "replacement")
     counts = session.materialize(written.groupBy(*_FRAME).agg(F.count(F.lit(1)).alias("rows")), "frames")
-    (_gathered(written).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_gathered(written, written).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("orbital_slot", "obs_date").parquet(path))
     if T.exists(spark, f"{path}/{_INDEX}"):
         _write_index(counts, path, "overwrite")
@@ -244,13 +256,15 @@ def replace_selection(stored: DataFrame, changed: DataFrame, keys: list[str]) ->
     return catalog.not_yet_known(stored, changed, keys).unionByName(changed)
 
 
-def save_bucketed(df: DataFrame, table: str, buckets: int = 64, path: str | None = None) -> None:
+def save_bucketed(df: DataFrame, table: str, buckets: int = 64, path: str | None = None, by: tuple[str, ...] = ("source_id",)) -> None:
     """Weights or pixels as a table bucketed and sorted on the source pixel: such tables with as many buckets join without a shuffle.
 
-    The number of buckets should give files of a few hundred MB; a frame's pixels
-    are spread over all of them, so no time or slot is hot.
+    The number of buckets should give files of a few hundred MB, one each; a frame's pixels
+    are spread over all of them, so no time or slot is hot. Where there are more frames
+    than that allows for the pixels of a grid, `by` names `part` before the source pixel: pixels hold a
+    part of the frames each, weights are there once per part, and `regrid` joins on both.
     """
-    writer = df.write.mode("overwrite").bucketBy(buckets, "source_id").sortBy("source_id").format("parquet")
+    writer = df.repartition(buckets, *by).write.mode("overwrite").bucketBy(buckets, *by).sortBy(*by).format("parquet")
     (writer if path is None else writer.option("path", path)).saveAsTable(table)
 
 
