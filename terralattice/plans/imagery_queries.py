@@ -100,6 +100,9 @@ def _(spark, d):
     return found.select("grid_id", "vec_id", "target_id", _r6("cmi"), "dqf")
 
 
+_BUCKETED_FRAMES = 4096  # in eight buckets
+
+
 def _sum16(alias: str, b: int) -> str:
     return f"round(CASE WHEN NOT isnan(sum(w * {alias}.cmi_c{b:02d})) THEN sum(w * {alias}.cmi_c{b:02d}) END, 6) AS cmi_c{b:02d}"
 
@@ -109,12 +112,15 @@ SELECT r.vec_id, w.target_id, round(CASE WHEN NOT isnan(sum(w.w*r.cmi)) THEN sum
 FROM raster r JOIN weights w USING (source_id) GROUP BY 1, 2"""))
 def bucketed_join(spark, d):
     """Weights and pixels stored with the same buckets, so that their join moves neither."""
-    names = {}
-    for label, df in (("weights", X.weights(spark)), ("pixels", X.raster(spark, d).select("vec_id", "source_id", "cmi"))):
-        path = session.scratch_path(spark, f"bucketed_{label}")
+    own, names = session.gridding_session(spark), {}
+    parts = max(1, -(-X.table(own, d, "embeddings").count() // _BUCKETED_FRAMES))
+    w = X.weights(own).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    pixels = X.raster(own, d).select("vec_id", "source_id", "cmi", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("part"))
+    for label, df in (("weights", w), ("pixels", pixels)):
+        path = session.scratch_path(own, f"bucketed_{label}")
         names[label] = path.rsplit("/", 1)[1].replace("-", "_")
-        sinks.save_bucketed(df, names[label], 8, path)
-    return R.regrid(spark.table(names["pixels"]), spark.table(names["weights"]).hint("merge"), ["vec_id"], ["cmi"]).select("vec_id", "target_id", _r6("cmi"))
+        sinks.save_bucketed(df, names[label], 8 * parts, path, ("part", "source_id"))
+    return R.regrid(own.table(names["pixels"]), own.table(names["weights"]).hint("merge"), ["vec_id"], ["cmi"]).select("vec_id", "target_id", _r6("cmi"))
 
 
 @query("snk09_source_mask", with_ctes("raster", """
@@ -140,8 +146,9 @@ def _by_target(arrays, keys):
 
 @query("udf02_array_frames", with_ctes("regridded", f"SELECT vec_id, band, target_id, {_sql6('cmi')} AS cmi, dqf FROM regridded"))
 def _(spark, d):
-    packed = session.materialize(Ti.pack_weights(X.weights(spark), X.NX, 4), "packed-weights")
-    return _by_target(Ti.regrid_arrays(_array_frames(spark, d), packed, _FRAME, ["cmi"], ["dqf"], X.NX, X.NY, 289, 4), _FRAME)
+    own = session.gridding_session(spark)
+    packed = session.materialize(Ti.pack_weights(X.weights(own), X.NX, 4), "packed-weights")
+    return _by_target(Ti.regrid_arrays(_array_frames(own, d), packed, _FRAME, ["cmi"], ["dqf"], X.NX, X.NY, 289, 4), _FRAME)
 
 
 @query("udf02_array_cubes", with_ctes("regridded", f"""
@@ -149,9 +156,10 @@ SELECT vec_id // 16 AS cube, row_number() OVER (PARTITION BY vec_id // 16, targe
 FROM regridded"""))
 def _(spark, d):
     """Frames of sixteen vectors as one array over time."""
-    frames = _array_frames(spark, d).groupBy(F.floor(F.col("vec_id") / 16).alias("cube")).agg(F.array_sort(F.collect_list(F.struct("vec_id", "cmi", "dqf"))).alias("f"))
+    own = session.gridding_session(spark)
+    frames = _array_frames(own, d).groupBy(F.floor(F.col("vec_id") / 16).alias("cube")).agg(F.array_sort(F.collect_list(F.struct("vec_id", "cmi", "dqf"))).alias("f"))
     cubes = frames.select("cube", F.transform("f", lambda f: f["cmi"]).alias("cmi"), F.transform("f", lambda f: f["dqf"]).alias("dqf"))
-    packed = session.materialize(Ti.pack_weights(X.weights(spark), X.NX, 4), "packed-weights")
+    packed = session.materialize(Ti.pack_weights(X.weights(own), X.NX, 4), "packed-weights")
     out = Ti.regrid_cubes(cubes, packed, ["cube"], ["cmi"], ["dqf"], X.NX, X.NY, 289, 4)
     steps = out.select("cube", F.posexplode(F.arrays_zip("cmi", "dqf")).alias("step", "_v")).select("cube", F.col("step").cast("long").alias("step"), "_v.cmi", "_v.dqf")
     return _by_target(steps, ["cube", "step"])

@@ -36,12 +36,15 @@ GENERAL = {"spark.sql.session.timeZone": "UTC"}
 # Settings of a wide gridding job. A join may reuse a partitioning on part of
 # its keys; AQE may hash-join partitions whose measured size fits in memory; and
 # generated methods beyond HotSpot's compile limit of 8000 bytes, which 32 band
-# sums exceed, are replaced by ones it compiles.
+# sums exceed, are replaced by ones it compiles. A few bytes of shuffled pixels become
+# many targets, so a task reads little, and a batch of array rows for Python is small.
 GRIDDING = {
     **GENERAL,
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
