@@ -1,8 +1,8 @@
-"""Streamed frames in the region store, with keyed state and a timer per frame.
+"""Streamed frames in the region store, with keyed state and timers.
 
 Arriving pixels are landed once, in files by batch and date, and never rewritten. A
-stateful query over the landed pixels keeps, per frame and block of pixels, which of
-them have come; a block that is whole keeps a mark only. Frames whose blocks are all
+stateful query over the landed pixels keeps, per date and block of pixels, which of
+them have come of each frame; a block that is whole keeps a mark only. Frames whose blocks are all
 whole are read from the landed files, gridded and appended to the region. A frame
 that is not whole when the watermark passes its time is closed and logged; pixels
 that come later go to a table of their own. So state grows with open frames only, and
@@ -25,7 +25,7 @@ from terralattice.sinks import tables as sinks
 from terralattice.streaming import ingest
 
 FRAME = ["orbital_slot", "obs_date", "time"]
-BLOCK = 1 << 20  # pixels that one key of the state tells apart, 128 KiB while it is open
+BLOCK = 1 << 20  # pixels of a frame that one key of the state tells apart, 128 KiB while they are open
 _EVENTS = "orbital_slot string, obs_date date, time timestamp, block long, state string"
 _LOG = "orbital_slot string, obs_date date, time timestamp, status string, error string, run string, batch long, ts timestamp"
 
@@ -107,35 +107,53 @@ def _land(batch: DataFrame, base: str, run: str, number: int) -> None:
 
 
 def _track(landed: DataFrame, expected: int, patience: str, block: int) -> DataFrame:
-    """orbital_slot, obs_date, time, block, state: whole, closed (open until its time was up) or over (pixels beyond the frame)."""
+    """orbital_slot, obs_date, time, block, state: whole, closed (open until its time was up) or over (pixels beyond the frame).
+
+    A key holds the same block of a date's frames, so that small frames do not cost a call each.
+    """
     def each(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        frame, number = key[:3], key[3]
+        number = key[2]
         size = min(block, expected - number * block)
-
-        def event(what: str) -> pd.DataFrame:
-            return pd.DataFrame({"orbital_slot": [frame[0]], "obs_date": [frame[1]], "time": [frame[2]], "block": [number], "state": [what]})
-        if state.hasTimedOut:
+        width = -(-max(size, 1) // 8)
+        times, bits, marks = (np.frombuffer(held, kind) for held, kind in zip(state.get if state.exists else (b"",) * 3, (np.int64, np.uint8, np.bool_)))
+        done = dict(zip(times.tolist(), marks.tolist()))
+        opened = [t for t in done if not done[t]]
+        seen = dict(zip(opened, bits.copy().reshape(len(opened), width)))
+        events: list[tuple[int, str]] = []
+        over: set[int] = set()
+        for part in () if state.hasTimedOut else parts:
+            stamps = part["time"].to_numpy().astype("datetime64[us]").astype(np.int64)
+            order = np.argsort(stamps, kind="stable")
+            places = part["source_id"].to_numpy()[order] - number * block
+            found, first = np.unique(stamps[order], return_index=True)
+            for t, at in zip(found.tolist(), np.split(places, first[1:])):
+                within = (at >= 0) & (at < size)
+                if not within.all():
+                    over.add(t)
+                if not done.setdefault(t, False):
+                    at = at[within]
+                    np.bitwise_or.at(seen.setdefault(t, np.zeros(width, np.uint8)), at >> 3, (1 << (at & 7)).astype(np.uint8))
+        events += [(t, "over") for t in over]
+        for t in [t for t in seen if size > 0 and int(np.bitwise_count(seen[t]).sum()) == size]:
+            done[t] = True
+            del seen[t]
+            events.append((t, "whole"))
+        until = state.getCurrentWatermarkMs()
+        for t in [t for t in done if t // 1000 < until]:
+            del done[t]
+            seen.pop(t, None)
+            events.append((t, "closed"))
+        if done:
+            state.update((np.array(list(done), np.int64).tobytes(), b"".join(seen[t].tobytes() for t in done if not done[t]), np.array(list(done.values()), np.bool_).tobytes()))
+            state.setTimeoutTimestamp(min(done) // 1000)
+        else:
             state.remove()
-            yield event("closed")
-            return
-        held, done = state.get if state.exists else (b"", False)
-        seen = np.frombuffer(held, np.uint8).copy() if held else np.zeros(-(-max(size, 1) // 8), np.uint8)
-        over = False
-        for part in parts:
-            at = part["source_id"].to_numpy() - number * block
-            over = over or bool(((at < 0) | (at >= size)).any())
-            at = at[(at >= 0) & (at < size)]
-            np.bitwise_or.at(seen, at >> 3, (1 << (at & 7)).astype(np.uint8))
-        if over:
-            yield event("over")
-        if not done and size > 0 and int(np.bitwise_count(seen).sum()) == size:
-            done = True
-            yield event("whole")
-        state.update((b"" if done else seen.tobytes(), done))
-        state.setTimeoutTimestamp(int(pd.Timestamp(frame[2]).tz_localize("UTC").value // 1_000_000) if pd.Timestamp(frame[2]).tzinfo is None
-                                  else int(pd.Timestamp(frame[2]).value // 1_000_000))
+        if events:
+            yield pd.DataFrame({"orbital_slot": key[0], "obs_date": key[1], "time": np.array([t for t, _ in events], "datetime64[us]").astype("datetime64[ns]"),
+                                "block": number, "state": [what for _, what in events]})
     keyed = landed.withWatermark("time", patience).select(*FRAME, F.floor(F.col("source_id") / block).alias("block"), "source_id")
-    return keyed.groupBy(*FRAME, "block").applyInPandasWithState(each, _EVENTS, "seen binary, done boolean", "append", GroupStateTimeout.EventTimeTimeout)
+    return keyed.groupBy("orbital_slot", "obs_date", "block").applyInPandasWithState(
+        each, _EVENTS, "times binary, seen binary, done binary", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def _settle(events: DataFrame, pixels: DataFrame, transform, error, region: str, schema, base: str, run: str, number: int, whole: int) -> None:
@@ -144,7 +162,7 @@ def _settle(events: DataFrame, pixels: DataFrame, transform, error, region: str,
     events = session.materialize(events, "frame-events")
     if events.isEmpty():
         return
-    events.where("state = 'whole'").select(*FRAME, "block").write.mode("append").partitionBy("obs_date").parquet(f"{base}/blocks")
+    events.where("state = 'whole'").select(*FRAME, "block").repartition("obs_date").write.mode("append").partitionBy("obs_date").parquet(f"{base}/blocks")
     touched = session.materialize(events.groupBy(*FRAME).agg(F.bool_or(F.col("state") == "closed").alias("closed"), F.bool_or(F.col("state") == "over").alias("over")), "touched")
     logged = _of_dates(frame_log(spark, base), touched).select(*FRAME, "status")
     blocks = _of_dates(_read(spark, f"{base}/blocks", "orbital_slot string, time timestamp, block long, obs_date date"), touched)
