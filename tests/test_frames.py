@@ -112,3 +112,10 @@ def test_state_ends_with_its_frame(spark, world):
         Fr._note_watermark = note
     blocks = 3  # of four pixels, of the ten
     assert all(rows[-1] <= 3 * blocks for rows in kept) and isinstance(kept[0], list) and StreamingQuery
+
+
+def test_whole_blocks_of_a_date_lie_in_one_file(spark, world, tmp_path):
+    world.arrive(pixels(spark, range(0, 50, 10)))
+    world.run()
+    assert world.stored() == {(EAST, m): N for m in range(0, 50, 10)}
+    assert len(list((tmp_path / "base" / "blocks").glob("obs_date=*/*.parquet"))) == 1

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from check_queries import plan_of
 from terralattice import session
 from terralattice.operators import regrid as R, weights as W
+from terralattice.plans import fixtures as X
 
 NX = 8
 RNG = np.random.default_rng(7)
@@ -196,3 +197,26 @@ def test_imported_weights_are_remapped(spark):
     w = spark.createDataFrame([(0, 0, 1, 0.5), (0, 1, 3, 0.25), (0, 2, 0, 0.25)], "target_id long, rank int, source_id long, w double")
     got = {r["rank"]: r["source_id"] for r in W.remap_compacted(w, valid).collect()}
     assert got == {0: 10, 1: 40, 2: 3}
+
+
+def test_wanted_targets_are_aggregated_in_bounded_tasks(spark, pixels, weights, targets, monkeypatch):
+    monkeypatch.setattr(R, "ROWS", 50)  # 5 frames of 120 targets
+    wanted = (pixels.select("t").distinct(), targets)
+    found = R.regrid(pixels, weights, ["t"], ["cmi"], every=wanted)
+    assert "REPARTITION_BY_NUM" in plan_of(found) and ", 12), REPARTITION_BY_NUM" in plan_of(found)
+    assert found.count() == 5 * 120
+
+
+def test_vectors_of_one_file_unfold_in_several_tasks(spark, tmp_path):
+    vectors = spark.range(2 * X.VECTORS + 1).select(F.col("id").alias("vec_id"), F.array_repeat(F.lit(0.5).cast("float"), 64).alias("embedding"), F.lit(1).alias("label"))
+    vectors.coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    found = X.raster(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() == 3 and found.count() == 64 * (2 * X.VECTORS + 1)
+
+
+def test_pixels_in_parts_meet_the_weights_of_their_part(spark, pixels, weights):
+    parted = pixels.withColumn("part", (F.col("t") % 2).cast("int"))
+    both = weights.withColumn("part", F.explode(F.array(F.lit(0), F.lit(1))))
+    got, want = ({(r["t"], r["target_id"]): r["cmi"] for r in R.regrid(p, w, ["t"], ["cmi"]).where(~F.isnan("cmi")).collect()}
+                 for p, w in ((parted, both), (pixels, weights)))
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)

@@ -474,3 +474,29 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
     from terralattice.plans import imagery_queries
     plan = plan_of(imagery_queries.bucketed_join(spark, SMALL))
     assert "SortMergeJoin" in plan and "hashpartitioning(source_id" not in plan and "Bucketed: true" in plan
+
+
+def test_small_frames_of_a_date_share_a_file(spark, tmp_path):
+    path, schema, own = str(tmp_path / "region"), schemas.gridded([2]), spark.newSession()
+    own.conf.set("spark.sql.adaptive.enabled", "false")
+    sinks.create_store(spark, path, [2])
+    rows = gridded_rows(own, [f"2024-01-01 {hour:02d}:00:00" for hour in range(12)])
+    sinks.append_frames(rows, path, schema)
+    assert len(list((tmp_path / "region").glob("orbital_slot=*/obs_date=*/*.parquet"))) == 1
+    assert T.open_region(spark, path).count() == 48
+    held = lambda most: sinks._gathered(rows, rows, most).select(F.spark_partition_id()).distinct().count()
+    assert held(48) == 1 and held(47) > 1
+
+
+def test_append_fills_frames_stored_in_part_beside_new_ones(spark, tmp_path):
+    path, schema = str(tmp_path / "region"), schemas.gridded([2])
+    sinks.create_store(spark, path, [2])
+    rows = gridded_rows(spark, ["2024-01-01 00:00:00", "2024-01-01 05:00:00"])
+    sinks.append_frames(gridded_rows(spark, ["2024-01-01 00:00:00"], 2.0).where("target_id < 2"), path, schema)
+    sinks.append_frames(rows, path, schema)
+    got = sorted((r["time"].hour, r["target_id"], r["cmi_c02"]) for r in T.open_region(spark, path).collect())
+    assert got == [(h, t, 2.0 if h == 0 and t < 2 else 1.0) for h in (0, 5) for t in range(4)]
+
+
+def test_batches_for_python_are_small_in_gridding(spark):
+    assert int(session.gridding_session(spark).conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
