@@ -29,12 +29,15 @@ MIN_WORDS = 6  # of an item are aligned at least, or all of a shorter one
 FILTER_BITS = 1 << 22  # of the filter that tells which pairs are worth a look, whatever the benchmark
 
 _TOKEN = re.compile(r"\w+")
+_ASCII = bytes(c if chr(c).isalnum() or c == ord("_") else ord(" ") for c in range(128)) + bytes(range(128, 256))  # the same words where all is ASCII
+_BLOCK = 1 << 16  # words that are hashed together
 _FACTOR = np.uint64(0x9FB21C651E98DF25)  # odd, so that products keep all bits
 
 
 def tokens(text: str | None) -> list[str]:
     """Words without case and punctuation."""
-    return _TOKEN.findall((text or "").lower())
+    low = (text or "").lower()
+    return low.encode().translate(_ASCII).decode().split() if low.isascii() else _TOKEN.findall(low)
 
 
 class _Codes(dict):
@@ -60,6 +63,28 @@ def pair_keys(words: list[str], singles: bool = False) -> tuple[np.ndarray, np.n
     return np.concatenate([np.zeros(0, np.uint64), *parts]).view(np.int64), np.concatenate([np.zeros(0, np.int64), *at])
 
 
+def _passing_pairs(texts: list[str | None], singles: bool, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """key, at, row: the pairs of each text, as pair_keys gives them, that pass the filter. Texts are hashed many at a time."""
+    parts, words, sizes, first = [[np.zeros(0, np.int64)] * 3], [], [], 0
+    for i, text in enumerate(texts):
+        held = len(words)
+        words += tokens(text)
+        sizes.append(len(words) - held)
+        if len(words) < _BLOCK and i + 1 < len(texts):
+            continue
+        code = np.fromiter(map(_CODES.__getitem__, words), np.uint64, len(words))
+        row = np.repeat(np.arange(first, i + 1), sizes)
+        start = np.cumsum([0, *sizes[:-1]])
+        for gap in range(0 if singles else 1, APART + 1):
+            keys = winnow.mix(code[:len(code) - gap] * _FACTOR + code[gap:] if gap else ~code).view(np.int64)
+            at = np.flatnonzero(_passing(keys, bits))
+            at = at[row[at] == row[at + gap]]
+            parts.append([keys[at], at - start[row[at] - first], row[at]])
+        words, sizes, first = [], [], i + 1
+    key, at, row = (np.concatenate(c) for c in zip(*parts))
+    return key, at, row
+
+
 def align(passage: list[str], item: list[str]) -> float:
     """Smith-Waterman score of the best local alignment, as a share of a verbatim copy's score."""
     return aligned(passage, item)[0]
@@ -126,9 +151,7 @@ def _frequencies(docs: DataFrame, pairs: DataFrame, singles: bool) -> DataFrame:
     bits = _filter(pairs)
 
     def make(columns):
-        keys = [pair_keys(tokens(t), singles)[0] for t in columns["text"]]
-        keys = np.concatenate([np.zeros(0, np.int64), *[k[_passing(k, bits)] for k in keys]])
-        key, n = np.unique(keys, return_counts=True)
+        key, n = np.unique(_passing_pairs(columns["text"], singles, bits)[0], return_counts=True)
         return {"key": pa.array(key), "n": pa.array(n)}
     return by_batch(docs.select("text"), "key long, n long", make).groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -196,13 +219,8 @@ def _near(docs: DataFrame, seeds: DataFrame, sized: DataFrame, min_score: float)
     bits, singles = _filter(seeds), not sized.where("words = 1").isEmpty()
 
     def hits(columns):
-        parts = [[np.zeros(0, np.int64)] * 4]
-        for id_, node, text in zip(columns["id"], columns["node"], columns["text"]):
-            keys, at = pair_keys(tokens(text), singles)
-            pass_ = _passing(keys, bits)
-            keys, at = keys[pass_], at[pass_]
-            parts.append([np.full(len(keys), id_), np.full(len(keys), node), keys, at])
-        return {n: pa.array(np.concatenate(c)) for n, c in zip(("id", "node", "key", "at"), zip(*parts))}
+        key, at, row = _passing_pairs(columns["text"], singles, bits)
+        return {"id": pa.array(np.array(columns["id"], np.int64)[row]), "node": pa.array(np.array(columns["node"], np.int64)[row]), "key": pa.array(key), "at": pa.array(at)}
     found = by_batch(docs, "id long, node long, key long, at long", hits).join(seeds, "key")
     # Places of a document that hold seeds of an item: at most as many as it has words and the item pairs.
     hit = F.array_sort(F.collect_list(F.struct("at", "key", "times")))

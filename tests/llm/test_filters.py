@@ -4,11 +4,12 @@ import collections
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from terralattice.llm import components, decontamination, html_text, quality, simhash
+from terralattice.llm import components, decontamination, html_text, quality, simhash, winnow
 
 SPLIT = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -368,3 +369,25 @@ def test_wrappers_of_articles_without_an_article_element():
     assert html_text.main_text("<h1>Site</h1><div class='teaser'>%s</div><div class='social'>%s</div>" % (body, body)).count("Paragraph") == 12
     comment = "<div id='comments'>" + "<p>Nice post, really, I liked it, a lot, and more of it.</p>" * 20 + "</div>"
     assert html_text.main_text(f"<div>{body}</div>{comment}") == want
+
+
+def test_words_are_those_of_the_pattern():
+    for text in ["".join(map(chr, range(128))), "".join(map(chr, range(300))), "Ab_c-9\x1fd \x00e", "Größe ǅ İx", "", None, "   "]:
+        assert decontamination.tokens(text) == re.findall(r"\w+", (text or "").lower())
+
+
+@pytest.mark.parametrize("block", [1, 50, 1 << 16])
+@pytest.mark.parametrize("singles", [False, True])
+def test_pairs_of_many_texts_are_those_of_each(monkeypatch, block, singles):
+    """Texts share a call of the hash; no pair spans two of them."""
+    rng = random.Random(8)
+    texts = [None, "", "one", "one two", "é ü", *[" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(40))) for _ in range(200)], ""]
+    keys = [decontamination.pair_keys(decontamination.tokens(t), singles) for t in texts]
+    bits = np.packbits(np.isin(np.arange(decontamination.FILTER_BITS), decontamination._places(np.concatenate([k for k, _ in keys])[::3])), bitorder="little")
+    want = sorted((int(k), int(a), i) for i, (key, at) in enumerate(keys) for k, a, p in zip(key, at, decontamination._passing(key, bits)) if p)
+    calls, mix = [], winnow.mix
+    monkeypatch.setattr(winnow, "mix", lambda values: calls.append(1) or mix(values))
+    monkeypatch.setattr(decontamination, "_BLOCK", block)
+    found = decontamination._passing_pairs(texts, singles, bits)
+    assert sorted(zip(*(c.tolist() for c in found))) == want and len(want) > 100
+    assert block < 1 << 16 or len(calls) <= 3
