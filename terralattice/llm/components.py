@@ -13,13 +13,14 @@ def connected(nodes: DataFrame, links: DataFrame) -> DataFrame:
     Alternates the large-star and small-star steps of Kiveris et al. (2014): each
     round links a node to the smallest in its neighbourhood, and rounds grow with
     the logarithm of the longest path. Aggregates are combined before the shuffle;
-    each round is a written table, so lost executors cost no recompute. Only a
-    count and a sum reach the driver.
+    each round is a written table, so lost executors cost no recompute. Few links
+    lie in one file and take a round without a shuffle. Only counts and a sum reach
+    the driver.
     """
-    edges = session.materialize(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    edges = session.gathered(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     before = None
     while True:
-        edges = session.materialize(_small_star(_large_star(edges)), "stars")
+        edges = session.gathered(_small_star(_large_star(edges)), "stars")
         state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if state == before or not state["n"]:
             break
@@ -30,7 +31,7 @@ def connected(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours are linked to the smallest of its neighbourhood."""
-    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = _each(edges, ("a", "b"), ("b", "a"))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
     return (both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .where("a != b").distinct())
@@ -39,5 +40,9 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours are linked to the smallest of them; edges have b < a."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select("a", F.col("m").alias("b"))).where("a != b").distinct()
+    return _each(edges.join(least, "a"), ("b", "m"), ("a", "m")).where("a != b").distinct()
+
+
+def _each(rows: DataFrame, *ends: tuple[str, str]) -> DataFrame:
+    """a, b: for each row a link of each of the pairs of columns. A union would lose that all rows are in one place."""
+    return rows.select(F.explode(F.array(*[F.struct(F.col(a).alias("a"), F.col(b).alias("b")) for a, b in ends])).alias("l")).select("l.*")

@@ -151,8 +151,14 @@ def groups(docs: DataFrame) -> DataFrame:
     whose sets are all in one group are done. The bounds in the join leave pairs
     that are alike but for few, so a large group of copies, which shrinks with each
     pivot, takes pairs in proportion to its size. Only counts of COUNTERS places
-    pass through the driver.
+    pass through the driver. Shuffle files go with the step that wrote them, and
+    the few pairs of a round are one file, met without shuffles.
     """
+    with session.shuffles_dropped(docs.sparkSession):
+        return _groups(docs)
+
+
+def _groups(docs: DataFrame) -> DataFrame:
     texts = session.materialize(docs.select(text_hash().alias("node"), F.col("text").cast("string").alias("text")).dropDuplicates(["node"]), "near-texts")
     sketches = session.materialize(_sketches(texts), "near-sketches")
     maps = [f"m{i}" for i in range(MAP_WORDS)]
@@ -160,25 +166,25 @@ def groups(docs: DataFrame) -> DataFrame:
     counts = shingle_counts(texts)
     postings = session.materialize(_postings(texts.join(sets.select("node", "set"), "node").select("set", "text"), counts), "near-postings")
 
-    heads = session.materialize(sets.groupBy("fp").agg(F.min("set").alias("head")), "near-heads")
+    heads = session.materialize(sets.groupBy("fp").agg(F.min("set").alias("head"), F.min_by("node", "set").alias("head_node")), "near-heads")
     links = session.materialize(simhash.links(heads.select("fp")), "near-fingerprints")
-    near = sets.join(heads, "fp").where("set != head").select(F.col("head").alias("a"), F.col("set").alias("b"))
+    near = sets.join(heads, "fp").where("set != head").select(F.col("head").alias("a"), F.col("set").alias("b"), F.col("head_node").alias("a_node"), F.col("node").alias("b_node"))
     for name in ("a", "b"):
-        links = links.join(heads.select(F.col("fp").alias(name), F.col("head").alias(f"{name}_set")), name)
-    pairs = near.unionByName(links.select(F.col("a_set").alias("a"), F.col("b_set").alias("b")))
-    tested = session.materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
-    roots = _joined(sets.select("set", F.col("set").alias("root")), _alike(tested, sets, texts))
+        links = links.join(heads.select(F.col("fp").alias(name), F.col("head").alias(f"{name}_set"), F.col("head_node").alias(f"{name}_node")), name)
+    pairs = near.unionByName(links.select(F.col("a_set").alias("a"), F.col("b_set").alias("b"), "a_node", "b_node"))
+    tested = session.gathered(_ordered(pairs), "near-pairs")
+    roots = _joined(sets.select("set", F.col("set").alias("root")), _alike(tested, texts))
     pivots = 1
     while True:
         left = session.materialize(_open(postings, roots), "near-open")
         if left.isEmpty():
             break
         pivot = session.materialize(left.groupBy("key", F.pmod(F.xxhash64("set", F.lit(pivots)), F.lit(pivots)).alias("class"))
-                                    .agg(F.min("set").alias("set")).select("key", "set"), "near-pivots")
-        pairs = session.materialize(_pairs(left, pivot, sets).join(tested, ["a", "b"], "left_anti"), "near-pairs")
+                                    .agg(F.min("set").alias("set"), *[F.min_by(c, "set").alias(c) for c in ("place", "root", "n")]).drop("class"), "near-pivots")
+        pairs = session.gathered(_pairs(left, pivot, sets).join(tested, ["a", "b"], "left_anti"), "near-pairs")
         if not pairs.isEmpty():
             tested = tested.unionByName(pairs)
-            roots = _joined(roots, _alike(pairs, sets, texts))
+            roots = _joined(roots, _alike(pairs, texts))
         postings = left.select("key", "set", "place").join(pivot, ["key", "set"], "left_anti")
         pivots *= MORE_PIVOTS
     return sketches.select("node", "set").join(roots, "set").select("node", "root")
@@ -187,11 +193,11 @@ def groups(docs: DataFrame) -> DataFrame:
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     """Roots (set, root) after further links a, b between sets: only the groups that these join are gone through."""
     for name in ("a", "b"):
-        links = links.join(roots.select(F.col("set").alias(name), F.col("root").alias(f"{name}_root")), name)
-    links = session.materialize(links.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).where("a != b").distinct(), "near-links")
+        links = session.gathered(links, "near-links").join(roots.select(F.col("set").alias(name), F.col("root").alias(f"{name}_root")), name)
+    links = session.gathered(links.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).where("a != b").distinct(), "near-links")
     if links.isEmpty():
         return roots
-    nodes = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
+    nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     moved = session.materialize(components.connected(nodes, links), "near-moved").select(F.col("node").alias("root"), F.col("root").alias("to"))
     return session.materialize(roots.join(moved, "root", "left").select("set", F.coalesce("to", "root").alias("root")), "near-roots")
 
@@ -204,31 +210,37 @@ def _open(postings: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _pairs(left: DataFrame, pivot: DataFrame, sets: DataFrame) -> DataFrame:
-    """Different pairs a < b of a pivot and a set of its key in another group that the bounds allow to be alike."""
+    """Different pairs a < b of a pivot and a set of its key in another group that the bounds allow to be alike; the nodes of both."""
     maps = [f"m{i}" for i in range(MAP_WORDS)]
-    rows = left.join(sets.select("set", "size", *maps), "set")
-    chosen = left.select("key", "set", "place", "root", "n").join(pivot, ["key", "set"]).join(sets.select("set", "size", *maps), "set")
+    rows = left.join(sets.select("set", "node", "size", *maps), "set")
+    chosen = pivot.join(sets.select("set", "node", "size", *maps), "set")
     parts = (F.col("n") / SALTED).cast("int")
     chosen = chosen.withColumn("part", F.explode(F.sequence(F.lit(0), parts)))
-    chosen = chosen.select("key", "part", *[F.col(c).alias(f"p_{c}") for c in ("set", "place", "root", "size", *maps)])
+    chosen = chosen.select("key", "part", *[F.col(c).alias(f"p_{c}") for c in ("set", "node", "place", "root", "size", *maps)])
     size = F.col("size") + F.col("p_size")
     differing = sum((F.bit_count(F.col(m).bitwiseXOR(F.col(f"p_{m}"))) for m in maps[1:]), F.bit_count(F.col("m0").bitwiseXOR(F.col("p_m0"))))
     allowed = ((F.col("root") != F.col("p_root")) & (5 * F.least("size", "p_size") >= 4 * F.greatest("size", "p_size"))
                & (9 * F.least(F.col("size") - F.col("place"), F.col("p_size") - F.col("p_place")) >= 4 * size) & (9 * differing <= size))
     met = rows.withColumn("part", F.pmod(F.xxhash64("set"), parts + 1).cast("int")).join(chosen, ["key", "part"]).where(allowed)
-    return met.select(F.least("set", "p_set").alias("a"), F.greatest("set", "p_set").alias("b")).distinct()
+    return _ordered(met.select(F.col("set").alias("a"), F.col("p_set").alias("b"), F.col("node").alias("a_node"), F.col("p_node").alias("b_node")))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """Each pair of sets once, with a < b, and the nodes of both."""
+    swapped = F.col("a") > F.col("b")
+    sides = [F.when(swapped, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("a_node", "b_node"), ("b_node", "a_node"))]
+    return pairs.select(*sides).groupBy("a", "b").agg(F.min("a_node").alias("a_node"), F.min("b_node").alias("b_node"))
 
 
-def _alike(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+def _alike(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs a, b whose texts reach SIMILARITY. A set with many partners meets them in parts.
 
     Pairs are few beside the texts; written first, they are sent to the texts while
     small, and no text moves that is in none.
     """
     many = pairs.groupBy("a").agg(F.count("*").alias("n"))
-    of = lambda name: sets.select(F.col("set").alias(name), F.col("node").alias(f"{name}_node"))
     parted = pairs.join(many, "a").withColumn("part", F.pmod(F.xxhash64("b"), (F.col("n") / 1000).cast("int") + 1).cast("int"))
-    parted = session.materialize(parted.select("a", "b", "part").join(of("a"), "a").join(of("b"), "b"), "near-parted")
+    parted = session.gathered(parted.select("a", "b", "part", "a_node", "b_node"), "near-parted")
     firsts = session.materialize(parted.select("a", "a_node", "part").distinct().join(
         texts.select(F.col("node").alias("a_node"), F.col("text").alias("a_text")), "a_node").select("a", "part", "a_text"), "near-firsts")
     joined = parted.join(texts.select(F.col("node").alias("b_node"), F.col("text").alias("b_text")), "b_node").join(firsts, ["a", "part"])

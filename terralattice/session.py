@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import functools
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -85,3 +87,30 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+FEW = 100_000  # rows that one task writes and reads
+
+
+def gathered(df: DataFrame, label: str) -> DataFrame:
+    """Materialize; up to FEW rows become one file that one task reads, so that what is grouped or joined by their keys alone needs no shuffle.
+
+    Otherwise a small table costs a full set of tasks, files and shuffle blocks at
+    each step, and its many footers hide how small it is from the choice of a join.
+    """
+    made = materialize(df, label)
+    return made if made.count() > FEW else materialize(made.coalesce(1), label).coalesce(1)
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within, shuffle files go with the query that wrote them, not when the driver happens to collect its garbage."""
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)

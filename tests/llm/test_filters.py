@@ -9,6 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from terralattice import session
 from terralattice.llm import components, decontamination, html_text, quality, simhash, winnow
 
 SPLIT = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -371,6 +372,21 @@ def test_wrappers_of_articles_without_an_article_element():
     assert html_text.main_text(f"<div>{body}</div>{comment}") == want
 
 
+@pytest.mark.parametrize("few", [0, session.FEW])
+def test_few_links_are_joined_without_a_shuffle(spark, monkeypatch, few):
+    monkeypatch.setattr(session, "FEW", few)
+    links = spark.createDataFrame([(i, i * 7 % 60 + 1) for i in range(1, 61)] + [(5, 5), (70, 71), (71, 70)], "a long, b long")
+    edges = session.gathered(links, "test-links")
+    plan = components._small_star(components._large_star(edges))._jdf.queryExecution().executedPlan().toString()
+    assert ("Exchange hashpartitioning" in plan) == (few == 0)
+    root = {n: n for n in range(1, 72)}
+    for _ in root:
+        for a, b in links.collect():
+            root[a] = root[b] = min(root[a], root[b])
+    nodes = spark.createDataFrame([(n,) for n in root], "node long")
+    assert {r.node: r.root for r in components.connected(nodes, links).collect()} == root
+
+
 def test_words_are_those_of_the_pattern():
     for text in ["".join(map(chr, range(128))), "".join(map(chr, range(300))), "Ab_c-9\x1fd \x00e", "Größe ǅ İx", "", None, "   "]:
         assert decontamination.tokens(text) == re.findall(r"\w+", (text or "").lower())

@@ -5,6 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
+from terralattice import session
 from terralattice.llm import decontamination, near_copies
 
 SMALL = "/root/testdata/sf0.001"
@@ -65,3 +66,22 @@ def test_rows_with_missing_and_repeated_ids(spark, docs_of):
     items = spark.createDataFrame([(1, other)], "item_id long, text string")
     left = decontamination.clean(docs_of([(None, t), (None, a), (5, copy), (5, u)]), items)
     assert sorted((r.text for r in left.collect())) == [a, u]
+
+
+@pytest.mark.parametrize("few", [0, session.FEW])
+def test_shuffle_files_go_with_each_step_of_the_groups(spark, docs_of, monkeypatch, few):
+    """Whether the tables of a round are gathered or not, groups are the same; the caller's setting is as before."""
+    monkeypatch.setattr(session, "FEW", few)
+    rng, texts = random.Random(9), ["", None]
+    for family in range(6):
+        words = [f"f{family}w{k}" for k in range(60)]
+        texts += [" ".join(edited(rng, words, share)) for share in (0, 0, 0.01, 0.02, 0.02, 0.05, 0.3)]
+    held, before, write = [], spark.conf.get(session._CLEANUP), session.materialize
+    monkeypatch.setattr(session, "materialize", lambda df, label: held.append(spark.conf.get(session._CLEANUP)) or write(df, label))
+    docs = docs_of([(i, t) for i, t in enumerate(texts)])
+    found = near_copies.groups(docs)
+    assert len(held) > 10 and set(held) == {"true"} and spark.conf.get(session._CLEANUP) == before
+    root = {r.text or "": r.root for r in docs.join(found, near_copies.text_hash() == found["node"]).collect()}
+    first = brute_groups(texts)
+    for i, a in enumerate(texts):
+        assert [root[a or ""] == root[b or ""] for b in texts[:i]] == [first[i] == r for r in first[:i]]
